@@ -50,7 +50,8 @@ def clean_tweet(c) -> Column:
     c = _c(c)
     c = F.regexp_replace(c, "\\$" + WORD_CLASS + "*", "")
     c = F.regexp_replace(c, "^RT(?U)\\s+", "")
-    c = F.regexp_replace(c, "https?://.*[\\r\\n]*", "")
+    # (?d): only \n ends a line for ``.``, as in Python.
+    c = F.regexp_replace(c, "(?d)https?://.*[\\r\\n]*", "")
     return F.regexp_replace(c, "#", "")
 
 
@@ -105,9 +106,18 @@ def markup_line_clean(c) -> Column:
     return F.split_part(second_last, F.lit("<"), F.lit(1))
 
 
+def quote(c) -> Column:
+    """Percent-encoding with Python ``quote`` rules: space -> ``%20``, ``/`` and
+    ``~`` kept, ``*`` encoded (Java's encoder differs on exactly these)."""
+    e = F.url_encode(_c(c))
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        e = F.replace(e, F.lit(a), F.lit(b))
+    return e
+
+
 def term_url(c, base: str) -> Column:
-    """TX21: base URL + percent-encoded term (space as ``%20``)."""
-    return F.concat(F.lit(base), F.replace(F.url_encode(_c(c)), F.lit("+"), F.lit("%20")))
+    """TX21: base URL + percent-encoded term."""
+    return F.concat(F.lit(base), quote(c))
 
 
 def form_class(first_form, third_form) -> Column:
@@ -137,3 +147,43 @@ def attention_mask(ids, n: int) -> Column:
     """TX25 mask: 1 for real positions, 0 for padding."""
     size = F.size(_c(ids))
     return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: (i <= size).cast("int"))
+
+
+def word_pieces(c) -> Column:
+    """Punctuation-aware tokens with explicit classes (same in Java and RE2)."""
+    return F.regexp_extract_all(_c(c), F.lit("[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]"), 0)
+
+
+# HTML entities decoded by the page-text extractor (``&amp;`` last).
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+                 ("&nbsp;", " "), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&mdash;", "\u2014"),
+                 ("&ndash;", "\u2013"), ("&hellip;", "\u2026"), ("&reg;", "\u00ae"), ("&trade;", "\u2122"),
+                 ("&amp;", "&"))
+
+# Markup removed before tags are stripped.
+HTML_DROP = ("(?is)<script\\b[^>]*>.*?</script\\s*>", "(?is)<style\\b[^>]*>.*?</style\\s*>",
+             "(?s)<!--.*?-->", "(?i)<!doctype[^>]*>")
+HTML_TAG = "</?[A-Za-z][^>]*>"
+
+
+def html_text(c) -> Column:
+    """TX17 text: drop script/style/comments/doctype, remove tags (strings are
+    joined with no separator, as a parser's ``get_text`` does), decode entities."""
+    h = _c(c)
+    for pat in HTML_DROP:
+        h = F.regexp_replace(h, pat, "")
+    h = F.regexp_replace(h, HTML_TAG, "")
+    for a, b in HTML_ENTITIES:
+        h = F.replace(h, F.lit(a), F.lit(b))
+    return h
+
+
+def html_blocks(c, block_tag: str = "ul") -> Column:
+    """Inner markup of every ``<block_tag>`` element (TX18 tables/lists)."""
+    return F.regexp_extract_all(_c(c), F.lit(f"(?s)<{block_tag}\\b[^>]*>(.*?)</{block_tag}>"), 1)
+
+
+def html_cells(block, cell_tag: str = "li") -> Column:
+    """Cells of one block as text (tags removed, whitespace normalised)."""
+    cells = F.regexp_extract_all(block, F.lit(f"(?s)<{cell_tag}\\b[^>]*>(.*?)</{cell_tag}>"), 1)
+    return F.transform(cells, lambda x: clean_string(F.regexp_replace(x, HTML_TAG, "")))

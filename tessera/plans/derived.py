@@ -58,3 +58,26 @@ tags AS (SELECT doc_id, pos, token,
 def pred_tag_sql(tag: str = "tag", doc: str = "doc_id", pos: str = "pos") -> str:
     return (f"CASE WHEN (('0x' || substr(md5('42:' || CAST({doc} AS VARCHAR) || ':' || CAST({pos} AS VARCHAR)), 1, 8))::BIGINT % 1000) % 10 = 0 "
             f"THEN 'O' ELSE {tag} END")
+
+
+def values(doc: Column, pos: Column) -> Column:
+    """Signed per-token values in [-5, 5) from rule H."""
+    return (hash_bucket(doc, pos) - 500) / 100.0
+
+
+def value_sql(doc: str = "doc_id", pos: str = "pos") -> str:
+    return (f"(((('0x' || substr(md5('42:' || CAST({doc} AS VARCHAR) || ':' || CAST({pos} AS VARCHAR)), 1, 8))::BIGINT % 1000) - 500) / 100.0)")
+
+
+def spans_sql(src: str, name: str) -> str:
+    """CTEs ``{name}_f`` and ``{name}``: BIO spans of ``src(doc_id, pos, token, tag)``."""
+    return f"""
+{name}_f AS (SELECT doc_id, pos, tag, token,
+   CASE WHEN tag = 'O' THEN 0 WHEN tag LIKE 'B-%' THEN 1
+        WHEN tag LIKE 'I-%' AND (lag(tag) OVER w IS NULL OR lag(tag) OVER w = 'O'
+                                 OR substr(lag(tag) OVER w, 3) <> substr(tag, 3)) THEN 1 ELSE 0 END AS s
+   FROM {src} WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+{name}_n AS (SELECT *, sum(s) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS span FROM {name}_f),
+{name} AS (SELECT doc_id, min(pos) AS start, max(pos) AS "end", arg_min(substr(tag, 3), pos) AS type,
+                  string_agg(token, ' ' ORDER BY pos) AS text
+           FROM {name}_n WHERE tag <> 'O' GROUP BY doc_id, span)"""

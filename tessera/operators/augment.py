@@ -50,9 +50,12 @@ def lexicon_round_trip(rows: DataFrame, key: str, pos: str, token: str, forward:
     """SF10 (re-aimed back-translation): token -> pivot -> token through two
     lexicons ``(word, pivot)`` and ``(pivot, word)``; tokens without an entry
     stay.  Returns ``(key, text)`` in token order."""
+    # Compose the two lexicons first (vocabulary-sized), so the token rows are
+    # joined once instead of twice.
     f = forward.select(F.col("word").alias("_w"), F.col("pivot").alias("_p"))
-    b = backward.select(F.col("pivot").alias("_bp"), F.col("word").alias("_bw"))
-    j = rows.join(f, rows[token] == f["_w"], "left").join(b, F.col("_p") == b["_bp"], "left")
+    b = backward.select(F.col("pivot").alias("_p"), F.col("word").alias("_bw"))
+    mapping = f.join(b, "_p").select("_w", "_bw")
+    j = rows.join(mapping, rows[token] == mapping["_w"], "left")
     out = j.select(key, pos, F.coalesce("_bw", token).alias("_t"))
     g = out.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(pos, "_t"))).alias("_l"))
     return g.select(key, F.array_join(F.transform("_l", lambda x: x["_t"]), " ").alias("text"))

@@ -77,14 +77,6 @@ def remove_stop_words(df: DataFrame, stop: DataFrame, text: str = "clean",
     return j.withColumn(out, kept).drop("_stop_lang", "stop_words")
 
 
-def _counts(df: DataFrame, key: str, arr: Column, kind: int) -> DataFrame:
-    """``(key, kind, tok, n, first)`` from a token array column."""
-    return (df.select(key, F.posexplode(arr).alias("pos", "tok"))
-            .groupBy(key, "tok")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-            .withColumn("kind", F.lit(kind)))
-
-
 def vw_lines(toks: DataFrame, key: str = "doc_id", arr: str = "topic_tokens", which_n_grams=(2,),
              min_count: int = 2) -> DataFrame:
     """AG10: ``doc<i> tok:count ... ngram:count`` per row of ``toks``.
@@ -92,25 +84,26 @@ def vw_lines(toks: DataFrame, key: str = "doc_id", arr: str = "topic_tokens", wh
     Unigrams in first-occurrence order, then each n-gram size kept when its
     count reaches ``min_count``; an empty token list gives the empty string.
 
-    Plan: one hash exchange of the token arrays on ``key``; the per-(key, token)
-    counts and the per-key collect that follow are satisfied by that
-    partitioning, so no further shuffle happens.  A document's list is bounded
-    by its own distinct tokens.
+    Plan: unigrams and n-grams are tagged with their kind and position in one
+    array per document, plus one marker element so that empty documents keep a
+    row; one hash exchange on ``key`` moves the arrays, and the per-(key, kind,
+    token) counts and the per-key collect that follow reuse that partitioning.
+    A document's list is bounded by its own distinct tokens.
     """
-    base = toks.select(key, arr).repartition(key)
-    parts = [_counts(base, key, F.col(arr), 0)]
+    def tag(kind):
+        return lambda t, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), t.alias("tok"))
+
+    tagged = [F.transform(F.col(arr), tag(0))]
     for k, n in enumerate(which_n_grams, start=1):
-        parts.append(_counts(base, key, ngrams(F.col(arr), n), k).where(F.col("n") >= min_count))
-    # One marker row per document so that empty documents still get a line.
-    marker = base.select(key, F.lit(None).cast("string").alias("tok"), F.lit(0).cast("bigint").alias("n"),
-                         F.lit(-1).alias("first"), F.lit(-1).alias("kind"))
-    allc = marker
-    for p in parts:
-        allc = allc.unionByName(p.select(key, "tok", "n", "first", "kind"))
-    items = F.filter(F.array_sort(F.collect_list(F.struct("kind", "first", "tok", "n"))),
-                     lambda e: e["kind"] >= 0)
-    strs = F.transform(items, lambda e: F.concat(e["tok"], F.lit(":"), e["n"].cast("string")))
-    return (allc.groupBy(key).agg(strs.alias("_parts"))
+        tagged.append(F.transform(ngrams(F.col(arr), n), tag(k)))
+    marker = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("tok")))
+    base = toks.select(key, F.concat(marker, *tagged).alias("_items")).repartition(key)
+    items = base.select(key, F.inline("_items"))
+    counts = (items.groupBy(key, "kind", "tok").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+              .where((F.col("kind") <= 0) | (F.col("n") >= min_count)))
+    entries = F.filter(F.array_sort(F.collect_list(F.struct("kind", "first", "tok", "n"))), lambda e: e["kind"] >= 0)
+    strs = F.transform(entries, lambda e: F.concat(e["tok"], F.lit(":"), e["n"].cast("string")))
+    return (counts.groupBy(key).agg(strs.alias("_parts"))
             .select(key, F.when(F.size("_parts") == 0, F.lit(""))
                     .otherwise(F.concat(F.lit("doc"), F.col(key).cast("string"), F.lit(" "),
                                         F.array_join("_parts", " "))).alias("line")))

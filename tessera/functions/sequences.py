@@ -31,13 +31,19 @@ def shifted(arr, k: int = 1) -> Column:
 def ngrams(toks, n: int, sep: str = "_") -> Column:
     """WN4: n-grams of a token array joined by ``sep`` (empty when size < n).
 
-    Built from ``zip_with`` against shifted copies, so no lambda refers to an
-    outer array (Spark would re-evaluate such a reference per element)."""
+    ``toks`` should be a column reference (a materialised array): the n-gram at
+    ``i`` is ``slice(toks, i, n)``, and a lambda that referred to an array
+    *expression* would re-evaluate it per element.  Bigrams use ``zip_with``
+    with a shifted copy and need no lambda reference at all."""
     toks = _c(toks)
-    g = toks
-    for j in range(1, n):
-        g = F.zip_with(g, shifted(toks, j), lambda a, b: F.concat(a, F.lit(sep), b))
-    return F.filter(g, lambda x: x.isNotNull()) if n > 1 else g
+    if n == 1:
+        return toks
+    if n == 2:
+        return F.filter(F.zip_with(toks, shifted(toks), lambda a, b: F.concat(a, F.lit(sep), b)),
+                        lambda x: x.isNotNull())
+    k = F.size(toks) - n + 1
+    idx = F.filter(F.sequence(F.lit(1), F.greatest(k, F.lit(1))), lambda i: i <= k)
+    return F.transform(idx, lambda i: F.array_join(F.slice(toks, i, n), sep))
 
 
 def run_counts(toks) -> Column:

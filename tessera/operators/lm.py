@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sequences import hash_bucket, shifted
+from tessera.functions.sequences import shifted
 from tessera.functions.text import _c
 
 
@@ -114,10 +114,17 @@ def mask_tokens(toks, key, rate_per_mille: int = 150, seed: int = 11) -> Column:
     toks = _c(toks)
     n = F.size(toks)
 
-    def one(t, i):
-        chosen = hash_bucket(key, i, seed=seed) < rate_per_mille
-        r = hash_bucket(key, i, seed=seed + 1) % 10
-        other = F.get(toks, (hash_bucket(key, i, seed=seed + 2) % n).cast("int"))
-        inp = F.when(~chosen, t).when(r < 8, F.lit(MASK)).when(r == 8, other).otherwise(t)
-        return F.struct(inp.alias("input"), F.when(chosen, t).alias("label"))
-    return F.transform(toks, one)
+    def draws(t, i):
+        # One md5 per token; its 8-hex-digit slices are the three draws.  They
+        # are fields of a struct so that the next lambda reads, not recomputes, them.
+        h = F.md5(F.concat_ws(":", F.lit(str(seed)), _c(key).cast("string"), i.cast("string")))
+        d = [F.conv(F.substring(h, 8 * k + 1, 8), 16, 10).cast("bigint") % 1000 for k in range(3)]
+        return F.struct(t.alias("t"), d[0].alias("c"), d[1].alias("r"), d[2].alias("o"))
+
+    def one(x):
+        chosen = x["c"] < rate_per_mille
+        r = x["r"] % 10
+        other = F.get(toks, (x["o"] % n).cast("int"))
+        inp = F.when(~chosen, x["t"]).when(r < 8, F.lit(MASK)).when(r == 8, other).otherwise(x["t"])
+        return F.struct(inp.alias("input"), F.when(chosen, x["t"]).alias("label"))
+    return F.transform(F.transform(toks, draws), one)

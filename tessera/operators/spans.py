@@ -1,8 +1,11 @@
-"""Span operators over token tables ``(doc, pos, ...)`` (WN1, WN2, WN6, WN7, WN10).
-
-Sequence work uses windows partitioned by document (a document is bounded by
-its own length).  The window's hash exchange on the document key also satisfies
-the per-span ``groupBy(doc, span)`` that follows, so each operator shuffles once.
+"""Span operators (WN1, WN2, WN6, WN7, WN10).
+
+Two forms.  The array form (one row per document holding its token and tag
+arrays) decodes spans inside the row: no shuffle and no sort, whatever the
+corpus size; the queries use it.  The row form ``(doc, pos, ...)`` serves
+inputs that arrive as rows: it uses windows partitioned by document, whose
+hash exchange also satisfies the per-span ``groupBy(doc, span)`` that follows,
+so it shuffles once.
 """
 
 from __future__ import annotations
@@ -87,3 +90,55 @@ def subtoken_labels(word_ids: Column, labels: Column, policy: str = "repeat") ->
             return F.when(w.isNull(), F.lit(-100)).when(p.isNotNull() & (p == w), F.lit(-100)).otherwise(lbl)
         return F.when(w.isNull(), F.lit(-100)).otherwise(lbl)
     return F.zip_with(wid, prev, one)
+
+
+def _prev(arr: Column) -> Column:
+    """``arr`` shifted right by one (NULL first), same length."""
+    return F.slice(F.concat(F.array(F.lit(None).cast("string")), arr), 1, F.size(arr))
+
+
+def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tokens: str | None = "tokens") -> DataFrame:
+    """WN6 on the array form ``(key, tokens, tags)``: no shuffle, no sort.
+
+    Span starts are flagged against the previous tag; "breaks" are starts and
+    ``O`` positions; each start's span ends one before the next break.  Each
+    step is its own projection over materialised arrays, so no array is
+    re-evaluated inside a lambda.  Returns ``(key, start, end, type[, text])``."""
+    keep = [key] + ([tokens] if tokens else [])
+
+    def flag(t, p):
+        return (t != "O") & (t.startswith("B-") | (t.startswith("I-") & (
+            p.isNull() | (p == "O") | (F.substring(p, 3, 1 << 30) != F.substring(t, 3, 1 << 30)))))
+    d1 = df.select(*keep, tags, F.zip_with(F.col(tags), _prev(F.col(tags)), flag).alias("_st"))
+    entries = F.zip_with(F.col(tags), F.col("_st"), lambda t, s: F.struct(
+        ((t == "O") | s).alias("brk"), s.alias("st"), F.substring(t, 3, 1 << 30).alias("ty")))
+    indexed = F.transform(entries, lambda e, i: F.struct(i.alias("i"), e["brk"].alias("brk"), e["st"].alias("st"),
+                                                         e["ty"].alias("ty")))
+    d2 = d1.select(*keep, F.size(tags).alias("_n"), F.filter(indexed, lambda e: e["brk"]).alias("_b"))
+    sentinel = F.array(F.struct(F.col("_n").alias("i"), F.lit(True).alias("brk"), F.lit(False).alias("st"),
+                                F.lit(None).cast("string").alias("ty")))
+    nxt = F.concat(F.slice("_b", 2, F.greatest(F.size("_b") - 1, F.lit(0))), sentinel)
+    spans = F.filter(F.zip_with("_b", nxt, lambda a, b: F.when(a["st"], F.struct(
+        a["i"].alias("start"), (b["i"] - 1).alias("end"), a["ty"].alias("type")))), lambda x: x.isNotNull())
+    d3 = d2.select(*keep, F.explode(spans).alias("_s")).select(*keep, "_s.start", "_s.end", "_s.type")
+    if tokens:
+        d3 = d3.withColumn("text", F.array_join(F.slice(tokens, F.col("start") + 1, F.col("end") - F.col("start") + 1), " "))
+        return d3.select(key, "start", "end", "type", "text")
+    return d3.select(key, "start", "end", "type")
+
+
+def array_accuracy(df: DataFrame, gold: str, pred: str) -> DataFrame:
+    """Token accuracy of two aligned tag arrays per row, summed over rows."""
+    eq = F.size(F.filter(F.zip_with(gold, pred, lambda a, b: a == b), lambda x: x))
+    return df.agg((F.sum(eq) / F.sum(F.size(gold))).alias("accuracy"))
+
+
+def positive_runs_arrays(df: DataFrame, key: str = "doc_id", tokens: str = "tokens",
+                         values: str = "values") -> DataFrame:
+    """WN1 + WN2 on the array form: runs of positive values are the spans of
+    the tags ``I-P`` (positive) / ``O`` (not), decoded without a shuffle."""
+    tagged = df.select(key, tokens, F.transform(values, lambda v: F.when(v > 0, F.lit("I-P")).otherwise(F.lit("O")))
+                       .alias("_tags"))
+    s = bio_spans_arrays(tagged, key, "_tags", tokens).where(F.col("text") != "")
+    return s.select(key, "start", "text", F.regexp_replace("text", "(?U)\\s+", "").alias("compact"),
+                    F.size(F.filter(F.split("text", "(?U)\\s+"), lambda x: x != "")).alias("n_tokens"))

@@ -91,17 +91,18 @@ def q_packed_blocks(spark, sf):
     return b.select("batch", "block_no", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("text"))
 
 
-def _h(seed: int, pos: str) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || CAST(doc_id AS VARCHAR) || ':' || CAST({pos} AS VARCHAR)), 1, 8))::BIGINT % 1000)"
+def _h(k: int, pos: str, seed: int = 11) -> str:
+    return (f"(('0x' || substr(md5('{seed}:' || CAST(doc_id AS VARCHAR) || ':' || CAST({pos} AS VARCHAR)), {8 * k + 1}, 8))::BIGINT"
+            " % 1000)")
 
 
 @query("masked_tokens", sql=f"""
 WITH d AS (SELECT doc_id, {toks('text')} AS t FROM documents),
-m AS (SELECT doc_id, list_transform(t, lambda x, i: CASE WHEN {_h(11, 'i - 1')} >= 150 THEN x
-                                                          WHEN {_h(12, 'i - 1')} % 10 < 8 THEN '[MASK]'
-                                                          WHEN {_h(12, 'i - 1')} % 10 = 8 THEN t[{_h(13, 'i - 1')} % len(t) + 1]
+m AS (SELECT doc_id, list_transform(t, lambda x, i: CASE WHEN {_h(0, 'i - 1')} >= 150 THEN x
+                                                          WHEN {_h(1, 'i - 1')} % 10 < 8 THEN '[MASK]'
+                                                          WHEN {_h(1, 'i - 1')} % 10 = 8 THEN t[{_h(2, 'i - 1')} % len(t) + 1]
                                                           ELSE x END) AS inp,
-             list_filter(list_transform(t, lambda x, i: CASE WHEN {_h(11, 'i - 1')} < 150 THEN 1 ELSE 0 END), lambda z: z = 1) AS ch
+             list_filter(list_transform(t, lambda x, i: CASE WHEN {_h(0, 'i - 1')} < 150 THEN 1 ELSE 0 END), lambda z: z = 1) AS ch
       FROM d)
 SELECT doc_id, len(ch)::INTEGER AS n_masked, array_to_string(inp, ' ') AS masked_text FROM m""")
 def q_masked_tokens(spark, sf):

@@ -25,20 +25,22 @@ g AS (SELECT doc_id, min(pos) AS start, string_agg(token, ' ' ORDER BY pos) AS t
 SELECT doc_id, start, text, regexp_replace(text, '\\s+', '', 'g') AS compact,
        len(string_split_regex(text, '\\s+'))::INTEGER AS n_tokens FROM g WHERE text <> ''""")
 def q_positive_runs(spark, sf):
-    rows = _rows(spark, sf).withColumn("value", D.values(F.col("doc_id"), F.col("pos")))
-    return SP.positive_runs(rows)
+    docs = D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tokens")
+    vals = docs.select("doc_id", "tokens",
+                       F.transform("tokens", lambda t, i: D.values(F.col("doc_id"), i)).alias("values"))
+    return SP.positive_runs_arrays(vals)
 
 
 @query("bio_spans", sql=f"""WITH {D.TAGS_SQL.strip()},{D.spans_sql('tags', 'sp').rstrip()}
 SELECT doc_id, start, "end", type, text FROM sp""")
 def q_bio_spans(spark, sf):
-    return SP.bio_spans(_rows(spark, sf))
+    return SP.bio_spans_arrays(D.tagged_docs(table(spark, sf, "documents")))
 
 
 @query("common_spans", sql=f"""WITH {D.TAGS_SQL.strip()},{D.spans_sql('tags', 'sp').rstrip()}
 SELECT text AS span, count(*)::BIGINT AS n FROM sp GROUP BY text""")
 def q_common_spans(spark, sf):
-    s = SP.bio_spans(_rows(spark, sf))
+    s = SP.bio_spans_arrays(D.tagged_docs(table(spark, sf, "documents")))
     return s.groupBy(F.col("text").alias("span")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -109,11 +111,13 @@ SELECT entity, n_gold, n_pred, n_correct, round(pr, 6) AS precision, round(rc, 6
        round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END, 6) AS f1, round(accuracy, 6) AS accuracy
 FROM m, acc""")
 def q_sequence_metrics(spark, sf):
-    rows = _rows(spark, sf)
-    pred = rows.withColumn("tag", D.pred_tag(F.col("tag"), F.col("doc_id"), F.col("pos")))
+    docs = D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tags")
+    both = docs.select("doc_id", "tags", F.transform("tags", lambda t, i: D.pred_tag(t, F.col("doc_id"), i)).alias("ptags"))
     keys = ["doc_id", "start", "end", "type"]
-    s = M.span_scores(SP.bio_spans(rows, token=None), SP.bio_spans(pred, token=None), keys)
-    acc = M.token_accuracy(rows, pred, ["doc_id", "pos"], ignore=None)
+    gold = SP.bio_spans_arrays(both, tags="tags", tokens=None)
+    pred = SP.bio_spans_arrays(both, tags="ptags", tokens=None)
+    s = M.span_scores(gold, pred, keys)
+    acc = SP.array_accuracy(both, "tags", "ptags")
     out = s.crossJoin(F.broadcast(acc))
     return out.select("entity", "n_gold", "n_pred", "n_correct",
                       *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "accuracy")])

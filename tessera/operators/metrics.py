@@ -24,12 +24,18 @@ def span_scores(gold: DataFrame, pred: DataFrame, keys: Sequence[str], cls: str
                 overall: str = "overall") -> DataFrame:
     """AG17 entity scores: per class and overall ``(n_gold, n_pred, n_correct,
     precision, recall, f1)``; a span is correct when every key matches."""
-    g = gold.select(*keys).distinct()
-    p = pred.select(*keys).distinct()
-    c = g.join(p, list(keys))
-    u = (g.select(cls, F.lit(1).alias("_g"), F.lit(0).alias("_p"), F.lit(0).alias("_c"))
-         .unionByName(p.select(cls, F.lit(0).alias("_g"), F.lit(1).alias("_p"), F.lit(0).alias("_c")))
-         .unionByName(c.select(cls, F.lit(0).alias("_g"), F.lit(0).alias("_p"), F.lit(1).alias("_c"))))
+    tagged = (gold.select(*keys, F.lit(True).alias("_is_gold"))
+              .unionByName(pred.select(*keys, F.lit(False).alias("_is_gold"))))
+    return span_scores_tagged(tagged, "_is_gold", keys, cls, overall)
+
+
+def span_scores_tagged(spans: DataFrame, is_gold: str, keys: Sequence[str], cls: str = "type",
+                       overall: str = "overall") -> DataFrame:
+    """AG17 core on one frame of spans flagged gold / predicted: membership per
+    key is one ``groupBy(keys)``; no join of gold to predictions."""
+    m = spans.groupBy(*keys).agg(F.max(F.col(is_gold).cast("int")).alias("_g"),
+                                 F.max((~F.col(is_gold)).cast("int")).alias("_p"))
+    u = m.select(cls, "_g", "_p", (F.col("_g") * F.col("_p")).alias("_c"))
     agg = u.rollup(cls).agg(F.sum("_g").alias("n_gold"), F.sum("_p").alias("n_pred"), F.sum("_c").alias("n_correct"),
                             F.grouping(cls).alias("_all"))
     pr, rc, f1 = prf(F.col("n_correct"), F.col("n_pred"), F.col("n_gold"))

@@ -71,18 +71,21 @@ def paired_types(gold: str, pred: str) -> Column:
 def micro_scores(pairs: DataFrame, gold: str = "gold", guess: str = "guess",
                  no_relation: str = NO_RELATION) -> DataFrame:
     """AG15: per-relation (relations seen in gold) and ``micro`` precision /
-    recall / F1.  A NULL guess counts as a guess; P = 1 when nothing was guessed."""
+    recall / F1.  A NULL guess counts as a guess; P = 1 when nothing was guessed.
+
+    One pass: each pair emits up to three events (gold, guessed, correct) keyed
+    by relation, summed in a single aggregation; the micro row sums that small
+    per-relation table."""
     g, p = F.col(gold), F.col(guess)
     g_rel = g != F.lit(no_relation)
     p_rel = p.isNull() | (p != F.lit(no_relation))
-    rows = (pairs.select(F.when(g_rel, g).alias("_g_rel"), F.when(p_rel, F.coalesce(p, F.lit("\u0000null"))).alias("_p_rel"),
-                         (g_rel & p_rel & (g == p)).alias("_ok"), g.alias("_g")))
-    gold_c = rows.where(F.col("_g_rel").isNotNull()).groupBy(F.col("_g_rel").alias("relation")).agg(
-        F.count(F.lit(1)).alias("n_gold"))
-    guess_c = rows.where(F.col("_p_rel").isNotNull()).groupBy(F.col("_p_rel").alias("relation")).agg(
-        F.count(F.lit(1)).alias("n_guessed"))
-    corr_c = rows.where(F.col("_ok")).groupBy(F.col("_g").alias("relation")).agg(F.count(F.lit(1)).alias("n_correct"))
-    allc = gold_c.join(guess_c, "relation", "full").join(corr_c, "relation", "left").na.fill(0)
+    ev = lambda rel, a, b, c: F.struct(rel.alias("relation"), F.lit(a).alias("g"), F.lit(b).alias("u"),
+                                       F.lit(c).alias("c"))
+    events = F.array(ev(F.when(g_rel, g), 1, 0, 0), ev(F.when(p_rel, F.coalesce(p, F.lit("\u0000null"))), 0, 1, 0),
+                     ev(F.when(g_rel & p_rel & (g == p), g), 0, 0, 1))
+    e = pairs.select(F.explode(events).alias("e")).where(F.col("e.relation").isNotNull())
+    per_rel = e.groupBy(F.col("e.relation").alias("relation")).agg(
+        F.sum("e.g").alias("n_gold"), F.sum("e.u").alias("n_guessed"), F.sum("e.c").alias("n_correct"))
 
     def prf(c, gu, go):
         pr = F.when(gu > 0, c / gu).otherwise(F.lit(1.0))
@@ -90,16 +93,12 @@ def micro_scores(pairs: DataFrame, gold: str = "gold", guess: str = "guess",
         f1 = F.when(pr + rc > 0, 2.0 * pr * rc / (pr + rc)).otherwise(F.lit(0.0))
         return pr, rc, f1
 
-    per = allc.where(F.col("n_gold") > 0)
-    pr, rc, f1 = prf(F.col("n_correct"), F.col("n_guessed"), F.col("n_gold"))
-    per = per.select("relation", "n_gold", "n_guessed", "n_correct", pr.alias("precision"), rc.alias("recall"),
-                     f1.alias("f1"))
-    tot = allc.agg(F.sum("n_gold").alias("n_gold"), F.sum("n_guessed").alias("n_guessed"),
-                   F.sum("n_correct").alias("n_correct"))
+    cols = ["relation", "n_gold", "n_guessed", "n_correct"]
+    tot = per_rel.agg(F.lit("micro").alias("relation"), F.sum("n_gold").alias("n_gold"),
+                      F.sum("n_guessed").alias("n_guessed"), F.sum("n_correct").alias("n_correct"))
+    both = per_rel.where(F.col("n_gold") > 0).select(*cols).unionByName(tot.select(*cols))
     pr, rc, f1 = prf(F.col("n_correct"), F.col("n_guessed"), F.col("n_gold"))
-    micro = tot.select(F.lit("micro").alias("relation"), "n_gold", "n_guessed", "n_correct", pr.alias("precision"),
-                       rc.alias("recall"), f1.alias("f1"))
-    return per.unionByName(micro)
+    return both.select(*cols, pr.alias("precision"), rc.alias("recall"), f1.alias("f1"))
 
 
 def set_scores(gold: DataFrame, pred: DataFrame, sent_keys: Sequence[str], relation_types: Sequence[str],
@@ -110,13 +109,20 @@ def set_scores(gold: DataFrame, pred: DataFrame, sent_keys: Sequence[str], relat
     assert mode in ("strict", "boundaries")
     ent = ["head", "tail"] if mode == "boundaries" else ["head", "head_type", "tail", "tail_type"]
     keys = list(sent_keys) + ["type"] + ent
-    g = gold.select(*keys).distinct().withColumn("_in_g", F.lit(1))
-    p = pred.select(*keys).distinct().withColumn("_in_p", F.lit(1))
-    both = g.join(p, keys, "full")
-    counts = both.groupBy("type").agg(
-        F.sum(F.when(F.col("_in_g").isNotNull() & F.col("_in_p").isNotNull(), 1).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("_in_g").isNull(), 1).otherwise(0)).alias("fp"),
-        F.sum(F.when(F.col("_in_p").isNull(), 1).otherwise(0)).alias("fn"))
+    tagged = (gold.select(*keys, F.lit(True).alias("_is_gold"))
+              .unionByName(pred.select(*keys, F.lit(False).alias("_is_gold"))))
+    return set_scores_tagged(tagged, "_is_gold", keys, relation_types)
+
+
+def set_scores_tagged(rel: DataFrame, is_gold: str, keys: Sequence[str], relation_types: Sequence[str]) -> DataFrame:
+    """AG16 core on one frame of relation rows flagged gold / predicted: set
+    membership per key is one ``groupBy(keys)`` (no join of gold to pred)."""
+    member = rel.groupBy(*keys).agg(F.max(F.col(is_gold).cast("int")).alias("_g"),
+                                    F.max((~F.col(is_gold)).cast("int")).alias("_p"))
+    counts = member.groupBy("type").agg(
+        F.sum(F.when((F.col("_g") == 1) & (F.col("_p") == 1), 1).otherwise(0)).alias("tp"),
+        F.sum(F.when(F.col("_g") == 0, 1).otherwise(0)).alias("fp"),
+        F.sum(F.when(F.col("_p") == 0, 1).otherwise(0)).alias("fn"))
     types = counts.sparkSession.createDataFrame([(t,) for t in relation_types], ["type"])
     per = F.broadcast(types).join(counts, "type", "left").na.fill(0, ["tp", "fp", "fn"])
 

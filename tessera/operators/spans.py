@@ -97,14 +97,15 @@ def _prev(arr: Column) -> Column:
     return F.slice(F.concat(F.array(F.lit(None).cast("string")), arr), 1, F.size(arr))
 
 
-def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tokens: str | None = "tokens") -> DataFrame:
+def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tokens: str | None = "tokens",
+                     carry=()) -> DataFrame:
     """WN6 on the array form ``(key, tokens, tags)``: no shuffle, no sort.
 
     Span starts are flagged against the previous tag; "breaks" are starts and
     ``O`` positions; each start's span ends one before the next break.  Each
     step is its own projection over materialised arrays, so no array is
-    re-evaluated inside a lambda.  Returns ``(key, start, end, type[, text])``."""
-    keep = [key] + ([tokens] if tokens else [])
+    re-evaluated inside a lambda.  Returns ``(key, *carry, start, end, type[, text])``."""
+    keep = [key, *carry] + ([tokens] if tokens else [])
 
     def flag(t, p):
         return (t != "O") & (t.startswith("B-") | (t.startswith("I-") & (
@@ -123,8 +124,8 @@ def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tok
     d3 = d2.select(*keep, F.explode(spans).alias("_s")).select(*keep, "_s.start", "_s.end", "_s.type")
     if tokens:
         d3 = d3.withColumn("text", F.array_join(F.slice(tokens, F.col("start") + 1, F.col("end") - F.col("start") + 1), " "))
-        return d3.select(key, "start", "end", "type", "text")
-    return d3.select(key, "start", "end", "type")
+        return d3.select(key, *carry, "start", "end", "type", "text")
+    return d3.select(key, *carry, "start", "end", "type")
 
 
 def array_accuracy(df: DataFrame, gold: str, pred: str) -> DataFrame:

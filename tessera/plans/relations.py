@@ -145,18 +145,22 @@ SELECT rel_type, tp::BIGINT AS tp, fp::BIGINT AS fp, fn::BIGINT AS fn, round(p,
 
 
 def _relation_rows(spark, sf):
+    """Gold and predicted relation rows in one frame (one parse, one explode)."""
     p = _parsed(spark, sf)
-    gold = R.explode_triplets(p, KEYS, "gold").withColumn("head_type", F.lit("part")).withColumn(
-        "tail_type", F.lit("supplier"))
-    pred = R.explode_triplets(p, KEYS, "pred").withColumn("head_type", F.lit("part")).withColumn(
-        "tail_type", F.when(hash_bucket("l_orderkey", "grp", "idx") % 13 == 0, "customer").otherwise("supplier"))
-    return gold, pred
+    tag = lambda arr, g: F.transform(arr, lambda t, i: F.struct(
+        F.lit(g).alias("is_gold"), i.alias("idx"), t["head"].alias("head"), t["type"].alias("type"),
+        t["tail"].alias("tail")))
+    rows = p.select(*KEYS, F.inline(F.concat(tag(F.col("gold"), True), tag(F.col("pred"), False))))
+    pred_tail = F.when(hash_bucket("l_orderkey", "grp", "idx") % 13 == 0, "customer").otherwise("supplier")
+    return rows.withColumn("head_type", F.lit("part")).withColumn(
+        "tail_type", F.when(F.col("is_gold"), F.lit("supplier")).otherwise(pred_tail))
 
 
 def _set_query(mode):
     def run(spark, sf):
-        gold, pred = _relation_rows(spark, sf)
-        s = R.set_scores(gold, pred, KEYS, TYPES, mode=mode)
+        rows = _relation_rows(spark, sf)
+        ent = ["head", "tail"] if mode == "boundaries" else ["head", "head_type", "tail", "tail_type"]
+        s = R.set_scores_tagged(rows, "is_gold", KEYS + ["type"] + ent, TYPES)
         return s.select("rel_type", F.col("tp").cast("bigint").alias("tp"), F.col("fp").cast("bigint").alias("fp"),
                         F.col("fn").cast("bigint").alias("fn"), *[F.round(c, 6).alias(c) for c in ("p", "r", "f1")])
     return run

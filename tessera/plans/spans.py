@@ -114,9 +114,11 @@ def q_sequence_metrics(spark, sf):
     docs = D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tags")
     both = docs.select("doc_id", "tags", F.transform("tags", lambda t, i: D.pred_tag(t, F.col("doc_id"), i)).alias("ptags"))
     keys = ["doc_id", "start", "end", "type"]
-    gold = SP.bio_spans_arrays(both, tags="tags", tokens=None)
-    pred = SP.bio_spans_arrays(both, tags="ptags", tokens=None)
-    s = M.span_scores(gold, pred, keys)
+    # Gold and predicted tag arrays become two rows per document, decoded in one pass.
+    stacked = both.select("doc_id", F.inline(F.array(F.struct(F.lit(True).alias("is_gold"), F.col("tags").alias("t")),
+                                                     F.struct(F.lit(False).alias("is_gold"), F.col("ptags").alias("t")))))
+    spans = SP.bio_spans_arrays(stacked, tags="t", tokens=None, carry=["is_gold"])
+    s = M.span_scores_tagged(spans, "is_gold", keys)
     acc = SP.array_accuracy(both, "tags", "ptags")
     out = s.crossJoin(F.broadcast(acc))
     return out.select("entity", "n_gold", "n_pred", "n_correct",

@@ -106,25 +106,30 @@ def pack_blocks(df: DataFrame, key: str, toks: str, batch: Column, block: int =
 MASK = "[MASK]"
 
 
-def mask_tokens(toks, key, rate_per_mille: int = 150, seed: int = 11) -> Column:
+def _draw(key: Column, i: Column, k: int, seed: int) -> Column:
+    """Draw ``k`` (0, 1 or 2) of token ``i``: an 8-hex-digit slice of one md5."""
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), i.cast("string")))
+    return F.conv(F.substring(h, 8 * k + 1, 8), 16, 10).cast("bigint") % 1000
+
+
+def mask_tokens(df: DataFrame, key: str, toks: str, rate_per_mille: int = 150, seed: int = 11) -> DataFrame:
     """SF11: masked-LM inputs.  A token is chosen with probability 15 % (rule H
     on ``(key, pos)``); a chosen token becomes ``[MASK]`` 80 % of the time, a
-    token drawn from the same row 10 %, and stays 10 %.  Returns
-    ``array<struct<input, label>>`` with ``label`` NULL where not chosen."""
-    toks = _c(toks)
-    n = F.size(toks)
-
-    def draws(t, i):
-        # One md5 per token; its 8-hex-digit slices are the three draws.  They
-        # are fields of a struct so that the next lambda reads, not recomputes, them.
-        h = F.md5(F.concat_ws(":", F.lit(str(seed)), _c(key).cast("string"), i.cast("string")))
-        d = [F.conv(F.substring(h, 8 * k + 1, 8), 16, 10).cast("bigint") % 1000 for k in range(3)]
-        return F.struct(t.alias("t"), d[0].alias("c"), d[1].alias("r"), d[2].alias("o"))
-
-    def one(x):
-        chosen = x["c"] < rate_per_mille
-        r = x["r"] % 10
-        other = F.get(toks, (x["o"] % n).cast("int"))
-        inp = F.when(~chosen, x["t"]).when(r < 8, F.lit(MASK)).when(r == 8, other).otherwise(x["t"])
-        return F.struct(inp.alias("input"), F.when(chosen, x["t"]).alias("label"))
-    return F.transform(F.transform(toks, draws), one)
+    token drawn from the same row 10 %, and stays 10 %.  Adds ``masked`` (the
+    inputs) and ``labels`` (the original token where chosen, else NULL).
+
+    Two projections: the chosen flags (one hash per token), then the inputs,
+    which hash again only for chosen tokens; each lambda reads the previous
+    stage's materialised arrays instead of recomputing them."""
+    k = F.col(key)
+    d1 = df.withColumn("_chosen", F.transform(toks, lambda t, i: _draw(k, i, 0, seed) < rate_per_mille))
+    t = F.col(toks)
+    n = F.size(t)
+
+    def inp(c, i):
+        r = _draw(k, i, 1, seed) % 10
+        other = F.get(t, (_draw(k, i, 2, seed) % n).cast("int"))
+        return F.when(~c, F.get(t, i)).when(r < 8, F.lit(MASK)).when(r == 8, other).otherwise(F.get(t, i))
+    d2 = d1.withColumn("masked", F.transform("_chosen", inp)).withColumn(
+        "labels", F.zip_with(toks, "_chosen", lambda x, c: F.when(c, x)))
+    return d2.drop("_chosen")

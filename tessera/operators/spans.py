@@ -42,24 +42,25 @@ def _type(tag: Column) -> Column:
 
 
 def bio_spans(rows: DataFrame, key: str = "doc_id", pos: str = "pos", tag: str = "tag",
-              token: str | None = "token") -> DataFrame:
+              token: str | None = "token", carry=()) -> DataFrame:
     """WN6: BIO tags -> ``(key, start, end, type[, text])`` with ``end`` inclusive.
 
     A span starts at ``B-X``, or at ``I-X`` after ``O`` / another type / the
-    start (the usual CoNLL convention)."""
-    w = Window.partitionBy(key).orderBy(pos)
+    start (the usual CoNLL convention).  ``carry`` columns extend the sequence
+    key (e.g. gold vs predicted tags of the same document)."""
+    w = Window.partitionBy(key, *carry).orderBy(pos)
     t = F.col(tag)
     prev = F.lag(tag).over(w)
     starts = t.startswith("B-") | (t.startswith("I-") & (prev.isNull() | (prev == "O") | (_type(prev) != _type(t))))
-    cols = [key, pos, tag] + ([token] if token else [])
+    cols = [key, *carry, pos, tag] + ([token] if token else [])
     flagged = rows.select(*cols, F.when(t == "O", 0).otherwise(starts.cast("int")).alias("_s"))
     numbered = flagged.withColumn("_span", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     ents = numbered.where(F.col(tag) != "O")
     aggs = [F.min(pos).alias("start"), F.max(pos).alias("end"), F.min_by(_type(F.col(tag)), F.col(pos)).alias("type")]
     if token:
         aggs.append(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(token).alias("t")))).alias("_t"))
-    g = ents.groupBy(key, "_span").agg(*aggs)
-    out = [key, "start", "end", "type"]
+    g = ents.groupBy(key, *carry, "_span").agg(*aggs)
+    out = [key, *carry, "start", "end", "type"]
     if token:
         g = g.withColumn("text", F.array_join(F.transform("_t", lambda x: x["t"]), " "))
         out.append("text")

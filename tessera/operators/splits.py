@@ -110,6 +110,10 @@ def first_n_per_class(df: DataFrame, label: str, order: str, n: int) -> DataFram
 
 def first_n_distinct(df: DataFrame, value: str, order: str, n: int) -> DataFrame:
     """SP6 + AG13: distinct values by first occurrence, the first ``n`` of them,
-    with their copy counts."""
-    firsts = df.groupBy(value).agg(F.min(order).alias(order), F.count(F.lit(1)).alias("copies"))
-    return firsts.orderBy(order).limit(n)
+    with their copy counts.  Values are grouped by a SHA-256 digest (plus
+    length), so the shuffle carries the digest; the value itself rides along
+    once per group via ``min_by``."""
+    digest = F.struct(F.sha2(F.col(value), 256).alias("h"), F.length(value).alias("n"))
+    firsts = df.groupBy(digest.alias("_d")).agg(
+        F.min(order).alias(order), F.count(F.lit(1)).alias("copies"), F.min_by(value, order).alias(value))
+    return firsts.drop("_d").orderBy(order).limit(n)

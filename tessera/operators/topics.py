@@ -27,15 +27,28 @@ STOP_LANGUAGES = ("en", "ru")
 MAX_STOP_ROWS = 1_000_000
 
 
+# A run of equal space-separated tokens (whole tokens only), for TX6 on strings.
+REPEAT_RUN = "(?<![^ ])([^ ]+)(?: \\1(?![^ ]))+"
+
+
 def clean_text(text) -> Column:
     """TX5 + TX6: collapse whitespace, drop numbers and punctuation, tokenise,
     collapse repeated tokens (last token lost, as in the reference), drop image
-    names, strip.  Returns the cleaned string."""
+    names, strip.  Returns the cleaned string.
+
+    TX6 runs on the space-joined string: each run of equal tokens becomes one
+    token (back-reference regex), then the final token is dropped; this equals
+    ``collapse_repeats`` on the token array and stays in generated code.  The
+    image-name regex only runs on texts that contain ``jpeg``/``jpg``/``png``
+    (it cannot match otherwise)."""
     t = F.regexp_replace(_c(text), WS, " ")
     t = F.regexp_replace(t, NUMBER_PATTERN, "")
     t = F.translate(t, TOPIC_PUNCTUATION, "")
-    toks = collapse_repeats(tokens(t, lower=False))
-    t = F.regexp_replace(F.array_join(toks, " "), IMAGE_PATTERN, "")
+    t = F.trim(F.regexp_replace(t, WS, " "))
+    t = F.regexp_replace(F.regexp_replace(t, REPEAT_RUN, "$1"), " ?[^ ]+$", "")
+    low = F.lower(t)
+    has_image = low.contains("jpeg") | low.contains("jpg") | low.contains("png")
+    t = F.when(has_image, F.regexp_replace(t, IMAGE_PATTERN, "")).otherwise(t)
     return F.trim(t)
 
 
@@ -93,12 +106,14 @@ def vw_lines(toks: DataFrame, key: str = "doc_id", arr: str = "topic_tokens", wh
     def tag(kind):
         return lambda t, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), t.alias("tok"))
 
+    # The exchange moves the compact token arrays; the tagged items are built
+    # after it, inside the partition that already holds the document.
+    base = toks.select(key, arr).repartition(key)
     tagged = [F.transform(F.col(arr), tag(0))]
     for k, n in enumerate(which_n_grams, start=1):
         tagged.append(F.transform(ngrams(F.col(arr), n), tag(k)))
     marker = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("tok")))
-    base = toks.select(key, F.concat(marker, *tagged).alias("_items")).repartition(key)
-    items = base.select(key, F.inline("_items"))
+    items = base.select(key, F.inline(F.concat(marker, *tagged)))
     counts = (items.groupBy(key, "kind", "tok").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
               .where((F.col("kind") <= 0) | (F.col("n") >= min_count)))
     entries = F.filter(F.array_sort(F.collect_list(F.struct("kind", "first", "tok", "n"))), lambda e: e["kind"] >= 0)

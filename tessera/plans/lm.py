@@ -107,9 +107,9 @@ m AS (SELECT doc_id, list_transform(t, lambda x, i: CASE WHEN {_h(0, 'i - 1')} >
 SELECT doc_id, len(ch)::INTEGER AS n_masked, array_to_string(inp, ' ') AS masked_text FROM m""")
 def q_masked_tokens(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", T.tokens("text").alias("t"))
-    m = d.select("doc_id", lm.mask_tokens(F.col("t"), F.col("doc_id")).alias("m"))
-    return m.select("doc_id", F.size(F.filter("m", lambda x: x["label"].isNotNull())).alias("n_masked"),
-                    F.array_join(F.transform("m", lambda x: x["input"]), " ").alias("masked_text"))
+    m = lm.mask_tokens(d, "doc_id", "t")
+    return m.select("doc_id", F.size(F.filter("labels", lambda x: x.isNotNull())).alias("n_masked"),
+                    F.array_join("masked", " ").alias("masked_text"))
 
 
 _IDS = f"list_transform({toks('text')}[1:64], lambda x: length(x)::INTEGER)"

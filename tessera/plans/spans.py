@@ -25,10 +25,10 @@ g AS (SELECT doc_id, min(pos) AS start, string_agg(token, ' ' ORDER BY pos) AS t
 SELECT doc_id, start, text, regexp_replace(text, '\\s+', '', 'g') AS compact,
        len(string_split_regex(text, '\\s+'))::INTEGER AS n_tokens FROM g WHERE text <> ''""")
 def q_positive_runs(spark, sf):
-    docs = D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tokens")
-    vals = docs.select("doc_id", "tokens",
-                       F.transform("tokens", lambda t, i: D.values(F.col("doc_id"), i)).alias("values"))
-    return SP.positive_runs_arrays(vals)
+    # Row form: the per-token hash runs in a code-generated projection (inside
+    # an array lambda it would be interpreted); one exchange by document.
+    rows = _rows(spark, sf).withColumn("value", D.values(F.col("doc_id"), F.col("pos")))
+    return SP.positive_runs(rows)
 
 
 @query("bio_spans", sql=f"""WITH {D.TAGS_SQL.strip()},{D.spans_sql('tags', 'sp').rstrip()}
@@ -111,15 +111,17 @@ SELECT entity, n_gold, n_pred, n_correct, round(pr, 6) AS precision, round(rc, 6
        round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END, 6) AS f1, round(accuracy, 6) AS accuracy
 FROM m, acc""")
 def q_sequence_metrics(spark, sf):
-    docs = D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tags")
-    both = docs.select("doc_id", "tags", F.transform("tags", lambda t, i: D.pred_tag(t, F.col("doc_id"), i)).alias("ptags"))
+    rows = _rows(spark, sf).select("doc_id", "pos", "tag")
+    both = rows.withColumn("ptag", D.pred_tag(F.col("tag"), F.col("doc_id"), F.col("pos")))
     keys = ["doc_id", "start", "end", "type"]
-    # Gold and predicted tag arrays become two rows per document, decoded in one pass.
-    stacked = both.select("doc_id", F.inline(F.array(F.struct(F.lit(True).alias("is_gold"), F.col("tags").alias("t")),
-                                                     F.struct(F.lit(False).alias("is_gold"), F.col("ptags").alias("t")))))
-    spans = SP.bio_spans_arrays(stacked, tags="t", tokens=None, carry=["is_gold"])
+    # Gold and predicted tags of a token sit in one row: accuracy needs no join,
+    # and stacking them gives one span-decoding pass keyed by (doc, is_gold).
+    stacked = both.select("doc_id", "pos", F.inline(F.array(
+        F.struct(F.lit(True).alias("is_gold"), F.col("tag").alias("t")),
+        F.struct(F.lit(False).alias("is_gold"), F.col("ptag").alias("t")))))
+    spans = SP.bio_spans(stacked, tag="t", token=None, carry=["is_gold"])
     s = M.span_scores_tagged(spans, "is_gold", keys)
-    acc = SP.array_accuracy(both, "tags", "ptags")
+    acc = both.agg(F.avg((F.col("tag") == F.col("ptag")).cast("double")).alias("accuracy"))
     out = s.crossJoin(F.broadcast(acc))
     return out.select("entity", "n_gold", "n_pred", "n_correct",
                       *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "accuracy")])

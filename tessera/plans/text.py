@@ -184,3 +184,46 @@ def q_form_class(spark, sf):
         "doc_id", T.form_class(F.get("t", 0), F.get("t", 2)).alias("form_class"))
 
 
+
+
+def _qsql() -> str:
+    from tessera.operators import quantity as Q
+    L = lambda xs: "[" + ", ".join(lit(x) for x in xs) + "]"
+    dc = lambda e: f"regexp_replace(regexp_replace({e}, {lit(Q.COMMA_BETWEEN)}, '\\1\\2', 'g'), {lit(Q.COMMA_BETWEEN)}, '\\1\\2', 'g')"
+    th = L(Q.THOUSANDS)
+    pre = lambda e, p, k: f"(CASE WHEN starts_with({e}, {lit(p)}) AND length({e}) > {len(p) + k} THEN replace({e}, {lit(p)}, '') ELSE {e} END)"
+    tok = pre(pre(pre("x", "ед.", 1), "eд.", 1), "единиц", 3)
+    isnum = (f"(regexp_full_match(x, '\\p{{Nd}}+') OR list_contains({L(Q.NUMBERS)}, x) OR list_contains({L(Q.ORDINALS)}, x) "
+             f"OR x = {lit(Q.FEW)})")
+    dash = lambda e: f"(CASE WHEN ends_with({e}, '-') THEN trim(substr({e}, 1, length({e}) - 1)) ELSE {e} END)"
+    return f"""
+WITH l AS (SELECT doc_id, (generate_subscripts(ls, 1) - 1)::INTEGER AS line_no, unnest(ls) AS line
+           FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+t AS (SELECT doc_id, line_no, {toks('line', lower=False)} AS tk FROM l),
+r AS (SELECT doc_id, line_no, array_to_string(list_transform(tk, lambda x, i: CASE
+        WHEN list_contains({th}, x) AND i > 1 AND regexp_matches(tk[i - 1], {lit(Q.DIGIT_COMMA)}) THEN '00'
+        WHEN list_contains({th}, x) THEN '000'
+        WHEN regexp_matches(x, {lit(Q.DIGIT_COMMA)}) AND i < len(tk) AND list_contains({th}, tk[i + 1]) THEN {dc('x')}
+        ELSE x END), ' ') AS j FROM t),
+s AS (SELECT doc_id, line_no, {dc("regexp_replace(j, '(\\p{Nd}) +(\\p{Nd})', '\\1\\2', 'g')")} AS j2 FROM r),
+u AS (SELECT doc_id, line_no, list_transform({toks('j2', lower=False)}, lambda x: translate({tok}, {lit(Q.EXCL_SYMS)}, '')) AS t FROM s),
+v AS (SELECT *, coalesce(list_position(list_transform(t, lambda x: {isnum}), true), 0) AS ind, len(t) AS n,
+             list_filter(t, lambda x: NOT list_contains({L(Q.EXCL_TOKS)}, x)) AS a,
+             list_filter(t, lambda x: NOT list_contains({L(Q.UNIT_WORDS)}, x)) AS b FROM u),
+w AS (SELECT *, coalesce(list_contains({L(Q.EXCL_TOKS)}, t[-1]), false) AS last_unit,
+             coalesce(regexp_full_match(t[n], '\\p{{Nd}}+'), false)
+             OR coalesce(regexp_full_match(CASE WHEN n >= 2 THEN t[n - 1] END, '\\p{{Nd}}+'), false) AS last_two FROM v)
+SELECT doc_id, line_no,
+       CASE WHEN ind = 0 THEN '1' WHEN last_unit THEN lower(t[ind])
+            WHEN NOT last_two OR n <= 4 THEN lower(array_to_string(t[1:ind], ' ')) ELSE '1' END AS number,
+       CASE WHEN ind = 0 THEN array_to_string(t, ' ') WHEN last_unit THEN {dash("array_to_string(a[1:len(a) - 1], ' ')")}
+            WHEN NOT last_two OR n <= 4 THEN {dash("array_to_string(b[ind + 1:len(b)], ' ')")}
+            ELSE array_to_string(t, ' ') END AS rest
+FROM w"""
+
+
+@query("quantity_extract", sql=_qsql())
+def q_quantity_extract(spark, sf):
+    from tessera.operators.quantity import extract_quantity
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return extract_quantity(lines, "line").select("doc_id", "line_no", "number", "rest")

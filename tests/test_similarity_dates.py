@@ -51,3 +51,14 @@ def test_bleu_rouge_jaccard_against_python(spark):
     assert abs(r["r"] - 2 * p * rc / (p + rc)) < 1e-12
     j = spark.createDataFrame([(cand, ref)], "a array<string>, b array<string>").select(SM.jaccard("a", "b")).first()[0]
     assert abs(j - len(set(cand) & set(ref)) / len(set(cand) | set(ref))) < 1e-12
+
+
+def test_quantity_extract_branches(spark):
+    from tessera.operators.quantity import extract_quantity
+    df = spark.createDataFrame([(1, "2,5 тыс рублей"), (2, "три кошки шт"), (3, "красный шар"),
+                                (4, "1 234 коробки -")], "id int, line string")
+    got = {r["id"]: (r["number"], r["rest"]) for r in extract_quantity(df, "line").collect()}
+    assert got[1] == ("2500", "рублей")
+    assert got[2] == ("три", "три")
+    assert got[3] == ("1", "красный шар")
+    assert got[4] == ("1234", "коробки")

@@ -94,7 +94,9 @@ def dependency_phrase(edges: DataFrame, key_word: str, sent: str = "sent_id", i:
     ``(sent, head)``; the join count is fixed, not data-dependent."""
     e = edges.select(sent, i, text, dep, head)
     keys = e.where(F.col(text).contains(key_word)).select(sent, F.col(i).alias("key_i"), F.col(i).alias("node"))
-    children = e.select(sent, F.col(head).alias("_parent"), F.col(i).alias("_child"), F.col(dep).alias("_dep"))
+    # The edge table has one row per token: never a broadcast candidate.
+    children = e.select(sent, F.col(head).alias("_parent"), F.col(i).alias("_child"),
+                        F.col(dep).alias("_dep")).hint("merge")
     gen = (keys.join(children, (keys[sent] == children[sent]) & (keys["node"] == children["_parent"]))
            .where(F.col("_dep") == "nmod").select(keys[sent], "key_i", F.col("_child").alias("node")))
     members = keys.unionByName(gen)
@@ -102,7 +104,7 @@ def dependency_phrase(edges: DataFrame, key_word: str, sent: str = "sent_id", i:
         gen = (gen.join(children, (gen[sent] == children[sent]) & (gen["node"] == children["_parent"]))
                .select(gen[sent], "key_i", F.col("_child").alias("node")))
         members = members.unionByName(gen)
-    words = e.select(sent, F.col(i).alias("node"), text)
+    words = e.select(sent, F.col(i).alias("node"), text).hint("merge")
     members = members.select(sent, "node").distinct()
     m = members.join(words, [sent, "node"])
     g = m.groupBy(sent).agg(F.array_sort(F.collect_list(F.struct("node", text))).alias("_w"))

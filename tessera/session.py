@@ -17,9 +17,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Broadcast only what the planner can prove small; explicit broadcast()
-    # hints in this package are placed on sides with a fixed size bound.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # No broadcast from static estimates: they come from compressed file sizes
+    # and under-count exploded token tables by orders of magnitude.  AQE still
+    # broadcasts a join side whose *measured* shuffle output is small, and the
+    # explicit broadcast() hints in this package sit on sides with a fixed bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 

@@ -18,11 +18,18 @@ from tessera.functions.text import _c
 
 
 def shingle_pairs(left: DataFrame, lkey: str, ltoks: str, right: DataFrame, rkey: str, rtoks: str,
-                  n: int = 8) -> DataFrame:
-    """Distinct ``(lkey, rkey)`` sharing at least one ``n``-token shingle."""
+                  n: int = 8, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+    """Distinct ``(lkey, rkey)`` sharing at least one ``n``-token shingle.
+
+    The left side is the small reference set (e.g. benchmark items): its
+    shingles are counted first and broadcast when within ``broadcast_max_rows``,
+    so the large side is only scanned; otherwise both sides shuffle on the
+    shingle (AQE splits hot shingles)."""
+    from tessera.session import broadcast_if_small
+
     ls = left.select(lkey, F.explode(F.array_distinct(ngrams(F.col(ltoks), n, sep=" "))).alias("_sh"))
     rs = right.select(rkey, F.explode(F.array_distinct(ngrams(F.col(rtoks), n, sep=" "))).alias("_sh"))
-    return ls.join(rs, "_sh").select(lkey, rkey).distinct()
+    return rs.join(broadcast_if_small(ls, broadcast_max_rows), "_sh").select(lkey, rkey).distinct()
 
 
 def jaccard(a, b) -> Column:
@@ -64,11 +71,26 @@ def rouge1(overlap, sys_len, ref_len) -> Column:
     return F.when(p + r != 0, 2 * (p * r / (p + r))).otherwise(F.lit(0.0))
 
 
-def brevity_penalty(ref_len, cand_len) -> Column:
+def brevity_penalty(ref_len, cand_len, standard: bool = False) -> Column:
     """SF3 as the reference computes it: 1 when the reference is longer, else
-    ``exp(1 - ref/cand)`` (>= 1)."""
-    return F.when(_c(ref_len) > _c(cand_len), F.lit(1.0)).otherwise(
-        F.exp(F.lit(1.0) - F.try_divide(_c(ref_len).cast("double"), _c(cand_len))))
+    ``exp(1 - ref/cand)`` (>= 1).  ``standard=True``: 1 when the candidate is
+    longer, else ``exp(1 - ref/cand)`` (<= 1)."""
+    r, c = _c(ref_len), _c(cand_len)
+    penal = F.exp(F.lit(1.0) - F.try_divide(r.cast("double"), c))
+    if standard:
+        return F.when(c > r, F.lit(1.0)).otherwise(penal)
+    return F.when(r > c, F.lit(1.0)).otherwise(penal)
+
+
+def bleu(clipped: dict, ref_len, cand_len, standard: bool = False) -> Column:
+    """SF5: ``BP * geometric precision`` over n = 1..4.  ``clipped[n]`` is the
+    clipped n-gram count (symmetric in reference and candidate).  As the
+    reference computes it, level n divides by the *reference* n-gram count;
+    ``standard=True`` divides by the candidate's and uses the standard penalty."""
+    denom = _c(cand_len) if standard else _c(ref_len)
+    ps = [F.try_divide(_c(clipped[n]).cast("double"), F.greatest(denom - (n - 1), F.lit(0)))
+          for n in (1, 2, 3, 4)]
+    return brevity_penalty(ref_len, cand_len, standard) * geometric_precision(*ps)
 
 
 def geometric_precision(p1, p2, p3, p4) -> Column:

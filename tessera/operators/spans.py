@@ -144,3 +144,11 @@ def positive_runs_arrays(df: DataFrame, key: str = "doc_id", tokens: str = "toke
     s = bio_spans_arrays(tagged, key, "_tags", tokens).where(F.col("text") != "")
     return s.select(key, "start", "text", F.regexp_replace("text", "(?U)\\s+", "").alias("compact"),
                     F.size(F.filter(F.split("text", "(?U)\\s+"), lambda x: x != "")).alias("n_tokens"))
+
+
+def count_listed_spans(df: DataFrame, col: str) -> DataFrame:
+    """AG12: spans stored as a list literal in a string (``"['a', 'b']"``) ->
+    ``(span, n)``; the JSON reader accepts single quotes."""
+    spans = F.from_json(F.col(col), "array<string>", {"allowSingleQuotes": "true"})
+    return (df.select(F.explode(spans).alias("span")).groupBy("span")
+            .agg(F.count(F.lit(1)).alias("n")))

@@ -147,3 +147,21 @@ def vw_dataset(docs: DataFrame, stop: DataFrame, which_n_grams=(2,), min_count:
     cleaned = docs.select(key, lang, clean_text(text).alias("clean"))
     with_toks = remove_stop_words(cleaned, stop, text="clean", lang=lang, check_size=check_size)
     return vw_lines(with_toks.select(key, "topic_tokens"), key, "topic_tokens", which_n_grams, min_count)
+
+
+def apply_lemmas(df: DataFrame, key: str, toks: str, lemmas: DataFrame, out: str | None = None) -> DataFrame:
+    """TX7 lemma step: replace each token by its lemma from a ``(form, lemma)``
+    table (``coalesce(lemma, token)``), keeping token order.
+
+    A lemma dictionary can hold millions of forms, so it is joined, not
+    broadcast: tokens are exploded with their position, left-joined on the form
+    (AQE splits hot forms), and regrouped per key."""
+    out = out or toks
+    lem = lemmas.select(F.col("form").alias("_form"), F.col("lemma").alias("_lemma"))
+    rows = df.select(key, F.posexplode(toks).alias("_pos", "_tok"))
+    j = rows.join(lem, rows["_tok"] == lem["_form"], "left")
+    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("_lemma", "_tok").alias("_t"))))
+                           .alias("_l"))
+    mapped = g.select(key, F.transform("_l", lambda x: x["_t"]).alias(out))
+    return df.drop(out).join(mapped, key, "left").withColumn(
+        out, F.coalesce(F.col(out), F.array().cast("array<string>")))

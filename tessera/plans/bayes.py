@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import bayes
 from tessera.plans.registry import query
 from tessera.plans.sqlparts import bucket, lit, toks
+from tessera.session import broadcast_if_small
 from tessera.sources.tables import table
 
 _STOP = "[" + ", ".join(lit(w) for w in bayes.ENGLISH_STOP_WORDS) + "]"
@@ -34,7 +35,8 @@ sc AS (SELECT t.doc_id, coalesce(sum(m.loglik), 0) + (SELECT logprior FROM pri)
 
 def _prepared(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    labels = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    # Labels are broadcast after a size check; beyond it the join shuffles.
+    labels = broadcast_if_small(table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label")))
     lab = bayes.split_test(docs.join(labels, "doc_id"))
     return lab.select("doc_id", "label", "is_test", bayes.classifier_tokens("text").alias("words"))
 

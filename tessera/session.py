@@ -17,11 +17,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # No broadcast from static estimates: they come from compressed file sizes
-    # and under-count exploded token tables by orders of magnitude.  AQE still
-    # broadcasts a join side whose *measured* shuffle output is small, and the
-    # explicit broadcast() hints in this package sit on sides with a fixed bound.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Static estimates come from compressed file sizes and under-count exploded
+    # token tables, so the static threshold stays at Spark's 10 MB default (at
+    # scale estimates only grow) and token-sized joins carry merge hints.  AQE
+    # broadcasts a join side whose *measured* shuffle output is small; the
+    # explicit broadcast() hints sit on sides with a fixed or checked bound.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
@@ -63,3 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def broadcast_if_small(df, max_rows: int = 2_000_000):
+    """Broadcast ``df`` only after checking its size (one count job); above
+    ``max_rows`` it stays a normal join side and the join shuffles.  Use on
+    sides that are small in practice but not bounded by construction."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df

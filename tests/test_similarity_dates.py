@@ -62,3 +62,30 @@ def test_quantity_extract_branches(spark):
     assert got[2] == ("три", "три")
     assert got[3] == ("1", "красный шар")
     assert got[4] == ("1234", "коробки")
+
+
+def test_bleu_standard_flag(spark):
+    ref = "the cat sat on the mat".split()
+    cand = "the cat sat on the mat today".split()
+    def clip(n):
+        r = Counter(tuple(ref[i:i + n]) for i in range(len(ref) - n + 1))
+        c = Counter(tuple(cand[i:i + n]) for i in range(len(cand) - n + 1))
+        return sum((r & c).values())
+    row = [float(clip(n)) for n in (1, 2, 3, 4)] + [len(ref), len(cand)]
+    df = spark.createDataFrame([row], "c1 double, c2 double, c3 double, c4 double, rl int, cl int")
+    cl = {n: f"c{n}" for n in (1, 2, 3, 4)}
+    r = df.select(SM.bleu(cl, "rl", "cl").alias("q"), SM.bleu(cl, "rl", "cl", standard=True).alias("s")).first()
+    assert abs(r["q"] - _bleu_ref(ref, cand)) < 1e-12
+    ps = [clip(n) / (len(cand) - n + 1) for n in (1, 2, 3, 4)]
+    assert abs(r["s"] - math.exp(sum(0.25 * math.log(p) for p in ps))) < 1e-12
+
+
+def test_lemmas_and_listed_spans(spark):
+    from tessera.operators.spans import count_listed_spans
+    from tessera.operators.topics import apply_lemmas
+    df = spark.createDataFrame([(1, ["cats", "ran", "cats"]), (2, [])], "id int, t array<string>")
+    lem = spark.createDataFrame([("cats", "cat"), ("ran", "run")], "form string, lemma string")
+    got = {r["id"]: r["t"] for r in apply_lemmas(df, "id", "t", lem).collect()}
+    assert got == {1: ["cat", "run", "cat"], 2: []}
+    spans = spark.createDataFrame([("['bad word', 'x']",), ('["x"]',)], "s string")
+    assert dict(count_listed_spans(spans, "s").collect()) == {"bad word": 1, "x": 2}

@@ -88,7 +88,7 @@ def table_rows_text(df: DataFrame, group: str, order: str, cols: Sequence[str],
     zero cells dropped, cut to ``n_tokens``.  Per group, a group limit keeps
     ``max_rows`` rows before anything is collected."""
     types = dict((f.name, f.dataType) for f in df.schema.fields)
-    header = " ".join(T_norm(c) for c in cols if "nnam" not in c)
+    header = " ".join(_norm_header(c) for c in cols if "nnam" not in c)
     cells = []
     for c in cols:
         if isinstance(types[c], NumericType):
@@ -103,7 +103,7 @@ def table_rows_text(df: DataFrame, group: str, order: str, cols: Sequence[str],
     return g.select(group, T.first_n_tokens(F.concat_ws(" ", F.lit(header), body), n_tokens).alias("text"))
 
 
-def T_norm(s: str) -> str:
+def _norm_header(s: str) -> str:
     return " ".join(s.split())
 
 

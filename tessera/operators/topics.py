@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.sequences import ngrams
-from tessera.functions.text import WS, _c, collapse_repeats, tokens
+from tessera.functions.text import WS, _c, tokens
 
 # The punctuation set deleted by the topic-model cleaner, in the
 # reference's order (it repeats a few characters; deletion is unaffected).

@@ -35,3 +35,30 @@ def test_scans_are_pruned(spark):
 def test_group_limits_are_planned(spark):
     plan = _plan(E.queries()["table_rows_text"](spark, SMALL))
     assert "WindowGroupLimit" in plan
+
+
+def test_relation_invariants(spark):
+    """TP + FN = distinct gold relations; TP + FP = distinct predicted ones."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators import relations as R
+    from tessera.plans.relations import KEYS, TYPES, _relation_rows
+
+    rows = _relation_rows(spark, SMALL)
+    keys = KEYS + ["type", "head", "tail"]
+    s = {r["rel_type"]: r for r in R.set_scores_tagged(rows, "is_gold", keys, TYPES).collect()}
+    n_gold = rows.where(F.col("is_gold") & F.col("type").isin(*TYPES)).select(*keys).distinct().count()
+    n_pred = rows.where(~F.col("is_gold") & F.col("type").isin(*TYPES)).select(*keys).distinct().count()
+    assert s["ALL"]["tp"] + s["ALL"]["fn"] == n_gold
+    assert s["ALL"]["tp"] + s["ALL"]["fp"] == n_pred
+
+
+def test_broadcast_if_small_falls_back(spark):
+    from tessera.session import broadcast_if_small
+
+    small = spark.range(10)
+    big = spark.range(100)
+    j1 = spark.range(1000).join(broadcast_if_small(small, 50), "id")
+    j2 = spark.range(1000).join(broadcast_if_small(big, 50).hint("merge"), "id")
+    assert "BroadcastHashJoin" in _plan(j1)
+    assert "BroadcastHashJoin" not in _plan(j2)

@@ -31,6 +31,22 @@ MAX_STOP_ROWS = 1_000_000
 REPEAT_RUN = "(?<![^ ])([^ ]+)(?: \\1(?![^ ]))+"
 
 
+def _collapse_stage(text) -> Column:
+    """Numbers, punctuation, whitespace, TX6 repeat collapse (string form)."""
+    t = F.regexp_replace(_c(text), WS, " ")
+    t = F.regexp_replace(t, NUMBER_PATTERN, "")
+    t = F.translate(t, TOPIC_PUNCTUATION, "")
+    t = F.trim(F.regexp_replace(t, WS, " "))
+    return F.regexp_replace(F.regexp_replace(t, REPEAT_RUN, "$1"), " ?[^ ]+$", "")
+
+
+def _image_stage(t: Column) -> Column:
+    """Image names removed, only from texts that can contain one; strip."""
+    low = F.lower(t)
+    has_image = low.contains("jpeg") | low.contains("jpg") | low.contains("png")
+    return F.trim(F.when(has_image, F.regexp_replace(t, IMAGE_PATTERN, "")).otherwise(t))
+
+
 def clean_text(text) -> Column:
     """TX5 + TX6: collapse whitespace, drop numbers and punctuation, tokenise,
     collapse repeated tokens (last token lost, as in the reference), drop image
@@ -40,16 +56,16 @@ def clean_text(text) -> Column:
     token (back-reference regex), then the final token is dropped; this equals
     ``collapse_repeats`` on the token array and stays in generated code.  The
     image-name regex only runs on texts that contain ``jpeg``/``jpg``/``png``
-    (it cannot match otherwise)."""
-    t = F.regexp_replace(_c(text), WS, " ")
-    t = F.regexp_replace(t, NUMBER_PATTERN, "")
-    t = F.translate(t, TOPIC_PUNCTUATION, "")
-    t = F.trim(F.regexp_replace(t, WS, " "))
-    t = F.regexp_replace(F.regexp_replace(t, REPEAT_RUN, "$1"), " ?[^ ]+$", "")
-    low = F.lower(t)
-    has_image = low.contains("jpeg") | low.contains("jpg") | low.contains("png")
-    t = F.when(has_image, F.regexp_replace(t, IMAGE_PATTERN, "")).otherwise(t)
-    return F.trim(t)
+    (it cannot match otherwise).  On DataFrames prefer ``clean_texts``, which
+    materialises the first stage so that the guard does not re-run it."""
+    return _image_stage(_collapse_stage(text))
+
+
+def clean_texts(df: DataFrame, text: str = "text", out: str = "clean") -> DataFrame:
+    """``clean_text`` in two projections: the guard of the second stage reads a
+    materialised column instead of re-evaluating the regex chain."""
+    staged = df.withColumn("_stage1", _collapse_stage(text))
+    return staged.withColumn(out, _image_stage(F.col("_stage1"))).drop("_stage1")
 
 
 def corpus_stop_words(docs: DataFrame, k: int = 50, text: str = "text",
@@ -144,7 +160,7 @@ def vw_dataset(docs: DataFrame, stop: DataFrame, which_n_grams=(2,), min_count:
                key: str = "doc_id", text: str = "text", lang: str = "lang",
                check_size: bool = True) -> DataFrame:
     """Full topic-model line per document: clean -> stop words -> counts -> line."""
-    cleaned = docs.select(key, lang, clean_text(text).alias("clean"))
+    cleaned = clean_texts(docs.select(key, lang, text), text, "clean").select(key, lang, "clean")
     with_toks = remove_stop_words(cleaned, stop, text="clean", lang=lang, check_size=check_size)
     return vw_lines(with_toks.select(key, "topic_tokens"), key, "topic_tokens", which_n_grams, min_count)
 

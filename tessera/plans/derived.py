@@ -81,3 +81,10 @@ def spans_sql(src: str, name: str) -> str:
 {name} AS (SELECT doc_id, min(pos) AS start, max(pos) AS "end", arg_min(substr(tag, 3), pos) AS type,
                   string_agg(token, ' ' ORDER BY pos) AS text
            FROM {name}_n WHERE tag <> 'O' GROUP BY doc_id, span)"""
+
+
+def token_rows(docs: DataFrame) -> DataFrame:
+    """``(doc_id, pos, token)`` without tags, for queries that need no tags (the
+    tag expression sits inside the generator input of ``tag_rows``, where column
+    pruning cannot remove it)."""
+    return docs.select("doc_id", F.posexplode(tokens("text", lower=False)).alias("pos", "token"))

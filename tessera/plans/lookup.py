@@ -84,7 +84,7 @@ def q_correction_report(spark, sf):
 def _edges(spark, sf):
     """A derived dependency edge table: each token's head is the previous token;
     the first token is ``ROOT``; a rule-H third of the rest are ``nmod``."""
-    rows = D.tag_rows(table(spark, sf, "documents"))
+    rows = D.token_rows(table(spark, sf, "documents"))
     dep = (F.when(F.col("pos") == 0, F.lit("ROOT"))
            .when(hash_bucket("doc_id", "pos") % 3 == 0, F.lit("nmod")).otherwise(F.lit("amod")))
     return rows.select(F.col("doc_id").alias("sent_id"), F.col("pos").alias("i"), F.col("token").alias("text"),

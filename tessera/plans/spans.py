@@ -27,7 +27,7 @@ SELECT doc_id, start, text, regexp_replace(text, '\\s+', '', 'g') AS compact,
 def q_positive_runs(spark, sf):
     # Row form: the per-token hash runs in a code-generated projection (inside
     # an array lambda it would be interpreted); one exchange by document.
-    rows = _rows(spark, sf).withColumn("value", D.values(F.col("doc_id"), F.col("pos")))
+    rows = D.token_rows(table(spark, sf, "documents")).withColumn("value", D.values(F.col("doc_id"), F.col("pos")))
     return SP.positive_runs(rows)
 
 

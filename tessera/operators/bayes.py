@@ -78,7 +78,9 @@ def predict(docs: DataFrame, model: DataFrame, prior: DataFrame, key: str = "doc
             toks: str = "words") -> DataFrame:
     """AG3 + JN1: ``score = logprior + sum(loglik)`` over the words found in the
     model (each occurrence counts, unknown words add nothing); ``pred = score > 0``."""
-    per_doc = (docs.select(key, F.explode_outer(toks).alias("word"))
+    # One exchange of the word arrays by document; the per-(doc, word) count
+    # then runs locally before the join on word.
+    per_doc = (docs.select(key, toks).repartition(key).select(key, F.explode_outer(toks).alias("word"))
                .groupBy(key, "word").agg(F.count("word").alias("c")))
     joined = per_doc.join(model.select("word", "loglik"), "word", "left")
     sums = joined.groupBy(key).agg(F.sum(F.col("c") * F.coalesce(F.col("loglik"), F.lit(0.0))).alias("s"))

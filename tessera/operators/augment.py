@@ -54,7 +54,7 @@ def lexicon_round_trip(rows: DataFrame, key: str, pos: str, token: str, forward:
     # joined once instead of twice.
     f = forward.select(F.col("word").alias("_w"), F.col("pivot").alias("_p"))
     b = backward.select(F.col("pivot").alias("_p"), F.col("word").alias("_bw"))
-    mapping = f.join(b, "_p").select("_w", "_bw")
+    mapping = f.join(b, "_p").select("_w", "_bw").hint("merge")  # vocabulary-sized
     j = rows.join(mapping, rows[token] == mapping["_w"], "left")
     out = j.select(key, pos, F.coalesce("_bw", token).alias("_t"))
     g = out.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(pos, "_t"))).alias("_l"))

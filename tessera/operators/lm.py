@@ -37,9 +37,12 @@ def bigram_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> D
     tr = bigram_rows(train, key, toks)
     vocab = train.select(F.explode(toks).alias("w")).distinct().agg(F.count(F.lit(1)).alias("_V"))
     bi = tr.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("_c12"))
-    ctx = tr.groupBy("w1").agg(F.count(F.lit(1)).alias("_c1"))
+    # c(w1, *) is the sum of c(w1, w2): aggregate the aggregate, not the rows again.
+    ctx = bi.groupBy("w1").agg(F.sum("_c12").alias("_c1"))
     te = bigram_rows(test, key, toks)
-    j = te.join(bi, ["w1", "w2"], "left").join(ctx, "w1", "left").crossJoin(F.broadcast(vocab))
+    # Count tables are vocabulary-sized: shuffle joins, never a static broadcast.
+    j = te.join(bi.hint("merge"), ["w1", "w2"], "left").join(ctx.hint("merge"), "w1", "left").crossJoin(
+        F.broadcast(vocab))
     p = (F.coalesce(F.col("_c12"), F.lit(0)) + 1) / (F.coalesce(F.col("_c1"), F.lit(0)) + F.col("_V"))
     return j.select(key, "pos", F.ln(p).alias("logp"))
 
@@ -50,9 +53,10 @@ def pseudo_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> D
     tr = trigram_rows(train, key, toks)
     vocab = train.select(F.explode(toks).alias("w")).distinct().agg(F.count(F.lit(1)).alias("_V"))
     tri = tr.groupBy("l", "w", "r").agg(F.count(F.lit(1)).alias("_cw"))
-    ctx = tr.groupBy("l", "r").agg(F.count(F.lit(1)).alias("_cc"))
+    ctx = tri.groupBy("l", "r").agg(F.sum("_cw").alias("_cc"))
     te = trigram_rows(test, key, toks)
-    j = te.join(tri, ["l", "w", "r"], "left").join(ctx, ["l", "r"], "left").crossJoin(F.broadcast(vocab))
+    j = te.join(tri.hint("merge"), ["l", "w", "r"], "left").join(ctx.hint("merge"), ["l", "r"], "left").crossJoin(
+        F.broadcast(vocab))
     p = (F.coalesce(F.col("_cw"), F.lit(0)) + 1) / (F.coalesce(F.col("_cc"), F.lit(0)) + F.col("_V"))
     return j.select(key, "pos", F.ln(p).alias("logp"))
 

@@ -5,18 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import host_rules, sql
+from tessera.llm import bpe, host_rules, sql
 from tessera.llm.shared import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    encoded = encoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    return bpe.decode(encoded).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op10_host_rules,)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op9_byte_bpe, op10_host_rules)}
 
 ORACLES: dict[str, str] = {"op10_host_rules": sql.OP10}

@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, host_rules, sql
+from tessera.llm import bpe, host_rules, sql, wavelet
 from tessera.llm.shared import table
+from tessera.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "wavelet")
+    wavelet.write(table(spark, sf_dir, "documents"), path)
+    return wavelet.documents(wavelet.read(spark, path)).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     encoded = encoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
@@ -24,6 +32,6 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op9_byte_bpe, op10_host_rules)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op6_wavelet_shards, op9_byte_bpe, op10_host_rules)}
 
 ORACLES: dict[str, str] = {"op10_host_rules": sql.OP10}

@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, host_rules, sql, wavelet
-from tessera.llm.shared import table
+from tessera.llm import bpe, host_rules, reply_trees, sql, url_rules, wavelet
+from tessera.llm.shared import stored, table
 from tessera.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+# Fixed values of the contract.
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number in a url's path is the labelled document's id; of low quality or toxic: bad."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract("url", r"/(\d{1,18})(?:[./?#]|$)", 1).try_cast("long")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    labelled = pages.select("url", number.alias("doc_id")).join(labels, "doc_id").where(F.col("bad").isNotNull())
+    return url_rules.judge(pages, url_rules.mine(labelled), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "wavelet")
     wavelet.write(table(spark, sf_dir, "documents"), path)
@@ -21,6 +34,20 @@ def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(said).alias("text"))
+    done = stored(reply_trees.format_paths(reply_trees.chains(rows.unionByName(more))), "formatted")
+    turns = done.select("root", "formatted", reply_trees.read_back(F.col("formatted")).alias("turns"),
+                        reply_trees.masked_text(F.col("formatted"), F.col("loss")).alias("said"))
+    digest = F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256)
+    return turns.select(reply_trees.conversation_id(F.col("root")).alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+                        digest.alias("turns_sha256"), F.length("said").cast("long").alias("loss_chars"), F.sha2("said", 256).alias("loss_sha256"),
+                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     encoded = encoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
@@ -32,6 +59,6 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op6_wavelet_shards, op9_byte_bpe, op10_host_rules)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op3_url_rules, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
 
-ORACLES: dict[str, str] = {"op10_host_rules": sql.OP10}
+ORACLES: dict[str, str] = {"op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10}

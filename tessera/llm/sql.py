@@ -1,5 +1,20 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+OP8 = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+    SELECT *, length(url_encode(role)) + length(text) + 24 + len(regexp_extract_all(
+        text, '[<\[]\\*(?:\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|</?SYS>>|/?INST\])')) AS n
+    FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(n)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 OP10 = r"""
 WITH d AS (
     SELECT doc_id, source, coalesce(text, '') AS t,

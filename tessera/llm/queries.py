@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, host_rules, reply_trees, sql, url_rules, wavelet
+from tessera.llm import bpe, decontaminate, host_rules, reply_trees, sql, url_rules, wavelet
 from tessera.llm.shared import stored, table
 from tessera.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(names, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"), "matches")
+
+
 # Fixed values of the contract.
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
@@ -59,6 +66,6 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op3_url_rules, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op3_url_rules, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
 
 ORACLES: dict[str, str] = {"op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Chunks that a worker remembers; beyond it forgets all of them and goes on. No result depends on it.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 _NONE = 1 << 62
 
 
@@ -200,7 +200,7 @@ class Chunks(dict):
         for k, t in enumerate(texts):
             block.append(chunks(t) if t else [])
             chars += len(t or "")
-            if chars > 2_000_000 or k + 1 == len(texts):
+            if chars > 500_000 or k + 1 == len(texts):
                 if len(self) > REMEMBERED:
                     self.clear()
                 new = [c for c in set().union(*block) if c not in self]
@@ -226,8 +226,9 @@ def encode_chunks(texts: list[str], path: str) -> list[bytes]:
         if width > 64:
             ids.update((p, np.array(merge(b, rank), "<u4").tobytes()) for p, b in group)
             continue
-        for x in range(0, len(group), 16384):
-            part = group[x:x + 16384]
+        step = 131072 // width
+        for x in range(0, len(group), step):
+            part = group[x:x + step]
             ids.update(zip([p for p, _ in part], merge_many([b for _, b in part], width, path)))
     return [b"".join(map(ids.__getitem__, x)) for x in cut]
 
@@ -254,10 +255,11 @@ def _replaced(df: DataFrame, source: str, target: str, work, kind: pa.DataType)
     fields = ", ".join(f"`{n}` {'binary' if n == target else t}" for n, (_, t) in zip(names, df.dtypes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cols = list(b.columns)
-            cols[at] = pa.array(work(cols[at].to_pylist()), kind)
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+        for whole in batches:
+            for x in range(0, whole.num_rows, 256):  # few texts are Python objects at once
+                cols = list(whole.slice(x, 256).columns)
+                cols[at] = pa.array(work(cols[at].to_pylist()), kind)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return df.mapInArrow(run, fields)
 

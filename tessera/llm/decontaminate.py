@@ -28,7 +28,7 @@ from tessera.llm.words import ALPHANUMERIC, blocks, grams, words
 WINDOW = 10
 #: Bytes of benchmark text that are broadcast at once, and of training text in one suffix array.
 BLOCK_BYTES = 8_000_000
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 RESULTS = ("n_words", "hits", "items", "matches")
 _LOW = np.uint64(0xFFFFFFFF)
 _HITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, host_rules, reply_trees, sql, url_rules, wavelet
+from tessera.llm import bpe, decontaminate, host_rules, ngram_join, reply_trees, sql, url_rules, wavelet
 from tessera.llm.shared import stored, table
 from tessera.session import scratch_path
 
@@ -34,6 +34,10 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, url_rules.mine(labelled), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "wavelet")
     wavelet.write(table(spark, sf_dir, "documents"), path)
@@ -66,6 +70,6 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op3_url_rules, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op3_url_rules, op5_ngram_join, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
 
 ORACLES: dict[str, str] = {"op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10}

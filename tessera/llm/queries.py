@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, host_rules, ngram_join, reply_trees, sql, url_rules, wavelet
+from tessera.llm import bpe, decontaminate, dom_model, host_rules, ngram_join, reply_trees, sql, url_rules, wavelet
 from tessera.llm.shared import stored, table
 from tessera.session import scratch_path
 
@@ -21,6 +21,10 @@ def op1_suffix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(names, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"), "matches")
 
 
+def op2_dom_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dom_model.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 # Fixed values of the contract.
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
@@ -70,6 +74,6 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op3_url_rules, op5_ngram_join, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op2_dom_model, op3_url_rules, op5_ngram_join, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
 
 ORACLES: dict[str, str] = {"op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10}

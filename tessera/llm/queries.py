@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, dom_model, host_rules, ngram_join, reply_trees, sql, url_rules, wavelet
+from tessera.llm import bpe, decontaminate, dom_model, host_rules, ngram_join, pseudo_lm, reply_trees, sql, url_rules, wavelet
 from tessera.llm.shared import stored, table
 from tessera.session import scratch_path
 
@@ -49,6 +49,11 @@ def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_lm.score(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "doc_id", "n_words", *(F.round(c, 3).alias(c) for c in ("log_likelihood", "mean_log_likelihood")))
+
+
 def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -74,6 +79,6 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op2_dom_model, op3_url_rules, op5_ngram_join, op6_wavelet_shards, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op2_dom_model, op3_url_rules, op5_ngram_join, op6_wavelet_shards, op7_pseudo_likelihood, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
 
 ORACLES: dict[str, str] = {"op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, dom_model, host_rules, ngram_join, pseudo_lm, reply_trees, sql, url_rules, wavelet
+from tessera.llm import bpe, decontaminate, dom_model, host_rules, ngram_join, pseudo_lm, reply_trees, sparse_suffix, sql, url_rules, wavelet
 from tessera.llm.shared import stored, table
 from tessera.session import scratch_path
 
@@ -38,6 +38,12 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, url_rules.mine(labelled), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 
+def op4_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per repeated passage: the document, its words from start to end, and earlier documents with them."""
+    found = sparse_suffix.repeats(table(spark, sf_dir, "documents")).select("id", F.explode("spans").alias("s"))
+    return found.select(F.col("id").alias("doc_id"), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), F.col("s.of").alias("repeats_of"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -79,6 +85,6 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op2_dom_model, op3_url_rules, op5_ngram_join, op6_wavelet_shards, op7_pseudo_likelihood, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op2_dom_model, op3_url_rules, op4_sparse_suffix, op5_ngram_join, op6_wavelet_shards, op7_pseudo_likelihood, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
 
 ORACLES: dict[str, str] = {"op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10}

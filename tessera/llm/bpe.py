@@ -191,8 +191,8 @@ class Chunks(dict):
     """Chunk of a text -> its ids as little-endian unsigned 32-bit integers, as ``encode`` gives them
     for a list of chunks."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, remembered: int = REMEMBERED):
+        self.encode, self.remembered = encode, remembered
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids.  A block of texts at a time is cut, so that few chunks are held at once."""
@@ -201,7 +201,7 @@ class Chunks(dict):
             block.append(chunks(t) if t else [])
             chars += len(t or "")
             if chars > 500_000 or k + 1 == len(texts):
-                if len(self) > REMEMBERED:
+                if len(self) > self.remembered:
                     self.clear()
                 new = [c for c in set().union(*block) if c not in self]
                 self.update(zip(new, self.encode(new)))

@@ -3,7 +3,7 @@
 Documents are sorted by id over range partitions and encoded there; about ``BLOCK_TOKENS`` ids at a time
 make a shard, which always ends with a document.  A shard's bytes are its whole file::
 
-    magic "WVM1" | header length (u32) | header (JSON: n, depth, docs) | zlib of the body
+    magic "WVM1" | header length (u32) | header (JSON: n, depth, docs) | zstd of the body
     body = document starts (u64, docs + 1) | zeros per plane (u64) | per plane its bits (packed, most
            significant plane first, least significant bit first) | per plane the ones before every 512 bits (u32)
 
@@ -21,23 +21,26 @@ import functools
 import json
 import os
 import struct
-import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import Chunks
+from tessera.llm.bpe import Chunks, splitter
 from tessera.llm.shared import stored
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: A shard is closed at the end of the document with which it has this many ids.
 BLOCK_TOKENS = 1 << 20
+#: Chunks that a worker remembers.
+REMEMBERED = 300_000
 _STEP = 512
 
 
@@ -49,9 +52,9 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, depth: int) -> WaveletMatrix:
-        cur, planes, ones, zeros = ids, [], [], []
+        cur, planes, ones, zeros = ids.astype(np.uint16 if depth <= 16 else np.uint32), [], [], []
         for level in range(depth - 1, -1, -1):
-            bit = (cur >> np.uint32(level) & np.uint32(1)).astype(bool)
+            bit = (cur & cur.dtype.type(1 << level)) != 0
             bits = np.packbits(bit, bitorder="little")
             bits = np.concatenate([bits, np.zeros(-len(bits) % (_STEP // 8), np.uint8)])
             each = np.bitwise_count(bits.view("<u8")).reshape(-1, _STEP // 64).sum(1)
@@ -112,13 +115,14 @@ class WaveletMatrix:
         return at
 
     def values(self) -> np.ndarray:
-        """All ids in order: undoes the planes' stable partitions from the last to the first."""
-        order = np.arange(self.n, dtype=np.int64)
+        """All ids in order: undoes the planes' stable partitions, from the last to the first."""
         out = np.zeros(self.n, np.uint32)
-        for level in range(self.depth):
-            bit = np.unpackbits(self.planes[level], bitorder="little")[:self.n].astype(bool)
-            out[order] = out[order] << np.uint32(1) | bit
-            order = np.concatenate([order[~bit], order[bit]])
+        for level in range(self.depth - 1, -1, -1):
+            bit = np.unpackbits(self.planes[level], bitorder="little")[:self.n].view(bool)
+            below, zeros = out, self.zeros[level]
+            out = np.empty(self.n, np.uint32)
+            out[~bit] = below[:zeros]
+            out[bit] = below[zeros:] | np.uint32(1 << (self.depth - 1 - level))
         return out
 
 
@@ -128,7 +132,7 @@ def pack(ids: np.ndarray, starts: np.ndarray, depth: int) -> bytes:
     head = json.dumps({"n": w.n, "depth": depth, "docs": len(starts) - 1}).encode()
     body = b"".join([starts.astype("<u8").tobytes(), w.zeros.astype("<u8").tobytes(),
                      *(p.tobytes() for p in w.planes), *(o.tobytes() for o in w.ones)])
-    return b"WVM1" + struct.pack("<I", len(head)) + head + zlib.compress(body, 1)
+    return b"WVM1" + struct.pack("<I", len(head)) + head + zstandard.compress(body, 1)
 
 
 def unpack(file: bytes) -> tuple[WaveletMatrix, np.ndarray]:
@@ -137,7 +141,7 @@ def unpack(file: bytes) -> tuple[WaveletMatrix, np.ndarray]:
         raise ValueError("not a wavelet matrix shard")
     size = struct.unpack("<I", file[4:8])[0]
     head = json.loads(file[8:8 + size])
-    body, at, n, depth = zlib.decompress(file[8 + size:]), 0, head["n"], head["depth"]
+    body, at, n, depth = zstandard.decompress(file[8 + size:]), 0, head["n"], head["depth"]
 
     def take(kind: str, count: int) -> np.ndarray:
         nonlocal at
@@ -151,24 +155,47 @@ def unpack(file: bytes) -> tuple[WaveletMatrix, np.ndarray]:
     return WaveletMatrix(planes, [take("<u4", blocks + 1) for _ in range(depth)], zeros, n), starts
 
 
-@functools.lru_cache(maxsize=2)
-def _known(path: str) -> Chunks:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-    from tokenizers import Tokenizer
+class Encoder:
+    """Whole texts to ids with the tokenizers library.
 
-    own = Tokenizer.from_file(path if "/" in path else public_tokenizers.path(path))
-    return Chunks(lambda new: [np.array(e.ids, "<u4").tobytes() for e in own.encode_batch(new, add_special_tokens=False)]), own
+    Where the file's pre-tokenizer is the byte-level one, equal chunks are split once and the library's model
+    is asked for each distinct piece; otherwise, and where a special token's string could stand in a text,
+    the text is encoded in one call.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_file(path if "/" in path else public_tokenizers.path(path))
+        self.size, self.model = self.own.get_vocab_size(), self.own.model
+        self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
+        kind = json.loads(self.own.to_str())
+        pre = kind["pre_tokenizer"] or {}
+        self.plain = kind["normalizer"] is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
+        # the byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for those from 256 on
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(own))}
+        self.known = Chunks(self._chunks, REMEMBERED)
+
+    def _chunks(self, new: list[str]) -> list[bytes]:
+        split, ask, letters = splitter().findall, self.model.tokenize, self.alphabet
+        cut = [split(c) for c in new]
+        ids = {p: array("I", [t.id for t in ask(p.encode().decode("latin-1").translate(letters))]).tobytes() for p in set().union(*cut)}
+        return [ids[c[0]] if len(c) == 1 else b"".join(map(ids.__getitem__, c)) for c in cut]
+
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's ids, little-endian unsigned 32-bit."""
+        odd = {k for k, t in enumerate(texts) if t and (not self.plain or any(s in t for s in self.special))}
+        out = self.known.texts([None if k in odd else t for k, t in enumerate(texts)] if odd else texts)
+        for k in odd:
+            out[k] = array("I", self.own.encode(texts[k], add_special_tokens=False).ids).tobytes()
+        return out
 
 
-def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of whole texts.  A text in which a special token's string could stand is encoded in one piece."""
-    known, own = _known(path)
-    special = [t.content for t in own.get_added_tokens_decoder().values()]
-    odd = [k for k, t in enumerate(texts) if t and any(s in t for s in special)]
-    out = known.texts(texts) if not odd else known.texts([None if k in set(odd) else t for k, t in enumerate(texts)])
-    for k in odd:
-        out[k] = np.array(own.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()
-    return out
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
@@ -177,7 +204,7 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard, names, ids, n = TaskContext.get().partitionId(), 0, [], [], 0
-        depth = max(1, (max(end_id, _known(vocabulary)[1].get_vocab_size() - 1)).bit_length())
+        depth = max(1, max(end_id, encoder(vocabulary).size - 1).bit_length())
         end = np.array([end_id], "<u4").tobytes()
 
         def close() -> pa.RecordBatch:
@@ -190,7 +217,7 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
         for b in batches:
             for x in range(0, b.num_rows, 512):
                 rows = b.slice(x, 512)
-                for name, own in zip(rows.column(0).to_pylist(), encode_texts(rows.column(1).to_pylist(), vocabulary)):
+                for name, own in zip(rows.column(0).to_pylist(), encoder(vocabulary).texts(rows.column(1).to_pylist())):
                     names.append(name)
                     ids.append(own + end)
                     n += len(own) // 4 + 1

@@ -112,3 +112,10 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", threshold:
     v = stored(host_verdicts(m, host, threshold), "hosts").select(F.col("host").alias(_P + "host"), "shrunk_rate", "host_rejected")
     j = m.join(v, m[host].eqNullSafe(v[_P + "host"]), "left").drop(_P + "host")
     return j.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
+
+
+def clean(docs: DataFrame, text: str = "text", host: str = "source", threshold: float = HOST_THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns."""
+    taken = {c: _P + c for c in docs.columns if c in (*MEASURES, "shrunk_rate", "host_rejected", "base_failed", "failed", "kept") and c not in (text, host)}
+    left = judge(docs.withColumnsRenamed(taken), text, host, threshold).where("kept")
+    return left.withColumnsRenamed({v: k for k, v in taken.items()}).select(*docs.columns)

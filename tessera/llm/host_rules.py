@@ -118,4 +118,4 @@ def clean(docs: DataFrame, text: str = "text", host: str = "source", threshold:
     """The rows of ``docs`` that are kept, with their own columns."""
     taken = {c: _P + c for c in docs.columns if c in (*MEASURES, "shrunk_rate", "host_rejected", "base_failed", "failed", "kept") and c not in (text, host)}
     left = judge(docs.withColumnsRenamed(taken), text, host, threshold).where("kept")
-    return left.withColumnsRenamed({v: k for k, v in taken.items()}).select(*docs.columns)
+    return left.select(*(F.col(taken.get(c, c)).alias(c) for c in docs.columns))

@@ -3,10 +3,11 @@
 Suffixes are kept at minimisers only: of every ``SPAN`` runs of ``GRAM`` words in a row, the one with the
 smallest hash; so any ``LENGTH`` words in a row hold a kept suffix, the same in each copy.  Runs found once
 in the corpus are dropped (counted with partial sums).  The other suffixes get the words around them and
-are sorted over range partitions by run and place; each is compared with the suffixes of the next earlier
-document and of the first one, and the match is extended to the left and to the right.  A run's suffixes
-may lie in many partitions: what meets at their borders is compared afterwards.  Of a passage of
-``LENGTH`` words or more, the place in the smallest document stays and the others are reported.
+are sorted over range partitions: by run, those of the run's smallest document first, then by the words
+that follow and those before.  Each is compared with its neighbour in this order and with the smallest
+document's, and the match is extended to the left and to the right.  A run's suffixes may lie in many
+partitions; those that begin a partition are joined with the smallest document's afterwards.  Of a passage
+of ``LENGTH`` words or more, the place in the smaller of two documents stays and the other is reported.
 
 Words are those between white space, A-Z lower-cased; runs are compared by 64-bit hashes, words around them
 by 32-bit ones.  Defined results: a null or short text repeats nothing; rows of equal id and text are one
@@ -23,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,7 +94,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _surrounded(wanted: DataFrame) -> DataFrame:
-    """(gram, id, own, pos, left, right) for rows (id, own, text, places): 32-bit hashes of the words around."""
+    """(gram, id, own, pos, later, left, right) for rows (id, own, text, places): 32-bit hashes of the words around."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -105,7 +105,7 @@ def _surrounded(wanted: DataFrame) -> DataFrame:
                 places = b.column(3).to_pylist()
                 w = words(block, SPACED)
                 text = np.repeat(np.arange(len(block)), [len(p) for p in places])
-                pos = np.array([y for p in places for y in p], np.int64)
+                pos = np.array([y["pos"] for p in places for y in p], np.int64)
                 small = np.maximum((w.hash >> np.uint64(32)).astype(np.uint32), 1)
                 gaps = AROUND + GRAM
                 line = np.zeros(len(small) + (len(block) + 1) * gaps, np.uint32)  # 0: no word
@@ -118,9 +118,10 @@ def _surrounded(wanted: DataFrame) -> DataFrame:
                 row = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grams(w.hash, GRAM)[at].view(np.int64)), b.column(0).take(row), b.column(1).take(row), pa.array(pos, pa.int32()),
-                     *(pa.array([r.tobytes() for r in side], pa.binary()) for side in (left, right))], names=["gram", "id", "own", "pos", "left", "right"])
+                     pa.array([y["later"] for p in places for y in p], pa.bool_()),
+                     *(pa.array([r.tobytes() for r in side], pa.binary()) for side in (left, right))], names=_ROW)
 
-    return wanted.mapInArrow(run, "gram long, id long, own int, pos int, left binary, right binary")
+    return wanted.mapInArrow(run, "gram long, id long, own int, pos int, later boolean, left binary, right binary")
 
 
 def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -129,111 +130,104 @@ def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(other.any(1), other.argmax(1), a.shape[1])
 
 
-_OUT = "kind int, part int, gram long, id long, own int, pos int, left binary, right binary, start long, end long, of long"
-_NAMES = [f.split()[0] for f in _OUT.split(", ")]
+_ROW = ["gram", "id", "own", "pos", "later", "left", "right"]
+_OUT = pa.schema([("kind", pa.int32()), ("gram", pa.int64()), ("id", pa.int64()), ("own", pa.int32()), ("pos", pa.int32()), ("later", pa.bool_()),
+                  ("left", pa.binary()), ("right", pa.binary()), ("start", pa.int64()), ("end", pa.int64()), ("of", pa.int64())])
+_FIELDS = "kind int, gram long, id long, own int, pos int, later boolean, left binary, right binary, start long, end long, of long"
+
+
+def _out(kind: int, n: int, cols: dict) -> pa.RecordBatch:
+    cols = {"kind": np.full(n, kind), **cols}
+    return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _OUT], schema=_OUT)
 
 
 class _Rows:
     """Sorted suffixes as arrays."""
 
-    def __init__(self, table: pa.Table):
-        col = lambda c: table.column(c).to_numpy(zero_copy_only=False)
-        self.table = table
-        self.gram, self.own, self.pos = col("gram"), col("own"), col("pos").astype(np.int64)
-        self.id = table.column("id").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-        side = lambda c: np.frombuffer(b"".join(table.column(c).to_pylist()), "<u4").reshape(-1, AROUND)
-        self.left, self.right = side("left"), side("right")
+    def __init__(self, batch: pa.RecordBatch):
+        self.batch = batch
+        self.gram, self.id, self.own, self.pos = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("gram", "id", "own", "pos"))
+        self.later = batch.column("later").to_numpy(zero_copy_only=False)
+        self.left, self.right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, AROUND) for c in ("left", "right"))
+
+    def take(self, at: np.ndarray) -> dict:
+        rows = self.batch.take(pa.array(at, pa.int64()))
+        return {c: rows.column(c) for c in _ROW}
 
     def matches(self, a: np.ndarray, b: np.ndarray, length: int) -> pa.RecordBatch:
-        """Of the rows ``a``: the words that they share with the rows ``b``, where there are enough."""
+        """The words that the larger document of each pair of rows shares with the other, where there are enough."""
         left, right = _same(self.left[a], self.left[b]), _same(self.right[a], self.right[b])
-        long_ = left + GRAM + right >= length
-        a, b, left, right = a[long_], b[long_], left[long_], right[long_]
-        rows = self.table.take(pa.array(a)).select(["id", "own"])
-        return _out(0, 0, len(a), {"id": rows.column("id"), "own": rows.column("own"), "start": pa.array(self.pos[a] - left),
-                                   "end": pa.array(self.pos[a] + GRAM + right), "of": self.table.column("id").take(pa.array(b))})
-
-
-def _out(kind: int, part: int, n: int, cols: dict) -> pa.RecordBatch:
-    types = {"kind": pa.int32(), "part": pa.int32(), "gram": pa.int64(), "id": pa.int64(), "own": pa.int32(), "pos": pa.int32(),
-             "left": pa.binary(), "right": pa.binary(), "start": pa.int64(), "end": pa.int64(), "of": pa.int64()}
-    cols = {"kind": pa.array(np.full(n, kind), pa.int32()), "part": pa.array(np.full(n, part), pa.int32()), **cols}
-    whole = [cols[c].combine_chunks() if isinstance(cols.get(c), pa.ChunkedArray) else cols.get(c, pa.nulls(n, types[c])) for c in _NAMES]
-    whole = [pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c for c in whole]
-    return pa.RecordBatch.from_arrays([c.cast(types[k]) for c, k in zip(whole, _NAMES)], names=_NAMES)
+        other = (self.id[a] != self.id[b]) | (self.own[a] != self.own[b])
+        on = np.flatnonzero((left + GRAM + right >= length) & other)
+        a, b, left, right = a[on], b[on], left[on], right[on]
+        swap = (self.id[a] < self.id[b]) | ((self.id[a] == self.id[b]) & (self.own[a] < self.own[b]))
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        return _out(0, len(a), {"id": self.id[a], "own": self.own[a], "start": self.pos[a] - left, "end": self.pos[a] + GRAM + right, "of": self.id[b]})
 
 
 def _neighbours(length: int):
-    """Of sorted partitions: matches (kind 0), the first document's suffixes (1) and the last document's first one (2)."""
+    """Of sorted partitions: matches (kind 0), suffixes whose run began in another partition (1), and the
+    smallest document's suffix of a run that may go on in the next one (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before, opening = TaskContext.get().partitionId(), None, True
+        before = None
         for b in batches:
-            table = pa.Table.from_batches([b])
             old = 0
-            if before is not None:  # of the last run: first suffix, that of the document before, that of the last document
-                table, old = pa.concat_tables([before, table]), before.num_rows
-            r = _Rows(table)
-            n = table.num_rows
+            if before is not None:  # the last run's first suffix, and the last one
+                old, b = before.num_rows, pa.concat_batches([before, b])
+            r, n = _Rows(b), b.num_rows
             new_run = np.concatenate([[True], np.diff(r.gram) != 0])
             new_doc = new_run | np.concatenate([[True], (np.diff(r.id) != 0) | (np.diff(r.own) != 0)])
             run_at = np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
             doc_at = np.maximum.accumulate(np.where(new_doc, np.arange(n), 0))
-            prev = np.where(doc_at > run_at, doc_at[np.maximum(doc_at - 1, 0)], -1)
             mine = np.arange(n) >= old
-            has = np.flatnonzero((prev >= 0) & mine)
-            yield r.matches(has, prev[has], length)
-            far = has[run_at[has] != prev[has]]
+            near = np.flatnonzero(mine & (doc_at > run_at))  # the suffix before those of the same document
+            yield r.matches(near, doc_at[near] - 1, length)
+            far = np.flatnonzero(mine & ~r.later[run_at] & (run_at < doc_at - 1))
             yield r.matches(far, run_at[far], length)
-            if opening:  # suffixes of the partition's first document and run, without a neighbour here
-                first = np.flatnonzero(mine & (doc_at == 0) & (run_at == 0))
-                t = table.take(pa.array(first))
-                yield _out(1, part, len(first), {c: t.column(c) for c in t.column_names})
-                opening = bool(doc_at[-1] == 0 and run_at[-1] == 0)
-            keep = sorted({int(run_at[-1]), int(prev[-1]) if prev[-1] >= 0 else int(run_at[-1]), int(doc_at[-1])})
-            before = table.take(pa.array(keep)).combine_chunks()
-        if before is not None:
-            t = before.slice(before.num_rows - 1)
-            yield _out(2, part, 1, {c: t.column(c) for c in t.column_names})
+            lost = np.flatnonzero(mine & r.later[run_at])
+            yield _out(1, len(lost), r.take(lost))
+            keep = sorted({int(run_at[-1]), max(int(doc_at[-1]) - 1, int(run_at[-1])), n - 1})
+            before = b.take(pa.array(keep, pa.int64()))
+        if before is not None and not before.column("later")[0].as_py():
+            yield _out(2, 1, _Rows(before).take(np.array([0])))
 
     return run
 
 
 def _borders(length: int):
-    """Matches of suffixes (gram, id, ..) with those of the partition before (o_id, o_pos, ..)."""
+    """Matches of suffixes with the smallest documents' of their runs (o_id, o_own, ..)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = b.num_rows
-            both = pa.Table.from_batches([b])
-            one = both.select(["gram", "id", "own", "pos", "left", "right"])
-            two = both.select(["gram", "o_id", "o_own", "o_pos", "o_left", "o_right"]).rename_columns(one.column_names)
-            if n:
-                yield _Rows(pa.concat_tables([one, two]).combine_chunks()).matches(np.arange(n), np.arange(n) + n, length)
+            one, two = b.select(_ROW), b.select(["gram", *("o_" + c for c in _ROW[1:])]).rename_columns(_ROW)
+            yield _Rows(pa.concat_batches([one, two])).matches(np.arange(b.num_rows), np.arange(b.num_rows) + b.num_rows, length)
 
     return run
 
 
+_NULL = -(1 << 63)
+
+
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """(id, own, spans): of each document with repeated passages, the disjoint spans of words (start, end) that
-    are found in an earlier one, each with the ids of documents that it was compared with."""
+    are found in a smaller one, each with the ids of documents that it was compared with."""
     if length < LENGTH:
         raise ValueError(f"passages of {length} words may hold no kept suffix")
-    d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL)).alias("id"), F.col(text).alias("text"))
     kept = stored(suffixes(d), "suffixes")
-    often = kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    places = kept.join(often, "gram", "left_semi").groupBy("id", "own").agg(F.collect_set("pos").alias("places"))
-    packed = _packed(d)
-    same = packed["id"].eqNullSafe(places["id"]) & (packed["own"] == places["own"])
-    wanted = packed.join(places, same).select(packed["id"], packed["own"], packed["text"], "places").dropDuplicates(["id", "own"])
-    order = ["gram", "id", "own", "pos"]
-    near = _surrounded(wanted.select("id", "own", "text", "places")).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stored(near.mapInArrow(_neighbours(length), _OUT), "neighbours")
-    edge = found.where("kind = 1").select("part", "gram", "id", "own", "pos", "left", "right")
-    last = found.where("kind = 2").select((F.col("part") + 1).alias("part"), "gram", *(F.col(c).alias("o_" + c) for c in ("id", "own", "pos", "left", "right")))
-    meet = edge.join(last, ["part", "gram"]).where(~F.col("id").eqNullSafe(F.col("o_id")) | (F.col("own") != F.col("o_own")))
-    spans = found.where("kind = 0").unionByName(meet.mapInArrow(_borders(length), _OUT)).select("id", "own", "start", "end", "of")
-    return _joined(spans.groupBy("id", "own").agg(F.collect_list(F.struct("start", "end", "of")).alias("all")))
+    often = kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).where("n > 1").drop("n")
+    place = F.struct("pos", (F.col("id") != F.col("least")).alias("later"))
+    places = kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set(place).alias("places"))
+    wanted = _packed(d).join(places, ["id", "own"]).select("id", "own", "text", "places").dropDuplicates(["id", "own"])
+    order = ["gram", "later", "right", "left", "id", "own", "pos"]
+    found = _surrounded(wanted).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(length), _FIELDS)
+    found = stored(found, "neighbours")
+    lost, least = found.where("kind = 1").select(*_ROW), found.where("kind = 2").dropDuplicates(["gram"])
+    meet = lost.join(least.select("gram", *(F.col(c).alias("o_" + c) for c in _ROW[1:])), "gram").mapInArrow(_borders(length), _FIELDS)
+    name = lambda c: F.when(F.col(c) != _NULL, F.col(c)).alias(c)
+    spans = found.where("kind = 0").unionByName(meet).select(name("id"), "own", "start", "end", name("of"))
+    return _joined(spans.groupBy("id", "own").agg(F.collect_set(F.struct("start", "end", "of")).alias("all")))
 
 
 def _joined(spans: DataFrame) -> DataFrame:

@@ -10,10 +10,16 @@ from tessera.sources.tables import table
 __all__ = ["stored", "table"]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Writes ``df`` under the shared checkpoint folder and reads it again: the lineage ends there, the
-    files outlive a lost executor, and the planner knows their size."""
+    files outlive a lost executor, and the planner knows their size.
+
+    ``release``: asks for a collection on the driver, upon which Spark deletes the shuffle files of finished
+    jobs; for steps that leave large ones.
+    """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if release:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

@@ -218,11 +218,11 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     kept = stored(suffixes(d), "suffixes")
     often = kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).where("n > 1").drop("n")
     place = F.struct("pos", (F.col("id") != F.col("least")).alias("later"))
-    places = kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set(place).alias("places"))
+    places = stored(kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set(place).alias("places")), "places", release=True)
     wanted = _packed(d).join(places, ["id", "own"]).select("id", "own", "text", "places").dropDuplicates(["id", "own"])
     order = ["gram", "later", "right", "left", "id", "own", "pos"]
     found = _surrounded(wanted).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(length), _FIELDS)
-    found = stored(found, "neighbours")
+    found = stored(found, "neighbours", release=True)
     lost, least = found.where("kind = 1").select(*_ROW), found.where("kind = 2").dropDuplicates(["gram"])
     meet = lost.join(least.select("gram", *(F.col(c).alias("o_" + c) for c in _ROW[1:])), "gram").mapInArrow(_borders(length), _FIELDS)
     name = lambda c: F.when(F.col(c) != _NULL, F.col(c)).alias(c)

@@ -182,7 +182,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, sig, n_shingles, component_id), a row for each document."""
+    """(doc_id, sig, n_shingles, comp, component_id), a row for each document; ``comp`` tells groups apart."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(postings(d, "doc_id", "text", size, percent, frequencies(d, "text", size)), "postings")
     members = rows.where("member").select("doc_id", "sig", F.col("n").alias("n_shingles"))
@@ -191,16 +191,16 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
     listed = rows.where("not member").select("gram", "sig", "n", "pos", "typ")
     shared = listed.groupBy("gram").agg(F.max(rank).alias("top"), F.min(rank).alias("least")).where("top <> least").select("gram", "top")
     lists = listed.join(shared, "gram").withColumn("rank", rank).dropDuplicates(["gram", "sig"])
-    lists = stored(lists.select("gram", "sig", "n", "pos", (F.col("rank") == F.col("top")).alias("center")), "lists")
+    lists = stored(lists.select("gram", "sig", "n", "pos", (F.col("rank") == F.col("top")).alias("center")), "lists", release=True)
     wanted = lists.select("sig").distinct()
     texts = signed(d.select("text"), "text", size, compressed=True).join(wanted, "sig", "left_semi")
-    texts = stored(texts.groupBy("sig").agg(F.first("text").alias("text")), "texts")
+    texts = stored(texts.groupBy("sig").agg(F.first("text").alias("text")), "texts", release=True)
 
     pair = lambda a: lists.select("gram", *(F.col(c).alias(a + c) for c in ("sig", "n", "pos", "center")))
     centers = pair("a_").where("a_center").drop("a_center")
     star = pair("b_").where("not b_center").join(centers, "gram").where(may_link("a_", "b_", percent))
     star = star.select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct()
-    links = stored(verified(star, texts, size, percent), "links")
+    links = stored(verified(star, texts, size, percent), "links", release=True)
     comp = components(links)
 
     # the rest: pairs of a list whose groups differ, its center aside
@@ -219,18 +219,18 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
     classes = linked.groupBy("sig").agg(F.min("doc_id").alias("least")).join(comp.withColumnRenamed("node", "sig"), "sig", "left")
     classes = stored(classes.select("sig", "least", F.coalesce("comp", "sig").alias("comp")), "classes")
     named = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    names = stored(classes.join(named, "comp").select("sig", "component_id"), "names")
+    names = stored(classes.join(named, "comp").select("sig", "comp", "component_id"), "names")
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return members.join(names, "sig", "left").select("doc_id", "sig", "n_shingles", alone.alias("component_id"))
+    return members.join(names, "sig", "left").select("doc_id", "sig", "n_shingles", F.coalesce("comp", "sig").alias("comp"), alone.alias("component_id"))
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One document of each group with its own columns: that of the smallest id.  Rows of one id in a group
     are one document; of these the first by text stays."""
     kept = groups(docs, doc_id, text, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__nj_id"), "sig").distinct().withColumnRenamed("sig", "__nj_sig")
-    plain = docs.withColumnsRenamed({c: "__nj_" + c for c in docs.columns if c in ("sig", "n_shingles")})
-    rows = signed(plain, text, size)
-    rows = rows.join(kept, rows[doc_id].eqNullSafe(kept["__nj_id"]) & (rows["sig"] == kept["__nj_sig"]), "left_semi").drop("sig", "n_shingles")
-    rows = rows.dropDuplicates([doc_id])
-    return rows.withColumnsRenamed({"__nj_" + c: c for c in ("sig", "n_shingles")}).select(*docs.columns)
+    known = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__nj_id")
+    kept = stored(kept.groupBy(known("doc_id"), "comp").agg(F.min("sig").alias("sig")).select("__nj_id", "sig"), "kept", release=True)
+    taken = {c: "__nj_" + c for c in docs.columns if c in ("sig", "n_shingles")}
+    rows = signed(docs.withColumnsRenamed(taken), text, size).drop("n_shingles").select("*", known(doc_id))
+    rows = rows.join(kept, ["__nj_id", "sig"], "left_semi").dropDuplicates(["__nj_id", "sig"])
+    return rows.select(*(F.col(taken.get(c, c)).alias(c) for c in docs.columns))

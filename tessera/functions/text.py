@@ -132,9 +132,9 @@ def limit_ok(a, b, n: int = 512) -> Column:
     return (F.size(_c(a)) <= n) & (F.size(_c(b)) <= n)
 
 
-def mask_pad(ids, pad_id: int = 0) -> Column:
-    """TX24: pad ids -> -100 in label arrays."""
-    return F.transform(_c(ids), lambda x: F.when(x == pad_id, F.lit(-100)).otherwise(x))
+def mask_pad(ids, size) -> Column:
+    """TX24: the places from ``size`` on, where padding stands, become -100; a real id is never masked."""
+    return F.transform(_c(ids), lambda x, i: F.when(i >= size, F.lit(-100)).otherwise(x))
 
 
 def fixed_length(ids, n: int, pad_id: int = 0) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.sequences import hash_bucket
-from tessera.functions.text import clean_tweet, not_punctuation, tokens
+from tessera.functions.text import clean_tweet, not_punctuation, word_pieces
 
 # The English stop-word list the classifier removes (179 words).
 ENGLISH_STOP_WORDS = (
@@ -30,11 +30,11 @@ ENGLISH_STOP_WORDS = (
 
 
 def classifier_tokens(text, stop_words=ENGLISH_STOP_WORDS) -> Column:
-    """TX3 + rule T + TX4: cleaned, lower-cased tokens minus stop words and
-    punctuation (a token goes when it is a substring of the punctuation set)."""
+    """TX3 + TX4: the cleaned, lower-cased text's words and punctuation marks, split from each other,
+    minus stop words and punctuation (a token goes when it is a substring of the punctuation set)."""
     # ``isin`` over a literal list is planned as a hashed ``InSet``: O(1) per
     # token instead of a scan of the list.
-    return F.filter(tokens(clean_tweet(text)),
+    return F.filter(word_pieces(F.lower(clean_tweet(text))),
                     lambda w: ~w.isin(*stop_words) & not_punctuation(w))
 
 

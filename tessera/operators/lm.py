@@ -17,24 +17,24 @@ from tessera.functions.text import _c
 
 
 def bigram_rows(df: DataFrame, key: str, toks: str) -> DataFrame:
-    """``(key, pos, w1, w2)`` for consecutive token pairs."""
+    """``(key, pos, w1, w2)`` for consecutive token pairs; a text without pairs keeps one row of nulls."""
     pairs = F.zip_with(F.col(toks), shifted(toks), lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
-    return (df.select(key, F.posexplode(F.filter(pairs, lambda p: p["w2"].isNotNull())).alias("pos", "p"))
+    return (df.select(key, F.posexplode_outer(F.filter(pairs, lambda p: p["w2"].isNotNull())).alias("pos", "p"))
             .select(key, "pos", "p.w1", "p.w2"))
 
 
 def trigram_rows(df: DataFrame, key: str, toks: str) -> DataFrame:
-    """``(key, pos, l, w, r)``: each interior token with its neighbours."""
+    """``(key, pos, l, w, r)``: each interior token with its neighbours; a text without any keeps one row of nulls."""
     t = F.zip_with(F.zip_with(F.col(toks), shifted(toks), lambda a, b: F.struct(a.alias("l"), b.alias("w"))),
                    shifted(toks, 2), lambda s, c: F.struct(s["l"].alias("l"), s["w"].alias("w"), c.alias("r")))
-    return (df.select(key, F.posexplode(F.filter(t, lambda x: x["r"].isNotNull())).alias("pos", "x"))
+    return (df.select(key, F.posexplode_outer(F.filter(t, lambda x: x["r"].isNotNull())).alias("pos", "x"))
             .select(key, "pos", "x.l", "x.w", "x.r"))
 
 
 def bigram_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> DataFrame:
     """``(key, pos, logp)`` of each test bigram under an add-one bigram model of
     ``train``: ``p(w2|w1) = (c(w1,w2) + 1) / (c(w1,*) + V)``."""
-    tr = bigram_rows(train, key, toks)
+    tr = bigram_rows(train, key, toks).where(F.col("pos").isNotNull())
     vocab = train.select(F.explode(toks).alias("w")).distinct().agg(F.count(F.lit(1)).alias("_V"))
     bi = tr.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("_c12"))
     # c(w1, *) is the sum of c(w1, w2): aggregate the aggregate, not the rows again.
@@ -44,13 +44,13 @@ def bigram_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> D
     j = te.join(bi.hint("merge"), ["w1", "w2"], "left").join(ctx.hint("merge"), "w1", "left").crossJoin(
         F.broadcast(vocab))
     p = (F.coalesce(F.col("_c12"), F.lit(0)) + 1) / (F.coalesce(F.col("_c1"), F.lit(0)) + F.col("_V"))
-    return j.select(key, "pos", F.ln(p).alias("logp"))
+    return j.select(key, "pos", F.when(F.col("pos").isNotNull(), F.ln(p)).alias("logp"))
 
 
 def pseudo_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> DataFrame:
     """AG24: ``(key, pos, logp)`` of each interior test token given both
     neighbours: ``(c(l,w,r) + 1) / (c(l,*,r) + V)``."""
-    tr = trigram_rows(train, key, toks)
+    tr = trigram_rows(train, key, toks).where(F.col("pos").isNotNull())
     vocab = train.select(F.explode(toks).alias("w")).distinct().agg(F.count(F.lit(1)).alias("_V"))
     tri = tr.groupBy("l", "w", "r").agg(F.count(F.lit(1)).alias("_cw"))
     ctx = tri.groupBy("l", "r").agg(F.sum("_cw").alias("_cc"))
@@ -58,13 +58,13 @@ def pseudo_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> D
     j = te.join(tri.hint("merge"), ["l", "w", "r"], "left").join(ctx.hint("merge"), ["l", "r"], "left").crossJoin(
         F.broadcast(vocab))
     p = (F.coalesce(F.col("_cw"), F.lit(0)) + 1) / (F.coalesce(F.col("_cc"), F.lit(0)) + F.col("_V"))
-    return j.select(key, "pos", F.ln(p).alias("logp"))
+    return j.select(key, "pos", F.when(F.col("pos").isNotNull(), F.ln(p)).alias("logp"))
 
 
 def perplexity(logps: DataFrame, key: str | None = None) -> DataFrame:
-    """``exp(-mean(logp))`` per key (or overall), with the count."""
+    """``exp(-mean(logp))`` per key (or overall), with the count; null for a text without any."""
     g = logps.groupBy(key) if key else logps
-    return g.agg(F.count(F.lit(1)).alias("n"), F.exp(-F.avg("logp")).alias("perplexity"))
+    return g.agg(F.count("logp").alias("n"), F.exp(-F.avg("logp")).alias("perplexity"))
 
 
 def mean_loss_perplexity(losses: DataFrame, loss: str = "loss") -> DataFrame:

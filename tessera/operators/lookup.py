@@ -51,12 +51,14 @@ def language_profiles(docs: DataFrame, k: int = 50, text: str = "text", lang: st
 
 def detect_language(docs: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """JN10 (re-aimed): the language whose profile the document's tokens hit
-    most (ties by language code) -> ``(key, lang_pred, hits)``.  Profiles are
-    bounded (k per language), so they are broadcast."""
-    t = docs.select(key, F.explode(tokens(text)).alias("word"))
-    hits = t.join(F.broadcast(profiles), "word").groupBy(key, "lang").agg(F.count(F.lit(1)).alias("hits"))
-    best = hits.groupBy(key).agg(F.min(F.struct((-F.col("hits")).alias("nh"), F.col("lang").alias("l"))).alias("_b"))
-    return best.select(key, F.col("_b.l").alias("lang_pred"), (-F.col("_b.nh")).alias("hits"))
+    most (ties by language code) -> ``(key, lang_pred, hits)``; without a hit the
+    language is null and hits are 0.  Profiles are bounded (k per language), so
+    they are broadcast."""
+    t = docs.select(key, F.explode_outer(tokens(text)).alias("word"))
+    hits = t.join(F.broadcast(profiles), "word", "left").groupBy(key, "lang").agg(F.count("lang").alias("hits"))
+    best = F.struct((-F.col("hits")).alias("nh"), F.col("lang").alias("l"))
+    best = hits.groupBy(key).agg(F.min(F.when(F.col("lang").isNotNull(), best)).alias("_b"))
+    return best.select(key, F.col("_b.l").alias("lang_pred"), F.coalesce(-F.col("_b.nh"), F.lit(0)).alias("hits"))
 
 
 def text_digest(c) -> "F.Column":

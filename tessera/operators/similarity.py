@@ -18,18 +18,13 @@ from tessera.functions.text import _c
 
 
 def shingle_pairs(left: DataFrame, lkey: str, ltoks: str, right: DataFrame, rkey: str, rtoks: str,
-                  n: int = 8, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                  n: int = 8) -> DataFrame:
     """Distinct ``(lkey, rkey)`` sharing at least one ``n``-token shingle.
 
-    The left side is the small reference set (e.g. benchmark items): its
-    shingles are counted first and broadcast when within ``broadcast_max_rows``,
-    so the large side is only scanned; otherwise both sides shuffle on the
-    shingle (AQE splits hot shingles)."""
-    from tessera.session import broadcast_if_small
-
+    A plain equi-join: AQE broadcasts a side whose measured size is small and splits hot shingles."""
     ls = left.select(lkey, F.explode(F.array_distinct(ngrams(F.col(ltoks), n, sep=" "))).alias("_sh"))
     rs = right.select(rkey, F.explode(F.array_distinct(ngrams(F.col(rtoks), n, sep=" "))).alias("_sh"))
-    return rs.join(broadcast_if_small(ls, broadcast_max_rows), "_sh").select(lkey, rkey).distinct()
+    return rs.join(ls, "_sh").select(lkey, rkey).distinct()
 
 
 def jaccard(a, b) -> Column:

@@ -24,8 +24,6 @@ IMAGE_PATTERN = "(?i)[\\p{L}\\p{N}_-]*.jpeg|[\\p{L}\\p{N}_-]*.png|[\\p{L}\\p{N}_
 # Languages with a stop list; text in any other language yields no tokens.
 STOP_LANGUAGES = ("en", "ru")
 
-MAX_STOP_ROWS = 1_000_000
-
 
 # A run of equal space-separated tokens (whole tokens only), for TX6 on strings.
 REPEAT_RUN = "(?<![^ ])([^ ]+)(?: \\1(?![^ ]))+"
@@ -86,15 +84,11 @@ def stop_arrays(stop: DataFrame) -> DataFrame:
 
 
 def remove_stop_words(df: DataFrame, stop: DataFrame, text: str = "clean",
-                      lang: str = "lang", out: str = "topic_tokens",
-                      check_size: bool = True) -> DataFrame:
+                      lang: str = "lang", out: str = "topic_tokens") -> DataFrame:
     """TX7 + TX8: lower-case tokens minus the stop words of the row's language;
     Russian keeps digit tokens; languages outside ``STOP_LANGUAGES`` give an
     empty list; ``-`` tokens are dropped.  Lemmas: identity (no lemmatiser)."""
-    if check_size:
-        n = stop.count()
-        if n > MAX_STOP_ROWS:
-            raise ValueError(f"stop table has {n} rows; a stop list must be small enough to broadcast")
+    # One row per language with its list, which doesn't grow with the texts.
     arrays = F.broadcast(stop_arrays(stop).withColumnRenamed("lang", "_stop_lang"))
     j = df.join(arrays, df[lang] == arrays["_stop_lang"], "left")
     toks = tokens(F.col(text))
@@ -163,11 +157,10 @@ def ngram_counts(df: DataFrame, n: int = 2, min_count: int = 2, key: str = "doc_
 
 
 def vw_dataset(docs: DataFrame, stop: DataFrame, which_n_grams=(2,), min_count: int = 2,
-               key: str = "doc_id", text: str = "text", lang: str = "lang",
-               check_size: bool = True) -> DataFrame:
+               key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Full topic-model line per document: clean -> stop words -> counts -> line."""
     cleaned = clean_texts(docs.select(key, lang, text), text, "clean").select(key, lang, "clean")
-    with_toks = remove_stop_words(cleaned, stop, text="clean", lang=lang, check_size=check_size)
+    with_toks = remove_stop_words(cleaned, stop, text="clean", lang=lang)
     return vw_lines(with_toks.select(key, "topic_tokens"), key, "topic_tokens", which_n_grams, min_count)
 
 

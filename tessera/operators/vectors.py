@@ -2,9 +2,9 @@
 
 Per-row maths uses higher-order array functions.  Grouped means explode to
 ``(group, dim, value)`` and aggregate with partial aggregation, so a hot group
-costs one partial row per task and dimension.  Exact top-k cosine broadcasts
-the bounded query set as one row and scores every vector inside its own row;
-a group limit keeps ``k`` rows per query before the shuffle.
+costs one partial row per task and dimension.  Exact top-k cosine joins blocks
+of queries with the vectors and scores a block inside each vector's row; a
+group limit keeps ``k`` rows per query before the shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import _c
 
-MAX_QUERIES = 10_000
+#: Queries of one block of the exact top-k search.
+QUERY_BLOCK = 256
 
 
 def as_double(v) -> Column:
@@ -48,11 +49,14 @@ def explode_dims(df: DataFrame, keys, vec: str) -> DataFrame:
 
 def mean_inner(df: DataFrame, group: str, order: str, vec: str) -> DataFrame:
     """AG20: per group, the mean vector of its rows without the first and the
-    last row (by ``order``) -> ``(group, dim, mean)``."""
-    ends = df.groupBy(group).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    inner = df.join(F.broadcast(ends), group).where((F.col(order) != F.col("_lo")) & (F.col(order) != F.col("_hi")))
-    return (explode_dims(inner, [group], vec).groupBy(group, "dim")
-            .agg(F.avg(F.col("value").cast("double")).alias("mean")))
+    last row (by ``order``, unique in a group) -> ``(group, dim, mean)``."""
+    # One pass with partial aggregation: the sum of all rows minus those of the first and the last one.
+    v = F.col("value").cast("double")
+    sums = explode_dims(df, [group, order], vec).groupBy(group, "dim").agg(
+        F.sum(v).alias("_s"), F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"),
+        F.min_by(v, order).alias("_a"), F.max_by(v, order).alias("_z"))
+    return sums.where((F.col("_n") > 2) & (F.col("_lo") != F.col("_hi"))).select(
+        group, "dim", ((F.col("_s") - F.col("_a") - F.col("_z")) / (F.col("_n") - 2)).alias("mean"))
 
 
 def first_vectors(df: DataFrame, group: str, order: str, vec: str) -> DataFrame:
@@ -61,16 +65,15 @@ def first_vectors(df: DataFrame, group: str, order: str, vec: str) -> DataFrame:
 
 
 def cosine_topk(vectors: DataFrame, key: str, vec: str, queries: DataFrame, qkey: str, qvec: str,
-                k: int = 5, check_size: bool = True) -> DataFrame:
+                k: int = 5) -> DataFrame:
     """SP8: exact top-``k`` cosine neighbours of each query -> ``(qkey, rank,
-    key, cosine)``; ties by ``key``."""
-    if check_size:
-        nq = queries.count()
-        if nq > MAX_QUERIES:
-            raise ValueError(f"{nq} queries: too many to broadcast; split the query set")
-    qs = queries.select(F.struct(F.col(qkey).alias("q"), unit(as_double(qvec)).alias("u")).alias("_q"))
-    qrow = F.broadcast(qs.agg(F.collect_list("_q").alias("_qs")))
-    scored = vectors.select(key, unit(as_double(vec)).alias("_u")).crossJoin(qrow)
+    key, cosine)``; ties by ``key``.  Queries meet the vectors in blocks of
+    ``QUERY_BLOCK``, each one row, of which there may be any number."""
+    qs = queries.select(F.struct(F.col(qkey).alias("q"), unit(as_double(qvec)).alias("u")).alias("_q"),
+                        F.monotonically_increasing_id().alias("_n"))
+    # The id is the partition's number and the row's place in it: neighbours share a block.
+    blocks = qs.groupBy(F.floor(F.col("_n") / QUERY_BLOCK).alias("_block")).agg(F.collect_list("_q").alias("_qs")).drop("_block")
+    scored = vectors.select(key, unit(as_double(vec)).alias("_u")).crossJoin(blocks)
     per = scored.select(key, F.explode(F.transform("_qs", lambda q: F.struct(
         q["q"].alias("q"), dot(q["u"], F.col("_u")).alias("c")))).alias("_s"))
     per = per.select(F.col("_s.q").alias(qkey), key, F.col("_s.c").alias("cosine"))

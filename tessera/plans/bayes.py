@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import bayes
 from tessera.plans.registry import query
-from tessera.plans.sqlparts import bucket, lit, toks
-from tessera.session import broadcast_if_small
+from tessera.plans.sqlparts import bucket, lit
 from tessera.sources.tables import table
 
 _STOP = "[" + ", ".join(lit(w) for w in bayes.ENGLISH_STOP_WORDS) + "]"
@@ -17,7 +16,7 @@ _CLEAN = ("regexp_replace(regexp_replace(regexp_replace(regexp_replace(d.text, '
 
 _BASE = f"""
 lab AS (SELECT d.doc_id, l.toxic AS label, {bucket('d.doc_id')} < 200 AS is_test,
-               list_filter({toks(_CLEAN)}, lambda w: NOT list_contains({_STOP}, w) AND instr({_PUNCT}, w) = 0) AS words
+               list_filter(regexp_extract_all(lower({_CLEAN}), '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_\\s]'), lambda w: NOT list_contains({_STOP}, w) AND instr({_PUNCT}, w) = 0) AS words
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 cnt AS (SELECT word, label, count(*)::BIGINT AS n
         FROM (SELECT unnest(words) AS word, label FROM lab WHERE NOT is_test) GROUP BY word, label),
@@ -35,8 +34,7 @@ sc AS (SELECT t.doc_id, coalesce(sum(m.loglik), 0) + (SELECT logprior FROM pri)
 
 def _prepared(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    # Labels are broadcast after a size check; beyond it the join shuffles.
-    labels = broadcast_if_small(table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label")))
+    labels = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
     lab = bayes.split_test(docs.join(labels, "doc_id"))
     return lab.select("doc_id", "label", "is_test", bayes.classifier_tokens("text").alias("words"))
 

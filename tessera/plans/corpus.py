@@ -68,4 +68,4 @@ SELECT d.doc_id, coalesce(l.line, '') AS line FROM documents d LEFT JOIN lines l
 def q_vw_lines(spark, sf):
     docs = table(spark, sf, "documents")
     stop = topics.corpus_stop_words(docs, k=STOP_K)
-    return topics.vw_dataset(docs, stop, which_n_grams=(2,), min_count=2, check_size=False)
+    return topics.vw_dataset(docs, stop, which_n_grams=(2,), min_count=2)

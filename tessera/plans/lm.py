@@ -35,7 +35,8 @@ def _bigram_lp(spark, sf):
 
 
 @query("bigram_perplexity", sql=f"""WITH {_T.strip()}
-SELECT doc_id, count(*)::BIGINT AS n, round(exp(-avg(logp)), 6) AS perplexity FROM lp GROUP BY doc_id""")
+SELECT doc_id, count(logp)::BIGINT AS n, round(exp(-avg(logp)), 6) AS perplexity
+FROM (SELECT doc_id FROM d WHERE is_test) LEFT JOIN lp USING (doc_id) GROUP BY doc_id""")
 def q_bigram_perplexity(spark, sf):
     p = lm.perplexity(_bigram_lp(spark, sf), "doc_id")
     return p.select("doc_id", "n", F.round("perplexity", 6).alias("perplexity"))
@@ -44,7 +45,7 @@ def q_bigram_perplexity(spark, sf):
 @query("mean_loss_perplexity", sql=f"""WITH {_T.strip()}
 SELECT count(*)::BIGINT AS n, round(avg(-logp), 6) AS mean_loss, round(exp(avg(-logp)), 6) AS perplexity FROM lp""")
 def q_mean_loss_perplexity(spark, sf):
-    losses = _bigram_lp(spark, sf).select((-F.col("logp")).alias("loss"))
+    losses = _bigram_lp(spark, sf).where(F.col("logp").isNotNull()).select((-F.col("logp")).alias("loss"))
     p = lm.mean_loss_perplexity(losses)
     return p.select("n", F.round("mean_loss", 6).alias("mean_loss"), F.round("perplexity", 6).alias("perplexity"))
 
@@ -58,7 +59,8 @@ cx AS (SELECT x.l AS l, x.r AS r, count(*) AS cc FROM tg WHERE NOT is_test GROUP
 lp AS (SELECT tg.doc_id, ln((coalesce(tri.cw, 0) + 1) / (coalesce(cx.cc, 0) + v.vv)) AS logp
        FROM tg LEFT JOIN tri ON tg.x.l = tri.l AND tg.x.w = tri.w AND tg.x.r = tri.r
        LEFT JOIN cx ON tg.x.l = cx.l AND tg.x.r = cx.r, v WHERE tg.is_test)
-SELECT doc_id, count(*)::BIGINT AS n, round(exp(-avg(logp)), 6) AS perplexity FROM lp GROUP BY doc_id""")
+SELECT doc_id, count(logp)::BIGINT AS n, round(exp(-avg(logp)), 6) AS perplexity
+FROM (SELECT doc_id FROM d WHERE is_test) LEFT JOIN lp USING (doc_id) GROUP BY doc_id""")
 def q_pseudo_perplexity(spark, sf):
     d = _docs(spark, sf)
     lp = lm.pseudo_logprobs(d.where(~F.col("is_test")), d.where(F.col("is_test")), "doc_id", "t")
@@ -112,29 +114,28 @@ def q_masked_tokens(spark, sf):
                     F.array_join("masked", " ").alias("masked_text"))
 
 
-_IDS = f"list_transform({toks('text')}[1:64], lambda x: length(x)::INTEGER)"
+_IDS = f"list_transform({toks('text')}, lambda x: length(x)::INTEGER)"
 
 
 @query("fixed_length", sql=f"""
 WITH d AS (SELECT doc_id, {_IDS} AS ids FROM documents)
-SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(64 - len(ids)), lambda z: 0)), ' ') AS input_ids,
-       array_to_string(list_transform(range(1, 65), lambda i: CASE WHEN i <= len(ids) THEN 1 ELSE 0 END), ' ') AS attention_mask
+SELECT doc_id, array_to_string(list_concat(ids[1:512], list_transform(range(512 - len(ids)), lambda z: 0)), ' ') AS input_ids,
+       array_to_string(list_transform(range(1, 513), lambda i: CASE WHEN i <= len(ids) THEN 1 ELSE 0 END), ' ') AS attention_mask
 FROM d""")
 def q_fixed_length(spark, sf):
     d = table(spark, sf, "documents").select(
-        "doc_id", F.transform(F.slice(T.tokens("text"), 1, 64), lambda x: F.length(x)).alias("ids"))
+        "doc_id", F.transform(T.tokens("text"), lambda x: F.length(x)).alias("ids"))
     s = lambda a: F.array_join(F.transform(a, lambda x: x.cast("string")), " ")
-    return d.select("doc_id", s(T.fixed_length("ids", 64, 0)).alias("input_ids"),
-                    s(T.attention_mask("ids", 64)).alias("attention_mask"))
+    return d.select("doc_id", s(T.fixed_length("ids", 512, 0)).alias("input_ids"),
+                    s(T.attention_mask("ids", 512)).alias("attention_mask"))
 
 
 @query("pad_masked", sql=f"""
 WITH d AS (SELECT doc_id, {_IDS} AS ids FROM documents)
-SELECT doc_id, array_to_string(list_transform(list_concat(ids, list_transform(range(64 - len(ids)), lambda z: 0)),
-                                              lambda x: CASE WHEN x = 0 THEN -100 ELSE x END), ' ') AS labels
+SELECT doc_id, array_to_string(list_concat(ids[1:128], list_transform(range(128 - len(ids)), lambda z: -100)), ' ') AS labels
 FROM d""")
 def q_pad_masked(spark, sf):
     d = table(spark, sf, "documents").select(
-        "doc_id", F.transform(F.slice(T.tokens("text"), 1, 64), lambda x: F.length(x)).alias("ids"))
-    lab = T.mask_pad(T.fixed_length("ids", 64, 0), 0)
+        "doc_id", F.transform(T.tokens("text"), lambda x: F.length(x)).alias("ids"))
+    lab = T.mask_pad(T.fixed_length("ids", 128, 0), F.size("ids"))
     return d.select("doc_id", F.array_join(F.transform(lab, lambda x: x.cast("string")), " ").alias("labels"))

@@ -29,7 +29,7 @@ c AS (SELECT lang, word, count(*) AS n FROM t GROUP BY lang, word),
 p AS (SELECT lang, word FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM c) WHERE r <= 50),
 h AS (SELECT t.doc_id, p.lang, count(*) AS hits FROM t JOIN p ON t.word = p.word GROUP BY t.doc_id, p.lang),
 b AS (SELECT doc_id, min({{'nh': -hits, 'l': lang}}) AS b FROM h GROUP BY doc_id)
-SELECT doc_id, b.l AS lang_pred, (-b.nh)::BIGINT AS hits FROM b""")
+SELECT d.doc_id, b.b.l AS lang_pred, coalesce(-b.b.nh, 0)::BIGINT AS hits FROM documents d LEFT JOIN b ON d.doc_id = b.doc_id""")
 def q_lang_profile(spark, sf):
     docs = table(spark, sf, "documents")
     return LK.detect_language(docs, LK.language_profiles(docs, k=50))

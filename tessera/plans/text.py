@@ -175,11 +175,11 @@ def q_length_filter(spark, sf):
 @query("form_class", sql=f"""
 SELECT doc_id, CASE WHEN length(t[3]) <= 3 THEN 'infinitive' WHEN length(t[1]) <= 3 THEN 'impersonal'
                     ELSE 'personal' END AS form_class
-FROM (SELECT doc_id, {toks('text', lower=False)} AS t FROM documents) WHERE len(t) >= 3
+FROM (SELECT doc_id, {toks('text', lower=False)} AS t FROM documents)
 """)
 def q_form_class(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", T.tokens("text", lower=False).alias("t"))
-    return d.where(F.size("t") >= 3).select(
+    return d.select(
         "doc_id", T.form_class(F.get("t", 0), F.get("t", 2)).alias("form_class"))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,30 +46,25 @@ def get_session(master: str | None = None, app: str = "tessera",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is read as is.  Only when
-    it is unset (local tests) a fresh scratch folder is created and registered.
+    Executors of a cluster don't share a host's temporary folder, so there the setting must be given;
+    only a session in one JVM (``local[..]``, as in tests) gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not is_one_jvm(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
+def is_one_jvm(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    import uuid
-
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def broadcast_if_small(df, max_rows: int = 2_000_000):
-    """Broadcast ``df`` only after checking its size (one count job); above
-    ``max_rows`` it stays a normal join side and the join shuffles.  Use on
-    sides that are small in practice but not bounded by construction."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.count() <= max_rows else df

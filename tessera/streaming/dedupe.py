@@ -10,17 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.operators.lookup import text_digest
+
 
 def dedupe_stream(spark: SparkSession, source: str, schema: str, key: str, event_time: str, delay: str,
-                  sink: str, checkpoint: str, fmt: str = "parquet", timeout_s: int = 600) -> None:
+                  sink: str, checkpoint: str, fmt: str = "parquet") -> None:
     stream = spark.readStream.schema(schema).format(fmt).load(source)
-    out = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    # The state holds digests, never whole texts.
+    out = (stream.withColumn("_digest", text_digest(key)).withWatermark(event_time, delay)
+           .dropDuplicatesWithinWatermark(["_digest"]).drop("_digest"))
     q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish in time")
+    q.awaitTermination()  # availableNow ends by itself
 
 
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:

@@ -10,21 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import bayes
+from tessera.session import scratch_path
 
 
 def score_stream(spark: SparkSession, source: str, schema: str, model: DataFrame, prior: DataFrame, sink: str,
-                 checkpoint: str, key: str = "doc_id", text: str = "text", timeout_s: int = 600) -> None:
+                 checkpoint: str, key: str = "doc_id", text: str = "text") -> None:
+    # Trained and written once; each micro-batch reads the stored tables.
+    stored = {}
+    for name, df in (("model", model), ("prior", prior)):
+        path = scratch_path(spark, f"nb-{name}")
+        df.write.parquet(path)
+        stored[name] = spark.read.parquet(path)
     stream = spark.readStream.schema(schema).parquet(source)
     words = stream.select(key, bayes.classifier_tokens(text).alias("words"))
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        scored = bayes.predict(batch, model, prior, key=key)
+        scored = bayes.predict(batch, stored["model"], stored["prior"], key=key)
         # One folder per batch id: a re-run of a batch overwrites its own output.
         scored.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (words.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish in time")
+    q.awaitTermination()  # availableNow ends by itself

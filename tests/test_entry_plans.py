@@ -1,3 +1,5 @@
+import pytest
+
 import __spark_entry__ as E
 
 
@@ -53,12 +55,17 @@ def test_relation_invariants(spark):
     assert s["ALL"]["tp"] + s["ALL"]["fp"] == n_pred
 
 
-def test_broadcast_if_small_falls_back(spark):
-    from tessera.session import broadcast_if_small
+def test_cluster_needs_a_shared_folder():
+    from tessera.session import checkpoint_dir, is_one_jvm
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(dict)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
 
-    small = spark.range(10)
-    big = spark.range(100)
-    j1 = spark.range(1000).join(broadcast_if_small(small, 50), "id")
-    j2 = spark.range(1000).join(broadcast_if_small(big, 50).hint("merge"), "id")
-    assert "BroadcastHashJoin" in _plan(j1)
-    assert "BroadcastHashJoin" not in _plan(j2)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)
+    assert is_one_jvm("local[8]") and not is_one_jvm("local-cluster[3,2,3000]") and not is_one_jvm("yarn")

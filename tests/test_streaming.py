@@ -9,5 +9,5 @@ def test_dedupe_within_watermark(spark, tmp_path):
         "id", "text", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("s")).alias("ts"))
     df.write.parquet(src)
     sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
-    dedupe_stream(spark, src, "id int, text string, ts timestamp", "text", "ts", "1 hour", sink, ck, timeout_s=240)
+    dedupe_stream(spark, src, "id int, text string, ts timestamp", "text", "ts", "1 hour", sink, ck)
     assert sorted(r["text"] for r in read_sink(spark, sink).collect()) == ["a", "b"]

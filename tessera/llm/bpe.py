@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Chunks that a worker remembers; beyond it forgets all of them and goes on. No result depends on it.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 _NONE = 1 << 62
 
 

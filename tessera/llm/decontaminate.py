@@ -162,7 +162,7 @@ def _pass(docs: DataFrame, text: str, tests, window: int, shard_bytes: int) -> D
         t = tests.value
         for b in batches:
             n_words, hits, matches = [], b.column(place["hits"]).to_pylist(), b.column(place["matches"]).to_pylist()
-            for first, shard in blocks(b.column(at).to_pylist(), shard_bytes):
+            for first, shard in blocks(b.column(at), shard_bytes):
                 counts, doc, start, test = search(shard, t, window)
                 n_words += counts.tolist()
                 o = np.argsort(doc, kind="stable")

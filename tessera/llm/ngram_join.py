@@ -47,7 +47,7 @@ def frequencies(docs: DataFrame, text: str, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(CELLS, np.int64)
         for b in batches:
-            for _, block in blocks(b.column(0).to_pylist()):
+            for _, block in blocks(b.column(0)):
                 n += np.bincount(_cell(shingles(block, size).hash), minlength=CELLS)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["cell", "n"])
@@ -70,7 +70,7 @@ def signed(docs: DataFrame, text: str, size: int, compressed: bool = False) -> D
         seen: set[int] = set()
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            for first, block in blocks(b.column(at).to_pylist()):
+            for first, block in blocks(b.column(at)):
                 s = shingles(block, size)
                 sig = s.signatures().view(np.int64)
                 if compressed:
@@ -94,7 +94,7 @@ def postings(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, f
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, seen = shared.value, set()
         for b in batches:
-            for first, block in blocks(b.column(1).to_pylist()):
+            for first, block in blocks(b.column(1)):
                 s = shingles(block, size)
                 sig = s.signatures().view(np.int64)
                 none = pa.nulls(len(block), pa.int64())

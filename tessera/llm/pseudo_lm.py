@@ -52,7 +52,7 @@ class Lexicon:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.zeros(CELLS, np.int64)
             for b in batches:
-                for _, block in blocks(b.column(0).to_pylist()):
+                for _, block in blocks(b.column(0)):
                     n += np.bincount(_cell(words(block, SPACED).hash), minlength=CELLS)
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["cell", "n"])
@@ -151,7 +151,7 @@ def train(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Network:
         lex, state, seen = shared.value, {}, 0
         net = Network.start(lex.prior)
         for b in batches:
-            for _, block in blocks(b.column(0).to_pylist()):
+            for _, block in blocks(b.column(0)):
                 _, cell, place, line = windows(block, lex)
                 for x in range(0, len(place), BATCH):
                     p = place[x:x + BATCH]
@@ -176,7 +176,7 @@ def score(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, net = shared.value
         for b in batches:
-            for first, block in blocks(b.column(len(kept)).to_pylist()):
+            for first, block in blocks(b.column(len(kept))):
                 n, cell, place, line = windows(block, lex)
                 each = np.zeros(len(place))
                 for x in range(0, len(place), BATCH):

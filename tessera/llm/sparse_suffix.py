@@ -71,7 +71,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, block in blocks(b.column(1).to_pylist()):
+            for first, block in blocks(b.column(1)):
                 g, text, pos = _kept(block)
                 at = pa.array(text)
                 yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), b.column(0).slice(first, len(block)).take(at),
@@ -86,7 +86,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            for first, block in blocks(b.column(1).to_pylist()):
+            for first, block in blocks(b.column(1)):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(block)), _digest(block), pa.array([pack(t) for t in block], pa.binary())],
                                                  names=["id", "own", "text"])
 
@@ -272,7 +272,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, block in blocks(b.column(at).to_pylist()):
+            for first, block in blocks(b.column(at)):
                 yield pa.RecordBatch.from_arrays([*b.slice(first, len(block)).columns, _digest(block)], names=names)
 
     keyed = docs.mapInArrow(digest, ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), "`__ss_key` int"]))

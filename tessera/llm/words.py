@@ -6,11 +6,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15 & ~7 | 3)  # odd, and 1 - _STEP has one factor of 2
 _BACK = _U(pow(int(_STEP), -1, 1 << 64))
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_AT_ONCE = 1_000_000
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 #: Words between ASCII white space.
@@ -24,7 +26,7 @@ ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         for k, base in enumerate((_STEP, _BACK)):
-            full = np.full(max(n, 1 << 22), base, _U)
+            full = np.full(max(n, _AT_ONCE + (1 << 18)), base, _U)
             full[0] = 1
             _powers[k] = np.multiply.accumulate(full)
     return _powers[0][:n], _powers[1][:n]
@@ -54,10 +56,22 @@ class Words:
 def words(texts: list[bytes | str | None], kind: np.ndarray) -> Words:
     """Hashes of the words (A-Z lower-cased) of each text; a null text has none."""
     data = [t.encode() if isinstance(t, str) else t or b"" for t in texts]
+    done, run, size, n = [], [], 0, len(data)
+    for k, d in enumerate(data):  # about a megabyte at a time: the arrays over bytes are eight times as large
+        run.append(d)
+        size += len(d) + 1
+        if size >= _AT_ONCE or k + 1 == n:
+            done.append(_words(run, kind))
+            run, size = [], 0
+    if not done:
+        return Words(np.zeros(0, _U), np.zeros(1, np.int64))
+    each = np.concatenate([w.counts() for w in done])
+    return Words(np.concatenate([w.hash for w in done]), np.concatenate([[0], np.cumsum(each)]))
+
+
+def _words(data: list[bytes], kind: np.ndarray) -> Words:
     ends = np.cumsum([0, *(len(d) + 1 for d in data)])
     b = np.frombuffer(b" ".join([*data, b""]), np.uint8)  # a byte that no word has ends each text
-    if not len(b):
-        return Words(np.zeros(0, _U), np.zeros(len(texts) + 1, np.int64))
     inside = kind[b]
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     start, end = edge[::2], edge[1::2]
@@ -81,14 +95,17 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out + _U(n))
 
 
-def blocks(texts: list[str | None], size: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: pa.Array | list[str | None], size: int = 2_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, encoded texts) of runs of texts with about ``size`` bytes; no text is cut."""
+    column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+    column = column.cast(pa.binary())
     first, run, n = 0, [], 0
-    for k, t in enumerate(texts):
-        run.append(t.encode() if t else b"")
-        n += len(run[-1]) + 1
-        if n >= size:
-            yield first, run
-            first, run, n = k + 1, [], 0
+    for x in range(0, len(column), 128):  # few texts are Python objects at once
+        for t in column.slice(x, 128).to_pylist():
+            run.append(t or b"")
+            n += len(run[-1]) + 1
+            if n >= size:
+                yield first, run
+                first, run, n = first + len(run), [], 0
     if run:
         yield first, run

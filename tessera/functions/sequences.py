@@ -6,7 +6,7 @@ the corpus grows; a document of 20,000 words is one 20,000-element array.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import _c
@@ -46,29 +46,20 @@ def ngrams(toks, n: int, sep: str = "_") -> Column:
     return F.transform(idx, lambda i: F.array_join(F.slice(toks, i, n), sep))
 
 
-def run_counts(toks) -> Column:
-    """Distinct tokens of an array with their counts and first positions.
+def with_run_counts(df: DataFrame, arr: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the distinct elements of the array column ``arr`` with their counts and first
+    positions, ``array<struct<first, token, n>>`` in first-occurrence order (``first`` is 0-based).
 
-    Returns ``array<struct<token, n, first>>`` in first-occurrence order.  The
-    array is sorted once by ``(token, pos)``; run starts are found by comparing
-    each element with its predecessor (``zip_with`` on a shifted copy) and a
-    run's length is the gap to the next start: O(k log k) per row, no explode,
-    no shuffle.  ``first`` is 0-based.
+    Elements are sorted once with their positions; a run starts where an element differs from the one before
+    it and ends at the next start: O(k log k) per row, no explode, no shuffle.  Each step is a column of its
+    own, because a nested step would be evaluated again wherever it is used.
     """
-    toks = _c(toks)
-    s = F.array_sort(F.transform(toks, lambda x, i: F.struct(x.alias("token"), i.alias("pos"))))
-    prev = F.concat(F.array(F.lit(None).cast("struct<token:string,pos:int>")), s)
-    flagged = F.zip_with(s, prev, lambda a, b: F.struct(
-        a["token"].alias("token"), a["pos"].alias("pos"),
-        (b.isNull() | (a["token"] != b["token"])).alias("start")))
-    indexed = F.transform(flagged, lambda e, i: F.struct(e["token"].alias("token"), e["pos"].alias("pos"),
-                                                         e["start"].alias("start"), i.alias("idx")))
-    starts = F.filter(indexed, lambda e: e["start"] & e["token"].isNotNull())
-    sentinel = F.array(F.struct(F.lit(None).cast("string").alias("token"), F.lit(None).cast("int").alias("pos"),
-                                F.lit(True).alias("start"), F.size(s).alias("idx")))
-    nxt = F.concat(shifted(starts), sentinel)
-    runs = F.zip_with(starts, nxt, lambda a, b: F.struct(
-        a["pos"].alias("first"), a["token"].alias("token"), (b["idx"] - a["idx"]).cast("bigint").alias("n")))
-    runs = F.filter(runs, lambda r: r["token"].isNotNull())
-    return F.transform(F.array_sort(runs), lambda r: F.struct(
-        r["token"].alias("token"), r["n"].alias("n"), r["first"].alias("first")))
+    s, r = f"__{out}_s", f"__{out}_r"
+    d = df.withColumn(s, F.sort_array(F.transform(F.col(arr), lambda x, i: F.struct(x.alias("token"), i.alias("pos")))))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(F.col(s + ".token"), 1, F.greatest(F.size(s) - 1, F.lit(0))))
+    marked = F.zip_with(s, before, lambda a, b: F.struct(a["token"].alias("token"), a["pos"].alias("pos"), (b.isNull() | (a["token"] != b)).alias("new")))
+    at = F.transform(marked, lambda e, i: F.struct(e["pos"].alias("first"), e["token"].alias("token"), e["new"].alias("new"), i.alias("i")))
+    d = d.withColumn(r, F.filter(at, lambda e: e["new"] & e["token"].isNotNull())).withColumn(s, F.size(s))
+    ends = F.concat(shifted(F.col(r + ".i")), F.array(F.col(s)))
+    runs = F.zip_with(r, ends, lambda a, e: F.struct(a["first"].alias("first"), a["token"].alias("token"), (e - a["i"]).cast("bigint").alias("n")))
+    return d.withColumn(out, F.sort_array(F.filter(runs, lambda x: x["token"].isNotNull()))).drop(s, r)

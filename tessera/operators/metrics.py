@@ -43,6 +43,33 @@ def span_scores_tagged(spans: DataFrame, is_gold: str, keys: Sequence[str], cls:
                       "n_gold", "n_pred", "n_correct", pr.alias("precision"), rc.alias("recall"), f1.alias("f1"))
 
 
+def sequence_scores(df: DataFrame, tags: str, ptags: str, gold: str, pred: str, overall: str = "overall") -> DataFrame:
+    """AG17 on the array form: ``tags`` and ``ptags`` are aligned tag arrays, ``gold`` and ``pred`` their span
+    arrays.  Spans are compared inside the row, as strings; what leaves a task are sums per type."""
+    name = lambda c: F.array_distinct(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"], s["type"])))
+    d = df.select(name(gold).alias("g"), name(pred).alias("p"), F.size(tags).alias("n"),
+                  F.size(F.filter(F.zip_with(tags, ptags, lambda a, b: a == b), lambda x: x)).alias("eq"))
+    d = d.withColumn("c", F.array_intersect("g", "p"))
+    zero = F.lit(0)
+
+    def row(kind, g, p, c, eq, n):
+        return F.struct(kind.alias("type"), *(x.cast("long").alias(k) for k, x in zip(("g", "p", "c", "eq", "n"), (g, p, c, eq, n))))
+
+    of = lambda arr, *flags: F.transform(arr, lambda s: row(
+        F.regexp_extract(s, "^[0-9]+:[0-9]+:(.*)$", 1), *(F.lit(f) for f in flags), zero, zero))
+    items = F.concat(of("g", 1, 0, 0), of("p", 0, 1, 0), of("c", 0, 0, 1),
+                     F.array(row(F.lit(None).cast("string"), zero, zero, zero, F.col("eq"), F.col("n"))))
+    sums = [F.sum(c).alias(c) for c in ("g", "p", "c", "eq", "n")]
+    per = d.select(F.inline(items)).groupBy("type").agg(*sums)
+    total = per.agg(*sums)
+    rows = per.where(F.col("type").isNotNull()).select(F.col("type").alias("entity"), "g", "p", "c").unionByName(
+        total.select(F.lit(overall).alias("entity"), "g", "p", "c"))
+    accuracy = F.broadcast(total.select(F.try_divide(F.col("eq").cast("double"), F.col("n")).alias("accuracy")))  # one row
+    pr, rc, f1 = prf(F.col("c"), F.col("p"), F.col("g"))
+    return rows.crossJoin(accuracy).select("entity", F.col("g").alias("n_gold"), F.col("p").alias("n_pred"), F.col("c").alias("n_correct"),
+                                           pr.alias("precision"), rc.alias("recall"), f1.alias("f1"), "accuracy")
+
+
 def token_accuracy(gold: DataFrame, pred: DataFrame, keys: Sequence[str], label: str = "tag",
                    ignore: int | str | None = -100) -> DataFrame:
     """AG17 accuracy over aligned tokens, ``ignore`` positions left out."""

@@ -98,31 +98,40 @@ def _prev(arr: Column) -> Column:
     return F.slice(F.concat(F.array(F.lit(None).cast("string")), arr), 1, F.size(arr))
 
 
-def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tokens: str | None = "tokens",
-                     carry=()) -> DataFrame:
-    """WN6 on the array form ``(key, tokens, tags)``: no shuffle, no sort.
+def with_span_arrays(df: DataFrame, tags: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the spans of its tag array, ``array<struct<start, end, type>>``; no shuffle, no sort.
 
     Span starts are flagged against the previous tag; "breaks" are starts and
     ``O`` positions; each start's span ends one before the next break.  Each
-    step is its own projection over materialised arrays, so no array is
-    re-evaluated inside a lambda.  Returns ``(key, *carry, start, end, type[, text])``."""
-    keep = [key, *carry] + ([tokens] if tokens else [])
+    step is its own column over materialised arrays, so no array is
+    re-evaluated inside a lambda."""
+    st, br = f"_{out}_st", f"_{out}_b"
 
     def flag(t, p):
         return (t != "O") & (t.startswith("B-") | (t.startswith("I-") & (
             p.isNull() | (p == "O") | (F.substring(p, 3, 1 << 30) != F.substring(t, 3, 1 << 30)))))
-    d1 = df.select(*keep, tags, F.zip_with(F.col(tags), _prev(F.col(tags)), flag).alias("_st"))
-    entries = F.zip_with(F.col(tags), F.col("_st"), lambda t, s: F.struct(
+    d1 = df.withColumn(st, F.zip_with(F.col(tags), _prev(F.col(tags)), flag))
+    entries = F.zip_with(F.col(tags), F.col(st), lambda t, s: F.struct(
         ((t == "O") | s).alias("brk"), s.alias("st"), F.substring(t, 3, 1 << 30).alias("ty")))
     indexed = F.transform(entries, lambda e, i: F.struct(i.alias("i"), e["brk"].alias("brk"), e["st"].alias("st"),
                                                          e["ty"].alias("ty")))
-    d2 = d1.select(*keep, F.size(tags).alias("_n"), F.filter(indexed, lambda e: e["brk"]).alias("_b"))
-    sentinel = F.array(F.struct(F.col("_n").alias("i"), F.lit(True).alias("brk"), F.lit(False).alias("st"),
+    d2 = d1.withColumn(br, F.filter(indexed, lambda e: e["brk"])).drop(st)
+    sentinel = F.array(F.struct(F.size(tags).alias("i"), F.lit(True).alias("brk"), F.lit(False).alias("st"),
                                 F.lit(None).cast("string").alias("ty")))
-    nxt = F.concat(F.slice("_b", 2, F.greatest(F.size("_b") - 1, F.lit(0))), sentinel)
-    spans = F.filter(F.zip_with("_b", nxt, lambda a, b: F.when(a["st"], F.struct(
+    nxt = F.concat(F.slice(br, 2, F.greatest(F.size(br) - 1, F.lit(0))), sentinel)
+    spans = F.filter(F.zip_with(br, nxt, lambda a, b: F.when(a["st"], F.struct(
         a["i"].alias("start"), (b["i"] - 1).alias("end"), a["ty"].alias("type")))), lambda x: x.isNotNull())
-    d3 = d2.select(*keep, F.explode(spans).alias("_s")).select(*keep, "_s.start", "_s.end", "_s.type")
+    return d2.withColumn(out, spans).drop(br)
+
+
+def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tokens: str | None = "tokens",
+                     carry=()) -> DataFrame:
+    """WN6 on the array form ``(key, tokens, tags)``: no shuffle, no sort.
+
+    Returns ``(key, *carry, start, end, type[, text])``."""
+    keep = [key, *carry] + ([tokens] if tokens else [])
+    d2 = with_span_arrays(df.select(*keep, tags), tags, "_spans")
+    d3 = d2.select(*keep, F.explode("_spans").alias("_s")).select(*keep, "_s.start", "_s.end", "_s.type")
     if tokens:
         d3 = d3.withColumn("text", F.array_join(F.slice(tokens, F.col("start") + 1, F.col("end") - F.col("start") + 1), " "))
         return d3.select(key, *carry, "start", "end", "type", "text")

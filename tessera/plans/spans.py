@@ -111,18 +111,10 @@ SELECT entity, n_gold, n_pred, n_correct, round(pr, 6) AS precision, round(rc, 6
        round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END, 6) AS f1, round(accuracy, 6) AS accuracy
 FROM m, acc""")
 def q_sequence_metrics(spark, sf):
-    rows = _rows(spark, sf).select("doc_id", "pos", "tag")
-    both = rows.withColumn("ptag", D.pred_tag(F.col("tag"), F.col("doc_id"), F.col("pos")))
-    keys = ["doc_id", "start", "end", "type"]
-    # Gold and predicted tags of a token sit in one row: accuracy needs no join,
-    # and stacking them gives one span-decoding pass keyed by (doc, is_gold).
-    stacked = both.select("doc_id", "pos", F.inline(F.array(
-        F.struct(F.lit(True).alias("is_gold"), F.col("tag").alias("t")),
-        F.struct(F.lit(False).alias("is_gold"), F.col("ptag").alias("t")))))
-    spans = SP.bio_spans(stacked, tag="t", token=None, carry=["is_gold"])
-    s = M.span_scores_tagged(spans, "is_gold", keys)
-    acc = both.agg(F.avg((F.col("tag") == F.col("ptag")).cast("double")).alias("accuracy"))
-    out = s.crossJoin(F.broadcast(acc))
+    """Gold and predicted spans are decoded and compared inside a document's row; only sums are shuffled."""
+    d = D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tags")
+    d = d.withColumn("ptags", F.transform("tags", lambda t, i: D.pred_tag(t, F.col("doc_id"), i)))
+    out = M.sequence_scores(SP.with_span_arrays(SP.with_span_arrays(d, "tags", "gold"), "ptags", "pred"), "tags", "ptags", "gold", "pred")
     return out.select("entity", "n_gold", "n_pred", "n_correct",
                       *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
 

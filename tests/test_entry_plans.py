@@ -69,3 +69,9 @@ def test_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session)
     assert is_one_jvm("local[8]") and not is_one_jvm("local-cluster[3,2,3000]") and not is_one_jvm("yarn")
+
+
+def test_counts_stay_in_the_row(spark):
+    qs = E.queries()
+    for name in ("term_counts", "ngram_counts"):
+        assert "Exchange" not in _plan(qs[name](spark, SMALL)), name

@@ -98,3 +98,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def missing_labels(expected: DataFrame, seen: DataFrame, col: str = "label") -> DataFrame:
     """ST2: labels expected but not seen."""
     return expected.select(col).exceptAll(seen.select(col)).distinct()
+
+
+def by_frequency(df: DataFrame, col: str) -> DataFrame:
+    """SP7: ``(col, n)`` by falling count, ties by value; a range-partitioned sort of the counts."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), col)

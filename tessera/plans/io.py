@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tessera.operators.udf import batched_map
 from tessera.plans import derived as D
 from tessera.plans.bayes import _trained
-from tessera.plans.registry import ORACLES, query
+from tessera.plans import labels as _labels  # noqa: F401  (registers the split queries)
+from tessera.plans.registry import ORACLES, QUERIES, query
 from tessera.session import scratch_path
 from tessera.sources import conll, files
 from tessera.sources.tables import table
@@ -35,6 +36,32 @@ def q_conll_read(spark, sf):
     return back.groupBy("n_tokens", "tags").agg(F.count(F.lit(1)).alias("n"))
 
 
+_LINES = "SELECT line, count(*)::BIGINT AS n FROM (SELECT regexp_replace(unnest(string_split(text, chr(10))), '^\\s+|\\s+$', '', 'g') AS line FROM {}) GROUP BY line"
+
+
+@query("line_list", sql=_LINES.format("documents"))
+def q_line_list(spark, sf):
+    path = scratch_path(spark, "lines")
+    table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("value")).write.text(path)
+    return files.read_lines(spark, path).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("file_texts", sql=_LINES.format("benchmark"))
+def q_file_texts(spark, sf):
+    """Lines of whole files, each read as one text."""
+    path = scratch_path(spark, "files")
+    table(spark, sf, "benchmark").select(F.explode(F.split("text", "\n")).alias("value")).repartition(4).write.text(path)
+    lines = files.read_files(spark, path).select(F.explode(F.split(F.regexp_replace("text", "\n$", ""), "\n")).alias("line"))
+    return lines.groupBy(F.regexp_replace("line", "(?U)^\\s+|\\s+$", "").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("split_files", sql=ORACLES["split_64_16_20"])
+def q_split_files(spark, sf):
+    path = scratch_path(spark, "splits")
+    files.write_splits(QUERIES["split_64_16_20"](spark, sf), path)
+    return spark.read.parquet(path)
+
+
 @query("csv_round_trip", sql="SELECT d.text, l.toxic AS label, d.doc_id FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def q_csv_round_trip(spark, sf):
     lab = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(

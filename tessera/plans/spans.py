@@ -44,6 +44,21 @@ def q_common_spans(spark, sf):
     return s.groupBy(F.col("text").alias("span")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("listed_spans", sql=f"""WITH {D.TAGS_SQL.strip()},{D.spans_sql('tags', 'sp').rstrip()}
+SELECT type AS span, count(*)::BIGINT AS n FROM sp GROUP BY type""")
+def q_listed_spans(spark, sf):
+    """Each document's span types as a list literal in a string, counted."""
+    d = SP.with_span_arrays(D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tags"), "tags", "spans")
+    literal = F.concat(F.lit("["), F.array_join(F.transform("spans", lambda s: F.concat(F.lit("'"), s["type"], F.lit("'"))), ", "), F.lit("]"))
+    return SP.count_listed_spans(d.select(literal.alias("spans")), "spans")
+
+
+@query("word_frequency", sql=f"""WITH {D.TAGS_SQL.strip()}
+SELECT token, count(*)::BIGINT AS n FROM tk GROUP BY token ORDER BY n DESC, token""")
+def q_word_frequency(spark, sf):
+    return L.by_frequency(D.token_rows(table(spark, sf, "documents")), "token")
+
+
 _PIECES_SQL = """
 pc AS (SELECT doc_id, pos, token, tag, unnest(range(0, CAST(ceil(length(token) / 4) AS INTEGER))) AS k FROM tags),
 pl AS (SELECT doc_id, pos, token,

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_labelled_csv(spark: SparkSession, path: str, schema: str, header: bool = False) -> DataFrame:
-    """IO3: CSV with a declared column order; quoted fields may hold commas,
-    quotes (doubled) and newlines."""
+def read_labelled_csv(spark: SparkSession, path: str, schema: str, header: bool = False,
+                      newlines: bool = True) -> DataFrame:
+    """IO3: CSV with a declared column order; quoted fields may hold commas and quotes (doubled).
+
+    ``newlines``: quoted fields may also hold newlines; then a file can't be split and is read by one task.
+    Turn it off for large files without such fields."""
     return (spark.read.schema(schema).option("header", header).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).csv(path))
+            .option("multiLine", newlines).csv(path))
 
 
 def write_labelled_csv(df: DataFrame, path: str, header: bool = True) -> None:
@@ -18,10 +21,11 @@ def write_labelled_csv(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """IO4: a line list, stripped, with its file order ``(file, line_no)``."""
+    """IO4: a line list, stripped of all white space, as ``(line, file, place)``; ``place`` ascends in file
+    order, with gaps between the parts in which a file is read."""
     raw = spark.read.text(path)
-    return raw.select(F.trim("value").alias("line"), F.col("_metadata.file_path").alias("file"),
-                      F.monotonically_increasing_id().alias("line_no"))
+    return raw.select(F.regexp_replace("value", "(?U)^\\s+|\\s+$", "").alias("line"), F.col("_metadata.file_path").alias("file"),
+                      F.monotonically_increasing_id().alias("place"))
 
 
 def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -9,7 +9,7 @@ from tessera.operators import dates as DT
 from tessera.operators import similarity as SM
 from tessera.operators import vectors as V
 from tessera.plans.registry import query
-from tessera.plans.sqlparts import toks
+from tessera.plans.sqlparts import lit, toks
 from tessera.sources.tables import table
 
 SHINGLE = 8
@@ -118,10 +118,34 @@ def q_nearest_word(spark, sf):
     return SM.nearest_string(w, "token", [EN_MONTHS]).select("token", "nearest", "distance", "list_pos")
 
 
-@query("date_words")
+# The SQL engine's edit distance counts bytes: its side writes each Cyrillic letter as one ASCII character.
+_CYRILLIC = "абвгдеёжзийклмнопрстуфхцчшщъыьэюя"
+_ONE_BYTE = "abcdefghijklmnopqrstuvwxyz0123456"
+
+
+def _entries(*lists) -> str:
+    return "[" + ", ".join(f"{{'l': {k}, 'p': {p}, 'w': translate({lit(w)}, '{_CYRILLIC}', '{_ONE_BYTE}')}}"
+                           for k, words in enumerate(lists) for p, w in enumerate(words)) + "]"
+
+
+def _nearest(word: str, *lists) -> str:
+    near = f"list_transform({_entries(*lists)}, lambda e: {{'d': levenshtein({word}, e.w), 'l': e.l, 'p': e.p}})"
+    return f"(list_min({near}).p + 1)"
+
+
+def _cut(words, n: str) -> str:
+    w = "[" + ", ".join(lit(x) for x in words) + f"][{n}]"
+    return f"translate(substr({w}, 1, 2) || substr({w}, 4, 100), '{_CYRILLIC}', '{_ONE_BYTE}')"
+
+
+@query("date_words", sql=f"""
+WITH o AS (SELECT o_orderkey, o_orderdate AS t, {_cut(DT.MONTHS, 'month(o_orderdate)')} AS m, {_cut(DT.ORDINALS, 'day(o_orderdate)')} AS d FROM orders),
+mw AS (SELECT m, {_nearest('m', DT.MONTHS)} AS mn FROM (SELECT DISTINCT m FROM o)),
+dw AS (SELECT d, {_nearest('d', DT.ORDINALS, DT.NUMBERS)} AS dn FROM (SELECT DISTINCT d FROM o)),
+s AS (SELECT o_orderkey, t, printf('%04d-%02d-%02d', year(t), mn, dn) AS s FROM o JOIN mw USING (m) JOIN dw USING (d))
+SELECT o_orderkey, CASE WHEN try_cast(s AS DATE) IS NULL THEN {lit(DT.INVALID)} ELSE s END AS date, strftime(t, '%Y-%m-%d') AS truth FROM s""")
 def q_date_words(spark, sf):
-    """Russian month/day words (corrupted by a rule) parsed back to dates; the
-    SQL engine's edit distance counts bytes on Cyrillic, so this is rows-only."""
+    """Russian month/day words (corrupted by a rule) parsed back to dates."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     y, m, d = F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate")
     month_word = F.element_at(F.array(*[F.lit(x) for x in DT.MONTHS]), m)

@@ -2,10 +2,8 @@
 
 Randomness is replaced by rule H (md5 of ``seed:key``), so a split needs no
 shuffle and does not move when rows are added.  Exact-size cuts need each row's
-rank in some order; ``ordinal`` computes it without a global sort: rows are
-cut into at most ``blocks`` equal-width key ranges, the per-block counts (a
-small table) give running offsets, and a row's rank is its block offset plus its
-rank inside the block.
+rank in some order; ``ordinal`` sorts rows over range partitions and adds a
+partition's offset to a row's place in it.
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.sequences import hash_bucket
 from tessera.functions.text import _c
+from tessera.session import scratch_path
 
 
 def hash_order(*cols, seed: int = 42) -> Column:
@@ -25,24 +24,25 @@ def hash_order(*cols, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
 
 
-def ordinal(df: DataFrame, key: str, tiebreak: Sequence[str] = (), blocks: int = 4096,
-            out: str = "ordinal") -> DataFrame:
+def ordinal(df: DataFrame, key: str, tiebreak: Sequence[str] = (), out: str = "ordinal") -> DataFrame:
     """Adds ``out``: the 1-based rank of each row by ``(key, *tiebreak)``.
 
-    ``key`` must be numeric.  The block table has at most ``blocks`` rows, so
-    it is broadcast; inside a block the rank is a window partitioned by block.
+    Rows are sorted over range partitions, whose bounds are sampled, so an outlier
+    or a dense stretch of keys doesn't fill one of them, and written with their
+    place in the partition; the partitions' sizes (one row each) give the offsets.
     """
-    rng = df.agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(blocks)), F.lit(1))
-    withb = df.crossJoin(F.broadcast(rng)).withColumn(
-        "_blk", F.floor((F.col(key) - F.col("_lo")) / width)).drop("_lo", "_hi")
-    counts = withb.groupBy("_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    # A few thousand rows at most: the running sum is cheap in one task.
+    placed = (df.repartitionByRange(key, *tiebreak).sortWithinPartitions(key, *tiebreak)
+              .withColumn("_id", F.monotonically_increasing_id()))
+    path = scratch_path(df.sparkSession, "ordinal")
+    placed.write.parquet(path)
+    placed = df.sparkSession.read.parquet(path)
+    # The id is the partition's number and, in the lower 33 bits, the row's place in it.
+    placed = placed.withColumn("_blk", F.shiftright("_id", 33))
+    counts = placed.groupBy("_blk").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = counts.select("_blk", (F.sum("_cnt").over(Window.orderBy("_blk")) - F.col("_cnt")).alias("_off"))
-    w = Window.partitionBy("_blk").orderBy(key, *tiebreak)
-    return (withb.join(F.broadcast(offs), "_blk")
-            .withColumn(out, F.col("_off") + F.row_number().over(w))
-            .drop("_blk", "_off"))
+    return (placed.join(offs, "_blk")
+            .withColumn(out, F.col("_off") + F.col("_id").bitwiseAND((1 << 33) - 1) + 1)
+            .drop("_blk", "_off", "_id"))
 
 
 def sequential_split(df: DataFrame, key: str, train: float = 0.8) -> DataFrame:

@@ -6,7 +6,7 @@ from tessera.operators import splits as S
 
 def test_ordinal_is_exact(spark):
     df = spark.range(0, 5000, 7).select((F.col("id") * 3 % 10007).alias("k"))
-    o = S.ordinal(df, "k", blocks=16)
+    o = S.ordinal(df, "k")
     got = sorted((r["k"], r["ordinal"]) for r in o.collect())
     assert [x[1] for x in got] == list(range(1, len(got) + 1))
 
@@ -56,3 +56,16 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "y int")
     w = dict(L.class_weights(df, "y").collect())
     assert w == {0: 4 / 6, 1: 2.0}
+
+
+def test_an_outlier_does_not_fill_a_partition(spark):
+    df = spark.range(10_000).unionByName(spark.range(10**12, 10**12 + 1)).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        o = S.ordinal(df, "k")
+        placed = df.repartitionByRange("k").groupBy(F.spark_partition_id().alias("p")).count()
+        sizes = [r["count"] for r in placed.collect()]
+        assert max(sizes) < 5_000 and sum(sizes) == 10_001
+        assert o.where("ordinal <> k + 1 AND k < 10000 OR k >= 10000 AND ordinal <> 10001").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

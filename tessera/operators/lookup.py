@@ -78,14 +78,20 @@ def correction_report(df: DataFrame, inp: str, response: str) -> DataFrame:
     """AG14: duplicates are removed first; each distinct input is ``clean``
     (response equals input), ``corrected`` (differs) or ``skipped`` (no
     response).  One row of counts."""
-    dup = df.agg(F.count(F.lit(1)).alias("_n"), F.countDistinct(inp).alias("n_asked"))
-    uniq = df.groupBy(inp).agg(F.first(response, ignorenulls=False).alias("_r"))
-    out = uniq.agg(
-        F.sum(F.when(F.col("_r").isNull(), 1).otherwise(0)).alias("n_skipped"),
-        F.sum(F.when(F.col("_r") == F.col(inp), 1).otherwise(0)).alias("n_clean"),
-        F.sum(F.when(F.col("_r").isNotNull() & (F.col("_r") != F.col(inp)), 1).otherwise(0)).alias("n_corrected"))
-    return dup.crossJoin(out).select("n_asked", (F.col("_n") - F.col("n_asked")).alias("n_duplicates"),
-                                     "n_clean", "n_corrected", "n_skipped")
+    # An input's outcome is decided in its row and the input's digest is the shuffle key; of several
+    # responses to one input the best outcome counts (clean, then corrected).
+    kind = F.when(F.col(response).isNull(), 2).when(F.col(response) == F.col(inp), 0).otherwise(1)
+    uniq = df.select(text_digest(inp).alias("_d"), kind.alias("_k")).groupBy("_d").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_k"))
+    of = lambda k: F.count_if(F.col("_k") == k)
+    return uniq.agg(F.count(F.lit(1)).alias("n_asked"), (F.sum("_n") - F.count(F.lit(1))).alias("n_duplicates"),
+                    of(0).alias("n_clean"), of(1).alias("n_corrected"), of(2).alias("n_skipped"))
+
+
+def correction_rows(df: DataFrame, inp: str, response: str) -> DataFrame:
+    """AG14, the rows behind the report: ``(input, response, outcome)`` of each distinct pair."""
+    kind = F.when(F.col(response).isNull(), "skipped").when(F.col(response) == F.col(inp), "clean").otherwise("corrected")
+    return df.select(inp, response, kind.alias("outcome")).distinct()
 
 
 def dependency_phrase(edges: DataFrame, key_word: str, sent: str = "sent_id", i: str = "i", text: str = "text",

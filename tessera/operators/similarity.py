@@ -34,13 +34,11 @@ def jaccard(a, b) -> Column:
 
 
 def ngram_counts(df: DataFrame, key: str, toks: str, orders: Sequence[int]) -> DataFrame:
-    """``(key, n, gram, cnt)`` for each n in ``orders``."""
-    parts = None
-    for n in orders:
-        p = (df.select(key, F.lit(n).alias("n"), F.explode(ngrams(F.col(toks), n, sep=" ")).alias("gram"))
-             .groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
-        parts = p if parts is None else parts.unionByName(p)
-    return parts
+    """``(key, n, gram, cnt)`` for each n in ``orders``; the rows are read once for all orders."""
+    def of(n: int) -> Column:
+        return F.transform(ngrams(F.col(toks), n, sep=" "), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
+    return (df.select(key, F.inline(F.concat(*[of(n) for n in orders])))
+            .groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def clipped_counts(pairs: DataFrame, cand: DataFrame, ckey: str, ctoks: str, ref: DataFrame, rkey: str,

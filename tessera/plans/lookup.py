@@ -41,7 +41,7 @@ dt AS (SELECT DISTINCT unnest({toks('text')}) AS term FROM documents)"""
 
 
 def _terms(spark, sf, name):
-    return table(spark, sf, name).select(F.explode(tokens("text")).alias("term"))
+    return table(spark, sf, name).select(F.explode(F.array_distinct(tokens("text"))).alias("term")).distinct()
 
 
 @query("terms_intersect", sql=f"WITH {_TERMS.strip()} SELECT term FROM bt INTERSECT SELECT term FROM dt")
@@ -81,6 +81,16 @@ def q_correction_report(spark, sf):
         *[F.col(c).cast("bigint").alias(c) for c in ("n_asked", "n_duplicates", "n_clean", "n_corrected", "n_skipped")])
 
 
+@query("correction_rows", sql="""
+WITH l AS (SELECT trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
+r AS (SELECT line, CASE WHEN line = '' THEN NULL ELSE trim(regexp_replace(line, '\\s+', ' ', 'g')) END AS resp FROM l)
+SELECT DISTINCT line, resp, CASE WHEN resp IS NULL THEN 'skipped' WHEN resp = line THEN 'clean' ELSE 'corrected' END AS outcome FROM r""")
+def q_correction_rows(spark, sf):
+    lines = (table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("raw"))
+             .select(F.trim("raw").alias("line")))
+    return LK.correction_rows(lines.withColumn("resp", F.when(F.col("line") != "", clean_string("line"))), "line", "resp")
+
+
 def _edges(spark, sf):
     """A derived dependency edge table: each token's head is the previous token;
     the first token is ``ROOT``; a rule-H third of the rest are ``nmod``."""

@@ -8,7 +8,7 @@ lowest rank.  A merge removes the right neighbour and makes a point update for i
 and for the token before it.
 
 Defined results: a null text is encoded as an empty one (no ids); repeated rows give repeated results;
-an empty table gives no rows.
+an empty table gives no rows; a column that carries the result's name is replaced by the result.
 """
 
 from __future__ import annotations
@@ -249,9 +249,8 @@ def decode_ids(ids: bytes | None, path: str = VOCABULARY) -> bytes:
 
 def _replaced(df: DataFrame, source: str, target: str, work, kind: pa.DataType) -> DataFrame:
     """``df`` with the column ``source`` replaced by ``target`` = work(its values), in batches."""
+    df = df.drop(*[c for c in df.columns if c.lower() == target.lower() and c != source])
     at, names = df.columns.index(source), [target if c == source else c for c in df.columns]
-    if len({c.lower() for c in names}) < len(names):
-        raise ValueError(f"the input has a column {target} already")
     fields = ", ".join(f"`{n}` {'binary' if n == target else t}" for n, (_, t) in zip(names, df.dtypes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

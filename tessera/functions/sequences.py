@@ -46,6 +46,19 @@ def ngrams(toks, n: int, sep: str = "_") -> Column:
     return F.transform(idx, lambda i: F.array_join(F.slice(toks, i, n), sep))
 
 
+def with_counts(df: DataFrame, arr: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the distinct elements of the string array ``arr`` with their counts,
+    ``array<struct<token, n>>``, sorted.  Like ``with_run_counts`` without positions: strings alone are sorted."""
+    s, r = f"__{out}_s", f"__{out}_r"
+    d = df.withColumn(s, F.sort_array(F.col(arr)))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))))
+    new = F.transform(F.zip_with(s, before, lambda a, b: a.eqNullSafe(b)), lambda same, i: F.when(~same, i))
+    d = d.withColumn(r, F.filter(new, lambda i: i.isNotNull()))
+    runs = F.zip_with(r, F.concat(shifted(F.col(r)), F.array(F.size(s))), lambda i, e: F.struct(
+        F.get(F.col(s), i).alias("token"), (e - i).cast("bigint").alias("n")))
+    return d.withColumn(out, F.slice(runs, 1, F.size(r))).drop(s, r)
+
+
 def with_run_counts(df: DataFrame, arr: str, out: str) -> DataFrame:
     """``df`` with ``out``: the distinct elements of the array column ``arr`` with their counts and first
     positions, ``array<struct<first, token, n>>`` in first-occurrence order (``first`` is 0-based).

@@ -60,7 +60,7 @@ def sequence_scores(df: DataFrame, tags: str, ptags: str, gold: str, pred: str,
     items = F.concat(of("g", 1, 0, 0), of("p", 0, 1, 0), of("c", 0, 0, 1),
                      F.array(row(F.lit(None).cast("string"), zero, zero, zero, F.col("eq"), F.col("n"))))
     sums = [F.sum(c).alias(c) for c in ("g", "p", "c", "eq", "n")]
-    per = d.select(F.inline(items)).groupBy("type").agg(*sums)
+    per = d.select(F.inline_outer(items)).groupBy("type").agg(*sums)
     total = per.agg(*sums)
     rows = per.where(F.col("type").isNotNull()).select(F.col("type").alias("entity"), "g", "p", "c").unionByName(
         total.select(F.lit(overall).alias("entity"), "g", "p", "c"))

@@ -37,7 +37,7 @@ def ngram_counts(df: DataFrame, key: str, toks: str, orders: Sequence[int]) -> D
     """``(key, n, gram, cnt)`` for each n in ``orders``; the rows are read once for all orders."""
     def of(n: int) -> Column:
         return F.transform(ngrams(F.col(toks), n, sep=" "), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
-    return (df.select(key, F.inline(F.concat(*[of(n) for n in orders])))
+    return (df.select(key, F.inline_outer(F.concat(*[of(n) for n in orders]))).where(F.col("gram").isNotNull())
             .groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
 
 

@@ -131,7 +131,8 @@ def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tok
     Returns ``(key, *carry, start, end, type[, text])``."""
     keep = [key, *carry] + ([tokens] if tokens else [])
     d2 = with_span_arrays(df.select(*keep, tags), tags, "_spans")
-    d3 = d2.select(*keep, F.explode("_spans").alias("_s")).select(*keep, "_s.start", "_s.end", "_s.type")
+    # Outer, so that no filter on the array's size is inferred and evaluated below.
+    d3 = d2.select(*keep, F.explode_outer("_spans").alias("_s")).select(*keep, "_s.start", "_s.end", "_s.type").where(F.col("start").isNotNull())
     if tokens:
         d3 = d3.withColumn("text", F.array_join(F.slice(tokens, F.col("start") + 1, F.col("end") - F.col("start") + 1), " "))
         return d3.select(key, *carry, "start", "end", "type", "text")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sequences import ngrams, with_run_counts
+from tessera.functions.sequences import ngrams, with_counts, with_run_counts
 from tessera.functions.text import WS, _c, tokens
 
 # The punctuation set deleted by the topic-model cleaner, in the
@@ -122,8 +122,11 @@ def vw_lines(toks: DataFrame, key: str = "doc_id", arr: str = "topic_tokens", wh
 
 def term_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """AG10a: ``(key, token, n)``, counted inside each document's row: no exchange."""
-    d = with_run_counts(df.select(key, tokens(text).alias("_tk")), "_tk", "_runs")
-    return d.select(key, F.explode("_runs").alias("_r")).select(key, F.col("_r.token").alias("token"), F.col("_r.n").alias("n"))
+    d = with_counts(df.select(key, tokens(text).alias("_tk")), "_tk", "_runs")
+    # An outer explode: for an inner one the optimizer infers a filter on the array's size, pushes it to the
+    # scan and there evaluates the whole array expression once more (several times over, as it is nested).
+    runs = d.select(key, F.explode_outer("_runs").alias("_r"))
+    return runs.select(key, F.col("_r.token").alias("token"), F.col("_r.n").alias("n")).where(F.col("token").isNotNull())
 
 
 def ngram_counts(df: DataFrame, n: int = 2, min_count: int = 2, key: str = "doc_id",
@@ -131,9 +134,10 @@ def ngram_counts(df: DataFrame, n: int = 2, min_count: int = 2, key: str = "doc_
     """AG10b: ``(key, ngram, n)`` for n-grams occurring at least ``min_count``
     times; counted inside each document's row like ``term_counts``."""
     d = df.select(key, tokens(text).alias("_tk"))
-    d = with_run_counts(d.select(key, ngrams(F.col("_tk"), n).alias("_ng")), "_ng", "_runs")
+    d = with_counts(d.select(key, ngrams(F.col("_tk"), n).alias("_ng")), "_ng", "_runs")
     often = F.filter("_runs", lambda r: r["n"] >= min_count)
-    return d.select(key, F.explode(often).alias("_r")).select(key, F.col("_r.token").alias("ngram"), F.col("_r.n").alias("n"))
+    runs = d.select(key, F.explode_outer(often).alias("_r"))
+    return runs.select(key, F.col("_r.token").alias("ngram"), F.col("_r.n").alias("n")).where(F.col("ngram").isNotNull())
 
 
 def vw_dataset(docs: DataFrame, stop: DataFrame, which_n_grams=(2,), min_count: int = 2,

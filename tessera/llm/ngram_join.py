@@ -63,8 +63,8 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def signed(docs: DataFrame, text: str, size: int, compressed: bool = False) -> DataFrame:
-    """``docs`` with sig and n_shingles; or only (sig, text), the text compressed and each task's copies left out."""
-    at, names = docs.columns.index(text), [*docs.columns, "sig", "n_shingles"]
+    """``docs`` with its text compressed and sig; or only (sig, text), each task's copies left out."""
+    at, names = docs.columns.index(text), [*docs.columns, "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -77,10 +77,12 @@ def signed(docs: DataFrame, text: str, size: int, compressed: bool = False) -> D
                     new = [k for k, g in enumerate(sig.tolist()) if s.n[k] and g not in seen and not seen.add(g)]
                     cols, out = [pa.array(sig[new], pa.int64()), pa.array([pack(block[k]) for k in new], pa.binary())], ["sig", "text"]
                 else:
-                    cols, out = [*b.slice(first, len(block)).columns, pa.array(sig, pa.int64()), pa.array(s.n, pa.int64())], names
+                    cols, out = [*b.slice(first, len(block)).columns, pa.array(sig, pa.int64())], names
+                    there = cols[at].is_valid().to_pylist()
+                    cols[at] = pa.array([pack(t) if v else None for t, v in zip(block, there)], pa.binary())
                 yield pa.RecordBatch.from_arrays(cols, names=out)
 
-    fields = "sig long, text binary" if compressed else ", ".join(f"`{n}` {t}" for n, t in [*docs.dtypes, ("sig", "long"), ("n_shingles", "long")])
+    fields = "sig long, text binary" if compressed else ", ".join(f"`{n}` {'binary' if n == text else t}" for n, t in [*docs.dtypes, ("sig", "long")])
     return docs.mapInArrow(run, fields)
 
 
@@ -230,7 +232,17 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = groups(docs, doc_id, text, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     known = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__nj_id")
     kept = stored(kept.groupBy(known("doc_id"), "comp").agg(F.min("sig").alias("sig")).select("__nj_id", "sig"), "kept", release=True)
-    taken = {c: "__nj_" + c for c in docs.columns if c in ("sig", "n_shingles")}
-    rows = signed(docs.withColumnsRenamed(taken), text, size).drop("n_shingles").select("*", known(doc_id))
+    taken = {c: "__nj_" + c for c in docs.columns if c == "sig"}
+    rows = signed(docs.withColumnsRenamed(taken), text, size).select("*", known(doc_id))
     rows = rows.join(kept, ["__nj_id", "sig"], "left_semi").dropDuplicates(["__nj_id", "sig"])
-    return rows.select(*(F.col(taken.get(c, c)).alias(c) for c in docs.columns))
+    at, names = docs.columns.index(text), docs.columns
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for whole in batches:
+            for x in range(0, whole.num_rows, 256):
+                cols = list(whole.slice(x, 256).columns)
+                cols[at] = pa.array([None if t is None else unpack(t) for t in cols[at].to_pylist()], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return rows.select(*(F.col(taken.get(c, c)).alias(c) for c in names)).mapInArrow(plain, docs.schema)

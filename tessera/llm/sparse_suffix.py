@@ -271,20 +271,26 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     at, names = docs.columns.index(text), [*docs.columns, "__ss_key"]
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             for first, block in blocks(b.column(at)):
-                yield pa.RecordBatch.from_arrays([*b.slice(first, len(block)).columns, _digest(block)], names=names)
+                cols = list(b.slice(first, len(block)).columns)
+                cols[at] = pa.array([pack(t) if v else None for t, v in zip(block, cols[at].is_valid().to_pylist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([*cols, _digest(block)], names=names)
 
-    keyed = docs.mapInArrow(digest, ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), "`__ss_key` int"]))
+    fields = [f"`{c}` {'binary' if c == text else t}" for c, t in docs.dtypes]  # the texts are compressed on their way
+    keyed = docs.mapInArrow(digest, ", ".join([*fields, "`__ss_key` int"]))
     rows = keyed.join(spans, keyed[doc_id].cast("long").eqNullSafe(spans["__ss_id"]) & (keyed["__ss_key"] == spans["__ss_own"]), "left")
     rows = rows.select(*docs.columns, "__ss_spans")
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             for x in range(0, whole.num_rows, 512):
                 b = whole.slice(x, 512)
                 cols, spans_of = list(b.columns[:-1]), b.column(len(names) - 1).to_pylist()
-                texts = [cut(t, s) if s else t for t, s in zip(cols[at].to_pylist(), spans_of)]
+                texts = [None if t is None else unpack(t).decode() for t in cols[at].to_pylist()]
+                texts = [cut(t, s) if s else t for t, s in zip(texts, spans_of)]
                 cols[at] = pa.array(texts, pa.string())
                 left = pa.array([not s or bool(_WORD.search(t.encode())) for t, s in zip(texts, spans_of)])
                 yield pa.RecordBatch.from_arrays(cols, names=names[:-1]).filter(left)

@@ -6,7 +6,8 @@ in the corpus are dropped (counted with partial sums).  The other suffixes get t
 are sorted over range partitions: by run, those of the run's smallest document first, then by the words
 that follow and those before.  Each is compared with its neighbour in this order and with the smallest
 document's, and the match is extended to the left and to the right.  A run's suffixes may lie in many
-partitions; those that begin a partition are joined with the smallest document's afterwards.  Of a passage
+partitions; those of a run that began in another one, and without a smaller neighbour that has the passage,
+are joined with the smallest document's afterwards.  Of a passage
 of ``LENGTH`` words or more, the place in the smaller of two documents stays and the other is reported.
 
 Words are those between white space, A-Z lower-cased; runs are compared by 64-bit hashes, words around them
@@ -154,20 +155,22 @@ class _Rows:
         rows = self.batch.take(pa.array(at, pa.int64()))
         return {c: rows.column(c) for c in _ROW}
 
-    def matches(self, a: np.ndarray, b: np.ndarray, length: int) -> pa.RecordBatch:
-        """The words that the larger document of each pair of rows shares with the other, where there are enough."""
+    def matches(self, a: np.ndarray, b: np.ndarray, length: int) -> tuple[pa.RecordBatch, np.ndarray]:
+        """The words that the larger document of each pair of rows shares with the other, where there are enough;
+        and the rows of the larger ones."""
         left, right = _same(self.left[a], self.left[b]), _same(self.right[a], self.right[b])
         other = (self.id[a] != self.id[b]) | (self.own[a] != self.own[b])
         on = np.flatnonzero((left + GRAM + right >= length) & other)
         a, b, left, right = a[on], b[on], left[on], right[on]
         swap = (self.id[a] < self.id[b]) | ((self.id[a] == self.id[b]) & (self.own[a] < self.own[b]))
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        return _out(0, len(a), {"id": self.id[a], "own": self.own[a], "start": self.pos[a] - left, "end": self.pos[a] + GRAM + right, "of": self.id[b]})
+        return _out(0, len(a), {"id": self.id[a], "own": self.own[a], "start": self.pos[a] - left, "end": self.pos[a] + GRAM + right, "of": self.id[b]}), a
 
 
 def _neighbours(length: int):
-    """Of sorted partitions: matches (kind 0), suffixes whose run began in another partition (1), and the
-    smallest document's suffix of a run that may go on in the next one (2)."""
+    """Of sorted partitions: matches (kind 0); suffixes whose run began in another partition and that have no
+    match with a smaller document here (1); the smallest document's suffix of a run that may go on in the next
+    one (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
@@ -182,9 +185,11 @@ def _neighbours(length: int):
             doc_at = np.maximum.accumulate(np.where(new_doc, np.arange(n), 0))
             mine = np.arange(n) >= old
             near = np.flatnonzero(mine & (doc_at > run_at))  # the suffix before those of the same document
-            yield r.matches(near, doc_at[near] - 1, length)
+            found, larger = r.matches(near, doc_at[near] - 1, length)
+            yield found
             far = np.flatnonzero(mine & ~r.later[run_at] & (run_at < doc_at - 1))
-            yield r.matches(far, run_at[far], length)
+            yield r.matches(far, run_at[far], length)[0]
+            mine[larger] = False  # a smaller document with the passage is known
             lost = np.flatnonzero(mine & r.later[run_at])
             yield _out(1, len(lost), r.take(lost))
             keep = sorted({int(run_at[-1]), max(int(doc_at[-1]) - 1, int(run_at[-1])), n - 1})
@@ -201,7 +206,7 @@ def _borders(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             one, two = b.select(_ROW), b.select(["gram", *("o_" + c for c in _ROW[1:])]).rename_columns(_ROW)
-            yield _Rows(pa.concat_batches([one, two])).matches(np.arange(b.num_rows), np.arange(b.num_rows) + b.num_rows, length)
+            yield _Rows(pa.concat_batches([one, two])).matches(np.arange(b.num_rows), np.arange(b.num_rows) + b.num_rows, length)[0]
 
     return run
 

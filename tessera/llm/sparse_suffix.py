@@ -1,17 +1,16 @@
 """Repeated passages by sparse suffix arrays, and their removal.
 
-Suffixes are kept at minimisers only: of every ``SPAN`` runs of ``GRAM`` words in a row, the one with the
-smallest hash; so any ``LENGTH`` words in a row hold a kept suffix, the same in each copy.  Runs found once
-in the corpus are dropped (counted with partial sums).  The other suffixes get the words around them and
-are sorted over range partitions: by run, those of the run's smallest document first, then by the words
-that follow and those before.  Each is compared with its neighbour in this order and with the smallest
-document's, and the match is extended to the left and to the right.  A run's suffixes may lie in many
-partitions; those of a run that began in another one, and without a smaller neighbour that has the passage,
-are joined with the smallest document's afterwards.  Of a passage
-of ``LENGTH`` words or more, the place in the smaller of two documents stays and the other is reported.
-
-Words are those between white space, A-Z lower-cased; runs are compared by 64-bit hashes, words around them
-by 32-bit ones.  Defined results: a null or short text repeats nothing; rows of equal id and text are one
+Runs of words are kept at minimisers only: of every ``SPAN`` runs of ``GRAM`` words in a row, the one with the
+smallest hash; so any ``LENGTH`` words in a row hold a kept run, the same in each copy.  Runs found once in
+the corpus are dropped (counted with partial sums).  Of the documents with others, the suffixes that have a
+kept run within their first ``LENGTH`` words are sorted to this depth over range partitions, by hash and then
+by document: those that begin alike are one interval, and every one but its smallest document's repeats the
+document before it in the interval.  An interval may lie in many partitions; only a partition's first suffix
+needs another one, the last of the partition before, so these edges are sorted once more.  Overlapping
+repeats join to passages.  A document keeps the words of which no smaller document has a window of
+``LENGTH`` words around them, wherever partitions end.
+
+Words are those between white space, A-Z lower-cased; runs and windows are compared by 64-bit hashes.  Defined results: a null or short text repeats nothing; rows of equal id and text are one
 document, each row has its result; of an equal id the text decides the order; a null id is the smallest;
 an empty table gives no rows.  A passage inside one document alone isn't a repeat.
 """
@@ -23,9 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import stored
@@ -33,7 +33,6 @@ from tessera.llm.words import SPACED, blocks, grams, words
 
 LENGTH, GRAM = 50, 26
 SPAN = LENGTH - GRAM + 1
-AROUND = SPAN - 1
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -94,121 +93,65 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, own int, text binary")
 
 
-def _surrounded(wanted: DataFrame) -> DataFrame:
-    """(gram, id, own, pos, later, left, right) for rows (id, own, text, places): 32-bit hashes of the words around."""
+def _windows(wanted: DataFrame, length: int) -> DataFrame:
+    """(window, id, own, starts) for rows (id, own, text, places): the hash of each ``length`` words in a row that
+    hold one of the places, and where they start in the text (32-bit integers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             for x in range(0, whole.num_rows, 256):
-                b = whole.slice(x, 256)
-                block = [unpack(t) for t in b.column(2).to_pylist()]
-                places = b.column(3).to_pylist()
-                w = words(block, SPACED)
-                text = np.repeat(np.arange(len(block)), [len(p) for p in places])
-                pos = np.array([y["pos"] for p in places for y in p], np.int64)
-                small = np.maximum((w.hash >> np.uint64(32)).astype(np.uint32), 1)
-                gaps = AROUND + GRAM
-                line = np.zeros(len(small) + (len(block) + 1) * gaps, np.uint32)  # 0: no word
-                line[np.arange(len(small)) + (w.text_of() + 1) * gaps] = small
-                at = w.first[text] + pos
-                there = at + (text + 1) * gaps
-                k = np.arange(AROUND)
-                left = line[there[:, None] - 1 - k].astype("<u4")
-                right = line[there[:, None] + GRAM + k].astype("<u4")
-                row = pa.array(text)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams(w.hash, GRAM)[at].view(np.int64)), b.column(0).take(row), b.column(1).take(row), pa.array(pos, pa.int32()),
-                     pa.array([y["later"] for p in places for y in p], pa.bool_()),
-                     *(pa.array([r.tobytes() for r in side], pa.binary()) for side in (left, right))], names=_ROW)
-
-    return wanted.mapInArrow(run, "gram long, id long, own int, pos int, later boolean, left binary, right binary")
-
-
-def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many words two sides have in common, from the run outwards."""
-    other = (a != b) | (a == 0)
-    return np.where(other.any(1), other.argmax(1), a.shape[1])
-
-
-_ROW = ["gram", "id", "own", "pos", "later", "left", "right"]
-_OUT = pa.schema([("kind", pa.int32()), ("gram", pa.int64()), ("id", pa.int64()), ("own", pa.int32()), ("pos", pa.int32()), ("later", pa.bool_()),
-                  ("left", pa.binary()), ("right", pa.binary()), ("start", pa.int64()), ("end", pa.int64()), ("of", pa.int64())])
-_FIELDS = "kind int, gram long, id long, own int, pos int, later boolean, left binary, right binary, start long, end long, of long"
-
-
-def _out(kind: int, n: int, cols: dict) -> pa.RecordBatch:
-    cols = {"kind": np.full(n, kind), **cols}
-    return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _OUT], schema=_OUT)
-
-
-class _Rows:
-    """Sorted suffixes as arrays."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        self.batch = batch
-        self.gram, self.id, self.own, self.pos = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("gram", "id", "own", "pos"))
-        self.later = batch.column("later").to_numpy(zero_copy_only=False)
-        self.left, self.right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, AROUND) for c in ("left", "right"))
-
-    def take(self, at: np.ndarray) -> dict:
-        rows = self.batch.take(pa.array(at, pa.int64()))
-        return {c: rows.column(c) for c in _ROW}
-
-    def matches(self, a: np.ndarray, b: np.ndarray, length: int) -> tuple[pa.RecordBatch, np.ndarray]:
-        """The words that the larger document of each pair of rows shares with the other, where there are enough;
-        and the rows of the larger ones."""
-        left, right = _same(self.left[a], self.left[b]), _same(self.right[a], self.right[b])
-        other = (self.id[a] != self.id[b]) | (self.own[a] != self.own[b])
-        on = np.flatnonzero((left + GRAM + right >= length) & other)
-        a, b, left, right = a[on], b[on], left[on], right[on]
-        swap = (self.id[a] < self.id[b]) | ((self.id[a] == self.id[b]) & (self.own[a] < self.own[b]))
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        return _out(0, len(a), {"id": self.id[a], "own": self.own[a], "start": self.pos[a] - left, "end": self.pos[a] + GRAM + right, "of": self.id[b]}), a
-
-
-def _neighbours(length: int):
-    """Of sorted partitions: matches (kind 0); suffixes whose run began in another partition and that have no
-    match with a smaller document here (1); the smallest document's suffix of a run that may go on in the next
-    one (2)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
-        for b in batches:
-            old = 0
-            if before is not None:  # the last run's first suffix, and the last one
-                old, b = before.num_rows, pa.concat_batches([before, b])
-            r, n = _Rows(b), b.num_rows
-            new_run = np.concatenate([[True], np.diff(r.gram) != 0])
-            new_doc = new_run | np.concatenate([[True], (np.diff(r.id) != 0) | (np.diff(r.own) != 0)])
-            run_at = np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
-            doc_at = np.maximum.accumulate(np.where(new_doc, np.arange(n), 0))
-            mine = np.arange(n) >= old
-            near = np.flatnonzero(mine & (doc_at > run_at))  # the suffix before those of the same document
-            found, larger = r.matches(near, doc_at[near] - 1, length)
-            yield found
-            far = np.flatnonzero(mine & ~r.later[run_at] & (run_at < doc_at - 1))
-            yield r.matches(far, run_at[far], length)[0]
-            mine[larger] = False  # a smaller document with the passage is known
-            lost = np.flatnonzero(mine & r.later[run_at])
-            yield _out(1, len(lost), r.take(lost))
-            keep = sorted({int(run_at[-1]), max(int(doc_at[-1]) - 1, int(run_at[-1])), n - 1})
-            before = b.take(pa.array(keep, pa.int64()))
-        if before is not None and not before.column("later")[0].as_py():
-            yield _out(2, 1, _Rows(before).take(np.array([0])))
-
-    return run
-
-
-def _borders(length: int):
-    """Matches of suffixes with the smallest documents' of their runs (o_id, o_own, ..)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            one, two = b.select(_ROW), b.select(["gram", *("o_" + c for c in _ROW[1:])]).rename_columns(_ROW)
-            yield _Rows(pa.concat_batches([one, two])).matches(np.arange(b.num_rows), np.arange(b.num_rows) + b.num_rows, length)[0]
-
-    return run
+                rows = whole.slice(x, 256)
+                for first, block in blocks(pa.array([unpack(t) for t in rows.column(2).to_pylist()], pa.binary())):
+                    b = rows.slice(first, len(block))
+                    places = b.column(3).to_pylist()
+                    w = words(block, SPACED)
+                    text = np.repeat(np.arange(len(block)), [len(p) for p in places])
+                    at = w.first[text] + np.array([y for p in places for y in p], np.int64)
+                    low, high = np.maximum(at - (length - GRAM), w.first[text]), np.minimum(at, w.first[text + 1] - length) + 1
+                    some = low < high
+                    n = len(w.hash) + 1
+                    inside = np.cumsum(np.bincount(low[some], minlength=n) - np.bincount(high[some], minlength=n))
+                    start = np.flatnonzero(inside)
+                    window, text = grams(w.hash, length)[start].view(np.int64), w.text_of()[start]
+                    o = np.lexsort((start, window, text))
+                    start, window, text = start[o], window[o], text[o]
+                    new = np.flatnonzero(np.concatenate([[True], (np.diff(window) != 0) | (np.diff(text) != 0)])[:len(start)])
+                    ends = np.append(new, len(start)).astype(np.int32) * 4
+                    starts = pa.Array.from_buffers(pa.binary(), len(new), [None, *map(pa.py_buffer, (ends, (start - w.first[text]).astype("<i4")))])
+                    row = pa.array(text[new])
+                    yield pa.RecordBatch.from_arrays([pa.array(window[new]), b.column(0).take(row), b.column(1).take(row), starts], names=_ROW)
+
+    return wanted.mapInArrow(run, "window long, id long, own int, starts binary")
+
+
+_ROW = ["window", "id", "own", "starts"]
+REPEAT, FIRST, LAST = range(3)
+
+
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted partitions: the windows that the document before has too, with its id (REPEAT), and the FIRST and the
+    LAST row."""
+    before = None
+
+    def out(kind: int, b: pa.RecordBatch, of: np.ndarray | None = None) -> pa.RecordBatch:
+        n = b.num_rows
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), *b.columns, pa.nulls(n, pa.int64()) if of is None else pa.array(of)],
+                                          names=["kind", *_ROW, "of"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        if before is None:
+            yield out(FIRST, b.slice(0, 1))
+        else:
+            b = pa.Table.from_batches([before, b]).combine_chunks().to_batches()[0]
+        window, id_ = (b.column(c).to_numpy() for c in (0, 1))
+        again = window[1:] == window[:-1]
+        yield out(REPEAT, b.slice(1).filter(pa.array(again)), id_[:-1][again])
+        before = b.slice(b.num_rows - 1)
+    if before is not None:
+        yield out(LAST, before)
 
 
 _NULL = -(1 << 63)
@@ -216,42 +159,50 @@ _NULL = -(1 << 63)
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """(id, own, spans): of each document with repeated passages, the disjoint spans of words (start, end) that
-    are found in a smaller one, each with the ids of documents that it was compared with."""
+    are found in smaller ones, each with the ids of the next smaller documents that have its words."""
     if length < LENGTH:
         raise ValueError(f"passages of {length} words may hold no kept suffix")
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL)).alias("id"), F.col(text).alias("text"))
     kept = stored(suffixes(d), "suffixes")
-    often = kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).where("n > 1").drop("n")
-    place = F.struct("pos", (F.col("id") != F.col("least")).alias("later"))
-    places = stored(kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set(place).alias("places")), "places", release=True)
+    often = kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    places = stored(kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set("pos").alias("places")), "places", release=True)
     wanted = _packed(d).join(places, ["id", "own"]).select("id", "own", "text", "places").dropDuplicates(["id", "own"])
-    order = ["gram", "later", "right", "left", "id", "own", "pos"]
-    found = _surrounded(wanted).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(length), _FIELDS)
-    found = stored(found, "neighbours", release=True)
-    lost, least = found.where("kind = 1").select(*_ROW), found.where("kind = 2").dropDuplicates(["gram"])
-    meet = lost.join(least.select("gram", *(F.col(c).alias("o_" + c) for c in _ROW[1:])), "gram").mapInArrow(_borders(length), _FIELDS)
-    name = lambda c: F.when(F.col(c) != _NULL, F.col(c)).alias(c)
-    spans = found.where("kind = 0").unionByName(meet).select(name("id"), "own", "start", "end", name("of"))
-    return _joined(spans.groupBy("id", "own").agg(F.collect_set(F.struct("start", "end", "of")).alias("all")))
+    order = ["window", "id", "own"]
+    found = _windows(wanted, length).repartitionByRange(*order).sortWithinPartitions(*order)
+    found = stored(found.mapInArrow(_told, "kind int, window long, id long, own int, starts binary, of long"), "neighbours", release=True)
+    edges = found.where(F.col("kind") != REPEAT).groupBy(*order).agg(F.min("kind").alias("kind"), F.first("starts").alias("starts"))
+    edges = edges.withColumn("of", F.lag("id").over(Window.partitionBy("window").orderBy("id", "own"))).where((F.col("kind") == FIRST) & F.col("of").isNotNull())
+    spans = found.where(F.col("kind") == REPEAT).select("id", "own", "starts", "of").unionByName(edges.select("id", "own", "starts", "of"))
+    name = F.when(F.col("id") != _NULL, F.col("id")).alias("id")
+    return _joined(spans.groupBy("id", "own").agg(F.collect_list(F.struct("starts", "of")).alias("all")).select(name, "own", "all"), length)
 
 
-def _joined(spans: DataFrame) -> DataFrame:
-    """Overlapping and touching spans of a document as one."""
+def _joined(spans: DataFrame, length: int) -> DataFrame:
+    """Overlapping and touching windows of a document as one span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for all_ in b.column(2).to_pylist():
-                mine: list[dict] = []
-                for s in sorted(all_, key=lambda s: (s["start"], s["end"])):
-                    if mine and s["start"] <= mine[-1]["end"]:
-                        mine[-1]["end"] = max(mine[-1]["end"], s["end"])
-                        mine[-1]["of"].add(s["of"])
-                    else:
-                        mine.append({"start": s["start"], "end": s["end"], "of": {s["of"]}})
-                out.append([m | {"of": sorted(m["of"], key=lambda x: (x is not None, x))} for m in mine])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("of", pa.list_(pa.int64()))]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, kind)], names=["id", "own", "spans"])
+        for whole in batches:
+            for x in range(0, whole.num_rows, 256):
+                b = whole.slice(x, 256)
+                each, all_ = pc.list_value_length(b.column(2)).to_numpy(), b.column(2).flatten()
+                starts = pc.struct_field(all_, 0)
+                size = pc.binary_length(starts).to_numpy() // 4
+                start = np.frombuffer(b"".join(starts.to_pylist()), "<i4").astype(np.int64)
+                of = np.repeat(pc.struct_field(all_, 1).to_numpy(), size)
+                doc = np.repeat(np.repeat(np.arange(b.num_rows), each), size)
+                o = np.lexsort((start, doc))
+                start, of, doc = start[o], of[o], doc[o]
+                new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(start) > length)])
+                at, span = np.flatnonzero(new), np.cumsum(new) - 1
+                o = np.lexsort((of, span))
+                other, where = of[o], span[o]
+                once = np.concatenate([[True], (np.diff(where) != 0) | (other[1:] != other[:-1])])
+                other, where = other[once], where[once]
+                ids = pa.ListArray.from_arrays(pa.array(np.searchsorted(where, np.arange(len(at) + 1)), pa.int32()), pa.array(other, mask=other == _NULL))
+                end = start[np.append(at[1:], len(start)) - 1] + length
+                parts = pa.StructArray.from_arrays([pa.array(start[at]), pa.array(end), ids], names=["start", "end", "of"])
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[at], np.arange(b.num_rows + 1)), pa.int32()), parts)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], names=["id", "own", "spans"])
 
     return spans.mapInArrow(run, "id long, own int, spans array<struct<start:bigint,end:bigint,of:array<bigint>>>")
 

@@ -153,6 +153,24 @@ def test_op4_hot_passage_over_borders(spark):
     assert len(texts_left) == 420 and sum(passage in t for t in texts_left) == 1
 
 
+def _found(docs):
+    return {r["id"]: {p for s in r["spans"] for p in range(s["start"], s["end"])} for r in sparse_suffix.repeats(docs).collect()}
+
+
+def test_op4_smallest_document_has_less(spark):
+    """The smallest documents quote under 50 words of passages that the others hold whole."""
+    r = random.Random(12)
+    word = lambda: f"w{r.randrange(9000)}"
+    passages = [[word() for _ in range(56)] for _ in range(30)]
+    texts = [" ".join([word() for _ in range(9)] + p[:n] + [word() for _ in range(9)]) for n in (40, 48) for p in passages]
+    for _ in range(5):
+        for p in passages:
+            w = p if r.random() < 0.7 else p[r.randrange(6):][:50]
+            texts.append(" ".join([word() for _ in range(r.randrange(9))] + w + [word() for _ in range(r.randrange(9))]))
+    want = _repeats(list(enumerate(texts)), 50)
+    assert len(want) > 110 and _found(table_of(spark, texts)) == want
+
+
 def test_op4_odd_tables(spark):
     p = " ".join(f"q{k}" for k in range(60))
     odd = spark.createDataFrame([(None, p), (1, p), (1, p), (2, None), (3, "")], "doc_id long, text string")

@@ -171,6 +171,29 @@ def test_op4_smallest_document_has_less(spark):
     assert len(want) > 110 and _found(table_of(spark, texts)) == want
 
 
+def test_op4_partitions(spark):
+    """A hot passage that documents share to different lengths has the same spans in 1 and in 60 partitions."""
+    r = random.Random(5)
+    passage = [f"p{k}" for k in range(90)]
+    texts = []
+    for k in range(300):
+        a, n = (0, 90) if k == 0 or r.random() < 0.2 else (r.randrange(20), r.randrange(50, 70))
+        texts.append(" ".join([f"a{r.random()}", *passage[a:a + n], f"b{r.random()}"]))
+    texts.append("And " * 700)
+    texts.append("And " * 90)
+    docs, was, got = table_of(spark, texts), spark.conf.get("spark.sql.shuffle.partitions"), []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in ("1", "60"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append({r["id"]: r["spans"] for r in sparse_suffix.repeats(docs).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0] == got[1]
+    assert {d: {p for s in spans for p in range(s["start"], s["end"])} for d, spans in got[0].items()} == _repeats(list(enumerate(texts)), 50)
+
+
 def test_op4_odd_tables(spark):
     p = " ".join(f"q{k}" for k in range(60))
     odd = spark.createDataFrame([(None, p), (1, p), (1, p), (2, None), (3, "")], "doc_id long, text string")

@@ -32,6 +32,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("script style noscript template iframe svg object head title canvas audio video map math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong "
                    "sub sup time tt u var wbr input button select textarea option".split())
+HEAD = frozenset("base basefont bgsound link meta title noframes style script noscript template".split())
 SCOPE = frozenset("table td th caption button html body".split())
 ENDED_BY = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
             "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
@@ -75,7 +76,16 @@ class Page(HTMLParser):
                 return None
         return None
 
+    def _in_head(self) -> bool:
+        return self.tag[self.stack[-1]] == "head"
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "head" and len(self.tag) > (2 if self.tag[1:2] == ["html"] else 1) or tag == "html" and self._in_head():
+            return  # too late for a head
+        if tag == "body" and (depth := self._open(frozenset(["head"]), frozenset(["template"]))) is not None:
+            self._pop(depth)
+        elif self._in_head() and tag not in HEAD:  # the head's end tag is optional
+            self._pop(len(self.stack) - 1)
         if tag not in INLINE:
             if (depth := self._open(frozenset(["p"]), SCOPE)) is not None:
                 self._pop(depth)
@@ -101,6 +111,8 @@ class Page(HTMLParser):
             self._pop(depth)
 
     def handle_data(self, data: str) -> None:
+        if self._in_head() and data.strip():
+            self._pop(len(self.stack) - 1)
         if self.hidden or not data:
             return
         if not data.strip():

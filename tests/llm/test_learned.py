@@ -60,6 +60,24 @@ def test_op2_pages(spark):
     assert dom_model.extract(pages.limit(0)).count() == 0
 
 
+def test_op2_optional_tags():
+    """Pages without the tags that HTML lets one omit have the same text."""
+    model, whole = dom_model.trained(), PAGE.format("")
+    want = dom_model.main_text(whole, model)
+    assert want
+    cuts = [("</head>",), ("</head>", "<body>"), ("<head>", "</head>"), ("<head>", "</head>", "<body>"), ("<html>", "</head>", "<body>"), ("<body>",)]
+    for gone in cuts:
+        html = whole
+        for tag in gone:
+            html = html.replace(tag, "")
+        assert dom_model.main_text(html, model) == want, gone
+    assert dom_model.main_text(whole.replace("</head>", "<meta name=x><noscript><link></noscript>\n"), model) == want
+    assert dom_model.main_text(whole.replace("<nav>", "<head><nav>"), model) == want  # a second head is none
+    texts = lambda html: [t for t in dom_model.Page(html).text.values()]
+    assert texts("<head><title>t</title> plain text") == [" plain text"]
+    assert texts("<head><template><p>hidden</p></template><script>x</script><img>shown") == ["shown"]
+
+
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, dom_model, host_rules, ngram_join, pseudo_lm, reply_trees, sparse_suffix, sql, url_rules, wavelet
+from tessera.llm import (bpe, collision_search, decontaminate, dom_model, host_rules, lookup_clusters, metric_trees, ngram_join, pseudo_lm, reply_trees,
+                         sparse_suffix, sql, url_rules, wavelet)
 from tessera.llm.shared import stored, table
 from tessera.session import scratch_path
 
@@ -85,6 +87,23 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op2_dom_model, op3_url_rules, op4_sparse_suffix, op5_ngram_join, op6_wavelet_shards, op7_pseudo_likelihood, op8_reply_trees, op9_byte_bpe, op10_host_rules)}
+def op11_lookup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookup_clusters.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
 
-ORACLES: dict[str, str] = {"op1_suffix_search": sql.OP1, "op5_ngram_join": sql.OP5, "op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10}
+
+def op12_metric_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = metric_trees.compress(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
+    return metric_trees.label_errors(codes).select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op13_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_search.search(table(spark, sf_dir, "embeddings"), asks=F.col("vec_id") % 50 == 0)
+
+
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_suffix_search, op2_dom_model, op3_url_rules, op4_sparse_suffix, op5_ngram_join, op6_wavelet_shards, op7_pseudo_likelihood, op8_reply_trees, op9_byte_bpe, op10_host_rules,
+                                                         op11_lookup_clusters, op12_metric_trees, op13_collision_search)}
+
+ORACLES: dict[str, str] = {"op1_suffix_search": sql.OP1, "op5_ngram_join": sql.OP5, "op8_reply_trees": sql.OP8, "op10_host_rules": sql.OP10,
+                           "op11_lookup_clusters": sql.OP11, "op12_metric_trees": sql.OP12}

@@ -86,3 +86,61 @@ SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
        NOT base_failed AND NOT host_rejected AS kept
 FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source
 """
+
+_FLOOR_MEAN = "CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT)"
+
+
+def _nearest(r: int, by: str) -> str:
+    """a{r}: the nearest centre of each row; rows and centres are in long form, a component a row."""
+    return f"""a{r} AS MATERIALIZED (
+    SELECT {by}vec_id, c, dist FROM (
+        SELECT *, row_number() OVER (PARTITION BY {by}vec_id ORDER BY dist, c) AS n
+        FROM (SELECT {by}vec_id, c, sum((x - m) * (x - m)) AS dist FROM x JOIN c{r} USING ({by}d) GROUP BY {by}vec_id, c))
+    WHERE n = 1)"""
+
+
+def _moved(r: int, by: str) -> str:
+    """c{r + 1}: the floors of the means; centres without rows stay."""
+    return f"""c{r + 1} AS MATERIALIZED (
+    SELECT {by}c, d, coalesce(s.m, o.m) AS m
+    FROM c{r} o LEFT JOIN (SELECT {by}c, d, {_FLOOR_MEAN} AS m FROM x JOIN a{r} USING ({by}vec_id) GROUP BY {by}c, d) s USING ({by}c, d))"""
+
+
+def _rounds(n: int, by: str = "") -> str:
+    return ",\n".join([s for r in range(n) for s in (_nearest(r, by), _moved(r, by))] + [_nearest(n, by)])
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = len(embedding)"
+
+OP11 = f"""
+WITH v AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+x AS MATERIALIZED (
+    SELECT vec_id, d, CAST(floor(64 * CAST(embedding[d] AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS d FROM v)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS c FROM v),
+c0 AS MATERIALIZED (SELECT c, d, x AS m FROM first JOIN x USING (vec_id) WHERE c < 16),
+{_rounds(3)},
+sums AS (SELECT c, sum(dist) AS s FROM a3 GROUP BY c),
+digests AS (SELECT c, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY d)) AS digest FROM c3 GROUP BY c)
+SELECT vec_id, CAST(c AS INT) AS cluster, CAST(dist AS BIGINT) AS distance, CAST(s AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(s) FROM sums) AS BIGINT) AS inertia, digest AS centroid_sha256
+FROM a3 JOIN sums USING (c) JOIN digests USING (c)
+"""
+
+OP12 = f"""
+WITH v AS (
+    SELECT vec_id, label, embedding, len(embedding) // 4 AS width FROM embeddings WHERE {_FINITE}),
+x AS MATERIALIZED (
+    SELECT vec_id, d // width AS p, d % width AS d, CAST(floor(1024 * CAST(embedding[d + 1] AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT vec_id, embedding, width, unnest(range(0, len(embedding))) AS d FROM v)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS c FROM v),
+c0 AS MATERIALIZED (SELECT p, c, d, x AS m FROM first JOIN x USING (vec_id) WHERE c < 256),
+{_rounds(4, "p, ")},
+codes AS (
+    SELECT vec_id, string_agg(lower(printf('%02x', CAST(c AS INT))), '' ORDER BY p) AS code, sum(dist) AS error
+    FROM a4 GROUP BY vec_id),
+sums AS (SELECT label, sum(error) AS s FROM codes JOIN v USING (vec_id) GROUP BY label)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(s AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY p, c, d)) FROM c4) AS codebooks_sha256
+FROM codes JOIN v USING (vec_id) JOIN sums ON v.label IS NOT DISTINCT FROM sums.label
+"""

@@ -12,10 +12,11 @@ it is verified with a probability of 0.975 or more: the expected recall is at le
 has no limit, and the last radius verifies all rows that are left, so a query finds k rows whenever there are k.
 
 The query set is met with all shards in blocks (each shard's own queries are one).  While a shard is made, its queries
-are searched in it; the radius at which that ends bounds their windows in the other shards.  Each shard answers with rows
-and the radius that each needs; the query's final radius is the smallest at which k rows of all shards are found, and rows
-that need more don't count.  So the result doesn't depend on how the rows are dealt out.  Spark broadcasts the queries only
-if it measures them to be small.
+are searched in it.  A row's need is the radius at which it is both verified and within reach; the k-th smallest need
+bounds the query's radius, and in the other shards its windows open to that radius at once.  Each shard answers with rows
+and their needs; the query's final radius is the k-th smallest need of all shards, and rows that need more don't count.
+So the result doesn't depend on how the rows are dealt out.  Spark broadcasts the queries only if it measures them to be
+small.
 
 Defined cases: vectors that are null, zero, hold a null or non-finite component, or haven't the most frequent length take
 no part, as queries or candidates.  A query's own row is left out, other rows with its key aren't.  Equal scores go by
@@ -24,11 +25,13 @@ key, null keys last.  Columns other than the key's and the vector's are not read
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from math import comb, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType
@@ -53,7 +56,7 @@ def threshold(lines: int, reach: float, sure: float) -> int:
 
 COLLISIONS = threshold(LINES, REACH, SURE)
 #: Distances of unit vectors, in growing steps; the last one verifies all rows.
-RADII = [0.05 * 1.2**n for n in range(21)] + [float("inf")]
+RADII = [0.2 * 1.2**n for n in range(14)] + [float("inf")]
 
 
 def lines(length: int) -> np.ndarray:
@@ -71,84 +74,98 @@ def normal(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, scaled, np.sqrt((scaled**2).sum(1))
 
 
+def projections(x: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """(line, row): equal vectors get equal projections, in whatever batch they are (a matrix product's may differ)."""
+    u = x / norms[:, None]
+    return np.stack([(u * line).sum(1) for line in lines(x.shape[1])]).astype(np.float32)
+
+
 class Shard:
-    """Rows with sorted projections."""
+    """Rows with sorted projections; ``places`` orders the rows by key, for ties."""
 
-    def __init__(self, x: np.ndarray, norms: np.ndarray, values: np.ndarray, order: np.ndarray):
-        self.x, self.norms, self.values, self.order = x, norms, values, order
+    def __init__(self, x: np.ndarray, norms: np.ndarray, values: np.ndarray, order: np.ndarray, places: np.ndarray):
+        self.x, self.norms, self.values, self.order, self.places = x, norms, values, order.astype(np.int64), places
 
     @classmethod
-    def build(cls, x: np.ndarray, norms: np.ndarray) -> Shard:
-        seen = ((x / norms[:, None]) @ lines(x.shape[1]).T).T.astype(np.float32)
-        order = np.argsort(seen, axis=1, kind="stable").astype(np.uint16)
-        return cls(x, norms, np.take_along_axis(seen, order.astype(np.int64), 1), order)
+    def build(cls, x: np.ndarray, norms: np.ndarray, places: np.ndarray) -> Shard:
+        seen = projections(x, norms)
+        order = np.argsort(seen, axis=1, kind="stable")
+        return cls(x, norms, np.take_along_axis(seen, order, 1), order, places)
 
     def packed(self) -> list[bytes]:
-        return [self.x.tobytes(), self.norms.tobytes(), self.values.tobytes(), self.order.tobytes()]
+        return [self.x.tobytes(), self.norms.tobytes(), self.values.tobytes(), self.order.astype(np.uint16).tobytes(), self.places.astype(np.uint16).tobytes()]
 
     @classmethod
     def read(cls, packed: list[bytes]) -> Shard:
         norms = np.frombuffer(packed[1])
         n = len(norms)
-        return cls(np.frombuffer(packed[0]).reshape(n, -1), norms, np.frombuffer(packed[2], np.float32).reshape(LINES, n), np.frombuffer(packed[3], np.uint16).reshape(LINES, n))
-
-    def search(self, q: np.ndarray, norm: np.ndarray, k: int, own: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-        """Per query: places of rows, scores, the number of the radius that each needs, and the radius of the end.
-
-        ``own``: the query's place in this shard or -1; ``last``: no radius beyond this one.  A row that k others
-        with a need no larger and a score no smaller precede is left out.
-        """
-        seen = ((q / norm[:, None]) @ lines(q.shape[1]).T).astype(np.float32)
-        reach = np.array(RADII, np.float32) * np.float32(REACH)
-        # Borders of all windows: (line, query, radius).
-        low = np.stack([np.searchsorted(v, seen[:, i, None] - reach, "left") for i, v in enumerate(self.values)])
-        high = np.stack([np.searchsorted(v, seen[:, i, None] + reach, "right") for i, v in enumerate(self.values)])
-        n = len(self.norms)
+        return cls(np.frombuffer(packed[0]).reshape(n, -1), norms, np.frombuffer(packed[2], np.float32).reshape(LINES, n),
+                   np.frombuffer(packed[3], np.uint16).reshape(LINES, n), np.frombuffer(packed[4], np.uint16))
+
+    def borders(self, seen: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(line, query, radius): where each window begins and ends in the sorted arrays."""
+        low = np.stack([np.searchsorted(v, at[:, None] - reach, "left") for v, at in zip(self.values, seen)])
+        return low, np.stack([np.searchsorted(v, at[:, None] + reach, "right") for v, at in zip(self.values, seen)])
+
+    def counted(self, ranges: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """How often each row lies in these ranges (begins and ends by line) of the sorted arrays."""
+        parts = [self.order[i, s:e] for low, high in ranges for i, (s, e) in enumerate(zip(low, high)) if s < e]
+        return np.bincount(np.concatenate(parts), minlength=len(self.norms)) if parts else np.zeros(len(self.norms), np.int64)
+
+    def verified(self, rows: np.ndarray, q: np.ndarray, norm: float, seen: np.ndarray, within: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those of the rows whose distance is within this radius: their scores and needs."""
+        score = (self.x[rows] * q).sum(1) / (self.norms[rows] * norm)
+        far = np.sqrt(np.maximum(2 - 2 * score, 0))
+        near = far <= within
+        rows, score, far = rows[near], score[near], far[near]
+        gaps = np.abs(projections(self.x[rows], self.norms[rows]) - seen[:, None]).astype(float)
+        return rows, score, np.maximum(far, np.partition(gaps, COLLISIONS - 1, axis=0)[COLLISIONS - 1] / REACH)
+
+    def expand(self, q: np.ndarray, norms: np.ndarray, k: int, own: np.ndarray) -> Iterator[float]:
+        """The k-th smallest need of the rows of this shard for each query, one of its rows; infinite without k others."""
+        seen = projections(q, norms)
+        low, high = self.borders(seen, np.array(RADII, np.float32) * np.float32(REACH))
         for a in range(len(q)):
-            collisions, open_ = np.zeros(n, np.int32), np.ones(n, bool)
-            if own[a] >= 0:
-                open_[own[a]] = False
-            place, score, need = [], [], []
-            at = 0
-            for at in range(int(last[a]) + 1):
-                if RADII[at] == float("inf"):
-                    new = np.flatnonzero(open_)
-                else:
-                    lo, hi = low[:, a, at], high[:, a, at]
-                    before = (low[:, a, at - 1], high[:, a, at - 1]) if at else (lo, lo)
-                    sides = [self.order[i, s:e] for i in range(LINES) for s, e in ((lo[i], before[0][i]), (before[1][i], hi[i])) if s < e]
-                    if not sides:
-                        continue
-                    collisions += np.bincount(np.concatenate(sides), minlength=n).astype(np.int32)
-                    new = np.flatnonzero(open_ & (collisions >= COLLISIONS))
-                if len(new):
-                    open_[new] = False
-                    cosine = (self.x[new] * q[a]).sum(1) / (self.norms[new] * norm[a])
-                    far = np.sqrt(np.maximum(2 - 2 * cosine, 0))
-                    place.append(new)
-                    score.append(cosine)
-                    need.append(np.maximum(np.searchsorted(RADII, far, "left"), at))
-                if sum(int((m <= at).sum()) for m in need) >= k:
+            collisions, open_ = np.zeros(len(self.norms), np.int64), np.ones(len(self.norms), bool)
+            open_[own[a]] = False
+            needs = np.empty(0)
+            for at, radius in enumerate(RADII):
+                before = (low[:, a, at - 1], high[:, a, at - 1]) if at else (low[:, a, 0], low[:, a, 0])
+                collisions += self.counted([(low[:, a, at], before[0]), (before[1], high[:, a, at])])
+                new = np.flatnonzero(open_ & (collisions >= COLLISIONS))
+                open_[new] = False
+                needs = np.concatenate([needs, self.verified(new, q[a], norms[a], seen[:, a], np.inf)[2]])
+                if (needs <= radius).sum() >= k:
                     break
-            if not place:
-                yield np.empty(0, int), np.empty(0), np.empty(0, int), at
-                continue
-            place, score, need = (np.concatenate(v) for v in (place, score, need))
-            some = need <= at
-            yield *self.best(place[some], score[some], need[some], k), at
-
-    def best(self, place: np.ndarray, score: np.ndarray, need: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each radius, the k best rows (and those equal to the k-th) of a need no larger; the rest can be in no result."""
-        keep = np.zeros(len(place), bool)
-        for m in np.unique(need):
-            up_to = score[need <= m]
-            worst = np.partition(up_to, -k)[-k] if len(up_to) > k else -np.inf
-            keep |= (need == m) & (score >= worst)
-        return place[keep], score[keep], need[keep]
+            yield float(np.partition(needs, k - 1)[k - 1]) if len(needs) >= k else float("inf")
+
+    def search(self, q: np.ndarray, norms: np.ndarray, k: int, own: np.ndarray, bound: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per query: places of rows, scores and needs, up to the bound; ``own``: the query's place in this shard or -1.
+        A row that k others with a need no larger precede by score and key is left out: it can be in no result."""
+        seen = projections(q, norms)
+        # A hair wider than the bound, against rounding; the needs decide.
+        reach = ((bound * (1 + 1e-5) + 1e-6) * REACH).astype(np.float32)
+        low = np.stack([np.searchsorted(v, at - reach, "left") for v, at in zip(self.values, seen)])
+        high = np.stack([np.searchsorted(v, at + reach, "right") for v, at in zip(self.values, seen)])
+        for a in range(len(q)):
+            rows = np.flatnonzero(self.counted([(low[:, a], high[:, a])]) >= COLLISIONS)
+            rows, score, need = self.verified(rows[rows != own[a]], q[a], norms[a], seen[:, a], bound[a])
+            some = need <= bound[a]
+            yield self.best(rows[some], score[some], need[some], k)
+
+    def best(self, rows: np.ndarray, score: np.ndarray, need: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((self.places[rows], -score))
+        keep, needs = [], []
+        for j in order:
+            at = bisect_right(needs, need[j])
+            if at < k:
+                keep.append(j)
+            needs.insert(at, need[j])
+        return rows[keep], score[keep], need[keep]
 
 
 def index(df: DataFrame, key: str, vector: str, asks: Column, length: int, k: int) -> DataFrame:
-    """A row per shard: its number, keys, arrays, and its queries' places, last radii, vectors and norms."""
+    """A row per shard: its number, keys, arrays, and its queries' places, bounds, vectors and norms."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -161,25 +178,27 @@ def index(df: DataFrame, key: str, vector: str, asks: Column, length: int, k: in
                 rows = rows[some]
                 if not len(rows):
                     continue
-                shard = Shard.build(x, norms)
+                names = run.column(0).take(pa.array(rows))
+                shard = Shard.build(x, norms, np.argsort(pc.sort_indices(names, null_placement="at_end").to_numpy()))
                 asked = np.flatnonzero(run.column(2).to_numpy(zero_copy_only=False)[rows].astype(bool))
-                ends = [end for *_, end in shard.search(x[asked], norms[asked], k, asked, np.full(len(asked), len(RADII) - 1))] if len(asked) else []
-                keys = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), run.column(0).take(pa.array(rows)))
+                bounds = list(shard.expand(x[asked], norms[asked], k, asked)) if len(asked) else []
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), keys, pa.array([shard.packed()], pa.list_(pa.binary())), pa.array([asked.tolist()], pa.list_(pa.int32())),
-                     pa.array([ends], pa.list_(pa.int32())), pa.array([x[asked].tobytes()], pa.binary()), pa.array([norms[asked].tobytes()], pa.binary())],
-                    ["shard", "keys", "arrays", "asked", "ends", "vectors", "norms"])
+                    [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), names), pa.array([shard.packed()], pa.list_(pa.binary())),
+                     pa.array([asked.tolist()], pa.list_(pa.int32())), pa.array([bounds], pa.list_(pa.float64())), pa.array([x[asked].tobytes()], pa.binary()),
+                     pa.array([norms[asked].tobytes()], pa.binary())],
+                    ["shard", "keys", "arrays", "asked", "bounds", "vectors", "norms"])
                 number += 1
 
-    ints, binary = ArrayType(IntegerType()), BinaryType()
-    kinds = schema(shard=LongType(), keys=ArrayType(kind_of(df, key)), arrays=ArrayType(binary), asked=ints, ends=ints, vectors=binary, norms=binary)
+    binary = BinaryType()
+    kinds = schema(shard=LongType(), keys=ArrayType(kind_of(df, key)), arrays=ArrayType(binary), asked=ArrayType(IntegerType()),
+                   bounds=ArrayType(DoubleType()), vectors=binary, norms=binary)
     return df.select(key, vector, F.coalesce(asks, F.lit(False))).mapInArrow(build, kinds)
 
 
 def answers(shards: DataFrame, k: int) -> DataFrame:
     """(home, place, query, key, score, need): what each shard finds for each query; home and place name the query's row."""
     queries = shards.where(F.size("asked") > 0).select(
-        F.col("shard").alias("home"), "asked", "ends", F.transform("asked", lambda p: F.col("keys")[p]).alias("names"), "vectors", "norms")
+        F.col("shard").alias("home"), "asked", "bounds", F.transform("asked", lambda p: F.col("keys")[p]).alias("names"), "vectors", "norms")
     key = kind_of(shards, "keys").elementType
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,11 +219,11 @@ def answers(shards: DataFrame, k: int) -> DataFrame:
                 rows = np.concatenate([f[0] for f in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(who), home)), pa.array(places[who], pa.int32()), batch.column(6)[n].values.take(pa.array(who)), batch.column(1)[n].values.take(pa.array(rows)),
-                     pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]), pa.int32())],
+                     pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))],
                     ["home", "place", "query", "key", "score", "need"])
 
     pairs = shards.select("shard", "keys", "arrays").crossJoin(queries)  # blocks of queries with shards of rows
-    return pairs.mapInArrow(find, schema(home=LongType(), place=IntegerType(), query=key, key=key, score=DoubleType(), need=IntegerType()))
+    return pairs.mapInArrow(find, schema(home=LongType(), place=IntegerType(), query=key, key=key, score=DoubleType(), need=DoubleType()))
 
 
 def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", asks: Column | None = None, k: int = 5) -> DataFrame:

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 from math import comb, erf, sqrt
 
 import numpy as np
@@ -59,6 +60,7 @@ COLLISIONS = threshold(LINES, REACH, SURE)
 RADII = [0.2 * 1.2**n for n in range(14)] + [float("inf")]
 
 
+@lru_cache(maxsize=4)
 def lines(length: int) -> np.ndarray:
     """(line, position): normal directions, the same in every task."""
     return np.random.default_rng(20260101).standard_normal((LINES, length))
@@ -85,6 +87,8 @@ class Shard:
 
     def __init__(self, x: np.ndarray, norms: np.ndarray, values: np.ndarray, order: np.ndarray, places: np.ndarray):
         self.x, self.norms, self.values, self.order, self.places = x, norms, values, order.astype(np.int64), places
+        self.seen = np.empty_like(values)  # (line, row)
+        np.put_along_axis(self.seen, self.order, values, 1)
 
     @classmethod
     def build(cls, x: np.ndarray, norms: np.ndarray, places: np.ndarray) -> Shard:
@@ -107,37 +111,52 @@ class Shard:
         low = np.stack([np.searchsorted(v, at[:, None] - reach, "left") for v, at in zip(self.values, seen)])
         return low, np.stack([np.searchsorted(v, at[:, None] + reach, "right") for v, at in zip(self.values, seen)])
 
-    def counted(self, ranges: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """How often each row lies in these ranges (begins and ends by line) of the sorted arrays."""
-        parts = [self.order[i, s:e] for low, high in ranges for i, (s, e) in enumerate(zip(low, high)) if s < e]
-        return np.bincount(np.concatenate(parts), minlength=len(self.norms)) if parts else np.zeros(len(self.norms), np.int64)
-
-    def verified(self, rows: np.ndarray, q: np.ndarray, norm: float, seen: np.ndarray, within: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Those of the rows whose distance is within this radius: their scores and needs."""
+    def counted(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """In how many of these windows (a begin and an end by line) each row lies; of a window with more than half of
+        the rows, the others are counted."""
+        n, wide = len(self.norms), high - low > len(self.norms) // 2
+        inside = [self.order[i, low[i] : high[i]] for i in np.flatnonzero(~wide)]
+        outside = [part for i in np.flatnonzero(wide) for part in (self.order[i, : low[i]], self.order[i, high[i] :])]
+        count = lambda parts: np.bincount(np.concatenate(parts), minlength=n) if parts else 0
+        return np.full(n, wide.sum()) + count(inside) - count(outside)
+
+    def distances(self, rows: np.ndarray, q: np.ndarray, norm: float, within: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those of the rows that lie within this distance, with score and distance."""
+        rows = rows[self.x[rows] @ q >= ((1 - within**2 / 2) - 1e-9) * self.norms[rows] * norm] if within < 2 else rows
+        # Row by row, so that equal rows have equal scores, which a matrix product doesn't promise.
         score = (self.x[rows] * q).sum(1) / (self.norms[rows] * norm)
         far = np.sqrt(np.maximum(2 - 2 * score, 0))
         near = far <= within
-        rows, score, far = rows[near], score[near], far[near]
-        gaps = np.abs(projections(self.x[rows], self.norms[rows]) - seen[:, None]).astype(float)
-        return rows, score, np.maximum(far, np.partition(gaps, COLLISIONS - 1, axis=0)[COLLISIONS - 1] / REACH)
+        return rows[near], score[near], far[near]
+
+    def needs(self, rows: np.ndarray, far: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The radius at which each row has ``COLLISIONS`` collisions with a query of these projections, or its distance if that is larger."""
+        gaps = np.abs(self.seen[:, rows].astype(float) - at[:, None])
+        return np.maximum(far, np.partition(gaps, COLLISIONS - 1, axis=0)[COLLISIONS - 1] / REACH)
 
     def expand(self, q: np.ndarray, norms: np.ndarray, k: int, own: np.ndarray) -> Iterator[float]:
         """The k-th smallest need of the rows of this shard for each query, one of its rows; infinite without k others."""
         seen = projections(q, norms)
         low, high = self.borders(seen, np.array(RADII, np.float32) * np.float32(REACH))
         for a in range(len(q)):
-            collisions, open_ = np.zeros(len(self.norms), np.int64), np.ones(len(self.norms), bool)
+            open_ = np.ones(len(self.norms), bool)
             open_[own[a]] = False
-            needs = np.empty(0)
+            collisions, rows, far = 0, np.empty(0, int), np.empty(0)
             for at, radius in enumerate(RADII):
-                before = (low[:, a, at - 1], high[:, a, at - 1]) if at else (low[:, a, 0], low[:, a, 0])
-                collisions += self.counted([(low[:, a, at], before[0]), (before[1], high[:, a, at])])
+                if at:  # what lies between the old borders and the new ones
+                    collisions = collisions + self.counted(low[:, a, at], low[:, a, at - 1]) + self.counted(high[:, a, at - 1], high[:, a, at])
+                else:
+                    collisions = self.counted(low[:, a, 0], high[:, a, 0])
                 new = np.flatnonzero(open_ & (collisions >= COLLISIONS))
                 open_[new] = False
-                needs = np.concatenate([needs, self.verified(new, q[a], norms[a], seen[:, a], np.inf)[2]])
-                if (needs <= radius).sum() >= k:
+                new, _, distance = self.distances(new, q[a], norms[a], np.inf)
+                rows, far = np.concatenate([rows, new]), np.concatenate([far, distance])
+                if (far <= radius).sum() >= k:
+                    near = far <= radius
+                    yield float(np.partition(self.needs(rows[near], far[near], seen[:, a]), k - 1)[k - 1])
                     break
-            yield float(np.partition(needs, k - 1)[k - 1]) if len(needs) >= k else float("inf")
+            else:
+                yield float("inf")
 
     def search(self, q: np.ndarray, norms: np.ndarray, k: int, own: np.ndarray, bound: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per query: places of rows, scores and needs, up to the bound; ``own``: the query's place in this shard or -1.
@@ -148,8 +167,9 @@ class Shard:
         low = np.stack([np.searchsorted(v, at - reach, "left") for v, at in zip(self.values, seen)])
         high = np.stack([np.searchsorted(v, at + reach, "right") for v, at in zip(self.values, seen)])
         for a in range(len(q)):
-            rows = np.flatnonzero(self.counted([(low[:, a], high[:, a])]) >= COLLISIONS)
-            rows, score, need = self.verified(rows[rows != own[a]], q[a], norms[a], seen[:, a], bound[a])
+            rows = np.flatnonzero(self.counted(low[:, a], high[:, a]) >= COLLISIONS)
+            rows, score, far = self.distances(rows[rows != own[a]], q[a], norms[a], bound[a])
+            need = self.needs(rows, far, seen[:, a])
             some = need <= bound[a]
             yield self.best(rows[some], score[some], need[some], k)
 

@@ -27,11 +27,11 @@ def norm(v) -> Column:
 
 
 def unit(v) -> Column:
-    """SF8: ``v / ||v||``."""
+    """SF8: ``v / ||v||``; the components of a zero vector are null."""
     # The norm is evaluated once and paired with each element (a lambda that
     # referred to it would recompute it per element).
     v = _c(v)
-    return F.zip_with(v, F.array_repeat(norm(v), F.size(v)), lambda x, n: x / n)
+    return F.zip_with(v, F.array_repeat(norm(v), F.size(v)), lambda x, n: F.try_divide(x, n))
 
 
 def dot(a, b) -> Column:
@@ -77,5 +77,10 @@ def cosine_topk(vectors: DataFrame, key: str, vec: str, queries: DataFrame, qkey
     per = scored.select(key, F.explode(F.transform("_qs", lambda q: F.struct(
         q["q"].alias("q"), dot(q["u"], F.col("_u")).alias("c")))).alias("_s"))
     per = per.select(F.col("_s.q").alias(qkey), key, F.col("_s.c").alias("cosine"))
+    return top(per, qkey, key, k)
+
+
+def top(scored: DataFrame, qkey: str, key: str, k: int) -> DataFrame:
+    """The ``k`` rows of the largest cosine of each query with their rank; ties by ``key``."""
     w = Window.partitionBy(qkey).orderBy(F.desc("cosine"), F.asc(key))
-    return per.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -36,4 +36,4 @@ def load_all() -> None:
         importlib.import_module(f"tessera.plans.{mod}")
 
 
-_MODULES = ("corpus", "bayes", "text", "labels", "spans", "relations", "similarity", "lm", "augment", "lookup", "io")
+_MODULES = ("corpus", "bayes", "text", "labels", "spans", "relations", "similarity", "indexes", "lm", "augment", "lookup", "io")

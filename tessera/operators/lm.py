@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.sequences import shifted
 from tessera.functions.text import _c
+from tessera.session import scratch_path, stored
 
 
 def bigram_rows(df: DataFrame, key: str, toks: str) -> DataFrame:
@@ -31,14 +32,21 @@ def trigram_rows(df: DataFrame, key: str, toks: str) -> DataFrame:
             .select(key, "pos", "x.l", "x.w", "x.r"))
 
 
+def bigram_model(train: DataFrame, key: str, toks: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``((w1, w2, _c12), (w1, _c1), (_V))``: pair counts, context counts and the number of distinct words, all from one
+    counted and written pass: every word is once the first of a pair, the last one of a text with nothing behind it."""
+    after = F.concat(shifted(toks), F.array(F.lit(None).cast("string")))
+    rows = train.select(F.inline(F.zip_with(F.col(toks), after, lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))))
+    counts = stored(rows.where(F.col("w1").isNotNull()).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("_c12")), "bigram-counts")
+    # c(w1, *) is the sum of c(w1, w2): aggregate the aggregate, not the rows again.
+    ctx = counts.groupBy("w1").agg(F.sum(F.when(F.col("w2").isNotNull(), F.col("_c12")).otherwise(0)).alias("_c1"))
+    return counts.where(F.col("w2").isNotNull()), ctx, ctx.agg(F.count(F.lit(1)).alias("_V"))
+
+
 def bigram_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> DataFrame:
     """``(key, pos, logp)`` of each test bigram under an add-one bigram model of
     ``train``: ``p(w2|w1) = (c(w1,w2) + 1) / (c(w1,*) + V)``."""
-    tr = bigram_rows(train, key, toks).where(F.col("pos").isNotNull())
-    vocab = train.select(F.explode(toks).alias("w")).distinct().agg(F.count(F.lit(1)).alias("_V"))
-    bi = tr.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("_c12"))
-    # c(w1, *) is the sum of c(w1, w2): aggregate the aggregate, not the rows again.
-    ctx = bi.groupBy("w1").agg(F.sum("_c12").alias("_c1"))
+    bi, ctx, vocab = bigram_model(train, key, toks)
     te = bigram_rows(test, key, toks)
     # Count tables are vocabulary-sized: shuffle joins, never a static broadcast.
     j = te.join(bi.hint("merge"), ["w1", "w2"], "left").join(ctx.hint("merge"), "w1", "left").crossJoin(
@@ -47,13 +55,24 @@ def bigram_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> D
     return j.select(key, "pos", F.when(F.col("pos").isNotNull(), F.ln(p)).alias("logp"))
 
 
+def trigram_model(train: DataFrame, key: str, toks: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``((l, w, r, _cw), (l, r, _cc), (_V))`` from one counted and written pass over every word with its neighbours, null at the
+    ends of a text."""
+    null = F.array(F.lit(None).cast("string"))
+    before, after = F.slice(F.concat(null, toks), 1, F.size(toks)), F.concat(shifted(toks), null)
+    t = F.zip_with(F.zip_with(before, F.col(toks), lambda a, b: F.struct(a.alias("l"), b.alias("w"))), after,
+                   lambda s, c: F.struct(s["l"].alias("l"), s["w"].alias("w"), c.alias("r")))
+    counts = train.select(F.inline(t)).where(F.col("w").isNotNull()).groupBy("l", "w", "r").agg(F.count(F.lit(1)).alias("_cw"))
+    counts = stored(counts, "trigram-counts")
+    inner = counts.where(F.col("l").isNotNull() & F.col("r").isNotNull())
+    words = counts.groupBy("w").agg(F.count(F.lit(1)).alias("_n"))
+    return inner, inner.groupBy("l", "r").agg(F.sum("_cw").alias("_cc")), words.agg(F.count(F.lit(1)).alias("_V"))
+
+
 def pseudo_logprobs(train: DataFrame, test: DataFrame, key: str, toks: str) -> DataFrame:
     """AG24: ``(key, pos, logp)`` of each interior test token given both
     neighbours: ``(c(l,w,r) + 1) / (c(l,*,r) + V)``."""
-    tr = trigram_rows(train, key, toks).where(F.col("pos").isNotNull())
-    vocab = train.select(F.explode(toks).alias("w")).distinct().agg(F.count(F.lit(1)).alias("_V"))
-    tri = tr.groupBy("l", "w", "r").agg(F.count(F.lit(1)).alias("_cw"))
-    ctx = tri.groupBy("l", "r").agg(F.sum("_cw").alias("_cc"))
+    tri, ctx, vocab = trigram_model(train, key, toks)
     te = trigram_rows(test, key, toks)
     j = te.join(tri.hint("merge"), ["l", "w", "r"], "left").join(ctx.hint("merge"), ["l", "r"], "left").crossJoin(
         F.broadcast(vocab))
@@ -90,21 +109,26 @@ def strided_windows(n, max_length: int = 512, stride: int = 256) -> Column:
 
 def pack_blocks(df: DataFrame, key: str, toks: str, batch: Column, block: int = 128) -> DataFrame:
     """WN9: concatenate the token streams of a batch in key order and cut them
-    into blocks of ``block`` tokens, dropping the batch's remainder.
-
-    Per batch, a window over document rows (not tokens) gives each document's
-    offset; tokens then get ``(offset + pos) div block``; each block collects at
-    most ``block`` tokens.  Returns ``(batch, block_no, tokens)``."""
-    d = df.select(batch.alias("batch"), key, F.col(toks).alias("_t"), F.size(toks).alias("_n"))
-    w = Window.partitionBy("batch").orderBy(key)
-    d = d.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).withColumn(
-        "_tot", F.sum("_n").over(Window.partitionBy("batch")))
-    full = F.floor(F.col("_tot") / block)
-    t = d.select("batch", "_off", full.alias("_full"), F.posexplode("_t").alias("pos", "tok"))
-    t = t.select("batch", ((F.col("_off") + F.col("pos")) / block).cast("long").alias("block_no"),
-                 (F.col("_off") + F.col("pos")).alias("_g"), "tok", "_full").where(F.col("block_no") < F.col("_full"))
-    g = t.groupBy("batch", "block_no").agg(F.array_sort(F.collect_list(F.struct("_g", "tok"))).alias("_b"))
-    return g.select("batch", "block_no", F.transform("_b", lambda x: x["tok"]).alias("tokens"))
+    into blocks of ``block`` tokens, dropping the batch's remainder.  Returns ``(batch, block_no, tokens)``.
+
+    Prefix sums over ``(key, size)`` give each document the interval of the stream that it covers; an interval is cut
+    into one slice of the document's array per block that it meets, and a block joins its slices.  No row per token:
+    a row per document and block.  The window sees no texts; rows of an equal key follow in the order in which they
+    were read (the rows are written with it first)."""
+    d = df.select(batch.alias("batch"), F.col(key).alias("_key"), F.col(toks).alias("_t"), F.size(toks).alias("_n"),
+                  F.monotonically_increasing_id().alias("_id"))
+    path = scratch_path(df.sparkSession, "streams")
+    d.where(F.col("_n") > 0).write.parquet(path)
+    d = df.sparkSession.read.parquet(path)
+    before = F.sum("_n").over(Window.partitionBy("batch").orderBy("_key", "_id")) - F.col("_n")
+    d = d.select("batch", "_t", "_n", "_id").join(d.select("_id", before.alias("_off")), "_id")
+    first, last = F.floor(F.col("_off") / block), F.floor((F.col("_off") + F.col("_n") - 1) / block)
+    d = d.select("batch", "_t", "_off", F.explode(F.sequence(first, last)).alias("block_no"))
+    start = F.greatest(F.col("block_no") * block - F.col("_off"), F.lit(0))
+    size = (F.col("block_no") + 1) * block - F.col("_off") - start
+    part = F.struct("_off", F.slice("_t", (start + 1).cast("int"), size.cast("int")).alias("s"))
+    g = d.groupBy("batch", "block_no").agg(F.array_sort(F.collect_list(part)).alias("_b"))
+    return g.select("batch", "block_no", F.flatten(F.transform("_b", lambda x: x["s"])).alias("tokens")).where(F.size("tokens") == block)
 
 
 MASK = "[MASK]"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.functions.sequences import hash_bucket
 from tessera.operators import lm
+from tessera.operators import vocabulary as VO
 from tessera.plans.registry import query
 from tessera.plans.sqlparts import bucket, toks
 from tessera.sources.tables import table
@@ -114,28 +115,58 @@ def q_masked_tokens(spark, sf):
                     F.array_join("masked", " ").alias("masked_text"))
 
 
-_IDS = f"list_transform({toks('text')}, lambda x: length(x)::INTEGER)"
+_VOCABULARY = f"""
+d AS MATERIALIZED (SELECT doc_id, {toks('text')} AS t FROM documents),
+counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(t) AS word FROM d) GROUP BY word),
+vocab AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) + 1 AS id FROM counts)"""
+_ENCODED = f"""{_VOCABULARY},
+placed AS (SELECT doc_id, generate_subscripts(t, 1) AS i, unnest(t) AS word FROM d),
+listed AS (SELECT doc_id, list(id ORDER BY i) AS ids FROM placed JOIN vocab USING (word) GROUP BY doc_id),
+e AS (SELECT doc_id, coalesce(ids, []) AS ids FROM d LEFT JOIN listed USING (doc_id))"""
 
 
-@query("fixed_length", sql=f"""
-WITH d AS (SELECT doc_id, {_IDS} AS ids FROM documents)
+def _words(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.tokens("text").alias("t"))
+
+
+def _encoded(spark, sf):
+    """(doc_id, ids) of all documents, and the vocabulary of all their words."""
+    d = _words(spark, sf)
+    vocab = VO.vocabulary(VO.word_counts(d, "t"))
+    return VO.encode(d, "doc_id", "t", vocab), vocab
+
+
+@query("vocabulary_ids", sql=f"WITH {_VOCABULARY.strip()} SELECT word, n::BIGINT AS n, id::BIGINT AS id FROM vocab")
+def q_vocabulary_ids(spark, sf):
+    return VO.vocabulary(VO.word_counts(_words(spark, sf), "t")).select("word", "n", "id")
+
+
+@query("vocabulary_by_name", sql=f"""WITH {_VOCABULARY.strip()}
+SELECT word, (row_number() OVER (ORDER BY word) - 1)::BIGINT AS id FROM vocab""")
+def q_vocabulary_by_name(spark, sf):
+    return VO.vocabulary(VO.word_counts(_words(spark, sf), "t"), by="name", reserved=0).select("word", "id")
+
+
+@query("decoded_words", sql=f"SELECT doc_id, array_to_string({toks('text')}, ' ') AS text FROM documents")
+def q_decoded_words(spark, sf):
+    """Every document's words after encoding and decoding."""
+    ids, vocab = _encoded(spark, sf)
+    return VO.decode(ids, "doc_id", "ids", vocab).select("doc_id", F.array_join("words", " ").alias("text"))
+
+
+@query("fixed_length", sql=f"""WITH {_ENCODED.strip()}
 SELECT doc_id, array_to_string(list_concat(ids[1:512], list_transform(range(512 - len(ids)), lambda z: 0)), ' ') AS input_ids,
        array_to_string(list_transform(range(1, 513), lambda i: CASE WHEN i <= len(ids) THEN 1 ELSE 0 END), ' ') AS attention_mask
-FROM d""")
+FROM e""")
 def q_fixed_length(spark, sf):
-    d = table(spark, sf, "documents").select(
-        "doc_id", F.transform(T.tokens("text"), lambda x: F.length(x)).alias("ids"))
-    s = lambda a: F.array_join(F.transform(a, lambda x: x.cast("string")), " ")
-    return d.select("doc_id", s(T.fixed_length("ids", 512, 0)).alias("input_ids"),
-                    s(T.attention_mask("ids", 512)).alias("attention_mask"))
+    d, _ = _encoded(spark, sf)
+    return d.select("doc_id", F.array_join(T.fixed_length("ids", 512, VO.PAD), " ").alias("input_ids"),
+                    F.array_join(T.attention_mask("ids", 512), " ").alias("attention_mask"))
 
 
-@query("pad_masked", sql=f"""
-WITH d AS (SELECT doc_id, {_IDS} AS ids FROM documents)
+@query("pad_masked", sql=f"""WITH {_ENCODED.strip()}
 SELECT doc_id, array_to_string(list_concat(ids[1:128], list_transform(range(128 - len(ids)), lambda z: -100)), ' ') AS labels
-FROM d""")
+FROM e""")
 def q_pad_masked(spark, sf):
-    d = table(spark, sf, "documents").select(
-        "doc_id", F.transform(T.tokens("text"), lambda x: F.length(x)).alias("ids"))
-    lab = T.mask_pad(T.fixed_length("ids", 128, 0), F.size("ids"))
-    return d.select("doc_id", F.array_join(F.transform(lab, lambda x: x.cast("string")), " ").alias("labels"))
+    d, _ = _encoded(spark, sf)
+    return d.select("doc_id", F.array_join(T.mask_pad(T.fixed_length("ids", 128, VO.PAD), F.size("ids")), " ").alias("labels"))

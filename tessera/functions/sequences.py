@@ -1,4 +1,4 @@
-"""Array-valued sequence functions: hashing buckets, n-grams, per-row counts.
+"""Array-valued sequence functions: hashing buckets, n-grams.
 
 These work inside one row (one document), so they need no shuffle however large
 the corpus grows; a document of 20,000 words is one 20,000-element array.
@@ -6,7 +6,7 @@ the corpus grows; a document of 20,000 words is one 20,000-element array.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions.text import _c
@@ -44,35 +44,3 @@ def ngrams(toks, n: int, sep: str = "_") -> Column:
     k = F.size(toks) - n + 1
     idx = F.filter(F.sequence(F.lit(1), F.greatest(k, F.lit(1))), lambda i: i <= k)
     return F.transform(idx, lambda i: F.array_join(F.slice(toks, i, n), sep))
-
-
-def with_counts(df: DataFrame, arr: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the distinct elements of the string array ``arr`` with their counts,
-    ``array<struct<token, n>>``, sorted.  Like ``with_run_counts`` without positions: strings alone are sorted."""
-    s, r = f"__{out}_s", f"__{out}_r"
-    d = df.withColumn(s, F.sort_array(F.col(arr)))
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))))
-    new = F.transform(F.zip_with(s, before, lambda a, b: a.eqNullSafe(b)), lambda same, i: F.when(~same, i))
-    d = d.withColumn(r, F.filter(new, lambda i: i.isNotNull()))
-    runs = F.zip_with(r, F.concat(shifted(F.col(r)), F.array(F.size(s))), lambda i, e: F.struct(
-        F.get(F.col(s), i).alias("token"), (e - i).cast("bigint").alias("n")))
-    return d.withColumn(out, F.slice(runs, 1, F.size(r))).drop(s, r)
-
-
-def with_run_counts(df: DataFrame, arr: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the distinct elements of the array column ``arr`` with their counts and first
-    positions, ``array<struct<first, token, n>>`` in first-occurrence order (``first`` is 0-based).
-
-    Elements are sorted once with their positions; a run starts where an element differs from the one before
-    it and ends at the next start: O(k log k) per row, no explode, no shuffle.  Each step is a column of its
-    own, because a nested step would be evaluated again wherever it is used.
-    """
-    s, r = f"__{out}_s", f"__{out}_r"
-    d = df.withColumn(s, F.sort_array(F.transform(F.col(arr), lambda x, i: F.struct(x.alias("token"), i.alias("pos")))))
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(F.col(s + ".token"), 1, F.greatest(F.size(s) - 1, F.lit(0))))
-    marked = F.zip_with(s, before, lambda a, b: F.struct(a["token"].alias("token"), a["pos"].alias("pos"), (b.isNull() | (a["token"] != b)).alias("new")))
-    at = F.transform(marked, lambda e, i: F.struct(e["pos"].alias("first"), e["token"].alias("token"), e["new"].alias("new"), i.alias("i")))
-    d = d.withColumn(r, F.filter(at, lambda e: e["new"] & e["token"].isNotNull())).withColumn(s, F.size(s))
-    ends = F.concat(shifted(F.col(r + ".i")), F.array(F.col(s)))
-    runs = F.zip_with(r, ends, lambda a, e: F.struct(a["first"].alias("first"), a["token"].alias("token"), (e - a["i"]).cast("bigint").alias("n")))
-    return d.withColumn(out, F.sort_array(F.filter(runs, lambda x: x["token"].isNotNull()))).drop(s, r)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.sequences import hash_bucket, with_counts
+from tessera.functions.sequences import hash_bucket
 from tessera.functions.text import clean_tweet, not_punctuation, word_pieces
 
 # The English stop-word list the classifier removes (179 words).
@@ -78,9 +78,9 @@ def predict(docs: DataFrame, model: DataFrame, prior: DataFrame, key: str = "doc
             toks: str = "words") -> DataFrame:
     """AG3 + JN1: ``score = logprior + sum(loglik)`` over the words found in the
     model (each occurrence counts, unknown words add nothing); ``pred = score > 0``."""
-    # Counted inside the document's row, so that each distinct word is joined once.
-    runs = with_counts(docs.select(key, toks), toks, "_runs").select(key, F.explode_outer("_runs").alias("_r"))
-    per_doc = runs.select(key, F.col("_r.token").alias("word"), F.coalesce(F.col("_r.n"), F.lit(0)).alias("c"))
+    # Counted map-side, so that each distinct word of a document is joined once.
+    words = docs.select(key, F.explode_outer(toks).alias("word"))
+    per_doc = words.groupBy(key, "word").agg(F.count("word").alias("c"))
     joined = per_doc.join(model.select("word", "loglik"), "word", "left")
     sums = joined.groupBy(key).agg(F.sum(F.col("c") * F.coalesce(F.col("loglik"), F.lit(0.0))).alias("s"))
     scored = sums.crossJoin(F.broadcast(prior.select("logprior")))

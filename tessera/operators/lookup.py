@@ -6,25 +6,41 @@ by key with AQE handling skew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens
+from tessera.operators import topics
+
+# Language code, alpha-3 code, name and script, as in the reference's language table.
+LANGUAGE_TABLE = """
+af afr Африканский Latin | am amh Амхарский Ethiopic | ar ara Арабский Arabic | as asm Ассамский - | be be-tarask Белорусский Cyrilic
+bg bul Болгарский Cyrilic | bn asm Бенгальский Бенгальский | bs bos Боснийский Latin | ca cat Каталонский Latin | ceb ceb Кебуано Latin
+co cos Косиканский Latin | cs ces Чешский Latin | cy cym Вельш Latin | da dan Датский Latin | de deu Немецкий Latin
+el ell Современный Греческий Греческий | en eng Английский Latin | eo epo Эсперанто Latin | es spa Испанский Latin | et est Эстонский Latin
+eu eus Баскский Latin | fa fas Персидский Arabic | fi fin Финский Latin | fr fra Французский Latin | ga gle Ирландский Latin
+gl glg Галийский Latin | gu guj Гуджарати Гуджарати | hi hin Хинди Деванагари | hr hrv Хорватский Latin | hu hun Венгерский Latin
+hy hye Армянский Armenian | is isl Исландский Latin | it ita Итальянский Latin | ja jpn Японский Японский | ka kat Грузинский Грузинский
+kk kaz Казахский Cyrilic | ko kor Корейский Корейский | ky kir Киргизский Cyrilic | la lat Латинский Латинский | lt lit Литовский Latin
+lv lav Латвийский Latin | mai mai Маратхи Деванагари | mk mkd Македонский Cyrilic | mr mai Маратхи Деванагари | ne nep Непальский Деванагари
+nl nld Голландский Latin | nn nno Норвежский Latin | no nno Норвежский Latin | oc oci Occitan Latin | om orm Оромо Latin
+or orm Оромо Latin | pa pnb Панджаби Панджаби | pl pol Польский Latin | pnb pnb Панджаби Панджаби | pt por Португальский Latin
+ro ron Румынский Latin | ru rus Русский Cyrilic | sh sh Сербско-Хорватский Latin | sk slk Словацкий Latin | sl slv Словенский Latin
+so som Сомалийский Latin | sq sqi Албанский Latin | sr srp Сербский Latin | sv swe Шведский Latin | th tha Тайский Thai
+tr tur Турецкий Latin | uk ukr Украинский Cyrilic | ur urd Урду Arabic | vi vie Вьетнамский Latin | zh zho Стандартный Китайский Cyrilic
+"""
+
+
+def _language_rows() -> list[tuple[str, str, str, str]]:
+    words = [entry.split() for line in LANGUAGE_TABLE.strip().split("\n") for entry in line.split("|")]
+    return [(w[0], w[1], " ".join(w[2:-1]), w[-1]) for w in words]
+
 
-# Language code -> (alpha-3 code, name, script) for the languages
-# the corpus uses, as in the reference's language table.
-LANGUAGES = (
-    ("ru", "rus", "Русский", "Cyrilic"),
-    ("en", "eng", "Английский", "Latin"),
-    ("de", "deu", "Немецкий", "Latin"),
-    ("fr", "fra", "Французский", "Latin"),
-    ("es", "spa", "Испанский", "Latin"),
-    ("it", "ita", "Итальянский", "Latin"),
-)
+LANGUAGES = _language_rows()
 
 
 def language_table(spark) -> DataFrame:
-    return spark.createDataFrame(list(LANGUAGES), "code string, alpha3 string, lang_name string, script string")
+    return spark.createDataFrame(LANGUAGES, "code string, alpha3 string, lang_name string, script string")
 
 
 def read_language_json(spark, path: str) -> DataFrame:
@@ -35,27 +51,30 @@ def read_language_json(spark, path: str) -> DataFrame:
         "code", F.col("v")[0].alias("alpha3"), F.col("v")[1].alias("lang_name"), F.col("v")[2].alias("script"))
 
 
+def write_language_json(languages: DataFrame, path: str) -> None:
+    """IO7: a language table as one ``{code: [alpha3, name, script]}`` JSON object; some seventy entries, so one file."""
+    entry = F.struct("code", F.array("alpha3", "lang_name", "script"))
+    one = languages.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(path)
+
+
 def lookup_language(df: DataFrame, lang: str, languages: DataFrame) -> DataFrame:
-    """JN2: left join to the (small) language table."""
-    t = F.broadcast(languages.select(F.col("code").alias("_code"), "alpha3", "lang_name"))
+    """JN2: left join to the language table, which Spark broadcasts if it knows it to be small."""
+    t = languages.select(F.col("code").alias("_code"), "alpha3", "lang_name")
     return df.join(t, df[lang] == t["_code"], "left").drop("_code")
 
 
 def language_profiles(docs: DataFrame, k: int = 50, text: str = "text", lang: str = "lang") -> DataFrame:
     """The ``k`` most frequent tokens of each language (ties by token)."""
-    counts = (docs.select(F.col(lang).alias("lang"), F.explode(tokens(text)).alias("word"))
-              .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("word"))
-    return counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).select("lang", "word")
+    return topics.corpus_stop_words(docs, k, text, lang)
 
 
 def detect_language(docs: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """JN10 (re-aimed): the language whose profile the document's tokens hit
     most (ties by language code) -> ``(key, lang_pred, hits)``; without a hit the
-    language is null and hits are 0.  Profiles are bounded (k per language), so
-    they are broadcast."""
+    language is null and hits are 0."""
     t = docs.select(key, F.explode_outer(tokens(text)).alias("word"))
-    hits = t.join(F.broadcast(profiles), "word", "left").groupBy(key, "lang").agg(F.count("lang").alias("hits"))
+    hits = t.join(profiles, "word", "left").groupBy(key, "lang").agg(F.count("lang").alias("hits"))
     best = F.struct((-F.col("hits")).alias("nh"), F.col("lang").alias("l"))
     best = hits.groupBy(key).agg(F.min(F.when(F.col("lang").isNotNull(), best)).alias("_b"))
     return best.select(key, F.col("_b.l").alias("lang_pred"), F.coalesce(-F.col("_b.nh"), F.lit(0)).alias("hits"))
@@ -94,29 +113,42 @@ def correction_rows(df: DataFrame, inp: str, response: str) -> DataFrame:
     return df.select(inp, response, kind.alias("outcome")).distinct()
 
 
+def sentence_tokens(edges: DataFrame, sent: str = "sent_id", i: str = "i", text: str = "text", dep: str = "dep",
+                    head: str = "head_i", having: Column | None = None) -> DataFrame:
+    """``(sent, lo, t)``: a row per sentence; ``t[k]`` is the token at place ``lo + k`` (null for a place without one)
+    as struct(i, text, dep, head).  One exchange of the edge table; a sentence's tokens are one row's array.
+    ``having``: only sentences with a token for which this holds."""
+    token = F.struct(F.col(i).alias("i"), F.col(text).alias("text"), F.col(dep).alias("dep"), F.col(head).alias("head"))
+    s = edges.groupBy(sent).agg(F.array_sort(F.collect_list(token)).alias("_s"), F.bool_or(F.lit(True) if having is None else having).alias("_has")).where("_has")
+    after = F.concat(F.slice("_s", 2, F.greatest(F.size("_s") - 1, F.lit(0))), F.array(F.lit(None).cast(s.schema["_s"].dataType.elementType)))
+    none = F.lit(None).cast(s.schema["_s"].dataType.elementType)
+    # Places without a token between two tokens are filled, so that a head's place is its index.
+    filled = F.zip_with("_s", after, lambda x, y: F.concat(F.array(x), F.array_repeat(none, F.coalesce((y["i"] - x["i"] - 1).cast("int"), F.lit(0)))))
+    return s.select(sent, F.get("_s", F.lit(0))["i"].alias("lo"), F.flatten(filled).alias("t"))
+
+
 def dependency_phrase(edges: DataFrame, key_word: str, sent: str = "sent_id", i: str = "i", text: str = "text",
                       dep: str = "dep", head: str = "head_i", levels: int = 3) -> DataFrame:
-    """JN8: every token containing ``key_word``, its ``nmod`` children and
-    ``levels`` further generations below them, gathered for the whole sentence
-    and output once in token order -> ``(sent, phrase)``.  Each generation is one equi-join on
-    ``(sent, head)``; the join count is fixed, not data-dependent."""
-    e = edges.select(sent, i, text, dep, head)
-    keys = e.where(F.col(text).contains(key_word)).select(sent, F.col(i).alias("key_i"), F.col(i).alias("node"))
-    # The edge table has one row per token: never a broadcast candidate.
-    children = e.select(sent, F.col(head).alias("_parent"), F.col(i).alias("_child"),
-                        F.col(dep).alias("_dep")).hint("merge")
-    gen = (keys.join(children, (keys[sent] == children[sent]) & (keys["node"] == children["_parent"]))
-           .where(F.col("_dep") == "nmod").select(keys[sent], "key_i", F.col("_child").alias("node")))
-    members = keys.unionByName(gen)
-    for _ in range(levels):
-        gen = (gen.join(children, (gen[sent] == children[sent]) & (gen["node"] == children["_parent"]))
-               .select(gen[sent], "key_i", F.col("_child").alias("node")))
-        members = members.unionByName(gen)
-    words = e.select(sent, F.col(i).alias("node"), text).hint("merge")
-    members = members.select(sent, "node").distinct()
-    m = members.join(words, [sent, "node"])
-    g = m.groupBy(sent).agg(F.array_sort(F.collect_list(F.struct("node", text))).alias("_w"))
-    return g.select(sent, F.array_join(F.transform("_w", lambda x: x[text]), " ").alias("phrase"))
+    """JN8: every token containing ``key_word``, its ``nmod`` children and ``levels`` further generations below them,
+    gathered for the whole sentence and output once in token order -> ``(sent, phrase)``; sentences without such a
+    token have no row.
+
+    A walk of the tree inside the sentence's row: a token belongs to the phrase if one of its first ``levels + 1``
+    heads is a key token and the token on the path just below that head is its ``nmod`` child.  So each token climbs a
+    fixed number of heads by index, and nothing is joined."""
+    s = sentence_tokens(edges, sent, i, text, dep, head, having=F.col(text).contains(key_word))
+    up = lambda x: F.get(F.col("t"), (x["head"] - F.col("lo")).cast("int"))
+    is_key = lambda x: F.coalesce(x["text"].contains(key_word), F.lit(False))
+
+    def member(x):
+        found = is_key(x)
+        for _ in range(levels + 1):
+            above = up(x)
+            found = found | (is_key(above) & F.coalesce(x["dep"] == "nmod", F.lit(False)))
+            x = above
+        return found
+
+    return s.select(sent, F.array_join(F.transform(F.filter("t", member), lambda x: x["text"]), " ").alias("phrase"))
 
 
 def phrase_root(edges: DataFrame, sent: str = "sent_id", i: str = "i", text: str = "text",

@@ -1,8 +1,8 @@
 """Topic-model data: cleaning, stop words, unigram/n-gram counts, VW lines.
 
-AG10 / TX5-TX8 / WN4.  All per-document work is array arithmetic inside the
-row; only the stop-word table is joined, and it is bounded by
-``languages x words per list`` so it is broadcast.
+AG10 / TX5-TX8 / WN4, IO6.  Cleaning is regexes inside the row.  Tokens then are
+rows: stop lists and lemma tables are joined on (language, word), whatever their
+size, and one exchange by document serves the n-grams, the counts and the line.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sequences import ngrams, with_counts, with_run_counts
+from tessera.functions.sequences import ngrams
 from tessera.functions.text import WS, _c, tokens
 
 # The punctuation set deleted by the topic-model cleaner, in the
@@ -21,21 +21,36 @@ TOPIC_PUNCTUATION = ("–.—,€$¶№%£♫♪░▒▓♫│♪╖╣║╕
 NUMBER_PATTERN = "[0-9.]+(-[0-9.]+)?"
 IMAGE_PATTERN = "(?i)[\\p{L}\\p{N}_-]*.jpeg|[\\p{L}\\p{N}_-]*.png|[\\p{L}\\p{N}_-]*.jpg"
 
-# Languages with a stop list; text in any other language yields no tokens.
-STOP_LANGUAGES = ("en", "ru")
+# The names by which a language with a stop list is called.
+LIST_LANGUAGES = {"ru": ("ru", "русский", "russian", "rus"), "en": ("en", "english", "eng")}
+
+
+def list_language(lang) -> Column:
+    """The code of the stop list for a language's code or name in any case; null for a language without one."""
+    name = F.lower(_c(lang))
+    found = F.lit(None).cast("string")
+    for code, names in LIST_LANGUAGES.items():
+        found = F.when(name.isin(*names), F.lit(code)).otherwise(found)
+    return found
 
 
 # A run of equal space-separated tokens (whole tokens only), for TX6 on strings.
 REPEAT_RUN = "(?<![^ ])([^ ]+)(?: \\1(?![^ ]))+"
 
 
+def collapse_repeats(text, keep_last: bool = False) -> Column:
+    """TX6 on a text of single-spaced tokens: a run of equal tokens becomes one.  The reference compares each token
+    with the next and so loses the last one; ``keep_last=True`` keeps it."""
+    once = F.regexp_replace(_c(text), REPEAT_RUN, "$1")
+    return once if keep_last else F.regexp_replace(once, " ?[^ ]+$", "")
+
+
 def _collapse_stage(text) -> Column:
     """Numbers, punctuation, whitespace, TX6 repeat collapse (string form)."""
     t = F.regexp_replace(_c(text), WS, " ")
     t = F.regexp_replace(t, NUMBER_PATTERN, "")
     t = F.translate(t, TOPIC_PUNCTUATION, "")
-    t = F.trim(F.regexp_replace(t, WS, " "))
-    return F.regexp_replace(F.regexp_replace(t, REPEAT_RUN, "$1"), " ?[^ ]+$", "")
+    return collapse_repeats(F.trim(F.regexp_replace(t, WS, " ")))
 
 
 def _image_stage(t: Column) -> Column:
@@ -50,9 +65,7 @@ def clean_text(text) -> Column:
     collapse repeated tokens (last token lost, as in the reference), drop image
     names, strip.  Returns the cleaned string.
 
-    TX6 runs on the space-joined string: each run of equal tokens becomes one
-    token (back-reference regex), then the final token is dropped; this equals
-    ``collapse_repeats`` on the token array and stays in generated code.  The
+    The
     image-name regex only runs on texts that contain ``jpeg``/``jpg``/``png``
     (it cannot match otherwise).  On DataFrames prefer ``clean_texts``, which
     materialises the first stage so that the guard does not re-run it."""
@@ -66,101 +79,89 @@ def clean_texts(df: DataFrame, text: str = "text", out: str = "clean") -> DataFr
     return staged.withColumn(out, _image_stage(F.col("_stage1"))).drop("_stage1")
 
 
-def corpus_stop_words(docs: DataFrame, k: int = 50, text: str = "text",
-                      lang: str = "lang") -> DataFrame:
-    """A stop table ``(lang, word)`` derived by rule: the ``k`` most frequent
-    tokens of each language (ties by word).  Partial aggregation keeps the
-    shuffle at distinct (lang, token) pairs; the per-language top-k runs as a
-    group limit, so the result is bounded by ``k`` per language."""
-    counts = (docs.select(F.col(lang).alias("lang"), F.explode(tokens(text)).alias("word"))
-              .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
+def language_word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``(lang, word, n)``; partial aggregation keeps the shuffle at distinct (lang, word) pairs per task."""
+    return (docs.select(F.col(lang).alias("lang"), F.explode(tokens(text)).alias("word"))
+            .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
+
+
+def most_frequent(counts: DataFrame, k: int) -> DataFrame:
+    """``(lang, word)``: the ``k`` most frequent words of each language (ties by word), a group limit."""
     w = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("word"))
-    return counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select("lang", "word")
+    return counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).select("lang", "word")
+
 
+def corpus_stop_words(docs: DataFrame, k: int = 50, text: str = "text", lang: str = "lang") -> DataFrame:
+    """A stop table ``(lang, word)`` derived by rule: the ``k`` most frequent tokens of each language."""
+    return most_frequent(language_word_counts(docs, text, lang), k)
 
-def stop_arrays(stop: DataFrame) -> DataFrame:
-    """``(lang, stop_words array)``: one row per language, small by construction."""
-    return stop.groupBy("lang").agg(F.array_sort(F.collect_set("word")).alias("stop_words"))
 
+def topic_tokens(docs: DataFrame, stop: DataFrame, lemmas: DataFrame | None = None, key: str = "doc_id", text: str = "clean",
+                 lang: str = "lang") -> DataFrame:
+    """TX7 + TX8 as rows ``(key, pos, tok)``: the lower-cased tokens of ``text`` that the stop list ``(lang, word)`` of the
+    row's language (``list_language``) doesn't hold, replaced by their lemma from ``(lang, form, lemma)`` where there is
+    one.  Russian keeps digit tokens as they are; a language without a list has no tokens; ``-`` tokens go.  Each
+    document also has one row of pos -1 without a token, so that none is lost.
 
-def remove_stop_words(df: DataFrame, stop: DataFrame, text: str = "clean",
-                      lang: str = "lang", out: str = "topic_tokens") -> DataFrame:
-    """TX7 + TX8: lower-case tokens minus the stop words of the row's language;
-    Russian keeps digit tokens; languages outside ``STOP_LANGUAGES`` give an
-    empty list; ``-`` tokens are dropped.  Lemmas: identity (no lemmatiser)."""
-    # One row per language with its list, which doesn't grow with the texts.
-    arrays = F.broadcast(stop_arrays(stop).withColumnRenamed("lang", "_stop_lang"))
-    j = df.join(arrays, df[lang] == arrays["_stop_lang"], "left")
-    toks = tokens(F.col(text))
-    stops = F.coalesce(F.col("stop_words"), F.array().cast("array<string>"))
-    keep = F.filter(toks, lambda t: ((F.col(lang) == "ru") & t.rlike("^[0-9]+$"))
-                    | ~F.array_contains(stops, t))
-    kept = F.when(F.col(lang).isin(*STOP_LANGUAGES), keep).otherwise(F.array().cast("array<string>"))
-    kept = F.filter(kept, lambda t: t != "-")
-    return j.withColumn(out, kept).drop("_stop_lang", "stop_words")
+    Joins on (language, word): Spark broadcasts a list that it knows to be small and otherwise splits hot words."""
+    code = list_language(lang)
+    words = F.coalesce(F.when(code.isNotNull(), tokens(F.col(text))), F.array().cast("array<string>"))
+    places = F.concat(F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("tok"))),
+                      F.transform(words, lambda w, i: F.struct(i.alias("pos"), w.alias("tok"))))
+    rows = docs.select(key, code.alias("_code"), F.inline(places))
+    digits = (F.col("_code") == "ru") & F.col("tok").rlike("^[0-9]+$")
+    # A digit token that stays has no word to be looked up by.
+    rows = rows.withColumn("_word", F.when(~F.coalesce(digits, F.lit(False)), F.col("tok")))
+    listed = stop.select(F.col("lang").alias("_code"), F.col("word").alias("_word")).distinct()
+    rows = rows.join(listed, ["_code", "_word"], "left_anti")
+    if lemmas is not None:
+        table = lemmas.select(F.col("lang").alias("_code"), F.col("form").alias("_word"), F.lower("lemma").alias("_lemma"))
+        rows = rows.join(table, ["_code", "_word"], "left").withColumn("tok", F.coalesce("_lemma", "tok"))
+    return rows.where(F.col("tok").isNull() | (F.col("tok") != "-")).select(key, "pos", "tok")
 
 
-def vw_lines(toks: DataFrame, key: str = "doc_id", arr: str = "topic_tokens", which_n_grams=(2,),
-             min_count: int = 2) -> DataFrame:
-    """AG10: ``doc<i> tok:count ... ngram:count`` per row of ``toks``.
+def vw_lines(rows: DataFrame, key: str = "doc_id", which_n_grams=(2,), min_count: int = 2) -> DataFrame:
+    """AG10: ``doc<i> tok:count ... ngram:count`` per document from ``(key, pos, tok)`` rows.
 
     Unigrams in first-occurrence order, then each n-gram size kept when its
-    count reaches ``min_count``; an empty token list gives the empty string.
+    count reaches ``min_count``; a document without tokens gives the empty string.
 
-    Counts, filter and line are made inside the document's row: no exchange.
+    One exchange by document: neighbours by window, counts and the line follow in the same stage.
     """
-    d = toks.select(key, arr)
-    parts = []
-    for k, n in enumerate((1, *which_n_grams)):
-        d = with_run_counts(d.withColumn(f"_g{k}", ngrams(F.col(arr), n)), f"_g{k}", f"_c{k}")
-        parts.append(F.col("_c0") if k == 0 else F.filter(f"_c{k}", lambda e: e["n"] >= min_count))
-    strs = F.transform(F.concat(*parts), lambda e: F.concat(e["token"], F.lit(":"), e["n"].cast("string")))
-    return d.select(key, strs.alias("_parts")).select(
-        key, F.when(F.size("_parts") == 0, F.lit("")).otherwise(
-            F.concat(F.lit("doc"), F.col(key).cast("string"), F.lit(" "), F.array_join("_parts", " "))).alias("line"))
+    order = Window.partitionBy(key).orderBy("pos")
+    grams = [F.struct(F.lit(0).alias("kind"), F.col("tok").alias("gram"))]
+    d = rows
+    for k, n in enumerate(which_n_grams, 1):
+        for m in range(1, n):
+            d = d.withColumn(f"_a{m}", F.lead("tok", m).over(order))
+        parts = ["tok", *[f"_a{m}" for m in range(1, n)]]
+        whole_gram = F.when(F.col(parts[-1]).isNotNull() & F.col("tok").isNotNull(), F.concat_ws("_", *parts))
+        grams.append(F.struct(F.lit(k).alias("kind"), whole_gram.alias("gram")))
+    g = d.select(key, "pos", F.inline(F.array(*grams))).groupBy(key, "kind", "gram").agg(
+        F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    kept = F.col("gram").isNotNull() & ((F.col("kind") == 0) | (F.col("n") >= min_count))
+    item = F.when(kept, F.struct("kind", "first", F.concat("gram", F.lit(":"), F.col("n").cast("string")).alias("s")))
+    lines = g.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_parts"))
+    line = F.concat(F.lit("doc"), F.col(key).cast("string"), F.lit(" "), F.array_join(F.transform("_parts", lambda x: x["s"]), " "))
+    return lines.select(key, F.when(F.size("_parts") == 0, F.lit("")).otherwise(line).alias("line"))
 
 
 def term_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """AG10a: ``(key, token, n)``, counted inside each document's row: no exchange."""
-    d = with_counts(df.select(key, tokens(text).alias("_tk")), "_tk", "_runs")
-    # An outer explode: for an inner one the optimizer infers a filter on the array's size, pushes it to the
-    # scan and there evaluates the whole array expression once more (several times over, as it is nested).
-    runs = d.select(key, F.explode_outer("_runs").alias("_r"))
-    return runs.select(key, F.col("_r.token").alias("token"), F.col("_r.n").alias("n")).where(F.col("token").isNotNull())
+    """AG10a: ``(key, token, n)``; counted map-side, so that the exchange holds a document's distinct tokens."""
+    rows = df.select(key, F.explode(tokens(text)).alias("token"))
+    return rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ngram_counts(df: DataFrame, n: int = 2, min_count: int = 2, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """AG10b: ``(key, ngram, n)`` for n-grams occurring at least ``min_count``
-    times; counted inside each document's row like ``term_counts``."""
-    d = df.select(key, tokens(text).alias("_tk"))
-    d = with_counts(d.select(key, ngrams(F.col("_tk"), n).alias("_ng")), "_ng", "_runs")
-    often = F.filter("_runs", lambda r: r["n"] >= min_count)
-    runs = d.select(key, F.explode_outer(often).alias("_r"))
-    return runs.select(key, F.col("_r.token").alias("ngram"), F.col("_r.n").alias("n")).where(F.col("ngram").isNotNull())
+    times; counted map-side like ``term_counts``."""
+    d = df.select(key, tokens(text).alias("_tk")).select(key, F.explode(ngrams(F.col("_tk"), n)).alias("ngram"))
+    return d.groupBy(key, "ngram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 
-def vw_dataset(docs: DataFrame, stop: DataFrame, which_n_grams=(2,), min_count: int = 2,
+def vw_dataset(docs: DataFrame, stop: DataFrame, lemmas: DataFrame | None = None, which_n_grams=(2,), min_count: int = 2,
                key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Full topic-model line per document: clean -> stop words -> counts -> line."""
+    """Full topic-model line per document: clean -> stop words and lemmas -> counts -> line; ``key`` is unique."""
     cleaned = clean_texts(docs.select(key, lang, text), text, "clean").select(key, lang, "clean")
-    with_toks = remove_stop_words(cleaned, stop, text="clean", lang=lang)
-    return vw_lines(with_toks.select(key, "topic_tokens"), key, "topic_tokens", which_n_grams, min_count)
-
-
-def apply_lemmas(df: DataFrame, key: str, toks: str, lemmas: DataFrame, out: str | None = None) -> DataFrame:
-    """TX7 lemma step: replace each token by its lemma from a ``(form, lemma)``
-    table (``coalesce(lemma, token)``), keeping token order.
-
-    A lemma dictionary can hold millions of forms, so it is joined, not
-    broadcast: tokens are exploded with their position, left-joined on the form
-    (AQE splits hot forms), and regrouped per key."""
-    out = out or toks
-    lem = lemmas.select(F.col("form").alias("_form"), F.col("lemma").alias("_lemma"))
-    rows = df.select(key, F.posexplode(toks).alias("_pos", "_tok"))
-    j = rows.join(lem, rows["_tok"] == lem["_form"], "left")
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("_lemma", "_tok").alias("_t"))))
-                           .alias("_l"))
-    mapped = g.select(key, F.transform("_l", lambda x: x["_t"]).alias(out))
-    return df.drop(out).join(mapped, key, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<string>")))
+    return vw_lines(topic_tokens(cleaned, stop, lemmas, key, "clean", lang), key, which_n_grams, min_count)

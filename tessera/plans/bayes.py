@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import bayes
 from tessera.plans.registry import query
 from tessera.plans.sqlparts import bucket, lit
+from tessera.session import stored
 from tessera.sources.tables import table
 
 _STOP = "[" + ", ".join(lit(w) for w in bayes.ENGLISH_STOP_WORDS) + "]"
@@ -33,10 +34,11 @@ sc AS (SELECT t.doc_id, coalesce(sum(m.loglik), 0) + (SELECT logprior FROM pri)
 
 
 def _prepared(spark, sf):
+    """(doc_id, label, is_test, words): tokenised once and written; counts, priors and scores read it."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
     lab = bayes.split_test(docs.join(labels, "doc_id"))
-    return lab.select("doc_id", "label", "is_test", bayes.classifier_tokens("text").alias("words"))
+    return stored(lab.select("doc_id", "label", "is_test", bayes.classifier_tokens("text").alias("words")), "labelled-words")
 
 
 def _trained(spark, sf):

@@ -10,6 +10,7 @@ from tessera.operators import lookup as LK
 from tessera.plans import derived as D
 from tessera.plans.registry import query
 from tessera.plans.sqlparts import toks
+from tessera.session import scratch_path
 from tessera.sources.tables import table
 
 _LANG_VALUES = ", ".join(f"('{c}', '{a}', '{n}')" for c, a, n, _ in LK.LANGUAGES)
@@ -19,8 +20,11 @@ _LANG_VALUES = ", ".join(f"('{c}', '{a}', '{n}')" for c, a, n, _ in LK.LANGUAGES
 SELECT d.doc_id, d.lang, t.alpha3, t.lang_name FROM documents d
 LEFT JOIN (VALUES {_LANG_VALUES}) t(code, alpha3, lang_name) ON d.lang = t.code""")
 def q_lang_lookup(spark, sf):
+    """The language table is read from a JSON file."""
+    path = scratch_path(spark, "languages")
+    LK.write_language_json(LK.language_table(spark), path)
     d = table(spark, sf, "documents").select("doc_id", "lang")
-    return LK.lookup_language(d, "lang", LK.language_table(spark)).select("doc_id", "lang", "alpha3", "lang_name")
+    return LK.lookup_language(d, "lang", LK.read_language_json(spark, path)).select("doc_id", "lang", "alpha3", "lang_name")
 
 
 @query("lang_profile", sql=f"""

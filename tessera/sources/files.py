@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,39 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                       F.monotonically_increasing_id().alias("place"))
 
 
+def _language_of(path) -> Column:
+    """The language of a list file: its folder's ``lang=`` value, or else its name up to the first dot."""
+    folder = F.regexp_extract(path, "/lang=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, "([^/.]+)[^/]*$", 1))
+
+
+def read_word_lists(spark: SparkSession, path: str) -> DataFrame:
+    """IO6: word lists, one word per line and one file (``<language>.txt``) or folder (``lang=<language>``) per
+    language, as ``(lang, word)``; blank lines and repeats go."""
+    raw = spark.read.option("recursiveFileLookup", True).text(path)
+    word = F.regexp_replace("value", "(?U)^\\s+|\\s+$", "")
+    return raw.select(_language_of(F.col("_metadata.file_path")).alias("lang"), word.alias("word")).where(F.col("word") != "").distinct()
+
+
+def read_lemmas(spark: SparkSession, path: str) -> DataFrame:
+    """IO6: lemma lists of the same layout with lines ``form <tab> lemma``, as ``(lang, form, lemma)``; of several
+    lemmas of a form the first by name counts, and lines without a tab are no entries."""
+    raw = spark.read.option("recursiveFileLookup", True).text(path)
+    parts = F.split("value", "\t")
+    rows = raw.select(_language_of(F.col("_metadata.file_path")).alias("lang"), F.trim(parts[0]).alias("form"), F.trim(F.get(parts, 1)).alias("lemma"))
+    return rows.where((F.col("form") != "") & (F.col("lemma") != "")).groupBy("lang", "form").agg(F.min("lemma").alias("lemma"))
+
+
+def write_word_lists(df: DataFrame, path: str, value: str = "word", lang: str = "lang") -> None:
+    """IO7: a folder of line files per language."""
+    df.select(F.col(lang).alias("lang"), F.col(value).alias("value")).write.mode("overwrite").partitionBy("lang").text(path)
+
+
+def write_json_stats(df: DataFrame, path: str) -> None:
+    """IO7: statistics as one JSON object per line; a handful of rows, so one file."""
+    df.coalesce(1).write.mode("overwrite").json(path)
+
+
 def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """IO5: every file of a folder as ``(path, text)`` (UTF-8)."""
     raw = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)

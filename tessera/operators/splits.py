@@ -1,14 +1,15 @@
 """Reproducible splits, samples and ordinals (SP1-SP6, SP9, WN3, AG19).
 
 Randomness is replaced by rule H (md5 of ``seed:key``), so a split needs no
-shuffle and does not move when rows are added.  Exact-size cuts need each row's
-rank in some order; ``ordinal`` sorts rows over range partitions and adds a
-partition's offset to a row's place in it.
+shuffle and does not move when rows are added.  Exact-size cuts are found by
+selection on histograms of the hash (``select_ranks``); where every row's rank is
+the result, ``ordinal`` sorts rows over range partitions and adds a partition's
+offset to a row's place in it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,11 +31,20 @@ def ordinal(df: DataFrame, key: str, tiebreak: Sequence[str] = (), out: str = "o
     Rows are sorted over range partitions, whose bounds are sampled, so an outlier
     or a dense stretch of keys doesn't fill one of them, and written with their
     place in the partition; the partitions' sizes (one row each) give the offsets.
+    The order in which rows were read is the last tie-break, so that the rows of a
+    repeated or null key spread over partitions too.
     """
-    placed = (df.repartitionByRange(key, *tiebreak).sortWithinPartitions(key, *tiebreak)
-              .withColumn("_id", F.monotonically_increasing_id()))
+    order = [key, *tiebreak, "_read"]
+    placed = (df.withColumn("_read", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+              .drop("_read").withColumn("_id", F.monotonically_increasing_id()))
+    return numbered(placed, out)
+
+
+def numbered(df: DataFrame, out: str = "ordinal") -> DataFrame:
+    """``df``, whose column ``_id`` is ``monotonically_increasing_id()``, with ``out``: 1-based numbers in that order.
+    The rows are written once, so that a lost task can't number them anew."""
     path = scratch_path(df.sparkSession, "ordinal")
-    placed.write.parquet(path)
+    df.write.parquet(path)
     placed = df.sparkSession.read.parquet(path)
     # The id is the partition's number and, in the lower 33 bits, the row's place in it.
     placed = placed.withColumn("_blk", F.shiftright("_id", 33))
@@ -45,6 +55,44 @@ def ordinal(df: DataFrame, key: str, tiebreak: Sequence[str] = (), out: str = "o
             .drop("_blk", "_off", "_id"))
 
 
+#: Bits of the hash order that a pass of the selection looks at: its histogram has 4096 rows.
+DIGIT = 12
+
+
+def select_ranks(hashed: DataFrame, column: str, ranks: Callable[[int], list[int]]) -> tuple[int, list[tuple[int, int, int]]]:
+    """Distributed selection on a 32-bit column: (rows, for each rank r >= 1 the value of the r-th smallest row, how many
+    rows have a smaller value, how many have this value).
+
+    A histogram of the leading bits finds the bucket of each rank; only the rows of these few buckets are written and
+    looked at again, by their next bits.  Nothing is sorted, and the driver gets histograms of fixed size.
+    """
+    spark = hashed.sparkSession
+    rows, found, total = hashed.select(F.col(column).alias("h")), [], None
+    shift = 32
+    while shift > 0:
+        below = max(0, shift - DIGIT)
+        digit = F.shiftright("h", below)
+        histogram = sorted((r["d"], r["n"]) for r in rows.groupBy(digit.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if total is None:
+            total = sum(n for _, n in histogram)
+            found = [[r, None, 0, 0] for r in ranks(total)]  # wanted rank, prefix so far, rows before it, rows in it
+        for f in found:
+            before = f[2]
+            for d, n in histogram:
+                if f[1] is not None and d >> (shift - below) != f[1]:
+                    continue
+                if before + n >= f[0]:
+                    f[1:] = [d, before, n]
+                    break
+                before += n
+        shift = below
+        if shift:
+            path = scratch_path(spark, "boundary")
+            rows.where(F.shiftright("h", shift).isin(*{f[1] for f in found if f[1] is not None}) if found else F.lit(False)).write.parquet(path)
+            rows = spark.read.schema("h long").parquet(path)
+    return total or 0, [(f[1], f[2], f[3]) for f in found]
+
+
 def sequential_split(df: DataFrame, key: str, train: float = 0.8) -> DataFrame:
     """SP1: by position in ``key`` order: first ``round(.8N)`` train, next
     ``round(round(.2N)/2)`` validation, rest test (half-even rounding)."""
@@ -59,15 +107,36 @@ def sequential_split(df: DataFrame, key: str, train: float = 0.8) -> DataFrame:
 
 def ratio_split(df: DataFrame, key: str, ratio: float = 0.7, seed: int = 42) -> DataFrame:
     """SP2: shuffled (rule-H order) split with exact sizes ``int(r*n)`` train,
-    ``int((1-r)/2*n)`` validation, rest test."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    ``int((1-r)/2*n)`` validation, rest test; equal hashes go by key.
+
+    The two cuts are found by selection, then each row compares its hash with them: no sort and no exchange of rows.
+    Only the rows whose hash equals a cut's, if it falls among several, are ranked."""
     h = df.withColumn("_h", hash_order(key, seed=seed))
-    o = ordinal(h, "_h", tiebreak=[key]).crossJoin(F.broadcast(n))
-    n_train = F.floor(F.lit(ratio) * F.col("_n"))
-    n_val = F.floor(F.lit((1 - ratio) / 2) * F.col("_n"))
-    split = (F.when(F.col("ordinal") <= n_train, F.lit("train"))
-             .when(F.col("ordinal") <= n_train + n_val, F.lit("validation")).otherwise(F.lit("test")))
-    return o.withColumn("split", split).drop("_n", "_h")
+    sizes = {}
+
+    def cuts(n: int) -> list[int]:
+        train, validation = int(ratio * n), int((1 - ratio) / 2 * n)
+        sizes.update({name: cut for name, cut in (("train", train), ("validation", train + validation)) if cut})
+        return list(sizes.values())
+
+    _, found = select_ranks(h, "_h", cuts)
+    ends = [(name, cut, *f) for (name, cut), f in zip(sizes.items(), found)]
+    # A cut inside a run of equal hashes.
+    ties = {value: before for _, cut, value, before, same in ends if cut < before + same}
+    split = F.lit("test")
+    for name, cut, value, before, _ in reversed(ends):
+        split = F.when((F.col("_h") < value) if value in ties else (F.col("_h") <= value), F.lit(name)).otherwise(split)
+    if not ties:
+        return h.withColumn("split", split).drop("_h")
+    whole = h.where(~F.col("_h").isin(*ties)).withColumn("split", split)
+    for value, before in ties.items():
+        rank = ordinal(h.where(F.col("_h") == value), key)
+        place = F.col("ordinal") + before
+        cut = F.lit("test")
+        for name, at, *_ in reversed(ends):
+            cut = F.when(place <= at, F.lit(name)).otherwise(cut)
+        whole = whole.unionByName(rank.withColumn("split", cut).drop("ordinal"))
+    return whole.drop("_h")
 
 
 def three_way_split(df: DataFrame, key: str, test_per_mille: int = 200, val_per_mille: int = 200,

@@ -69,3 +69,62 @@ def test_an_outlier_does_not_fill_a_partition(spark):
         assert o.where("ordinal <> k + 1 AND k < 10000 OR k >= 10000 AND ordinal <> 10001").isEmpty()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _hashes(keys, seed=42):
+    import hashlib
+
+    return [int(hashlib.md5(f"{seed}:{k}".encode()).hexdigest()[:8], 16) for k in keys]
+
+
+def test_ratio_split_is_the_sorted_cut(spark):
+    keys = [k * 7919 for k in range(3001)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
+    for ratio in (0.7, 0.0, 1.0, 0.33):
+        got = {r["k"]: r["split"] for r in S.ratio_split(df, "k", ratio).collect()}
+        train, validation = int(ratio * len(keys)), int((1 - ratio) / 2 * len(keys))
+        order = [k for _, k in sorted(zip(_hashes(keys), keys))]
+        want = {k: "train" if n < train else "validation" if n < train + validation else "test" for n, k in enumerate(order)}
+        assert got == want
+
+
+def test_ratio_split_with_repeated_keys_is_exact(spark):
+    """A key with most of the rows is cut in the middle; the sizes stay exact."""
+    df = spark.createDataFrame([(1 if k % 4 else k + 2, k) for k in range(1000)] + [(None, k) for k in range(100)], "k long, v long").repartition(6)
+    split = S.ratio_split(df, "k", 0.5)
+    assert dict(S.split_sizes(split).collect()) == {"train": 550, "validation": 275, "test": 275}
+    assert split.select("v").count() == 1100 and split.columns == ["k", "v", "split"]
+
+
+def test_ratio_split_of_an_empty_table(spark):
+    assert S.ratio_split(spark.createDataFrame([], "k long"), "k").collect() == []
+
+
+def test_ratio_split_sorts_no_rows(spark):
+    plan = S.ratio_split(spark.range(1000).withColumnRenamed("id", "k"), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_selection_against_sorting(spark):
+    import random
+
+    r = random.Random(2)
+    values = [r.randrange(1 << 32) for _ in range(500)] + [7] * 50 + [(1 << 32) - 1] * 3 + [0]
+    df = spark.createDataFrame([(v,) for v in values], "h long").repartition(3)
+    ranks = [1, 2, 30, 52, 53, 300, len(values)]
+    n, found = S.select_ranks(df, "h", lambda n: ranks)
+    order = sorted(values)
+    assert n == len(values)
+    assert [f[0] for f in found] == [order[k - 1] for k in ranks]
+    assert [(b, s) for _, b, s in found] == [(order.index(order[k - 1]), order.count(order[k - 1])) for k in ranks]
+
+
+def test_a_repeated_key_spreads_over_partitions(spark):
+    df = spark.range(8000).select((F.col("id") % 4 == 0).cast("int").alias("k"), "id").withColumn("k", F.when(F.col("k") == 0, F.lit(5)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        o = S.ordinal(df, "k")
+        assert sorted(r["ordinal"] for r in o.select("ordinal").collect()) == list(range(1, 8001))
+        assert o.where("k IS NULL").agg(F.max("ordinal")).first()[0] == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -1,8 +1,8 @@
 """Reader, writer, streaming and batched-map queries.
 
-Each writes its input (derived from the driver tables) to a fresh folder under
-the shared checkpoint folder (``spark.checkpoint.dir``) when the query is built,
-then reads it back with the operator under test.
+Each query function first writes its input (derived from the driver tables) to a fresh folder under the shared
+checkpoint folder (``spark.checkpoint.dir``): that job runs when the function is called, as the reader under test needs
+files.  The DataFrame that it returns reads them.
 """
 
 from __future__ import annotations
@@ -10,30 +10,68 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tessera.operators.udf import batched_map
+from tessera.functions.sequences import hash_bucket
+from tessera.operators.udf import apply_column, batched_map
 from tessera.plans import derived as D
 from tessera.plans.bayes import _trained
 from tessera.plans import labels as _labels  # noqa: F401  (registers the split queries)
 from tessera.plans.registry import ORACLES, QUERIES, query
+from tessera.plans.sqlparts import bucket
 from tessera.session import scratch_path
 from tessera.sources import conll, files
 from tessera.sources.tables import table
-from tessera.streaming.dedupe import dedupe_stream, read_sink
+from tessera.streaming.dedupe import collect, read_sink
 from tessera.streaming.scoring import score_stream
 
 
 @query("conll_read", sql=f"""
 WITH {D.TAGS_SQL.strip()}
-SELECT n_tokens, tags, count(*)::BIGINT AS n FROM (
-    SELECT count(*)::INTEGER AS n_tokens, string_agg(tag, ' ' ORDER BY pos) AS tags FROM tags GROUP BY doc_id) GROUP BY ALL""")
+SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS ordinal, n_tokens, tags FROM (
+    SELECT doc_id, count(*)::INTEGER AS n_tokens, string_agg(tag, ' ' ORDER BY pos) AS tags FROM tags GROUP BY doc_id)""")
 def q_conll_read(spark, sf):
-    """Documents without tokens have no lines in the format; equal documents are counted."""
+    """Sentences in file order.  Documents without tokens have no lines in the format."""
     tagged = D.tagged_docs(table(spark, sf, "documents"))
     path = scratch_path(spark, "conll")
-    conll.write_conll(tagged.orderBy("doc_id"), path)
-    back = conll.read_conll(spark, path)
-    back = back.select(F.size("tokens").alias("n_tokens"), F.array_join("tags", " ").alias("tags"))
-    return back.groupBy("n_tokens", "tags").agg(F.count(F.lit(1)).alias("n"))
+    conll.write_conll(tagged.orderBy("doc_id"), path, header=None)
+    back = conll.file_ordinal(conll.read_conll(spark, path))
+    return back.select("ordinal", F.size("tokens").alias("n_tokens"), F.array_join("tags", " ").alias("tags"))
+
+
+def _grouped_files(spark, sf, path):
+    """Stand-in input: files of two layouts in document order.  Every other file names its columns in another order, ends
+    its lines with CRLF and pads its blank lines.  By rule H a line has six fields, a Cyrillic label or ``True`` in one."""
+    d = D.tagged_docs(table(spark, sf, "documents")).where(F.size("tokens") > 0)
+    d = d.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("_id", F.monotonically_increasing_id())
+    odd = F.shiftright("_id", 33) % 2 == 1
+    eol = F.when(odd, "\r\n").otherwise("\n")
+    lines = F.transform(F.arrays_zip("tokens", "tags"), lambda z, i: _grouped_line(z["tokens"], z["tags"], hash_bucket("doc_id", i) % 50, i, odd))
+    head = F.when(F.col("_id").bitwiseAND((1 << 33) - 1) == 0, F.concat(
+        F.when(odd, "[token] [num] [cap]").otherwise("[token] [cap] [num]"), eol, F.lit("-- --"), eol)).otherwise("")
+    # The writer ends each value with a line feed: that ends the blank line.
+    text = F.concat(head, F.array_join(lines, "\n"), eol, F.when(odd, " \t\r").otherwise(""))
+    d.select(F.when(odd, F.regexp_replace(text, "(?<!\r)\n", "\r\n")).otherwise(text).alias("value")).write.text(path)
+
+
+def _grouped_line(token, tag, draw, i, odd):
+    cap = F.when(tag.endswith("CAP"), tag).otherwise("O")
+    num = F.when(draw == 1, "Б-ЧИС").when(tag == "B-NUM", "B-True").otherwise("O")
+    return F.concat(token, F.lit(" "), F.when(odd, F.concat(num, F.lit(" "), cap)).otherwise(F.concat(cap, F.lit(" "), num)),
+                    F.when((draw == 0) & (i > 0), " x y z").otherwise(""))
+
+
+@query("conll_groups", sql=f"""
+WITH {D.TAGS_SQL.strip()},
+l AS (SELECT doc_id, pos, token, {bucket("doc_id || ':' || pos")} % 50 AS draw, tag FROM tags),
+s AS (SELECT doc_id, count(*)::INTEGER AS n_tokens, string_agg(token, ' ' ORDER BY pos) AS tokens,
+             string_agg(CASE WHEN draw = 1 THEN 'O' WHEN tag = 'B-NUM' THEN 'B-1' ELSE 'O' END, ' ' ORDER BY pos) AS labels
+      FROM l WHERE draw <> 0 OR pos = 0 GROUP BY doc_id)
+SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS ordinal, n_tokens, md5(tokens) AS tokens, labels FROM s""")
+def q_conll_groups(spark, sf):
+    """The labels of one group, from files whose headers name it in different columns."""
+    path = scratch_path(spark, "conll-groups")
+    _grouped_files(spark, sf, path)
+    back = conll.file_ordinal(conll.read_conll_group(spark, path, "num"))
+    return back.select("ordinal", F.size("tokens").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("tokens"), F.array_join("tags", " ").alias("labels"))
 
 
 _LINES = "SELECT line, count(*)::BIGINT AS n FROM (SELECT regexp_replace(unnest(string_split(text, chr(10))), '^\\s+|\\s+$', '', 'g') AS line FROM {}) GROUP BY line"
@@ -71,15 +109,61 @@ def q_csv_round_trip(spark, sf):
     return files.read_labelled_csv(spark, path, "text string, label int, doc_id bigint", header=True)
 
 
-@query("stream_dedupe", sql="SELECT DISTINCT md5(text) AS digest FROM documents")
+# Stand-in input: two arrivals of files.  By rule H some documents arrive in both; event times are minutes of a rule-H
+# value of the text, so the copies of a text in one arrival have one time.  The delay is shorter than an arrival's span.
+_DELAY = 12015  # seconds
+_FIRST_SPAN, _SECOND_START, _SECOND_SPAN = 1000, 700, 600  # minutes
+
+
+def _arrivals(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", hash_bucket("doc_id").alias("b"), F.md5("text").alias("m"))
+    first = hash_bucket("m") % _FIRST_SPAN * 60
+    second = _SECOND_START * 60 + 30 + hash_bucket("m", seed=43) % _SECOND_SPAN * 60
+    of = lambda run, seconds: docs.select("doc_id", "text", F.timestamp_seconds(F.lit(1_700_000_000) + seconds).alias("ts"), F.lit(run).alias("run"), "b")
+    return of(1, first).where("b < 600").drop("b"), of(2, second).where("b >= 400").drop("b")
+
+
+_ARRIVALS = f"""
+docs AS (SELECT doc_id, md5(text) AS m, {bucket('doc_id')} AS b FROM documents),
+a1 AS (SELECT doc_id, m, {bucket('m')} % {_FIRST_SPAN} * 60 AS ts FROM docs WHERE b < 600),
+a2 AS (SELECT doc_id, m, {_SECOND_START * 60 + 30} + {bucket('m', seed=43)} % {_SECOND_SPAN} * 60 AS ts FROM docs WHERE b >= 400),
+mark AS (SELECT max(ts) - {_DELAY} AS w FROM a1),
+state AS (SELECT DISTINCT m FROM a1, mark WHERE ts + {_DELAY} > w),
+late AS (SELECT doc_id FROM a2, mark WHERE ts <= w)"""
+
+
+def _collected(spark, sf):
+    """Both runs over the arriving files -> (sink, late rows' folder, the runs' reports)."""
+    source, sink, late, progress = (scratch_path(spark, f"stream-{name}") for name in ("source", "kept", "late", "progress"))
+    schema, reports = "doc_id bigint, text string, ts timestamp, run int", []
+    for arrival in _arrivals(spark, sf):
+        arrival.write.mode("append").parquet(source)
+        reports.append(collect(spark, source, schema, "text", "ts", f"{_DELAY} seconds", sink, late, progress))
+    return read_sink(spark, sink, schema), read_sink(spark, late, schema), reports
+
+
+@query("stream_dedupe", sql=f"""WITH {_ARRIVALS.strip()}
+SELECT DISTINCT 1 AS run, m AS digest FROM a1
+UNION ALL SELECT DISTINCT 2, m FROM a2, mark WHERE ts > w AND m NOT IN (SELECT m FROM state)""")
 def q_stream_dedupe(spark, sf):
-    src = scratch_path(spark, "stream-src")
-    docs = table(spark, sf, "documents").select(
-        "doc_id", "text", (F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id"))).alias("ts"))
-    docs.write.mode("overwrite").parquet(src)
-    sink, ck = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    dedupe_stream(spark, src, "doc_id bigint, text string, ts timestamp", "text", "ts", "100000 days", sink, ck)
-    return read_sink(spark, sink).select(F.md5("text").alias("digest"))  # which copy stays depends on arrival
+    """What the two runs keep: the second knows the texts of the first that its state still holds."""
+    return _collected(spark, sf)[0].select("run", F.md5("text").alias("digest"))  # which copy stays depends on arrival
+
+
+@query("stream_late", sql=f"WITH {_ARRIVALS.strip()} SELECT doc_id, 2 AS run FROM late")
+def q_stream_late(spark, sf):
+    """The rows of the second run that are older than the watermark left by the first."""
+    return _collected(spark, sf)[1].select("doc_id", "run")
+
+
+@query("stream_report", sql=f"""WITH {_ARRIVALS.strip()}
+SELECT 1 AS run, (SELECT count(*) FROM a1)::BIGINT AS n_rows, 0::BIGINT AS n_late
+UNION ALL SELECT 2, (SELECT count(*) FROM a2)::BIGINT, (SELECT count(*) FROM late)::BIGINT""")
+def q_stream_report(spark, sf):
+    """Rows read and rows too late of each run, as the stream's own metrics have them."""
+    reports = _collected(spark, sf)[2]
+    rows = [(k, sum(b["n_rows"] for b in r), sum(b["n_late"] for b in r)) for k, r in enumerate(reports, 1)]
+    return spark.createDataFrame(rows, "run int, n_rows bigint, n_late bigint")
 
 
 @query("stream_scores", sql=ORACLES["nb_scores"])
@@ -105,3 +189,15 @@ def q_batched_map(spark, sf):
     return batched_map(d, _count_tokens, "doc_id long, n_tokens long")
 
 
+@F.pandas_udf("string")
+def _reversed_words(texts: pd.Series) -> pd.Series:
+    """A caller's vectorised augmenter: the words of each text backwards; null stays null."""
+    return texts.map(lambda t: None if t is None else " ".join(t.split()[::-1]))
+
+
+@query("applied_udf", sql="""
+SELECT doc_id, CASE WHEN doc_id % 10 > 0 THEN array_to_string(list_reverse(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')), ' ') END AS text FROM documents""")
+def q_applied_udf(spark, sf):
+    """Every tenth text is null."""
+    d = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 10 > 0, F.col("text")).alias("text"))
+    return apply_column(d, "text", _reversed_words)

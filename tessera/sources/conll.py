@@ -1,58 +1,97 @@
-"""CoNLL readers and writer (IO1, IO2, WN5, TX13, TX14).
+"""Line and CoNLL readers and writer (IO1, IO2, IO4, WN5, TX13, TX14).
 
-A blank line ends a sentence, so the files are read with ``lineSep="\\n\\n"``:
-one record per sentence, split in parallel like any text file.  Order is kept
-with ``(file, record id)`` taken at read time.
+Files are read in parallel by blocks.  A block's place in its file (``_metadata.file_block_start``) and a line's place
+in its block give every line its number in its file: only one row per block is ordered, no line is shuffled for it.
+Sentences end at blank lines (also with CRLF or white space on them), wherever blocks begin and end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import WS
+from tessera.functions.text import WS, repair_label
 
+_BLANK = "(?U)^\\s*$"
 
-def _records(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("lineSep", "\n\n").text(path)
-    # Three or more newlines leave a leading newline on the next record.
-    rec = raw.select(F.regexp_replace("value", "^\n+|\n+$", "").alias("block"),
-                     F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("rec"))
-    return rec.where(F.trim("block") != "")
+
+def _offsets(blocks: DataFrame, count: str, out: str) -> DataFrame:
+    """``blocks`` with ``out``: the sum of ``count`` over the blocks before it in its file."""
+    w = Window.partitionBy("file").orderBy("block")
+    return blocks.withColumn(out, F.sum(count).over(w) - F.col(count))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, line_no, value, block)``: each line of the files with its 0-based number in its file; ``\\n``, ``\\r\\n``
+    and ``\\r`` end a line."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                       F.monotonically_increasing_id().alias("_id"))
+    # A block's lines are read by one task, one after the other: their ids follow each other.
+    blocks = raw.groupBy("file", "block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    blocks = _offsets(blocks, "_lines", "_before").select("file", "block", "_first", "_before")
+    return raw.join(blocks, ["file", "block"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), "value", "block")
+
+
+def sentences(lines: DataFrame) -> DataFrame:
+    """WN5: ``(file, rec, lines)`` from ``numbered_lines``: ``rec`` is a sentence's 0-based number in its file; its lines
+    are in order.  Blank lines, however many in a row, end a sentence; a sentence without lines is none.
+
+    A window per block marks where sentences start; a row per block tells how many start before it and whether the
+    block goes on with the last sentence of the one before.  A sentence's lines are then gathered."""
+    blank = F.col("value").rlike(_BLANK)
+    w = Window.partitionBy("file", "block").orderBy("line_no")
+    marked = lines.withColumn("_blank", blank).withColumn("_starts", (~F.col("_blank") & F.lag("_blank", 1, True).over(w)).cast("int"))
+    marked = marked.withColumn("_r", F.sum("_starts").over(w))
+    blocks = marked.groupBy("file", "block").agg(F.sum("_starts").alias("_n"), F.min_by("_blank", "line_no").alias("_blank_first"),
+                                                 F.max_by("_blank", "line_no").alias("_blank_last"))
+    goes_on = ~F.col("_blank_first") & ~F.lag("_blank_last", 1, True).over(Window.partitionBy("file").orderBy("block"))
+    blocks = blocks.withColumn("_on", goes_on.cast("int")).withColumn("_new", F.col("_n") - F.col("_on"))
+    blocks = _offsets(blocks, "_new", "_before").select("file", "block", "_on", "_before")
+    placed = marked.where(~F.col("_blank")).join(blocks, ["file", "block"])
+    rec = F.col("_before") + F.col("_r") - F.col("_on") - 1
+    g = placed.groupBy("file", rec.alias("rec")).agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("_l"))
+    return g.select("file", "rec", F.transform("_l", lambda x: x["value"]).alias("lines"))
+
+
+def file_ordinal(df: DataFrame, file: str = "file", rec: str = "rec", out: str = "ordinal") -> DataFrame:
+    """Adds ``out``: the 0-based number of each record over all files in the order of their paths, when every number
+    ``rec`` of a file occurs.  A row per file is ordered, no record is."""
+    counts = df.groupBy(file).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(file, (F.sum("_n").over(Window.orderBy(file)) - F.col("_n")).alias("_before"))
+    return df.join(offsets, file).withColumn(out, F.col("_before") + F.col(rec)).drop("_before")
+
+
+def _fields(line: Column) -> Column:
+    return F.filter(F.split(line, WS), lambda x: x != "")
 
 
 def read_conll(spark: SparkSession, path: str, docstart: str = "-DOCSTART-") -> DataFrame:
-    """IO1: 4-column CoNLL (``token -X- _ TAG``) -> ``(file, rec, tokens, tags)``;
-    the header record and empty sentences are dropped."""
-    rec = _records(spark, path).where(~F.col("block").startswith(docstart))
-    lines = F.filter(F.split("block", "\n"), lambda l: F.trim(l) != "")
-    fields = F.transform(lines, lambda l: F.filter(F.split(F.replace(l, F.lit(" -X- _ "), F.lit(" ")), WS),
-                                                   lambda x: x != ""))
-    return rec.select("file", "rec", F.transform(fields, lambda f: F.get(f, 0)).alias("tokens"),
-                      F.transform(fields, lambda f: F.element_at(f, -1)).alias("tags"))
+    """IO1: 4-column CoNLL (``token -X- _ TAG``) -> ``(file, rec, tokens, tags)``, sentences numbered in file order;
+    header sentences and empty ones are dropped (and have no number)."""
+    lines = numbered_lines(spark, path)
+    # A header line ends like a blank one: what follows it is a sentence of its own.
+    lines = lines.withColumn("value", F.when(F.col("value").startswith(docstart), "").otherwise(F.col("value")))
+    s = sentences(lines)
+    fields = F.transform("lines", lambda l: _fields(F.replace(l, F.lit(" -X- _ "), F.lit(" "))))
+    s = s.select("file", "rec", fields.alias("_f"))
+    return s.select("file", "rec", F.transform("_f", lambda f: F.get(f, F.lit(0))).alias("tokens"),
+                    F.transform("_f", lambda f: F.element_at(f, -1)).alias("tags"))
 
 
 def read_conll_group(spark: SparkSession, path: str, group: str, max_fields: int = 5) -> DataFrame:
-    """IO2: N-column CoNLL whose first line names the label groups
-    (``[name] [name] ...``); the second line is skipped; lines with more than
-    ``max_fields`` fields are skipped; labels are repaired (TX13)."""
-    from tessera.functions.text import is_cyrillic
-
-    header = spark.read.text(path).first()[0]
-    names = [h.strip("[]") for h in header.split()]
-    idx = names.index(group)
-    rec = _records(spark, path)
-    lines = F.split("block", "\n")
-    # The first record holds the header and the skipped line before its data.
-    body = F.when(F.col("block").startswith(header), F.slice(lines, 3, 1 << 30)).otherwise(lines)
-    fields = F.filter(F.transform(body, lambda l: F.filter(F.split(l, WS), lambda x: x != "")),
-                      lambda f: (F.size(f) > 0) & (F.size(f) <= max_fields))
-
-    def repair(lab):
-        return F.when(is_cyrillic(lab), F.lit("O")).when(lab.contains("True"), F.replace(lab, F.lit("True"), F.lit("1"))) \
-            .otherwise(lab)
-    return rec.select("file", "rec", F.transform(fields, lambda f: F.get(f, 0)).alias("tokens"),
-                      F.transform(fields, lambda f: repair(F.get(f, idx))).alias("tags")).where(F.size("tokens") > 0)
+    """IO2: N-column CoNLL -> ``(file, rec, tokens, tags)``.  Each file's first line names its columns
+    (``[name] [name] ...``) and its second line is skipped; lines with more than ``max_fields`` fields are skipped;
+    labels are repaired (TX13).  A file whose header doesn't name the group has no rows."""
+    lines = numbered_lines(spark, path)
+    named = F.transform(_fields(F.col("value")), lambda h: F.regexp_replace(h, "^\\[|\\]$", ""))
+    header = lines.where(F.col("line_no") == 0).select("file", F.array_position(named, group).alias("_at")).where(F.col("_at") > 0)
+    body = lines.withColumn("value", F.when(F.col("line_no") < 2, "").otherwise(F.col("value")))
+    # A line that is skipped is not a blank one: it doesn't end its sentence.
+    s = sentences(body).join(header, "file")
+    fields = F.filter(F.transform("lines", _fields), lambda f: F.size(f) <= max_fields)
+    s = s.select("file", "rec", fields.alias("_f"), (F.col("_at") - 1).cast("int").alias("_at")).where(F.size("_f") > 0)
+    return s.select("file", "rec", F.transform("_f", lambda f: F.get(f, F.lit(0))).alias("tokens"),
+                    F.transform("_f", lambda f: repair_label(F.get(f, F.col("_at")))).alias("tags"))
 
 
 def write_conll(df: DataFrame, path: str, tokens: str = "tokens", tags: str = "tags",

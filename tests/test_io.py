@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.sources import conll, files
@@ -37,3 +40,60 @@ def test_lines_and_files(spark, tmp_path):
     (d / "a.txt").write_text(" one \ntwo\n", encoding="utf-8")
     assert sorted(r["line"] for r in files.read_lines(spark, str(d)).collect()) == ["one", "two"]
     assert files.read_files(spark, str(d)).select(F.length("text")).first()[0] == 10
+
+
+@pytest.fixture
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _files(folder):
+    """Files with LF and CRLF, padded and repeated blank lines, a missing last line end, and an empty file."""
+    r = random.Random(3)
+    want = {}
+    for n, (eol, blanks) in enumerate([("\n", ["\n"]), ("\r\n", ["\r\n"]), ("\n", [" \t\n", "\n\n", "\n \n\n"]), ("\r\n", ["  \r\n", "\r\n\r\n"])]):
+        sents = [[f"f{n}s{s}w{w} -X- _ {r.choice(['O', 'B-A', 'I-A'])}" for w in range(r.randrange(1, 9))] for s in range(40)]
+        text = "".join(eol.join(x) + eol + r.choice(blanks) for x in sents)
+        (folder / f"part-{n}.txt").write_bytes((text.rstrip() if n % 2 else text).encode())
+        want[f"part-{n}.txt"] = sents
+    (folder / "part-9.txt").write_bytes(b"")
+    return want
+
+
+def test_lines_are_numbered_in_file_order(spark, tmp_path, small_blocks):
+    (tmp_path / "a.txt").write_text("".join(f"line {k}\n" for k in range(300)), encoding="utf-8")
+    (tmp_path / "b.txt").write_bytes(b"x\r\n\r\ny")
+    got = sorted((r["file"].rsplit("/")[-1], r["line_no"], r["value"]) for r in conll.numbered_lines(spark, str(tmp_path)).collect())
+    assert got == sorted([("a.txt", k, f"line {k}") for k in range(300)] + [("b.txt", 0, "x"), ("b.txt", 1, ""), ("b.txt", 2, "y")])
+
+
+def test_sentences_across_blocks_and_separators(spark, tmp_path, small_blocks):
+    want = _files(tmp_path)
+    back = conll.file_ordinal(conll.read_conll(spark, str(tmp_path))).collect()
+    got = {}
+    for r in sorted(back, key=lambda r: r["ordinal"]):
+        got.setdefault(r["file"].rsplit("/")[-1], []).append([f"{t} -X- _ {g}" for t, g in zip(r["tokens"], r["tags"])])
+    assert got == want
+    assert sorted(r["ordinal"] for r in back) == list(range(160))
+    assert all(r["rec"] == r["ordinal"] % 40 for r in back)
+
+
+def test_each_file_has_its_own_header(spark, tmp_path, small_blocks):
+    body = lambda order: "".join(" ".join([f"t{k}", *(f"{c}{k}" for c in order)]) + ("\n\n" if k % 3 == 2 else "\n") for k in range(60))
+    (tmp_path / "a.conll").write_text("[token] [ent] [arg]\n-- x --\n" + body("ea"), encoding="utf-8")
+    (tmp_path / "b.conll").write_bytes(("[token] [arg] [ent]\r\n-- x --\r\n" + body("ae").replace("\n", "\r\n")).encode())
+    (tmp_path / "c.conll").write_text("[token] [other]\n-- x --\nt0 z0\n", encoding="utf-8")
+    got = conll.read_conll_group(spark, str(tmp_path), "arg").collect()
+    assert len(got) == 40 and {r["file"][-7] for r in got} == {"a", "b"}
+    for r in got:
+        assert r["tokens"] == [f"t{3 * r['rec'] + k}" for k in range(3)] and r["tags"] == [f"a{3 * r['rec'] + k}" for k in range(3)]
+
+
+def test_json_stats(spark, tmp_path):
+    path = str(tmp_path / "stats")
+    files.write_json_stats(spark.createDataFrame([("train", 70), ("test", 30)], "split string, n long"), path)
+    assert sorted(map(tuple, spark.read.json(path).select("split", "n").collect())) == [("test", 30), ("train", 70)]

@@ -29,11 +29,6 @@ def tokens(c, lower: bool = True) -> Column:
     return F.filter(F.split(c, WS), lambda x: x != "")
 
 
-def word_tokens(c) -> Column:
-    """Punctuation-aware variant: words and single punctuation marks."""
-    return F.regexp_extract_all(_c(c), F.lit("(?U)\\w+|[^\\w\\s]"), 0)
-
-
 def clean_string(c) -> Column:
     """TX1: newline/tab -> space, collapse whitespace runs, strip."""
     return F.trim(F.regexp_replace(_c(c), WS, " "))
@@ -64,20 +59,6 @@ def not_punctuation(tok: Column) -> Column:
     return F.instr(F.lit(ASCII_PUNCTUATION), tok) == 0
 
 
-def collapse_repeats(toks: Column, keep_last: bool = False) -> Column:
-    """TX6: keep token i when it differs from token i+1.
-
-    The reference walks ``range(len - 1)``, so the final token is always lost;
-    ``keep_last=True`` keeps it.  ``zip_with`` pairs each token with its
-    successor (null past the end).
-    """
-    toks = _c(toks)
-    nxt = F.slice(toks, 2, F.greatest(F.size(toks) - 1, F.lit(0)))
-    pairs = F.zip_with(toks, nxt, lambda x, y: F.struct(
-        x.alias("t"), ((y.isNull() & F.lit(keep_last)) | (y.isNotNull() & (x != y))).alias("keep")))
-    return F.transform(F.filter(pairs, lambda p: p["keep"]), lambda p: p["t"])
-
-
 def cut_at_marker(c, marker: str = "</s>", keep_marker: bool = True) -> Column:
     """TX16: cut decoded text at an end marker.
 
@@ -99,6 +80,12 @@ def is_cyrillic(c) -> Column:
     return _c(c).rlike("[\\x{0410}-\\x{044F}]")
 
 
+def repair_label(c) -> Column:
+    """TX13: a label with Cyrillic letters becomes ``O``, ``True`` in a label becomes ``1``."""
+    c = _c(c)
+    return F.when(is_cyrillic(c), F.lit("O")).otherwise(F.replace(c, F.lit("True"), F.lit("1")))
+
+
 def markup_line_clean(c) -> Column:
     """TX10: ``line.split('>')[-2].split('<')[0]``; short lines give NULL."""
     parts = F.split(_c(c), ">")
@@ -155,7 +142,7 @@ def word_pieces(c) -> Column:
 
 
 # HTML entities decoded by the page-text extractor (``&amp;`` last).
-HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
                  ("&nbsp;", " "), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&mdash;", "\u2014"),
                  ("&ndash;", "\u2013"), ("&hellip;", "\u2026"), ("&reg;", "\u00ae"), ("&trade;", "\u2122"),
                  ("&amp;", "&"))
@@ -166,16 +153,36 @@ HTML_DROP = ("(?is)<script\\b[^>]*>.*?</script\\s*>", "(?is)<style\\b[^>]*>.*?</
 HTML_TAG = "</?[A-Za-z][^>]*>"
 
 
+def _character(ref: Column) -> Column:
+    """The character of a numeric reference; one beyond Unicode, a surrogate or 0 is U+FFFD, as HTML has it."""
+    digits = F.regexp_extract(ref, "^&#[xX]?0*([0-9a-fA-F]*);?$", 1)
+    number = F.when(ref.rlike("^&#[xX]"), F.conv(F.right(digits, F.lit(12)), 16, 10)).otherwise(F.right(digits, F.lit(12))).try_cast("bigint")
+    good = (F.length(digits) <= 7) & (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(F.coalesce(good, F.lit(False)), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def numeric_references(c) -> Column:
+    """Decimal and hexadecimal character references decoded; each distinct one is replaced once."""
+    c = _c(c)
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit("&#(?:[0-9]+|[xX][0-9a-fA-F]+);"), 0))
+    return F.when(c.contains("&#"), F.aggregate(refs, c, lambda acc, r: F.replace(acc, r, _character(r)))).otherwise(c)
+
+
+def html_entities(c) -> Column:
+    """Numeric references, then the named ones of ``HTML_ENTITIES``."""
+    h = numeric_references(c)
+    for a, b in HTML_ENTITIES:
+        h = F.replace(h, F.lit(a), F.lit(b))
+    return h
+
+
 def html_text(c) -> Column:
     """TX17 text: drop script/style/comments/doctype, remove tags (strings are
     joined with no separator, as a parser's ``get_text`` does), decode entities."""
     h = _c(c)
     for pat in HTML_DROP:
         h = F.regexp_replace(h, pat, "")
-    h = F.regexp_replace(h, HTML_TAG, "")
-    for a, b in HTML_ENTITIES:
-        h = F.replace(h, F.lit(a), F.lit(b))
-    return h
+    return html_entities(F.regexp_replace(h, HTML_TAG, ""))
 
 
 def html_blocks(c, block_tag: str = "ul") -> Column:
@@ -187,3 +194,15 @@ def html_cells(block, cell_tag: str = "li") -> Column:
     """Cells of one block as text (tags removed, whitespace normalised)."""
     cells = F.regexp_extract_all(block, F.lit(f"(?s)<{cell_tag}\\b[^>]*>(.*?)</{cell_tag}>"), 1)
     return F.transform(cells, lambda x: clean_string(F.regexp_replace(x, HTML_TAG, "")))
+
+
+def html_tables(c) -> Column:
+    """TX18: every table of a page as rows of cell texts, ``array<array<array<string>>>``; ``th`` and ``td`` are cells,
+    their tags are removed and entities decoded.  The n-th table is ``get(html_tables(c), n)``.  A table inside a
+    table's cell isn't told apart."""
+    def inner(markup: Column, tag: str) -> Column:
+        return F.regexp_extract_all(markup, F.lit(f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}\\s*>"), 1)
+
+    cell = lambda x: clean_string(html_entities(F.regexp_replace(x, HTML_TAG, "")))
+    return F.transform(inner(_c(c), "table"), lambda t: F.transform(inner(t, "tr"), lambda r: F.transform(
+        F.regexp_extract_all(r, F.lit("(?is)<t([dh])\\b[^>]*>(.*?)</t\\1\\s*>"), 2), cell)))

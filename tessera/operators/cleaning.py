@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -107,16 +107,25 @@ def _norm_header(s: str) -> str:
     return " ".join(s.split())
 
 
+def limit_by_tokens(df: DataFrame, a: str, b: str, n: int = 512, name: str = "limit_by_tokens") -> tuple[DataFrame, Observation]:
+    """TX15: the rows whose token arrays ``a`` and ``b`` both have at most ``n`` elements, and the report of the others:
+    ``(n_rows, n_kept, n_discarded, n_long_a, n_long_b)`` counted in the same pass, for whoever runs an action on the rows
+    first.  A row with a null array is discarded and counts as long in it."""
+    long_a, long_b = (F.coalesce(F.size(F.col(c)) > n, F.lit(True)) | F.col(c).isNull() for c in (a, b))
+    report = Observation(name)
+    seen = df.withColumns({"_la": long_a, "_lb": long_b}).observe(
+        report, F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("_la") & ~F.col("_lb")).alias("n_kept"),
+        F.count_if(F.col("_la") | F.col("_lb")).alias("n_discarded"), F.count_if("_la").alias("n_long_a"), F.count_if("_lb").alias("n_long_b"))
+    return seen.where(~F.col("_la") & ~F.col("_lb")).drop("_la", "_lb"), report
+
+
 def repair_labels(df: DataFrame, line: str, label_index: int = 1, max_fields: int = 5) -> DataFrame:
     """TX13: split a CoNLL line, skip lines with more than ``max_fields`` fields,
     Cyrillic label -> ``O``, ``True`` -> ``1``."""
     fields = T.tokens(line, lower=False)
     rows = df.withColumn("_f", fields).where(F.size("_f") <= max_fields)
-    lab = F.get(F.col("_f"), label_index)
-    repaired = (F.when(T.is_cyrillic(lab), F.lit("O"))
-                .when(lab.contains("True"), F.replace(lab, F.lit("True"), F.lit("1"))).otherwise(lab))
     keep = [c for c in df.columns if c != line]
-    return rows.select(*keep, F.get(F.col("_f"), 0).alias("token"), repaired.alias("label"))
+    return rows.select(*keep, F.get(F.col("_f"), 0).alias("token"), T.repair_label(F.get(F.col("_f"), label_index)).alias("label"))
 
 
 def whitelist_tag(tag, types: Sequence[str]) -> Column:
@@ -124,8 +133,3 @@ def whitelist_tag(tag, types: Sequence[str]) -> Column:
     keep = ["O"] + [p + t for t in types for p in ("B-", "I-")]
     tag = T._c(tag)
     return F.when(tag.isin(*keep), tag).otherwise(F.lit("O"))
-
-
-def strip_conll_filler(line) -> Column:
-    """TX14 line form: ``token -X- _ TAG`` -> ``token TAG``."""
-    return F.replace(T._c(line), F.lit(" -X- _ "), F.lit(" "))

@@ -1,13 +1,11 @@
 """Evaluation metrics as grouped conditional sums (AG15-AG18).
 
-Gold and predicted items are joined on their full key (one shuffle), and the
-counts per class come from one aggregation with a rollup for the overall row.
+Gold and predicted items of a row are compared inside it; the counts per class
+are sums over rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,45 +18,47 @@ def prf(correct: Column, guessed: Column, gold: Column) -> tuple[Column, Column,
     return p, r, f
 
 
-def span_scores(gold: DataFrame, pred: DataFrame, keys: Sequence[str], cls: str = "type",
-                overall: str = "overall") -> DataFrame:
-    """AG17 entity scores: per class and overall ``(n_gold, n_pred, n_correct,
-    precision, recall, f1)``; a span is correct when every key matches."""
-    tagged = (gold.select(*keys, F.lit(True).alias("_is_gold"))
-              .unionByName(pred.select(*keys, F.lit(False).alias("_is_gold"))))
-    return span_scores_tagged(tagged, "_is_gold", keys, cls, overall)
-
-
-def span_scores_tagged(spans: DataFrame, is_gold: str, keys: Sequence[str], cls: str = "type",
-                       overall: str = "overall") -> DataFrame:
-    """AG17 core on one frame of spans flagged gold / predicted: membership per
-    key is one ``groupBy(keys)``; no join of gold to predictions."""
-    m = spans.groupBy(*keys).agg(F.max(F.col(is_gold).cast("int")).alias("_g"),
-                                 F.max((~F.col(is_gold)).cast("int")).alias("_p"))
-    u = m.select(cls, "_g", "_p", (F.col("_g") * F.col("_p")).alias("_c"))
-    agg = u.rollup(cls).agg(F.sum("_g").alias("n_gold"), F.sum("_p").alias("n_pred"), F.sum("_c").alias("n_correct"),
-                            F.grouping(cls).alias("_all"))
-    pr, rc, f1 = prf(F.col("n_correct"), F.col("n_pred"), F.col("n_gold"))
-    return agg.select(F.when(F.col("_all") == 1, F.lit(overall)).otherwise(F.col(cls)).alias("entity"),
-                      "n_gold", "n_pred", "n_correct", pr.alias("precision"), rc.alias("recall"), f1.alias("f1"))
-
-
-def sequence_scores(df: DataFrame, tags: str, ptags: str, gold: str, pred: str, overall: str = "overall") -> DataFrame:
-    """AG17 on the array form: ``tags`` and ``ptags`` are aligned tag arrays, ``gold`` and ``pred`` their span
-    arrays.  Spans are compared inside the row, as strings; what leaves a task are sums per type."""
-    name = lambda c: F.array_distinct(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"], s["type"])))
-    d = df.select(name(gold).alias("g"), name(pred).alias("p"), F.size(tags).alias("n"),
-                  F.size(F.filter(F.zip_with(tags, ptags, lambda a, b: a == b), lambda x: x)).alias("eq"))
-    d = d.withColumn("c", F.array_intersect("g", "p"))
-    zero = F.lit(0)
+def _marks(tags: str) -> Column:
+    """Per position: does a span end before it (``brk``), does one start at it, and its type."""
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col(tags)), 1, F.size(tags))
+
+    def mark(t, p):
+        kind = F.substring(t, 3, 1 << 30)
+        starts = t.startswith("B-") | (t.startswith("I-") & (p.isNull() | (p == "O") | (F.substring(p, 3, 1 << 30) != kind)))
+        return F.struct(((t == "O") | starts).alias("brk"), starts.alias("st"), kind.alias("ty"))
+
+    return F.zip_with(F.col(tags), before, mark)
+
+
+def sequence_scores(df: DataFrame, tags: str, ptags: str, overall: str = "overall", ignore: str | None = None) -> DataFrame:
+    """AG17 on aligned gold and predicted tag arrays: per type and overall P/R/F1 of spans, and the tokens' accuracy.
+    ``ignore``: positions with this gold tag are left out of both arrays.
+
+    One merge inside the row: only places where either side breaks matter.  A span is right if both sides start the same
+    type there and both break at the next such place.  What leaves a task are sums per type."""
+    d = df.select(tags, ptags)
+    if ignore is not None:
+        both = F.filter(F.arrays_zip(F.col(tags).alias("g"), F.col(ptags).alias("p")), lambda z: z["g"] != ignore)
+        d = d.select(both.alias("_z")).select(F.col("_z.g").alias(tags), F.col("_z.p").alias(ptags))
+    events = F.filter(F.zip_with(_marks(tags), _marks(ptags), lambda a, b: F.struct(
+        a["brk"].alias("gb"), a["st"].alias("gs"), a["ty"].alias("gt"), b["brk"].alias("pb"), b["st"].alias("ps"), b["ty"].alias("pt"))), lambda e: e["gb"] | e["pb"])
+    d = d.select(events.alias("ev"), F.size(tags).alias("n"),
+                 F.size(F.filter(F.zip_with(tags, ptags, lambda a, b: a == b), lambda x: x)).alias("eq"))
+    none = F.lit(None).cast("string")
+    end = F.array(F.struct(F.lit(True).alias("gb"), F.lit(False).alias("gs"), none.alias("gt"), F.lit(True).alias("pb"), F.lit(False).alias("ps"), none.alias("pt")))
+    after = F.concat(F.slice("ev", 2, F.greatest(F.size("ev") - 1, F.lit(0))), end)
+    scored = F.slice(F.zip_with("ev", after, lambda a, b: F.struct(
+        a["gs"].alias("gs"), a["gt"].alias("gt"), a["ps"].alias("ps"), a["pt"].alias("pt"),
+        (a["gs"] & a["ps"] & (a["gt"] == a["pt"]) & b["gb"] & b["pb"]).cast("long").alias("c"))), 1, F.size("ev"))
+    d = d.select(scored.alias("s"), "n", "eq")
 
     def row(kind, g, p, c, eq, n):
         return F.struct(kind.alias("type"), *(x.cast("long").alias(k) for k, x in zip(("g", "p", "c", "eq", "n"), (g, p, c, eq, n))))
 
-    of = lambda arr, *flags: F.transform(arr, lambda s: row(
-        F.regexp_extract(s, "^[0-9]+:[0-9]+:(.*)$", 1), *(F.lit(f) for f in flags), zero, zero))
-    items = F.concat(of("g", 1, 0, 0), of("p", 0, 1, 0), of("c", 0, 0, 1),
-                     F.array(row(F.lit(None).cast("string"), zero, zero, zero, F.col("eq"), F.col("n"))))
+    zero, one = F.lit(0), F.lit(1)
+    items = F.concat(F.transform(F.filter("s", lambda e: e["gs"]), lambda e: row(e["gt"], one, zero, e["c"], zero, zero)),
+                     F.transform(F.filter("s", lambda e: e["ps"]), lambda e: row(e["pt"], zero, one, zero, zero, zero)),
+                     F.array(row(none, zero, zero, zero, F.col("eq"), F.col("n"))))
     sums = [F.sum(c).alias(c) for c in ("g", "p", "c", "eq", "n")]
     per = d.select(F.inline_outer(items)).groupBy("type").agg(*sums)
     total = per.agg(*sums)
@@ -70,15 +70,6 @@ def sequence_scores(df: DataFrame, tags: str, ptags: str, gold: str, pred: str,
                                            pr.alias("precision"), rc.alias("recall"), f1.alias("f1"), "accuracy")
 
 
-def token_accuracy(gold: DataFrame, pred: DataFrame, keys: Sequence[str], label: str = "tag",
-                   ignore: int | str | None = -100) -> DataFrame:
-    """AG17 accuracy over aligned tokens, ``ignore`` positions left out."""
-    j = gold.select(*keys, F.col(label).alias("_g")).join(pred.select(*keys, F.col(label).alias("_p")), list(keys))
-    if ignore is not None:
-        j = j.where(F.col("_g").cast("string") != str(ignore))
-    return j.agg(F.avg((F.col("_g") == F.col("_p")).cast("double")).alias("accuracy"))
-
-
 def argmax_first(logits) -> Column:
     """0-based index of the first maximum of an array."""
     logits = F.col(logits) if isinstance(logits, str) else logits

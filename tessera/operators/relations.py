@@ -144,12 +144,7 @@ def set_scores_tagged(rel: DataFrame, is_gold: str, keys: Sequence[str], relatio
 
 
 def type_histogram(rel: DataFrame, split: str = "split", total: str = "total") -> DataFrame:
-    """AG11: ``(split, type, n)`` per split plus ``total`` over all splits."""
-    per = rel.groupBy(split, "type").agg(F.count(F.lit(1)).alias("n"))
-    tot = rel.groupBy("type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(total).alias(split), "type", "n")
-    return per.unionByName(tot)
-
-
-def set_algebra(gold, pred) -> tuple[Column, Column, Column]:
-    """ST5 array form: (TP, FP, FN) sets of one row."""
-    return F.array_intersect(gold, pred), F.array_except(pred, gold), F.array_except(gold, pred)
+    """AG11: ``(split, type, n)`` per split plus ``total`` over all splits: grouping sets, the rows are read once."""
+    sets = rel.select(split, "type").groupingSets([[F.col(split), F.col("type")], [F.col("type")]], split, "type")
+    counted = sets.agg(F.count(F.lit(1)).alias("n"), F.grouping(split).alias("_all"))
+    return counted.select(F.when(F.col("_all") == 1, F.lit(total)).otherwise(F.col(split)).alias(split), "type", "n")

@@ -2,8 +2,8 @@
 
 Pairs come from an exact equi-join on shared shingles (no cross product).  Set
 measures are array functions on the pair row; count-clipped measures (ROUGE-1,
-BLEU) explode the reference's n-grams, join the candidate's n-gram counts on
-``(candidate, n, gram)`` and sum ``least(...)`` per pair.
+BLEU) count the n-grams of both sides of a pair in one grouping and sum
+``least(...)`` per pair.
 """
 
 from __future__ import annotations
@@ -33,28 +33,21 @@ def jaccard(a, b) -> Column:
     return F.try_divide(F.size(F.array_intersect(a, b)).cast("double"), F.size(F.array_union(a, b)))
 
 
-def ngram_counts(df: DataFrame, key: str, toks: str, orders: Sequence[int]) -> DataFrame:
-    """``(key, n, gram, cnt)`` for each n in ``orders``; the rows are read once for all orders."""
-    def of(n: int) -> Column:
-        return F.transform(ngrams(F.col(toks), n, sep=" "), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
-    return (df.select(key, F.inline_outer(F.concat(*[of(n) for n in orders]))).where(F.col("gram").isNotNull())
-            .groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
-
-
-def clipped_counts(pairs: DataFrame, cand: DataFrame, ckey: str, ctoks: str, ref: DataFrame, rkey: str,
-                   rtoks: str, orders: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
-    """``(ckey, rkey, n, clipped, ref_total)``: per pair and order, the sum over
-    the reference's n-grams of ``min(ref count, candidate count)`` and the
-    number of reference n-grams.  Candidates are limited to paired rows first."""
-    cands = cand.join(pairs.select(ckey).distinct(), ckey, "left_semi")
-    refs = ref.join(pairs.select(rkey).distinct(), rkey, "left_semi")
-    rc = ngram_counts(refs, rkey, rtoks, orders).withColumnRenamed("cnt", "_cr")
-    cc = ngram_counts(cands, ckey, ctoks, orders).withColumnRenamed("cnt", "_cc")
-    pr = pairs.join(rc, rkey)
-    j = pr.join(cc, [ckey, "n", "gram"], "left")
-    return j.groupBy(ckey, rkey, "n").agg(
-        F.sum(F.least(F.col("_cr"), F.coalesce(F.col("_cc"), F.lit(0)))).alias("clipped"),
-        F.sum("_cr").alias("ref_total"))
+def clipped_counts(pairs: DataFrame, keys: Sequence[str], ctoks: str, rtoks: str, orders: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
+    """``(keys, n, clipped, ref_total, cand_total)`` of rows that hold a pair's candidate and reference tokens: per pair
+    and order, the sum over n-grams of ``min(ref count, candidate count)`` and the numbers of n-grams.
+
+    Both sides' n-grams are rows of one frame, counted map-side by (pair, order, n-gram): the pairs are read once, and
+    a pair's sums follow in the same partitioning as far as its keys go."""
+    def of(toks: str, n: int, is_ref: int) -> Column:
+        return F.transform(ngrams(F.col(toks), n, sep=" "), lambda g: F.struct(
+            F.lit(n).alias("n"), g.alias("gram"), F.lit(is_ref).alias("r"), F.lit(1 - is_ref).alias("c")))
+
+    # Outer: for an inner generator a filter on the array's size would be inferred, and evaluate the array once more.
+    rows = pairs.select(*keys, F.inline_outer(F.concat(*[of(t, n, k) for n in orders for t, k in ((rtoks, 1), (ctoks, 0))])))
+    grams = rows.groupBy(*keys, "n", "gram").agg(F.sum("r").alias("_r"), F.sum("c").alias("_c"))
+    return grams.where(F.col("n").isNotNull()).groupBy(*keys, "n").agg(
+        F.sum(F.least("_r", "_c")).alias("clipped"), F.sum("_r").alias("ref_total"), F.sum("_c").alias("cand_total"))
 
 
 def rouge1(overlap, sys_len, ref_len) -> Column:

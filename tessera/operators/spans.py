@@ -139,26 +139,10 @@ def bio_spans_arrays(df: DataFrame, key: str = "doc_id", tags: str = "tags", tok
     return d3.select(key, *carry, "start", "end", "type")
 
 
-def array_accuracy(df: DataFrame, gold: str, pred: str) -> DataFrame:
-    """Token accuracy of two aligned tag arrays per row, summed over rows."""
-    eq = F.size(F.filter(F.zip_with(gold, pred, lambda a, b: a == b), lambda x: x))
-    return df.agg((F.sum(eq) / F.sum(F.size(gold))).alias("accuracy"))
-
-
-def positive_runs_arrays(df: DataFrame, key: str = "doc_id", tokens: str = "tokens",
-                         values: str = "values") -> DataFrame:
-    """WN1 + WN2 on the array form: runs of positive values are the spans of
-    the tags ``I-P`` (positive) / ``O`` (not), decoded without a shuffle."""
-    tagged = df.select(key, tokens, F.transform(values, lambda v: F.when(v > 0, F.lit("I-P")).otherwise(F.lit("O")))
-                       .alias("_tags"))
-    s = bio_spans_arrays(tagged, key, "_tags", tokens).where(F.col("text") != "")
-    return s.select(key, "start", "text", F.regexp_replace("text", "(?U)\\s+", "").alias("compact"),
-                    F.size(F.filter(F.split("text", "(?U)\\s+"), lambda x: x != "")).alias("n_tokens"))
-
-
 def count_listed_spans(df: DataFrame, col: str) -> DataFrame:
-    """AG12: spans stored as a list literal in a string (``"['a', 'b']"``) ->
-    ``(span, n)``; the JSON reader accepts single quotes."""
-    spans = F.from_json(F.col(col), "array<string>", {"allowSingleQuotes": "true"})
+    """AG12: spans stored as a list literal in a string (``"['a', 'it\\'s']"``, either quote, backslash escapes) ->
+    ``(span, n)``; a string that is no list of strings has no spans."""
+    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "allowUnquotedControlChars": "true"}
+    spans = F.from_json(F.col(col), "array<string>", options)
     return (df.select(F.explode(spans).alias("span")).groupBy("span")
             .agg(F.count(F.lit(1)).alias("n")))

@@ -8,6 +8,7 @@ from tessera.functions.text import tokens
 from tessera.operators import augment as A
 from tessera.plans.registry import query
 from tessera.plans.sqlparts import bucket, lit, toks
+from tessera.session import stored
 from tessera.sources.tables import table
 
 
@@ -38,7 +39,7 @@ def _lexicons(rows):
     """Lexicons derived by rule from the corpus vocabulary: a word's pivot is its
     lower-case form (one-to-one in every engine, unlike upper-casing ß); the way
     back picks the smallest word with that pivot."""
-    vocab = rows.select(F.col("token").alias("word")).distinct()
+    vocab = stored(rows.select(F.col("token").alias("word")).distinct(), "words")
     forward = vocab.select("word", F.lower("word").alias("pivot"))
     backward = forward.groupBy("pivot").agg(F.min("word").alias("word"))
     return forward, backward

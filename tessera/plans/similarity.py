@@ -10,6 +10,7 @@ from tessera.operators import similarity as SM
 from tessera.operators import vectors as V
 from tessera.plans.registry import query
 from tessera.plans.sqlparts import lit, toks
+from tessera.session import stored
 from tessera.sources.tables import table
 
 SHINGLE = 8
@@ -23,9 +24,13 @@ pairs AS (SELECT DISTINCT bs.item_id, ds.doc_id FROM bs JOIN ds ON bs.sh = ds.sh
 
 
 def _pairs(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", tokens("text").alias("t"))
-    bench = table(spark, sf, "benchmark").select("item_id", tokens("text").alias("t"))
-    return docs, bench, SM.shingle_pairs(bench, "item_id", "t", docs, "doc_id", "t", n=SHINGLE)
+    """(item_id, doc_id, bt, dt): the pairs with both token arrays, written once.  Only paired documents are tokenised
+    for their arrays."""
+    tokenised = lambda name, key: table(spark, sf, name).select(key, tokens("text").alias("t"))
+    pairs = stored(SM.shingle_pairs(tokenised("benchmark", "item_id"), "item_id", "t", tokenised("documents", "doc_id"), "doc_id", "t", n=SHINGLE), "pairs")
+    docs = table(spark, sf, "documents").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", tokens("text").alias("dt"))
+    bench = tokenised("benchmark", "item_id").withColumnRenamed("t", "bt")
+    return stored(pairs.join(docs, "doc_id").join(bench, "item_id"), "paired-tokens")
 
 
 @query("jaccard_pairs", sql=f"""WITH {_PAIRS.strip()}
@@ -33,9 +38,7 @@ SELECT p.item_id, p.doc_id,
        round(len(list_intersect(dt.t, bt.t)) / len(list_distinct(list_concat(dt.t, bt.t))), 6) AS jaccard
 FROM pairs p JOIN dt ON p.doc_id = dt.doc_id JOIN bt ON p.item_id = bt.item_id""")
 def q_jaccard_pairs(spark, sf):
-    docs, bench, pairs = _pairs(spark, sf)
-    j = pairs.join(docs.withColumnRenamed("t", "dt"), "doc_id").join(bench.withColumnRenamed("t", "bt"), "item_id")
-    return j.select("item_id", "doc_id", F.round(SM.jaccard("dt", "bt"), 6).alias("jaccard"))
+    return _pairs(spark, sf).select("item_id", "doc_id", F.round(SM.jaccard("dt", "bt"), 6).alias("jaccard"))
 
 
 def _grams_sql(tbl: str, key: str, n: int) -> str:
@@ -55,12 +58,13 @@ lens AS (SELECT p.item_id, p.doc_id, len(dt.t) AS cand_len, len(bt.t) AS ref_len
          FROM pairs p JOIN dt ON p.doc_id = dt.doc_id JOIN bt ON p.item_id = bt.item_id)"""
 
 
-def _clip(spark, sf):
-    docs, bench, pairs = _pairs(spark, sf)
-    clip = SM.clipped_counts(pairs, docs, "doc_id", "t", bench, "item_id", "t")
-    lens = (pairs.join(docs.select("doc_id", F.size("t").alias("cand_len")), "doc_id")
-            .join(bench.select("item_id", F.size("t").alias("ref_len")), "item_id"))
-    return clip, lens
+def _clip(spark, sf, orders):
+    """A row per pair: the lengths and the clipped count of each order."""
+    pairs = _pairs(spark, sf)
+    clip = SM.clipped_counts(pairs, ["item_id", "doc_id"], "dt", "bt", orders)
+    of = lambda c, n, name: F.coalesce(F.max(F.when(F.col("n") == n, F.col(c))), F.lit(0)).alias(name)
+    # Unigrams are the tokens: their totals are the lengths.
+    return clip.groupBy("item_id", "doc_id").agg(of("cand_total", 1, "cand_len"), of("ref_total", 1, "ref_len"), *[of("clipped", n, f"c{n}") for n in orders])
 
 
 @query("rouge1_pairs", sql=f"""WITH {_CLIP.strip()}
@@ -70,11 +74,9 @@ SELECT l.item_id, l.doc_id, coalesce(c.clipped, 0)::BIGINT AS overlap,
               / (coalesce(c.clipped, 0) / l.cand_len + coalesce(c.clipped, 0) / l.ref_len)) ELSE 0 END, 6) AS rouge1
 FROM lens l LEFT JOIN clip c ON l.item_id = c.item_id AND l.doc_id = c.doc_id AND c.n = 1""")
 def q_rouge1_pairs(spark, sf):
-    clip, lens = _clip(spark, sf)
-    c1 = clip.where(F.col("n") == 1).select("item_id", "doc_id", "clipped")
-    j = lens.join(c1, ["item_id", "doc_id"], "left").withColumn("overlap", F.coalesce("clipped", F.lit(0)).cast("bigint"))
-    return j.select("item_id", "doc_id", "overlap",
-                    F.round(SM.rouge1("overlap", "cand_len", "ref_len"), 6).alias("rouge1"))
+    c = _clip(spark, sf, (1,))
+    return c.select("item_id", "doc_id", F.col("c1").cast("bigint").alias("overlap"),
+                    F.round(SM.rouge1("c1", "cand_len", "ref_len"), 6).alias("rouge1"))
 
 
 @query("bleu_pairs", sql=f"""WITH {_CLIP.strip()},
@@ -90,14 +92,10 @@ g AS (SELECT l.item_id, l.doc_id,
       FROM lens l LEFT JOIN pv ON l.item_id = pv.item_id AND l.doc_id = pv.doc_id)
 SELECT item_id, doc_id, round(bp, 6) AS bp, round(prec, 6) AS precision, round(bp * prec, 6) AS bleu FROM g""")
 def q_bleu_pairs(spark, sf):
-    clip, lens = _clip(spark, sf)
-    pcol = lambda n: F.max(F.when(F.col("n") == n, F.col("clipped") / F.col("ref_total"))).alias(f"p{n}")
-    pv = clip.groupBy("item_id", "doc_id").agg(*[pcol(n) for n in (1, 2, 3, 4)])
-    g = lens.join(pv, ["item_id", "doc_id"], "left").select(
-        "item_id", "doc_id", SM.brevity_penalty("ref_len", "cand_len").alias("bp"),
-        SM.geometric_precision("p1", "p2", "p3", "p4").alias("prec"))
-    return g.select("item_id", "doc_id", F.round("bp", 6).alias("bp"), F.round("prec", 6).alias("precision"),
-                    F.round(F.col("bp") * F.col("prec"), 6).alias("bleu"))
+    g = _clip(spark, sf, (1, 2, 3, 4)).select("item_id", "doc_id", SM.brevity_penalty("ref_len", "cand_len").alias("bp"),
+                                              SM.bleu({n: f"c{n}" for n in (1, 2, 3, 4)}, "ref_len", "cand_len").alias("bleu"))
+    return g.select("item_id", "doc_id", F.round("bp", 6).alias("bp"), F.round(F.try_divide("bleu", "bp"), 6).alias("precision"),
+                    F.round("bleu", 6).alias("bleu"))
 
 
 # Fixed values for the nearest-word query: English month names.  The SQL engine's

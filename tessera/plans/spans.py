@@ -45,12 +45,14 @@ def q_common_spans(spark, sf):
 
 
 @query("listed_spans", sql=f"""WITH {D.TAGS_SQL.strip()},{D.spans_sql('tags', 'sp').rstrip()}
-SELECT type AS span, count(*)::BIGINT AS n FROM sp GROUP BY type""")
+SELECT text AS span, count(*)::BIGINT AS n FROM sp GROUP BY text""")
 def q_listed_spans(spark, sf):
-    """Each document's span types as a list literal in a string, counted."""
-    d = SP.with_span_arrays(D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tags"), "tags", "spans")
-    literal = F.concat(F.lit("["), F.array_join(F.transform("spans", lambda s: F.concat(F.lit("'"), s["type"], F.lit("'"))), ", "), F.lit("]"))
-    return SP.count_listed_spans(d.select(literal.alias("spans")), "spans")
+    """Each document's span texts as a list literal in a string (quotes and backslashes escaped), counted."""
+    d = D.tagged_docs(table(spark, sf, "documents"))
+    s = SP.bio_spans_arrays(d).groupBy("doc_id").agg(F.collect_list("text").alias("spans"))
+    escaped = lambda x: F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+    literal = F.concat(F.lit("['"), F.array_join(F.transform("spans", escaped), "', '"), F.lit("']"))
+    return SP.count_listed_spans(s.select(literal.alias("spans")), "spans")
 
 
 @query("word_frequency", sql=f"""WITH {D.TAGS_SQL.strip()}
@@ -126,10 +128,10 @@ SELECT entity, n_gold, n_pred, n_correct, round(pr, 6) AS precision, round(rc, 6
        round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END, 6) AS f1, round(accuracy, 6) AS accuracy
 FROM m, acc""")
 def q_sequence_metrics(spark, sf):
-    """Gold and predicted spans are decoded and compared inside a document's row; only sums are shuffled."""
+    """Gold and predicted tags are compared inside a document's row; only sums are shuffled."""
     d = D.tagged_docs(table(spark, sf, "documents")).select("doc_id", "tags")
     d = d.withColumn("ptags", F.transform("tags", lambda t, i: D.pred_tag(t, F.col("doc_id"), i)))
-    out = M.sequence_scores(SP.with_span_arrays(SP.with_span_arrays(d, "tags", "gold"), "ptags", "pred"), "tags", "ptags", "gold", "pred")
+    out = M.sequence_scores(d, "tags", "ptags")
     return out.select("entity", "n_gold", "n_pred", "n_correct",
                       *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
 

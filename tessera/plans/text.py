@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.sequences import hash_bucket
 from tessera.operators import cleaning
 from tessera.plans import derived
 from tessera.plans.registry import query
-from tessera.plans.sqlparts import first_n, lit, toks
+from tessera.plans.sqlparts import bucket, first_n, lit, toks
+from tessera.session import stored
 from tessera.sources.tables import table
 
 NL = "chr(10)"
@@ -130,24 +132,34 @@ def q_block_split(spark, sf):
     return cleaning.block_split(table(spark, sf, "documents"), "doc_id", "text")
 
 
-@query("cyrillic_flag", sql="""
-SELECT doc_id, regexp_matches(text, '[\\x{0410}-\\x{044F}]') AS is_russian FROM documents
+# Stand-in input: by rule H half of the texts get some Cyrillic letters, a tenth of them only one that is outside the range.
+_SOME = ("aeo", "аео")
+_YO = ("e", "ё")
+
+
+@query("cyrillic_flag", sql=f"""
+SELECT doc_id, regexp_matches(CASE WHEN b < 400 THEN translate(text, '{_SOME[0]}', '{_SOME[1]}') WHEN b < 500 THEN replace(text, '{_YO[0]}', '{_YO[1]}') ELSE text END,
+                              '[\\x{{0410}}-\\x{{044F}}]') AS is_russian
+FROM (SELECT doc_id, text, {bucket('doc_id')} AS b FROM documents)
 """)
 def q_cyrillic_flag(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.is_cyrillic("text").alias("is_russian"))
+    b = hash_bucket("doc_id")
+    text = F.when(b < 400, F.translate("text", *_SOME)).when(b < 500, F.translate("text", *_YO)).otherwise(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", T.is_cyrillic(text).alias("is_russian"))
 
 
 @query("label_repair", sql=f"""
 WITH {derived.TAGS_SQL.strip()},
-l AS (SELECT doc_id, pos, token, string_split_regex(token || ' ' || tag, '\\s+') AS f FROM tags)
-SELECT doc_id, pos, f[1] AS token,
-       CASE WHEN regexp_matches(f[2], '[\\x{{0410}}-\\x{{044F}}]') THEN 'O'
-            WHEN contains(f[2], 'True') THEN replace(f[2], 'True', '1') ELSE f[2] END AS label
-FROM l WHERE len(f) <= 5
+l AS (SELECT doc_id, pos, token, tag, {bucket("doc_id || ':' || pos")} % 20 AS b FROM tags)
+SELECT doc_id, pos, token, CASE WHEN b = 1 THEN 'O' WHEN b = 2 AND tag <> 'O' THEN 'B-1' ELSE tag END AS label
+FROM l WHERE b <> 0
 """)
 def q_label_repair(spark, sf):
+    """Lines of token and tag; by rule H a line has six fields, a Cyrillic label, or ``True`` in its label."""
+    b = hash_bucket("doc_id", "pos") % 20
+    label = F.when(b == 1, F.concat(F.lit("Б-"), "tag")).when((b == 2) & (F.col("tag") != "O"), "B-True").otherwise(F.col("tag"))
     rows = derived.tag_rows(table(spark, sf, "documents"))
-    lines = rows.select("doc_id", "pos", F.concat_ws(" ", "token", "tag").alias("line"))
+    lines = rows.select("doc_id", "pos", F.concat_ws(" ", "token", label, F.when(b == 0, "x y z v")).alias("line"))
     return cleaning.repair_labels(lines, "line", label_index=1)
 
 
@@ -160,6 +172,9 @@ def q_tag_whitelist(spark, sf):
     return rows.select("doc_id", "pos", "token", cleaning.whitelist_tag("tag", ["CAP"]).alias("tag"))
 
 
+_LIMIT = 512
+
+
 @query("length_filter", sql=f"""
 SELECT doc_id, n_words, n_pieces FROM (
   SELECT doc_id, len({toks('text')})::INTEGER AS n_words,
@@ -172,6 +187,43 @@ def q_length_filter(spark, sf):
     return kept.select("doc_id", F.size("a").alias("n_words"), F.size("b").alias("n_pieces"))
 
 
+@query("discard_report", sql=f"""
+WITH p AS (SELECT page_id, len({toks('html')}) AS a, len(regexp_extract_all(url, '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_\\s]', 0)) AS b FROM pages),
+r AS (SELECT count(*) AS n_rows, count(*) FILTER (a <= {_LIMIT} AND b <= {_LIMIT}) AS n_kept, count(*) FILTER (a > {_LIMIT} OR b > {_LIMIT}) AS n_discarded,
+             count(*) FILTER (a > {_LIMIT}) AS n_long_html, count(*) FILTER (b > {_LIMIT}) AS n_long_url FROM p)
+SELECT page_id, r.* FROM p, r WHERE a <= {_LIMIT} AND b <= {_LIMIT}""")
+def q_discard_report(spark, sf):
+    """Pages whose html and url both have at most the limit of tokens, each with the counts of the pass that kept it."""
+    p = table(spark, sf, "pages").select("page_id", T.tokens("html").alias("a"), T.word_pieces("url").alias("b"))
+    kept, report = cleaning.limit_by_tokens(p, "a", "b", _LIMIT)
+    kept = stored(kept.select("page_id"), "kept-pages")
+    names = {"n_rows": "n_rows", "n_kept": "n_kept", "n_discarded": "n_discarded", "n_long_a": "n_long_html", "n_long_b": "n_long_url"}
+    return kept.select("page_id", *[F.lit(report.get[k]).cast("bigint").alias(n) for k, n in names.items()])
+
+
+_ROWS_OF_A_PAGE = 20
+
+
+def _part_pages(spark, sf):
+    """Stand-in input: pages with a menu table and a table of parts, a part a row."""
+    escaped = lambda c: F.replace(F.replace(F.replace(F.col(c).cast("string"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("e"), F.lit("&#x65;"))
+    cells = F.concat(*[F.concat(F.lit("<td class=c>\n <b>"), escaped(c), F.lit("</b> </td>")) for c in ("p_partkey", "p_name", "p_type", "p_size")])
+    rows = table(spark, sf, "part").select(F.floor(F.col("p_partkey") / _ROWS_OF_A_PAGE).alias("page"), F.struct("p_partkey", F.concat(F.lit("<TR>"), cells, F.lit("</TR >")).alias("r")).alias("r"))
+    body = rows.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["r"]), "\n").alias("b"))
+    head = "<html><table id=menu><tr><td>Home</td><td>Parts</td></tr></table><p>List</p><table><tr><th>Key</th><th>Name</th><th>Type</th><th>Size</th></tr>"
+    return body.select("page", F.concat(F.lit(head), "b", F.lit("</table></html>")).alias("html"))
+
+
+@query("table_rows", sql=f"""
+SELECT p_partkey // {_ROWS_OF_A_PAGE} AS page, (row_number() OVER (PARTITION BY p_partkey // {_ROWS_OF_A_PAGE} ORDER BY p_partkey))::INTEGER AS row_no,
+       p_partkey, p_name, p_type, p_size::INTEGER AS p_size FROM part""")
+def q_table_rows(spark, sf):
+    """The rows of each page's second table, without its header."""
+    rows = _part_pages(spark, sf).select("page", F.posexplode(F.get(T.html_tables("html"), F.lit(1))).alias("row_no", "c")).where(F.col("row_no") > 0)
+    return rows.select("page", "row_no", F.col("c")[0].cast("bigint").alias("p_partkey"), F.col("c")[1].alias("p_name"), F.col("c")[2].alias("p_type"),
+                       F.col("c")[3].cast("int").alias("p_size"))
+
+
 @query("form_class", sql=f"""
 SELECT doc_id, CASE WHEN length(t[3]) <= 3 THEN 'infinitive' WHEN length(t[1]) <= 3 THEN 'impersonal'
                     ELSE 'personal' END AS form_class

@@ -71,7 +71,45 @@ def test_cluster_needs_a_shared_folder():
     assert is_one_jvm("local[8]") and not is_one_jvm("local-cluster[3,2,3000]") and not is_one_jvm("yarn")
 
 
-def test_counts_stay_in_the_row(spark):
+def _scans(df, table):
+    """How often the final plan reads a table, once it has run: reused exchanges count once."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = _plan(df)
+    final = plan[plan.index("== Final Plan ==") : plan.index("== Initial Plan ==")] if "== Final Plan ==" in plan else plan
+    return sum(1 for line in final.split("\n") if "FileScan" in line and f"/{table}.parquet" in line)
+
+
+def test_tables_are_read_once(spark):
+    qs = E.queries()
+    for name in ("term_counts", "ngram_counts", "dependency_phrase", "split_ratio", "discard_report", "lang_lookup", "bio_spans"):
+        assert _scans(qs[name](spark, SMALL), "documents") <= 1, name
+    # Written before: the final plan reads the words or pairs, not the documents.
+    for name, most in (("nb_scores", 0), ("nb_accuracy", 0), ("bleu_pairs", 0), ("rouge1_pairs", 0), ("jaccard_pairs", 0),
+                       ("bigram_perplexity", 1), ("pseudo_perplexity", 1), ("vw_lines", 2)):
+        assert _scans(qs[name](spark, SMALL), "documents") <= most, name
+
+
+def test_counts_are_made_map_side(spark):
     qs = E.queries()
     for name in ("term_counts", "ngram_counts"):
-        assert "Exchange" not in _plan(qs[name](spark, SMALL)), name
+        plan = _plan(qs[name](spark, SMALL))
+        assert plan.count("Exchange") == 1 and "partial_count" in plan, name
+
+
+def test_ratio_split_has_no_exchange(spark):
+    plan = _plan(E.queries()["split_ratio"](spark, SMALL))
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_llm_package_may_fail_to_import(monkeypatch):
+    """A missing library of the optional package takes none of the other queries away."""
+    import sys
+
+    import tessera
+
+    monkeypatch.setitem(sys.modules, "tessera.llm.queries", None)
+    if hasattr(tessera, "llm"):
+        monkeypatch.delattr(tessera.llm, "queries", raising=False)
+    assert len(E.queries()) >= 80 and not any(n.startswith("op") or n == "pipeline" for n in E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())

@@ -44,3 +44,14 @@ def test_paired_types(spark):
     df2 = spark.createDataFrame([([("a", "t1", "b")], [])], f"g {R.TRIPLET_TYPE}, p {R.TRIPLET_TYPE}")
     assert [tuple(x) for x in df2.select(R.paired_types("g", "p")).first()[0]] == [("t1", None)]
     _ = F
+
+
+def test_type_histogram_is_one_aggregation(spark):
+    from tessera.operators.relations import type_histogram
+
+    df = spark.createDataFrame([("train", "a"), ("train", "a"), ("test", "a"), ("test", None), (None, "b")], "split string, type string")
+    h = type_histogram(df)
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("Exchange") == 1
+    assert sorted(map(tuple, h.collect()), key=str) == sorted(
+        [("train", "a", 2), ("test", "a", 1), ("test", None, 1), (None, "b", 1), ("total", "a", 3), ("total", None, 1), ("total", "b", 1)], key=str)

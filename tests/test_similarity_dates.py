@@ -37,10 +37,9 @@ def _bleu_ref(ref, cand):
 def test_bleu_rouge_jaccard_against_python(spark):
     ref = "the cat sat on the mat today".split()
     cand = "the cat sat on the mat".split()
-    refs = spark.createDataFrame([(1, ref)], "item_id int, t array<string>")
-    cands = spark.createDataFrame([(2, cand)], "doc_id int, t array<string>")
-    pairs = spark.createDataFrame([(1, 2)], "item_id int, doc_id int")
-    clip = {r["n"]: r for r in SM.clipped_counts(pairs, cands, "doc_id", "t", refs, "item_id", "t").collect()}
+    pairs = spark.createDataFrame([(1, 2, ref, cand)], "item_id int, doc_id int, ref array<string>, cand array<string>")
+    clip = {r["n"]: r for r in SM.clipped_counts(pairs, ["item_id", "doc_id"], "cand", "ref").collect()}
+    assert (clip[1]["cand_total"], clip[1]["ref_total"]) == (len(cand), len(ref))
     ps = [clip[n]["clipped"] / clip[n]["ref_total"] for n in (1, 2, 3, 4)]
     df = spark.createDataFrame([ps + [len(ref), len(cand)]], "p1 double, p2 double, p3 double, p4 double, rl int, cl int")
     r = df.select((SM.brevity_penalty("rl", "cl") * SM.geometric_precision("p1", "p2", "p3", "p4")).alias("b"),
@@ -80,12 +79,8 @@ def test_bleu_standard_flag(spark):
     assert abs(r["s"] - math.exp(sum(0.25 * math.log(p) for p in ps))) < 1e-12
 
 
-def test_lemmas_and_listed_spans(spark):
+def test_listed_spans(spark):
     from tessera.operators.spans import count_listed_spans
-    from tessera.operators.topics import apply_lemmas
-    df = spark.createDataFrame([(1, ["cats", "ran", "cats"]), (2, [])], "id int, t array<string>")
-    lem = spark.createDataFrame([("cats", "cat"), ("ran", "run")], "form string, lemma string")
-    got = {r["id"]: r["t"] for r in apply_lemmas(df, "id", "t", lem).collect()}
-    assert got == {1: ["cat", "run", "cat"], 2: []}
-    spans = spark.createDataFrame([("['bad word', 'x']",), ('["x"]',)], "s string")
-    assert dict(count_listed_spans(spans, "s").collect()) == {"bad word": 1, "x": 2}
+    rows = [("['bad word', 'x']",), ('["x", "it\'s"]',), ("['it\\'s', 'a\\\\b']",), ("no list",), ("[]",), (None,)]
+    got = dict(count_listed_spans(spark.createDataFrame(rows, "s string"), "s").collect())
+    assert got == {"bad word": 1, "x": 2, "it's": 2, "a\\b": 1}

@@ -24,8 +24,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Chunks that a worker remembers; beyond it forgets all of them and goes on. No result depends on it.
-REMEMBERED = 60_000
+#: Chunks, and merged pieces, of a generation: a worker remembers two generations of each. No result depends on it.
+REMEMBERED = 250_000
 _NONE = 1 << 62
 
 
@@ -187,12 +187,35 @@ def merge_many(pieces: list[bytes], width: int, path: str) -> list[bytes]:
     return [flat[a:b] for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(flat)])]
 
 
-class Chunks(dict):
+class Recent:
+    """What a worker has met lately, in two generations: when the younger is full it becomes the older one, and the older
+    one is forgotten; what is met again moves to the younger.  So common entries stay, and memory is bounded."""
+
+    def __init__(self, size: int = REMEMBERED):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Makes room, moves known keys to the younger generation and returns the unknown ones."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        new = []
+        for k in keys:
+            if k not in young:
+                if (known := old.get(k)) is None:
+                    new.append(k)
+                else:
+                    young[k] = known
+        return new
+
+
+class Chunks(Recent):
     """Chunk of a text -> its ids as little-endian unsigned 32-bit integers, as ``encode`` gives them
     for a list of chunks."""
 
-    def __init__(self, encode, remembered: int = REMEMBERED):
-        self.encode, self.remembered = encode, remembered
+    def __init__(self, encode, size: int = REMEMBERED):
+        super().__init__(size)
+        self.encode = encode
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids.  A block of texts at a time is cut, so that few chunks are held at once."""
@@ -201,35 +224,42 @@ class Chunks(dict):
             block.append(chunks(t) if t else [])
             chars += len(t or "")
             if chars > 500_000 or k + 1 == len(texts):
-                if len(self) > self.remembered:
-                    self.clear()
-                new = [c for c in set().union(*block) if c not in self]
-                self.update(zip(new, self.encode(new)))
-                out += [b"".join(map(self.__getitem__, x)) for x in block]
+                new = self.missing(set().union(*block))
+                self.young.update(zip(new, self.encode(new)))
+                out += [b"".join(map(self.young.__getitem__, x)) for x in block]
                 block, chars = [], 0
         return out
 
 
+@functools.lru_cache(maxsize=4)
+def _merged(path: str) -> Recent:
+    return Recent()
+
+
 def encode_chunks(texts: list[str], path: str) -> list[bytes]:
     """Each text's ids; equal pieces are merged once."""
-    rank, split = ranks(path), splitter().findall
+    rank, split, known = ranks(path), splitter().findall, _merged(path)
     cut = [split(t) for t in texts]
     ids: dict[str, bytes] = {}
-    by_width: dict[int, list[tuple[str, bytes]]] = {}
+    rest = set()
     for p in set().union(*cut):
-        b = p.encode()
-        if (r := rank.get(b)) is not None:
+        if (r := rank.get(p.encode())) is not None:
             ids[p] = r.to_bytes(4, "little")
         else:
-            by_width.setdefault(max(8, 1 << (len(b) - 1).bit_length()), []).append((p, b))
+            rest.add(p)
+    by_width: dict[int, list[tuple[str, bytes]]] = {}
+    for p in known.missing(rest):
+        b = p.encode()
+        by_width.setdefault(max(8, 1 << (len(b) - 1).bit_length()), []).append((p, b))
     for width, group in by_width.items():
         if width > 64:
-            ids.update((p, np.array(merge(b, rank), "<u4").tobytes()) for p, b in group)
+            known.young.update((p, np.array(merge(b, rank), "<u4").tobytes()) for p, b in group)
             continue
         step = 131072 // width
         for x in range(0, len(group), step):
             part = group[x:x + step]
-            ids.update(zip([p for p, _ in part], merge_many([b for _, b in part], width, path)))
+            known.young.update(zip([p for p, _ in part], merge_many([b for _, b in part], width, path)))
+    ids.update((p, known.young[p]) for p in rest)
     return [b"".join(map(ids.__getitem__, x)) for x in cut]
 
 

@@ -39,7 +39,7 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: A shard is closed at the end of the document with which it has this many ids.
 BLOCK_TOKENS = 1 << 20
-#: Chunks that a worker remembers.
+#: Chunks of a generation; a worker remembers two.
 REMEMBERED = 150_000
 _STEP = 512
 

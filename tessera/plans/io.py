@@ -100,6 +100,14 @@ def q_split_files(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("json_stats", sql=ORACLES["split_sizes"])
+def q_json_stats(spark, sf):
+    """The sizes of the splits, written as JSON and read back."""
+    path = scratch_path(spark, "stats")
+    files.write_json_stats(QUERIES["split_sizes"](spark, sf), path)
+    return spark.read.schema("split string, n bigint").json(path)
+
+
 @query("csv_round_trip", sql="SELECT d.text, l.toxic AS label, d.doc_id FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def q_csv_round_trip(spark, sf):
     lab = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(

@@ -37,6 +37,12 @@ def q_label_ids(spark, sf):
     return L.label_ids(_repaired(spark, sf), by="frequency")
 
 
+@query("label_ids_by_name", sql=f"""{_COUNTS}
+SELECT label, (row_number() OVER (ORDER BY label) - 1)::INTEGER AS label_id FROM r""")
+def q_label_ids_by_name(spark, sf):
+    return L.label_ids(_repaired(spark, sf), by="name")
+
+
 @query("tag_weights", sql=f"""{_COUNTS},
 s AS (SELECT label, n, n + 1e-5::DOUBLE AS f FROM r),
 w AS (SELECT label, n, ln((SELECT sum(f) FROM s) / f) AS w FROM s)

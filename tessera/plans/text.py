@@ -172,6 +172,23 @@ def q_tag_whitelist(spark, sf):
     return rows.select("doc_id", "pos", "token", cleaning.whitelist_tag("tag", ["CAP"]).alias("tag"))
 
 
+# Stand-in input: decoded texts of which, by rule H, two in three hold a separator, some of them at their beginning.
+_SEP = "[SEP]"
+
+
+@query("cut_at_separator", sql=f"""
+WITH d AS (SELECT doc_id, CASE WHEN b < 100 THEN '{_SEP} ' || text WHEN b < 667 THEN replace(text, ' a', ' {_SEP} a') ELSE text END AS text
+           FROM (SELECT doc_id, text, {bucket('doc_id')} AS b FROM documents))
+SELECT doc_id, CASE WHEN contains(text, '{_SEP}') THEN substr(text, 1, greatest(position('{_SEP}' IN text) - 2, 0)) ELSE text END AS text FROM d
+""")
+def q_cut_at_separator(spark, sf):
+    """TX16, the variant that cuts one character before its marker."""
+    b = hash_bucket("doc_id")
+    text = (F.when(b < 100, F.concat(F.lit(_SEP + " "), "text")).when(b < 667, F.replace("text", F.lit(" a"), F.lit(f" {_SEP} a"))).otherwise(F.col("text")))
+    d = table(spark, sf, "documents").select("doc_id", text.alias("text"))
+    return d.select("doc_id", T.cut_at_marker("text", _SEP, keep_marker=False).alias("text"))
+
+
 _LIMIT = 512
 
 

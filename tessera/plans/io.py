@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tessera.functions.sequences import hash_bucket
 from tessera.operators.udf import apply_column, batched_map
@@ -197,7 +198,7 @@ def q_batched_map(spark, sf):
     return batched_map(d, _count_tokens, "doc_id long, n_tokens long")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())  # a name of a type would need a session at import
 def _reversed_words(texts: pd.Series) -> pd.Series:
     """A caller's vectorised augmenter: the words of each text backwards; null stays null."""
     return texts.map(lambda t: None if t is None else " ".join(t.split()[::-1]))

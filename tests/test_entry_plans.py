@@ -9,6 +9,16 @@ def test_registry_consistent():
     assert set(sqls) <= set(qs)
 
 
+def test_queries_and_sql_need_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(E.__file__).parent, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and done.stdout.split(), done.stderr
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert set(df.columns) == {"doc_id", "score", "pred"}

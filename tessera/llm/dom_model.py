@@ -16,7 +16,7 @@ from __future__ import annotations
 import functools
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -48,6 +48,7 @@ class Page(HTMLParser):
         self.text: dict[int, str] = {}
         self.order: list[int | None] = []
         self.stack, self.hidden = [0], 0
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
         self.feed(html)
         self.close()
 
@@ -62,19 +63,15 @@ class Page(HTMLParser):
     def _pop(self, depth: int) -> None:
         while len(self.stack) > depth:
             tag = self.tag[self.stack.pop()]
+            self.depths[tag].pop()
             self.hidden -= tag in HIDDEN
             if tag not in INLINE:
                 self.order.append(None)
 
     def _open(self, tags: frozenset, ends: frozenset) -> int | None:
         """Depth of the innermost open element of ``tags``, unless one of ``ends`` is inside of it."""
-        for depth in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[depth]]
-            if tag in tags:
-                return depth
-            if tag in ends:
-                return None
-        return None
+        found, end = (max((self.depths[t][-1] for t in some if self.depths[t]), default=0) for some in (tags, ends))
+        return found if found and found >= end else None
 
     def _in_head(self) -> bool:
         return self.tag[self.stack[-1]] == "head"
@@ -98,6 +95,7 @@ class Page(HTMLParser):
                 self.handle_data(" ")
             return
         names = tuple(re.findall(r"[a-z]+", " ".join(a.get(k) or "" for k in ("class", "id", "role")).lower()))
+        self.depths[tag].append(len(self.stack))
         self.stack.append(self._node(tag, names, a.get("y")))
         self.hidden += tag in HIDDEN
 

@@ -228,8 +228,9 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
             yield close()
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    d = d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    d.mapInArrow(shards, "part int, shard int, n long, doc_ids array<long>, file binary").write.parquet(path)
+    order = ["doc_id", "digest", "place"]  # rows of one id, or without one, spread too
+    d = d.withColumns({"digest": F.xxhash64("text"), "place": F.monotonically_increasing_id()}).repartitionByRange(*order).sortWithinPartitions(*order)
+    d.select("doc_id", "text").mapInArrow(shards, "part int, shard int, n long, doc_ids array<long>, file binary").write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

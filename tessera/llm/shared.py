@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import scratch_path
 from tessera.sources.tables import table
 
-__all__ = ["stored", "table"]
+__all__ = ["discard", "stored", "table"]
 
+#: Spark deletes the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
-def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
-    """Writes ``df`` under the shared checkpoint folder and reads it again: the lineage ends there, the
-    files outlive a lost executor, and the planner knows their size.
 
-    ``release``: asks for a collection on the driver, upon which Spark deletes the shuffle files of finished
-    jobs; for steps that leave large ones.
-    """
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` under the shared checkpoint folder and reads it again: the lineage ends there, the
+    files outlive a lost executor, the planner knows their size, and the shuffle files of the step are deleted."""
     spark: SparkSession = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    if release:
-        spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    path, was = scratch_path(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, was)
+    out = spark.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``stored`` returned, once all that is made of them is written."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop(t))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

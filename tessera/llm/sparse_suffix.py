@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import stored
+from tessera.llm.shared import discard, stored
 from tessera.llm.words import SPACED, blocks, grams, words
 
 LENGTH, GRAM = 50, 26
@@ -63,7 +63,8 @@ def _kept(block: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _digest(block: list[bytes]) -> pa.Array:
-    return pa.array([xxhash.xxh32_intdigest(t) - (1 << 31) for t in block], pa.int32())
+    """128 bits of each text."""
+    return pa.array([xxhash.xxh3_128_digest(t) for t in block], pa.binary())
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
@@ -77,7 +78,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), b.column(0).slice(first, len(block)).take(at),
                                                   _digest(block).take(at), pa.array(pos, pa.int32())], names=["gram", "id", "own", "pos"])
 
-    return docs.mapInArrow(run, "gram long, id long, own int, pos int")
+    return docs.mapInArrow(run, "gram long, id long, own binary, pos int")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -90,7 +91,7 @@ def _packed(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(block)), _digest(block), pa.array([pack(t) for t in block], pa.binary())],
                                                  names=["id", "own", "text"])
 
-    return docs.mapInArrow(run, "id long, own int, text binary")
+    return docs.mapInArrow(run, "id long, own binary, text binary")
 
 
 def _windows(wanted: DataFrame, length: int) -> DataFrame:
@@ -122,7 +123,7 @@ def _windows(wanted: DataFrame, length: int) -> DataFrame:
                     row = pa.array(text[new])
                     yield pa.RecordBatch.from_arrays([pa.array(window[new]), b.column(0).take(row), b.column(1).take(row), starts], names=_ROW)
 
-    return wanted.mapInArrow(run, "window long, id long, own int, starts binary")
+    return wanted.mapInArrow(run, "window long, id long, own binary, starts binary")
 
 
 _ROW = ["window", "id", "own", "starts"]
@@ -164,12 +165,14 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         raise ValueError(f"passages of {length} words may hold no kept suffix")
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL)).alias("id"), F.col(text).alias("text"))
     kept = stored(suffixes(d), "suffixes")
-    often = kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    places = stored(kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set("pos").alias("places")), "places", release=True)
+    often = stored(kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "often")  # so that a hot run's rows can be split
+    places = stored(kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set("pos").alias("places")), "places")
+    discard(kept, often)
     wanted = _packed(d).join(places, ["id", "own"]).select("id", "own", "text", "places").dropDuplicates(["id", "own"])
     order = ["window", "id", "own"]
     found = _windows(wanted, length).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stored(found.mapInArrow(_told, "kind int, window long, id long, own int, starts binary, of long"), "neighbours", release=True)
+    found = stored(found.mapInArrow(_told, "kind int, window long, id long, own binary, starts binary, of long"), "neighbours")
+    discard(places)
     edges = found.where(F.col("kind") != REPEAT).groupBy(*order).agg(F.min("kind").alias("kind"), F.first("starts").alias("starts"))
     edges = edges.withColumn("of", F.lag("id").over(Window.partitionBy("window").orderBy("id", "own"))).where((F.col("kind") == FIRST) & F.col("of").isNotNull())
     spans = found.where(F.col("kind") == REPEAT).select("id", "own", "starts", "of").unionByName(edges.select("id", "own", "starts", "of"))
@@ -204,7 +207,7 @@ def _joined(spans: DataFrame, length: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[at], np.arange(b.num_rows + 1)), pa.int32()), parts)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], names=["id", "own", "spans"])
 
-    return spans.mapInArrow(run, "id long, own int, spans array<struct<start:bigint,end:bigint,of:array<bigint>>>")
+    return spans.mapInArrow(run, "id long, own binary, spans array<struct<start:bigint,end:bigint,of:array<bigint>>>")
 
 
 def cut(text: str, spans: list[dict]) -> str:
@@ -235,7 +238,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                 yield pa.RecordBatch.from_arrays([*cols, _digest(block)], names=names)
 
     fields = [f"`{c}` {'binary' if c == text else t}" for c, t in docs.dtypes]  # the texts are compressed on their way
-    keyed = docs.mapInArrow(digest, ", ".join([*fields, "`__ss_key` int"]))
+    keyed = docs.mapInArrow(digest, ", ".join([*fields, "`__ss_key` binary"]))
     rows = keyed.join(spans, keyed[doc_id].cast("long").eqNullSafe(spans["__ss_id"]) & (keyed["__ss_key"] == spans["__ss_own"]), "left")
     rows = rows.select(*docs.columns, "__ss_spans")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, host_rules, ngram_join, sparse_suffix
-from tessera.llm.shared import stored, table
+from tessera.llm.shared import discard, stored, table
 
 #: Near copies: words of a shingle and similarity in per cent.
 SHINGLE, SIMILAR = 5, 80
@@ -58,6 +58,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        done = stored(stage(spark, docs, sf_dir), name)
+        if k:
+            discard(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import stored
+from tessera.llm.shared import discard, stored
 from tessera.llm.shingles import Shingles, common, shingles
 from tessera.llm.words import blocks
 
@@ -166,20 +166,22 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, comp) of all nodes of the links (a, b): the smallest node that each reaches.
+    """(node, comp, was) of all nodes of the links (a, b): ``comp`` is the smallest node that each reaches.
 
     Each round takes the smallest label among neighbours, then the label's own label; it is written.
     """
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    label = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
+    label = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")).withColumn("was", F.col("node")), "labels")
     while True:
         near = both.join(label.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        step = label.join(near, "node").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
+        step = label.select("node", "comp").join(near, "node").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
         jump = label.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
         step = step.join(jump, "comp").select("node", "was", F.least("comp", "far").alias("comp"))
         step = stored(step, "labels")
-        label = step.select("node", "comp")
+        discard(label)
+        label = step
         if step.where("was <> comp").isEmpty():
+            discard(both)
             return label
 
 
@@ -187,41 +189,48 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
     """(doc_id, sig, n_shingles, comp, component_id), a row for each document; ``comp`` tells groups apart."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(postings(d, "doc_id", "text", size, percent, frequencies(d, "text", size)), "postings")
-    members = rows.where("member").select("doc_id", "sig", F.col("n").alias("n_shingles"))
+    members = stored(rows.where("member").select("doc_id", "sig", F.col("n").alias("n_shingles")), "members")
     # a member's rank in its lists: the most typical has the highest
     rank = F.col("typ") * (1 << 47) + F.col("sig").bitwiseAND((1 << 47) - 1)
     listed = rows.where("not member").select("gram", "sig", "n", "pos", "typ")
     shared = listed.groupBy("gram").agg(F.max(rank).alias("top"), F.min(rank).alias("least")).where("top <> least").select("gram", "top")
     lists = listed.join(shared, "gram").withColumn("rank", rank).dropDuplicates(["gram", "sig"])
-    lists = stored(lists.select("gram", "sig", "n", "pos", (F.col("rank") == F.col("top")).alias("center")), "lists", release=True)
+    lists = stored(lists.select("gram", "sig", "n", "pos", (F.col("rank") == F.col("top")).alias("center")), "lists")
+    discard(rows)
     wanted = lists.select("sig").distinct()
     texts = signed(d.select("text"), "text", size, compressed=True).join(wanted, "sig", "left_semi")
-    texts = stored(texts.groupBy("sig").agg(F.first("text").alias("text")), "texts", release=True)
+    texts = stored(texts.groupBy("sig").agg(F.first("text").alias("text")), "texts")
 
     pair = lambda a: lists.select("gram", *(F.col(c).alias(a + c) for c in ("sig", "n", "pos", "center")))
     centers = pair("a_").where("a_center").drop("a_center")
     star = pair("b_").where("not b_center").join(centers, "gram").where(may_link("a_", "b_", percent))
     star = star.select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct()
-    links = stored(verified(star, texts, size, percent), "links", release=True)
+    links = stored(verified(star, texts, size, percent), "links")
     comp = components(links)
 
     # the rest: pairs of a list whose groups differ, its center aside
-    rest = lists.where("not center").join(comp.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+    group_of = lambda: comp.select(F.col("node").alias("sig"), "comp")
+    rest = lists.where("not center").join(group_of(), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     mixed = rest.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gram")
     rest = stored(rest.join(mixed, "gram", "left_semi").select("gram", "sig", "n", "pos", "comp"), "rest")
+    discard(lists)
     side = lambda a: rest.select("gram", *(F.col(c).alias(a + c) for c in ("sig", "n", "pos", "comp")))
     a, b = side("a_"), side("b_").withColumnRenamed("gram", "b_gram")
     cross = a.join(b, (F.col("gram") == F.col("b_gram")) & (F.col("a_comp") < F.col("b_comp")) & may_link("a_", "b_", percent))
     cross = cross.select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct()
     more = stored(verified(cross, texts, size, percent), "links")
+    discard(rest, texts)
     if not more.isEmpty():
+        discard(comp)
         comp = components(links.unionByName(more))
+    discard(links, more)
 
     linked = members.where("n_shingles > 0")
-    classes = linked.groupBy("sig").agg(F.min("doc_id").alias("least")).join(comp.withColumnRenamed("node", "sig"), "sig", "left")
+    classes = linked.groupBy("sig").agg(F.min("doc_id").alias("least")).join(group_of(), "sig", "left")
     classes = stored(classes.select("sig", "least", F.coalesce("comp", "sig").alias("comp")), "classes")
     named = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
     names = stored(classes.join(named, "comp").select("sig", "comp", "component_id"), "names")
+    discard(classes, comp)
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return members.join(names, "sig", "left").select("doc_id", "sig", "n_shingles", F.coalesce("comp", "sig").alias("comp"), alone.alias("component_id"))
 
@@ -231,7 +240,7 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are one document; of these the first by text stays."""
     kept = groups(docs, doc_id, text, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     known = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__nj_id")
-    kept = stored(kept.groupBy(known("doc_id"), "comp").agg(F.min("sig").alias("sig")).select("__nj_id", "sig"), "kept", release=True)
+    kept = stored(kept.groupBy(known("doc_id"), "comp").agg(F.min("sig").alias("sig")).select("__nj_id", "sig"), "kept")
     taken = {c: "__nj_" + c for c in docs.columns if c == "sig"}
     rows = signed(docs.withColumnsRenamed(taken), text, size).select("*", known(doc_id))
     rows = rows.join(kept, ["__nj_id", "sig"], "left_semi").dropDuplicates(["__nj_id", "sig"])

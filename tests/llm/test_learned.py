@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -110,6 +111,56 @@ def test_op3_mined_rules(spark):
         assert said <= (fits or {None})
 
 
+def test_op3_fixed_segments(spark):
+    """Urls of one host with many segments that always occur together: rules grow with the items, not with their subsets."""
+    fixed = "/".join(f"s{k}" for k in range(40))
+    urls = [(f"http://one.host.org/{fixed}/{k}", k % 2 == 0) for k in range(200)] + [(f"http://two.host.org/{fixed}/buy-now/{k}", True) for k in range(100)]
+    urls += [(f"http://three.org/now/{k}", False) for k in range(300)] + [("http://three.org/" + "x/" * 9, None), (None, True)]
+    mined = url_rules.mine(spark.createDataFrame(urls, "url string, bad boolean"))
+    rules = {tuple(r["items"]): r for r in mined.collect()}
+    assert 0 < len(rules) <= len({x for r in urls if r[0] for x in r[0].split("/")}) * 2
+    half = spark.createDataFrame(urls[:200], "url string, bad boolean")
+    assert url_rules.mine(half).count() == 0 and url_rules.mine(half, min_confidence=0.5).count() < 100
+    names = [set(r) for r in rules]
+    assert not any(a < b for a in names for b in names)
+    got = url_rules.judge(spark.createDataFrame(urls[:600], "url string, bad boolean"), mined, {}).collect()
+    assert all((r["verdict"] == "block") == r["bad"] for r in got if "two" in r["url"] or "three" in r["url"])
+    items = {r["url"]: (set(r["items"]), r["bad"]) for r in spark.createDataFrame(urls, "url string, bad boolean").where("bad is not null").select(
+        "url", "bad", url_rules.items_of(F.col("url")).alias("items")).collect()}
+    for need, r in rules.items():
+        held = [bad for have, bad in items.values() if set(need) <= have]
+        assert sum(held) >= 5 and abs(r["confidence"] - sum(held) / len(held)) < 1e-12 and r["confidence"] >= 0.6
+
+
+def test_op3_few_rows_make_no_rule(spark):
+    urls = [(f"http://h{k}.org/a{k}", k % 4 == 0) for k in range(86)]
+    assert url_rules.mine(spark.createDataFrame(urls, "url string, bad boolean")).count() == 0
+
+
+def test_op3_combinations(spark):
+    """Neither item alone is a rule; together they are, with whatever always comes with them."""
+    r = random.Random(4)
+    urls = [f"http://h{r.randrange(4)}.org/{r.choice(['buy', 'en', 'de'])}-{r.choice(['win', 'see'])}/{k}" for k in range(900)]
+    rows = [(u, "/buy-" in u and "-win" in u and (k % 9 > 0)) for k, u in enumerate(urls)]
+    mined = url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert {"path:buy-win"} in [set(x["items"]) for x in mined]
+    rows = [(f"http://{a}.{b}.org/x{k % 7}", a == "q" and b == "z") for k in range(40) for a in "pqr" for b in "xyz"]
+    mined = url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean"))
+    got = url_rules.judge(spark.createDataFrame(rows + [("http://q.new.z.org/", True), ("http://q.x.org/", False)], "url string, bad boolean"), mined, {}).collect()
+    assert all((x["verdict"] == "block") == x["bad"] for x in got if ".new." not in x["url"])
+
+
+def test_op2_unclosed_elements():
+    """A hundred thousand open elements take time in proportion."""
+    model = dom_model.trained()
+    text = "A whole sentence stands here, and is long enough. " * 3
+    for junk in ("<div>", "<p><table><span>", "<b><li>", "<td><i></b>"):
+        began = time.process_time()
+        page = dom_model.Page("<article><p>" + text + junk * (100_000 // junk.count("<")))
+        model.marginals(page)
+        assert time.process_time() - began < 30, junk
+
+
 def _repeats(rows, length):
     first, out = {}, {}
     for d, t in sorted(rows, key=lambda r: r[0]):
@@ -219,6 +270,16 @@ def test_op4_odd_tables(spark):
     assert sparse_suffix.remove(odd.limit(0)).count() == 0
 
 
+def test_op4_texts_of_one_id(spark):
+    """Many different texts without an id: each is cut by its own spans alone."""
+    passage = " ".join(f"q{k}" for k in range(60))
+    rows = [(None, f"a{k} {passage} b{k}" if k % 3 == 0 else f"only{k}") for k in range(900)]
+    left = [r["text"] for r in sparse_suffix.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(left) == 900 and {t for d, t in rows if "only" in t} <= set(left)
+    digests = sparse_suffix._digest([t.encode() for _, t in rows])
+    assert len(set(digests.to_pylist())) == 900 and {len(d) for d in digests.to_pylist()} == {16}
+
+
 def test_op7_scores(spark):
     r = random.Random(3)
     text = lambda n: " ".join(("the cat sat on a mat . " if r.random() < 0.5 else "le chat dort sur un lit ! ") * 1 for _ in range(n))

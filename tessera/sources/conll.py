@@ -1,16 +1,20 @@
 """Line and CoNLL readers and writer (IO1, IO2, IO4, WN5, TX13, TX14).
 
 Files are read in parallel by blocks.  A block's place in its file (``_metadata.file_block_start``) and a line's place
-in its block give every line its number in its file: only one row per block is ordered, no line is shuffled for it.
+in its block give every line its number in its file: only one row per block is ordered, no line is shuffled.
 Sentences end at blank lines (also with CRLF or white space on them), wherever blocks begin and end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import WS, repair_label
+from tessera.session import stored
 
 _BLANK = "(?U)^\\s*$"
 
@@ -23,34 +27,73 @@ def _offsets(blocks: DataFrame, count: str, out: str) -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file, line_no, value, block)``: each line of the files with its 0-based number in its file; ``\\n``, ``\\r\\n``
-    and ``\\r`` end a line."""
+    and ``\\r`` end a line.  The lines of a block stay in one task, in order: the blocks' offsets (one row each) are
+    broadcast to the lines."""
     raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                                        F.monotonically_increasing_id().alias("_id"))
     # A block's lines are read by one task, one after the other: their ids follow each other.
     blocks = raw.groupBy("file", "block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     blocks = _offsets(blocks, "_lines", "_before").select("file", "block", "_first", "_before")
-    return raw.join(blocks, ["file", "block"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), "value", "block")
+    return raw.join(F.broadcast(blocks), ["file", "block"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), "value", "block")
+
+
+#: Lines of the sentences that are handed on together.
+_BATCH = 20_000
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of lines that aren't blank in a block: (file, block, place of the run in its block, number of its first line,
+    of its lines, lines)."""
+    names = ["file", "block", "k", "line_no", "n", "lines"]
+    types = [pa.string(), *[pa.int64()] * 4, pa.list_(pa.string())]
+    rows, waiting, k, at, run, start = [], 0, 0, None, [], 0
+
+    def ready():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    for batch in batches:
+        for file, block, line_no, value, blank in zip(*(c.to_pylist() for c in batch.columns)):
+            if at != (file, block) or blank:
+                if run:
+                    rows.append((*at, k, start, len(run), run))
+                    waiting, k, run = waiting + len(run), k + 1, []
+                if at != (file, block):
+                    at, k = (file, block), 0
+            if not blank:
+                if not run:
+                    start = line_no
+                run.append(value)
+        if waiting >= _BATCH:
+            yield ready()
+            rows, waiting = [], 0
+    if run:
+        rows.append((*at, k, start, len(run), run))
+    if rows:
+        yield ready()
 
 
 def sentences(lines: DataFrame) -> DataFrame:
-    """WN5: ``(file, rec, lines)`` from ``numbered_lines``: ``rec`` is a sentence's 0-based number in its file; its lines
-    are in order.  Blank lines, however many in a row, end a sentence; a sentence without lines is none.
-
-    A window per block marks where sentences start; a row per block tells how many start before it and whether the
-    block goes on with the last sentence of the one before.  A sentence's lines are then gathered."""
-    blank = F.col("value").rlike(_BLANK)
-    w = Window.partitionBy("file", "block").orderBy("line_no")
-    marked = lines.withColumn("_blank", blank).withColumn("_starts", (~F.col("_blank") & F.lag("_blank", 1, True).over(w)).cast("int"))
-    marked = marked.withColumn("_r", F.sum("_starts").over(w))
-    blocks = marked.groupBy("file", "block").agg(F.sum("_starts").alias("_n"), F.min_by("_blank", "line_no").alias("_blank_first"),
-                                                 F.max_by("_blank", "line_no").alias("_blank_last"))
-    goes_on = ~F.col("_blank_first") & ~F.lag("_blank_last", 1, True).over(Window.partitionBy("file").orderBy("block"))
-    blocks = blocks.withColumn("_on", goes_on.cast("int")).withColumn("_new", F.col("_n") - F.col("_on"))
-    blocks = _offsets(blocks, "_new", "_before").select("file", "block", "_on", "_before")
-    placed = marked.where(~F.col("_blank")).join(blocks, ["file", "block"])
-    rec = F.col("_before") + F.col("_r") - F.col("_on") - 1
-    g = placed.groupBy("file", rec.alias("rec")).agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("_l"))
-    return g.select("file", "rec", F.transform("_l", lambda x: x["value"]).alias("lines"))
+    """WN5: ``(file, rec, lines)`` from ``numbered_lines`` (in the order in which they were read): ``rec`` is a sentence's
+    0-based number in its file; its lines are in order.  Blank lines, however many in a row, end a sentence; a sentence
+    without lines is none.
+
+    Each task gathers the sentences of its blocks as it reads them, and they are written once.  A row per block tells how
+    many sentences start before it and whether it goes on with the last one of the block before (no line lies between
+    them): only sentences that a block's end cuts are shuffled."""
+    rows = lines.select("file", "block", "line_no", "value", F.col("value").rlike(_BLANK).alias("_blank"))
+    # A task holds a sentence, not its blocks: a few tasks per core do, however many blocks there are.
+    rows = rows.coalesce(4 * lines.sparkSession.sparkContext.defaultParallelism)
+    runs = stored(rows.mapInArrow(_gather, "file string, block long, k long, line_no long, n long, lines array<string>"), "sentences")
+    blocks = runs.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("line_no").alias("_first"), F.max(F.col("line_no") + F.col("n")).alias("_end"))
+    in_file = Window.partitionBy("file").orderBy("block")
+    blocks = blocks.withColumn("_on", F.coalesce(F.col("_first") == F.lag("_end").over(in_file), F.lit(False)).cast("int"))
+    blocks = blocks.withColumn("_goes_on", F.lead("_on", 1, 0).over(in_file)).withColumn("_new", F.col("_n") - F.col("_on"))
+    blocks = _offsets(blocks, "_new", "_before").select("file", "block", "_n", "_on", "_goes_on", "_before")
+    placed = runs.join(F.broadcast(blocks), ["file", "block"]).withColumn("rec", F.col("_before") + F.col("k") - F.col("_on"))
+    cut = ((F.col("k") == 0) & (F.col("_on") == 1)) | ((F.col("k") == F.col("_n") - 1) & (F.col("_goes_on") == 1))
+    parts = placed.where(cut).groupBy("file", "rec").agg(F.array_sort(F.collect_list(F.struct("line_no", "lines"))).alias("_l"))
+    return placed.where(~cut).select("file", "rec", "lines").unionByName(
+        parts.select("file", "rec", F.flatten(F.transform("_l", lambda x: x["lines"])).alias("lines")))
 
 
 def file_ordinal(df: DataFrame, file: str = "file", rec: str = "rec", out: str = "ordinal") -> DataFrame:
@@ -58,7 +101,7 @@ def file_ordinal(df: DataFrame, file: str = "file", rec: str = "rec", out: str =
     ``rec`` of a file occurs.  A row per file is ordered, no record is."""
     counts = df.groupBy(file).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(file, (F.sum("_n").over(Window.orderBy(file)) - F.col("_n")).alias("_before"))
-    return df.join(offsets, file).withColumn(out, F.col("_before") + F.col(rec)).drop("_before")
+    return df.join(F.broadcast(offsets), file).withColumn(out, F.col("_before") + F.col(rec)).drop("_before")
 
 
 def _fields(line: Column) -> Column:
@@ -87,7 +130,7 @@ def read_conll_group(spark: SparkSession, path: str, group: str, max_fields: int
     header = lines.where(F.col("line_no") == 0).select("file", F.array_position(named, group).alias("_at")).where(F.col("_at") > 0)
     body = lines.withColumn("value", F.when(F.col("line_no") < 2, "").otherwise(F.col("value")))
     # A line that is skipped is not a blank one: it doesn't end its sentence.
-    s = sentences(body).join(header, "file")
+    s = sentences(body).join(F.broadcast(header), "file")  # a row per file
     fields = F.filter(F.transform("lines", _fields), lambda f: F.size(f) <= max_fields)
     s = s.select("file", "rec", fields.alias("_f"), (F.col("_at") - 1).cast("int").alias("_at")).where(F.size("_f") > 0)
     return s.select("file", "rec", F.transform("_f", lambda f: F.get(f, F.lit(0))).alias("tokens"),

@@ -97,3 +97,15 @@ def test_json_stats(spark, tmp_path):
     path = str(tmp_path / "stats")
     files.write_json_stats(spark.createDataFrame([("train", 70), ("test", 30)], "split string, n long"), path)
     assert sorted(map(tuple, spark.read.json(path).select("split", "n").collect())) == [("test", 30), ("train", 70)]
+
+
+def test_lines_are_not_shuffled(spark, tmp_path):
+    """Only rows of blocks, and of sentences that a block's end cuts, meet in joins."""
+    _files(tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = conll.numbered_lines(spark, str(tmp_path))
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (lines, conll.file_ordinal(conll.read_conll(spark, str(tmp_path))))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not any("SortMergeJoin" in p for p in plans)

@@ -2,8 +2,9 @@
 
 A vector's side of a hyperplane is a bit, ``bits`` of them are its bucket in a band.  Two vectors at angle ``a`` share a
 bit with probability ``1 - a/pi``.  A query looks in its own bucket and in those that differ in one bit, in each band;
-``bands_needed`` gives the number of bands for a wanted recall at a wanted similarity.  The candidates of all bands are
-joined by equal buckets (no query meets all vectors), made distinct, and ranked by their exact cosine.
+``bands_needed`` gives the number of bands for a wanted recall at a wanted similarity.  Buckets and the queries that look
+in them are joined as blocks (no query meets all vectors); of each block a query's best by exact cosine are left, made
+distinct and ranked.
 
 Equal vectors would fill a bucket and can't be told apart by any band, so of each only the ``copies`` smallest keys are
 rows of the index: no more of them can be among the first ``copies`` neighbours, as ties go by key.
@@ -20,9 +21,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.vectors import as_double, dot, top, unit
+from tessera.operators.vectors import as_double, best_of_blocks, block, top, unit
 from tessera.session import scratch_path
 
+#: Neighbouring rows whose vectors share blocks: in a bucket of 256, some 256 of them.
+RUN = 65_536
+
 
 def bands_needed(cosine: float, bits: int, recall: float) -> int:
     """Bands in which a vector of this cosine shares a probed bucket at least once with probability ``recall``."""
@@ -84,33 +88,49 @@ def build_index(df: DataFrame, key: str, vec: str, length: int, bits: int = 8, b
     return VectorIndex(spark.read.parquet(path), key, bits, bands, length, copies, seed)
 
 
-def candidates(index: VectorIndex, queries: DataFrame, qkey: str, qvec: str) -> tuple[DataFrame, DataFrame]:
-    """(distinct (qkey, key) pairs that share a probed bucket, the queries with unit vectors)."""
-    spark = queries.sparkSession
-    path = scratch_path(spark, "vector-queries")
+def _asked(index: VectorIndex, queries: DataFrame, qkey: str, qvec: str) -> DataFrame:
+    """The queries that can be asked, written with unit vectors and codes: (qkey, qu, codes)."""
+    path = scratch_path(queries.sparkSession, "vector-queries")
     asked = queries.select(F.col(qkey).alias(qkey), unit(as_double(qvec)).alias("qu"),
                            band_codes(qvec, index.bits, index.bands, index.length, index.seed).alias("codes"))
     asked.where(F.col("codes").isNotNull() & F.get("qu", F.lit(0)).isNotNull()).write.parquet(path)
-    asked = spark.read.parquet(path)
-    masks = F.array(F.lit(0), *[F.lit(1 << b) for b in range(index.bits)])
-    probes = (asked.select(qkey, F.posexplode("codes").alias("band", "code"))
-              .select(qkey, "band", "code", F.explode(masks).alias("mask"))
-              .select(qkey, "band", F.col("code").bitwiseXOR(F.col("mask")).alias("code")))
+    return queries.sparkSession.read.parquet(path)
+
+
+def _probes(asked: DataFrame, bits: int, *keep: str) -> DataFrame:
+    """(keep, band, code): the buckets in which a query looks."""
+    masks = F.array(F.lit(0), *[F.lit(1 << b) for b in range(bits)])
+    return (asked.select(*keep, F.posexplode("codes").alias("band", "code")).select(*keep, "band", "code", F.explode(masks).alias("mask"))
+            .select(*keep, "band", F.col("code").bitwiseXOR(F.col("mask")).alias("code")))
+
+
+def candidates(index: VectorIndex, queries: DataFrame, qkey: str, qvec: str) -> tuple[DataFrame, DataFrame]:
+    """(distinct (qkey, key) pairs that share a probed bucket, the queries with unit vectors)."""
+    asked = _asked(index, queries, qkey, qvec)
     buckets = index.rows.select(index.key, F.posexplode("codes").alias("band", "code"))
     # Neither side is an aggregate: AQE can split a bucket that many vectors share.
-    return probes.join(buckets, ["band", "code"]).select(qkey, index.key).distinct(), asked.select(qkey, "qu")
+    return _probes(asked, index.bits, qkey).join(buckets, ["band", "code"]).select(qkey, index.key).distinct(), asked.select(qkey, "qu")
 
 
 def neighbours(index: VectorIndex, queries: DataFrame, qkey: str, qvec: str, k: int = 5) -> DataFrame:
     """``(qkey, rank, key, cosine)``: the ``k`` best of each query's candidates; a row with the query's own key is left
-    out, ties go by key.  ``k`` can't exceed ``copies - 1``."""
+    out, ties go by key.  ``k`` can't exceed ``copies - 1``.
+
+    Candidate pairs aren't rows.  A bucket's vectors, and the queries that look in it, are blocks of a row each; where
+    they meet, each query's best of the block are found by a matrix product, and only these are shuffled."""
     if k >= index.copies:
         raise ValueError("an index holds `copies` rows of equal vectors; build it with more than k")
-    pairs, asked = candidates(index, queries, qkey, qvec)
-    pairs = pairs.where(F.col(qkey) != F.col(index.key))
-    scored = pairs.join(asked, qkey).join(index.rows.select(index.key, "u"), index.key)
-    scored = scored.select(qkey, index.key, dot("qu", "u").alias("cosine"))
-    return top(scored, qkey, index.key, k).select(qkey, "rank", index.key, "cosine")
+    # Rows of one run of ids share a block, so that no bucket's vectors are one row, however many they are.
+    place = lambda df: df.withColumn("_r", F.monotonically_increasing_id()).withColumn("_run", F.floor(F.col("_r") / RUN))
+    asked = place(_asked(index, queries, qkey, qvec).where(F.col(qkey).isNotNull()))
+    rows = place(index.rows.where(F.col(index.key).isNotNull()))
+    probes = _probes(asked, index.bits, qkey, "_r", "_run", "qu").groupBy("band", "code", "_run").agg(block(qkey, "_r", "qu").alias("_qs"))
+    buckets = rows.select(index.key, "_r", "_run", "u", F.posexplode("codes").alias("band", "code"))
+    buckets = buckets.groupBy("band", "code", "_run").agg(block(index.key, "_r", "u").alias("_cs"))
+    pairs = probes.drop("_run").join(buckets.drop("_run"), ["band", "code"])
+    # A candidate of several bands is found more than once.
+    found = best_of_blocks(pairs, qkey, index.key, k, own=False).dropDuplicates(["_q", "_c"])
+    return top(found, qkey, index.key, k).select(qkey, "rank", index.key, "cosine")
 
 
 def recall(found: DataFrame, exact: DataFrame, qkey: str, key: str) -> DataFrame:

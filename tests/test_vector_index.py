@@ -49,3 +49,21 @@ def test_copies_of_a_vector_are_bounded(spark, cloud):
     assert index.rows.count() == 900 - 1 + 6
     with pytest.raises(ValueError):
         VI.neighbours(index, cloud.select(F.col("id").alias("q"), F.col("v").alias("qv")), "q", "qv", k=6)
+
+
+def test_pairs_are_not_joined_with_vectors(spark, cloud):
+    """Blocks of buckets meet once; neither pairs nor all scores of a query are rows of a shuffle or a sort."""
+    queries = cloud.where(F.col("id") % 20 == 0).select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    plan = VI.neighbours(VI.build_index(cloud, "id", "v", 16, bits=6, bands=4), queries, "q", "qv")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "MapInArrow" in plan
+
+
+def test_exact_search_keeps_nulls_and_ties(spark):
+    """Vectors that are null, zero or of another length have a null cosine and come last; ties go by key."""
+    rows = [(9, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 2.0]), (1, None), (2, [0.0, 0.0]), (5, [1.0]), (6, [None, 1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>").repartition(3)
+    asked = spark.createDataFrame([("a", [2.0, 0.0]), ("b", None)], "q string, qv array<double>")
+    got = {}
+    for r in sorted(V.cosine_topk(df, "id", "v", asked, "q", "qv", k=6).collect(), key=lambda r: (r["q"], r["rank"])):
+        got.setdefault(r["q"], []).append((r["id"], r["cosine"]))
+    assert got == {"a": [(3, 1.0), (9, 1.0), (4, 0.0), (1, None), (2, None), (5, None)], "b": [(k, None) for k in (1, 2, 3, 4, 5, 6)]}

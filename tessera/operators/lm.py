@@ -123,11 +123,15 @@ def pack_blocks(df: DataFrame, key: str, toks: str, batch: Column, block: int =
     before = F.sum("_n").over(Window.partitionBy("batch").orderBy("_key", "_id")) - F.col("_n")
     d = d.select("batch", "_t", "_n", "_id").join(d.select("_id", before.alias("_off")), "_id")
     first, last = F.floor(F.col("_off") / block), F.floor((F.col("_off") + F.col("_n") - 1) / block)
-    d = d.select("batch", "_t", "_off", F.explode(F.sequence(first, last)).alias("block_no"))
-    start = F.greatest(F.col("block_no") * block - F.col("_off"), F.lit(0))
-    size = (F.col("block_no") + 1) * block - F.col("_off") - start
-    part = F.struct("_off", F.slice("_t", (start + 1).cast("int"), size.cast("int")).alias("s"))
-    g = d.groupBy("batch", "block_no").agg(F.array_sort(F.collect_list(part)).alias("_b"))
+
+    def part(b):
+        start = F.greatest(b * block - F.col("_off"), F.lit(0))
+        size = (b + 1) * block - F.col("_off") - start
+        return F.struct(b.alias("block_no"), F.struct("_off", F.slice("_t", (start + 1).cast("int"), size.cast("int")).alias("s")).alias("_p"))
+
+    # A document's slices are one array, then rows: no row of a slice holds the whole document.
+    d = d.select("batch", F.explode(F.transform(F.sequence(first, last), part)).alias("_x")).select("batch", "_x.block_no", "_x._p")
+    g = d.groupBy("batch", "block_no").agg(F.array_sort(F.collect_list("_p")).alias("_b"))
     return g.select("batch", "block_no", F.flatten(F.transform("_b", lambda x: x["s"])).alias("tokens")).where(F.size("tokens") == block)
 
 

@@ -181,3 +181,12 @@ def test_sequence_scores_against_python(spark):
         for ty, x in got.items():
             assert (x["n_gold"], x["n_pred"], x["n_correct"]) == (of(gold, ty), of(pred, ty), of(right, ty))
             assert abs(x["accuracy"] - accuracy) < 1e-12
+
+
+def test_slices_are_cut_before_they_are_gathered(spark):
+    """What a block gathers, and may spill, are slices, not the whole document once per slice."""
+    df = spark.createDataFrame([(1, ["a"] * 40), (2, ["b"] * 7)], "doc_id int, t array<string>")
+    packed = lm.pack_blocks(df, "doc_id", "t", F.lit(0), 8)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert all("slice(" not in line for line in plan.split("\n") if "Aggregate(" in line)
+    assert [r["tokens"] for r in packed.orderBy("block_no").collect()] == [["a"] * 8] * 5

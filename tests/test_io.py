@@ -109,3 +109,10 @@ def test_lines_are_not_shuffled(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not any("SortMergeJoin" in p for p in plans)
+
+
+def test_batched_map_bounds_a_frame(spark):
+    from tessera.operators import udf
+
+    seen = udf.batched_map(spark.range(5000).coalesce(1), lambda b: b.assign(n=len(b)), "id long, n long").collect()
+    assert sorted(r["id"] for r in seen) == list(range(5000)) and max(r["n"] for r in seen) <= udf.ROWS

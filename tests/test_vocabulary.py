@@ -52,3 +52,15 @@ def test_no_hot_word_meets_in_one_task(spark):
     vocab = VO.vocabulary(VO.word_counts(df, "t"))
     plan = VO.encode(df, "id", "t", vocab, hot=1)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 2 and "BroadcastExchange" in plan
+
+
+def test_known_words_are_no_rows(spark, words):
+    """Words of the resolved table stay in their text's array, null words and repeated keys included."""
+    df = spark.createDataFrame([(1, ["a", None, "b"]), (1, ["c"]), (2, None)], "id int, t array<string>")
+    vocab = VO.vocabulary(VO.word_counts(words[1], "t").unionByName(spark.createDataFrame([("a", 1), ("b", 1)], "word string, n long")))
+    ids = {r["word"]: r["id"] for r in vocab.collect()}
+    for hot in (0, 1000):
+        encoded = VO.encode(df, "id", "t", vocab, hot=hot)
+        assert "posexplode" not in encoded._jdf.queryExecution().executedPlan().toString()
+        got = {r["id"]: r["ids"] for r in encoded.collect()}
+        assert got == {1: [*sorted([ids["a"], VO.UNKNOWN]), VO.UNKNOWN, ids["b"]], 2: []}

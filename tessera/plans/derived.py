@@ -17,15 +17,21 @@ from tessera.functions.sequences import hash_bucket
 from tessera.functions.text import tokens
 
 
-def bio_tags(toks: Column) -> Column:
-    prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), toks), 1, F.size(toks))
+def _tag(x: Column, p: Column) -> Column:
+    """The tag of token ``x`` after token ``p``.  Comparisons stand for the first letter, so few tokens meet a pattern."""
+    def cap(c):
+        return (c >= "A") & (c < "[")
+    return (F.when((x >= "0") & (x < ":") & x.rlike("^[0-9]+$"), F.lit("B-NUM"))
+            .when(cap(x), F.when(F.coalesce(cap(p), F.lit(False)), F.lit("I-CAP")).otherwise(F.lit("B-CAP")))
+            .otherwise(F.lit("O")))
+
+
+def _before(toks: Column) -> Column:
+    return F.slice(F.concat(F.array(F.lit(None).cast("string")), toks), 1, F.size(toks))
 
-    def tag(x, p):
-        cap = x.rlike("^[A-Z]")
-        return (F.when(x.rlike("^[0-9]+$"), F.lit("B-NUM"))
-                .when(cap & F.coalesce(p.rlike("^[A-Z]"), F.lit(False)), F.lit("I-CAP"))
-                .when(cap, F.lit("B-CAP")).otherwise(F.lit("O")))
-    return F.zip_with(toks, prev, tag)
+
+def bio_tags(toks: Column) -> Column:
+    return F.zip_with(toks, _before(toks), _tag)
 
 
 def tagged_docs(docs: DataFrame) -> DataFrame:
@@ -35,14 +41,17 @@ def tagged_docs(docs: DataFrame) -> DataFrame:
 
 
 def tag_rows(docs: DataFrame) -> DataFrame:
-    """``(doc_id, pos, token, tag)`` — exploded form (pos 0-based)."""
-    t = tagged_docs(docs)
-    return t.select("doc_id", F.posexplode(F.arrays_zip("tokens", "tags")).alias("pos", "z")).select(
-        "doc_id", "pos", F.col("z.tokens").alias("token"), F.col("z.tags").alias("tag"))
+    """``(doc_id, pos, token, tag)`` — exploded form (pos 0-based).  Tags are made of rows, where code is generated; the
+    generator is an outer one, as an inner one infers a filter that makes its array again."""
+    t = docs.select("doc_id", tokens("text", lower=False).alias("tokens"))
+    z = F.arrays_zip(F.col("tokens").alias("token"), _before(F.col("tokens")).alias("before"))
+    rows = t.select("doc_id", F.posexplode_outer(z).alias("pos", "z")).where(F.col("pos").isNotNull())
+    return rows.select("doc_id", "pos", "z.token", _tag(F.col("z.token"), F.col("z.before")).alias("tag"))
 
 
 def pred_tag(tag: Column, doc: Column, pos: Column) -> Column:
-    return F.when(hash_bucket(doc, pos) % 10 == 0, F.lit("O")).otherwise(tag)
+    # An O stays one whatever its hash.
+    return F.when((tag != "O") & (hash_bucket(doc, pos) % 10 != 0), tag).otherwise(F.lit("O"))
 
 
 TAGS_SQL = """

@@ -190,3 +190,15 @@ def test_slices_are_cut_before_they_are_gathered(spark):
     plan = packed._jdf.queryExecution().executedPlan().toString()
     assert all("slice(" not in line for line in plan.split("\n") if "Aggregate(" in line)
     assert [r["tokens"] for r in packed.orderBy("block_no").collect()] == [["a"] * 8] * 5
+
+
+def test_sequence_scores_of_nulls_and_uneven_rows(spark):
+    """Null sides don't count, missing positions are no break, spans end with their row."""
+    from tessera.operators.metrics import sequence_scores
+
+    data = [(["B-X", "I-X"], ["B-X", "I-X"]), (["I-X", None, "B-Y"], ["B-X", None, "I-Y"]), (["B-X", "O"], ["B-X"]), (None, None), (None, ["B-X"]), ([], [])]
+    df = spark.createDataFrame(data, "tags array<string>, ptags array<string>").coalesce(1)
+    got = {x["entity"]: tuple(x)[1:4] + (x["accuracy"],) for x in sequence_scores(df, "tags", "ptags").collect()}
+    assert got == {"X": (3, 3, 2, 3 / 7), "Y": (1, 1, 1, 3 / 7), "overall": (4, 4, 3, 3 / 7)}
+    empty = sequence_scores(df.where("false"), "tags", "ptags").collect()
+    assert [tuple(x)[:4] for x in empty] == [("overall", None, None, None)]

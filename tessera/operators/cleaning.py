@@ -122,10 +122,14 @@ def limit_by_tokens(df: DataFrame, a: str, b: str, n: int = 512, name: str = "li
 def repair_labels(df: DataFrame, line: str, label_index: int = 1, max_fields: int = 5) -> DataFrame:
     """TX13: split a CoNLL line, skip lines with more than ``max_fields`` fields,
     Cyrillic label -> ``O``, ``True`` -> ``1``."""
-    fields = T.tokens(line, lower=False)
-    rows = df.withColumn("_f", fields).where(F.size("_f") <= max_fields)
     keep = [c for c in df.columns if c != line]
-    return rows.select(*keep, F.get(F.col("_f"), 0).alias("token"), T.repair_label(F.get(F.col("_f"), label_index)).alias("label"))
+    # One space at a time: a split at one character needs no pattern in each row.
+    spaced = df.select(*keep, F.trim(F.regexp_replace(F.col(line), T.WS, " ")).alias("_line"))
+    rows = spaced.select(*keep, F.when(F.col("_line") == "", F.array().cast("array<string>")).otherwise(F.split("_line", " ")).alias("_f"))
+    # A row of each row: a filter on the fields themselves would be pushed down, where it makes the line and splits it again.
+    one = F.struct(F.size("_f").alias("_n"), F.get(F.col("_f"), 0).alias("token"), F.get(F.col("_f"), label_index).alias("_label"))
+    rows = rows.select(*keep, F.inline_outer(F.array(one))).where(F.col("_n") <= max_fields)
+    return rows.select(*keep, "token", T.repair_label("_label").alias("label"))
 
 
 def whitelist_tag(tag, types: Sequence[str]) -> Column:

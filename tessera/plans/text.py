@@ -156,9 +156,9 @@ FROM l WHERE b <> 0
 """)
 def q_label_repair(spark, sf):
     """Lines of token and tag; by rule H a line has six fields, a Cyrillic label, or ``True`` in its label."""
-    b = hash_bucket("doc_id", "pos") % 20
+    b = F.col("b")
     label = F.when(b == 1, F.concat(F.lit("Б-"), "tag")).when((b == 2) & (F.col("tag") != "O"), "B-True").otherwise(F.col("tag"))
-    rows = derived.tag_rows(table(spark, sf, "documents"))
+    rows = derived.tag_rows(table(spark, sf, "documents")).withColumn("b", hash_bucket("doc_id", "pos") % 20)
     lines = rows.select("doc_id", "pos", F.concat_ws(" ", "token", label, F.when(b == 0, "x y z v")).alias("line"))
     return cleaning.repair_labels(lines, "line", label_index=1)
 

@@ -18,47 +18,50 @@ TRIPLET_TYPE = "array<struct<head:string,type:string,tail:string>>"
 NO_RELATION = "no relation"
 
 
-def triplet_tokens(text) -> Column:
-    """Space out ``<...>`` markers, drop ``<s>``, ``<pad>``, ``</s>``, split."""
+def _spaced(text) -> Column:
+    """Space out ``<...>`` markers, drop ``<s>``, ``<pad>``, ``</s>``."""
     t = F.replace(F.replace(_c(text), F.lit(">"), F.lit("> ")), F.lit("<"), F.lit(" <"))
     for m in ("<s>", "<pad>", "</s>"):
         t = F.replace(t, F.lit(m), F.lit(""))
-    return F.filter(F.split(t, WS), lambda x: x != "")
+    return t
+
+
+def triplet_tokens(text) -> Column:
+    """Space out ``<...>`` markers, drop ``<s>``, ``<pad>``, ``</s>``, split."""
+    return F.filter(F.split(_spaced(text), WS), lambda x: x != "")
 
 
 def extract_triplets(text) -> Column:
     """SF7: ``<triplet> head <subj> tail <obj> type`` -> array of
-    ``struct(head, type, tail)``.  Several ``<subj>`` after one head share it."""
-    init = F.struct(F.array().cast(TRIPLET_TYPE).alias("out"), F.lit("x").alias("cur"), F.lit("").alias("subj"),
-                    F.lit("").alias("obj"), F.lit("").alias("rel"))
+    ``struct(head, type, tail)``.  Several ``<subj>`` after one head share it.
+
+    A fold over the runs of words behind the markers, not over the words."""
+    init = F.struct(F.array().cast(TRIPLET_TYPE).alias("out"), F.lit("").alias("subj"), F.lit("").alias("obj"), F.lit("").alias("rel"))
+    # Spaced-out markers are whole tokens, and the text before the first one is the first run.
+    runs = F.split(F.regexp_replace(_spaced(text), WS, " "), "(?=<(?:triplet|subj|obj)>)")
 
     def trip(acc):
-        return F.struct(F.trim(acc["subj"]).alias("head"), F.trim(acc["rel"]).alias("type"),
-                        F.trim(acc["obj"]).alias("tail"))
-
-    def step(acc, tok):
-        is_t, is_s, is_o = tok == "<triplet>", tok == "<subj>", tok == "<obj>"
-        word = ~(is_t | is_s | is_o)
-        out = F.when((is_t | is_s) & (acc["rel"] != ""), F.concat(acc["out"], F.array(trip(acc)))).otherwise(acc["out"])
-        cur = F.when(is_t, F.lit("t")).when(is_s, F.lit("s")).when(is_o, F.lit("o")).otherwise(acc["cur"])
-        subj = (F.when(is_t, F.lit("")).when(word & (acc["cur"] == "t"), F.concat(acc["subj"], F.lit(" "), tok))
-                .otherwise(acc["subj"]))
-        obj = (F.when(is_s, F.lit("")).when(word & (acc["cur"] == "s"), F.concat(acc["obj"], F.lit(" "), tok))
-               .otherwise(acc["obj"]))
-        rel = (F.when(is_t | is_o, F.lit("")).when(word & (acc["cur"] == "o"), F.concat(acc["rel"], F.lit(" "), tok))
-               .otherwise(acc["rel"]))
-        return F.struct(out.alias("out"), cur.alias("cur"), subj.alias("subj"), obj.alias("obj"), rel.alias("rel"))
+        return F.array(F.struct(acc["subj"].alias("head"), acc["rel"].alias("type"), acc["obj"].alias("tail")))
+
+    def step(acc, run):
+        is_t, is_s, is_o = (run.startswith(m) for m in ("<triplet>", "<subj>", "<obj>"))
+        words = F.trim(F.substring(run, F.instr(run, ">") + 1, F.length(run)))
+        out = F.when((is_t | is_s) & (acc["rel"] != ""), F.concat(acc["out"], trip(acc))).otherwise(acc["out"])
+        return F.struct(out.alias("out"), F.when(is_t, words).otherwise(acc["subj"]).alias("subj"),
+                        F.when(is_s, words).otherwise(acc["obj"]).alias("obj"),
+                        F.when(is_o, words).when(is_t, F.lit("")).otherwise(acc["rel"]).alias("rel"))
 
     def finish(acc):
         done = (acc["subj"] != "") & (acc["rel"] != "") & (acc["obj"] != "")
-        return F.when(done, F.concat(acc["out"], F.array(trip(acc)))).otherwise(acc["out"])
+        return F.when(done, F.concat(acc["out"], trip(acc))).otherwise(acc["out"])
 
-    return F.aggregate(triplet_tokens(text), init, step, finish)
+    return F.aggregate(runs, init, step, finish)
 
 
 def explode_triplets(df: DataFrame, keys: Sequence[str], triplets: str) -> DataFrame:
     """``(keys..., idx, head, type, tail)``."""
-    return (df.select(*keys, F.posexplode(triplets).alias("idx", "t"))
+    # Outer, so that no filter on the array's size is inferred, which would parse the text again.
+    return (df.select(*keys, F.posexplode_outer(triplets).alias("idx", "t")).where(F.col("idx").isNotNull())
             .select(*keys, "idx", "t.head", "t.type", "t.tail"))
 
 

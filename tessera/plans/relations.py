@@ -109,7 +109,8 @@ SELECT relation, n_gold, n_guessed, n_correct, round(p, 6) AS precision, round(r
        round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM m""")
 def q_paired_scores(spark, sf):
     p = _parsed(spark, sf)
-    pairs = p.select(F.explode(R.paired_types("gold", "pred")).alias("x")).select("x.gold", "x.guess")
+    # Outer, as in explode_triplets.
+    pairs = p.select(F.explode_outer(R.paired_types("gold", "pred")).alias("x")).where(F.col("x").isNotNull()).select("x.gold", "x.guess")
     s = R.micro_scores(pairs)
     return s.select("relation", "n_gold", "n_guessed", "n_correct",
                     *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
@@ -150,7 +151,7 @@ def _relation_rows(spark, sf):
     tag = lambda arr, g: F.transform(arr, lambda t, i: F.struct(
         F.lit(g).alias("is_gold"), i.alias("idx"), t["head"].alias("head"), t["type"].alias("type"),
         t["tail"].alias("tail")))
-    rows = p.select(*KEYS, F.inline(F.concat(tag(F.col("gold"), True), tag(F.col("pred"), False))))
+    rows = p.select(*KEYS, F.inline_outer(F.concat(tag(F.col("gold"), True), tag(F.col("pred"), False)))).where(F.col("is_gold").isNotNull())
     pred_tail = F.when(hash_bucket("l_orderkey", "grp", "idx") % 13 == 0, "customer").otherwise("supplier")
     return rows.withColumn("head_type", F.lit("part")).withColumn(
         "tail_type", F.when(F.col("is_gold"), F.lit("supplier")).otherwise(pred_tail))

@@ -55,3 +55,28 @@ def test_type_histogram_is_one_aggregation(spark):
     assert "Union" not in plan and plan.count("Exchange") == 1
     assert sorted(map(tuple, h.collect()), key=str) == sorted(
         [("train", "a", 2), ("test", "a", 1), ("test", None, 1), (None, "b", 1), ("total", "a", 3), ("total", None, 1), ("total", "b", 1)], key=str)
+
+
+def test_triplets_of_odd_texts_against_a_walk_over_words(spark):
+    import random
+
+    def walk(text):
+        for a, b in ((">", "> "), ("<", " <"), ("<s>", ""), ("<pad>", ""), ("</s>", "")):
+            text = text.replace(a, b)
+        out, cur, now = [], "x", {"t": "", "s": "", "o": ""}
+        for w in text.split():
+            if w in ("<triplet>", "<subj>", "<obj>"):
+                cur = w[1]
+                if cur in "ts" and now["o"]:
+                    out.append((now["t"].strip(), now["o"].strip(), now["s"].strip()))
+                now.update({"t": {"t": "", "o": ""}, "s": {"s": ""}, "o": {"o": ""}}[cur])
+            elif cur != "x":
+                now[cur] += " " + w
+        return out + ([(now["t"].strip(), now["o"].strip(), now["s"].strip())] if all(now.values()) else [])
+
+    r = random.Random(4)
+    words = ["<triplet>", "<subj>", "<obj>", "<triplet>", "<subj>", "<obj>", "<s>", "</s>", "<pad>", "a", "b\tc", "x > y", "<", "<<obj>", "tri<plet>", "", " "]
+    texts = ["".join(r.choice(words) + r.choice([" ", " ", ""]) for _ in range(r.randrange(25))) for _ in range(300)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {x["k"]: [tuple(y) for y in x["v"]] for x in df.select("k", R.extract_triplets("t").alias("v")).collect()}
+    assert got == {k: walk(t) for k, t in enumerate(texts)}

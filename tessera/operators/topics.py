@@ -154,9 +154,12 @@ def term_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 def ngram_counts(df: DataFrame, n: int = 2, min_count: int = 2, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
-    """AG10b: ``(key, ngram, n)`` for n-grams occurring at least ``min_count``
-    times; counted map-side like ``term_counts``."""
-    d = df.select(key, tokens(text).alias("_tk")).select(key, F.explode(ngrams(F.col("_tk"), n)).alias("ngram"))
+    """AG10b: ``(key, ngram, n)`` for n-grams occurring at least ``min_count`` times.
+
+    The texts are dealt out by key, not their n-grams, most of which occur once: the only exchange holds each text once,
+    and counting needs no other."""
+    dealt = df.select(key, text).repartition(F.col(key))
+    d = dealt.select(key, tokens(text).alias("_tk")).select(key, F.explode(ngrams(F.col("_tk"), n)).alias("ngram"))
     return d.groupBy(key, "ngram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 

@@ -95,10 +95,12 @@ def q_correction_rows(spark, sf):
     return LK.correction_rows(lines.withColumn("resp", F.when(F.col("line") != "", clean_string("line"))), "line", "resp")
 
 
-def _edges(spark, sf):
+def _edges(spark, sf, dealt: bool = False):
     """A derived dependency edge table: each token's head is the previous token;
-    the first token is ``ROOT``; a rule-H third of the rest are ``nmod``."""
-    rows = D.token_rows(table(spark, sf, "documents"))
+    the first token is ``ROOT``; a rule-H third of the rest are ``nmod``.
+    ``dealt``: by sentence, for what gathers sentences; an exchange of texts, not of edges."""
+    docs = table(spark, sf, "documents")
+    rows = D.token_rows(docs.select("doc_id", "text").repartition("doc_id") if dealt else docs)
     dep = (F.when(F.col("pos") == 0, F.lit("ROOT"))
            .when(hash_bucket("doc_id", "pos") % 3 == 0, F.lit("nmod")).otherwise(F.lit("amod")))
     return rows.select(F.col("doc_id").alias("sent_id"), F.col("pos").alias("i"), F.col("token").alias("text"),
@@ -123,7 +125,7 @@ m AS (SELECT * FROM k UNION SELECT * FROM g1 UNION SELECT * FROM g2 UNION SELECT
 SELECT m.sent_id, string_agg(e.text, ' ' ORDER BY m.node) AS phrase
 FROM m JOIN e ON m.sent_id = e.sent_id AND m.node = e.i GROUP BY m.sent_id""")
 def q_dependency_phrase(spark, sf):
-    return LK.dependency_phrase(_edges(spark, sf), "tion")
+    return LK.dependency_phrase(_edges(spark, sf, dealt=True), "tion")
 
 
 @query("phrase_root", sql=f"""WITH {_EDGES_SQL}

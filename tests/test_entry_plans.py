@@ -123,3 +123,32 @@ def test_llm_package_may_fail_to_import(monkeypatch):
         monkeypatch.delattr(tessera.llm, "queries", raising=False)
     assert len(E.queries()) >= 80 and not any(n.startswith("op") or n == "pipeline" for n in E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_sequence_metrics_reads_documents_once(spark):
+    assert _scans(E.queries()["sequence_metrics"](spark, SMALL), "documents") == 1
+
+
+def test_texts_are_dealt_out_not_what_is_made_of_them(spark):
+    """The only exchange lies below the rows of n-grams, or of edges."""
+    for name in ("ngram_counts", "dependency_phrase"):
+        plan = _plan(E.queries()[name](spark, SMALL))
+        assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.index("Generate"), name
+
+
+def test_filters_make_no_arrays_again(spark):
+    """A filter that Spark infers or pushes down must not split the lines, or parse the triplets, a second time."""
+    for name, work in (("label_repair", "concat_ws"), ("triplets", "aggregate("), ("paired_scores", "aggregate("), ("set_scores_strict", "aggregate(")):
+        plan = _plan(E.queries()[name](spark, SMALL))
+        assert not [x for x in plan.split("\n") if "Filter" in x and work in x], name
+
+
+def test_tags_of_rows_are_made_in_generated_code(spark):
+    from tessera.plans import derived
+
+    docs = spark.createDataFrame([(1, "The Old 12 a1 12é Été Cat 7 [x Z"), (2, " "), (3, None)], "doc_id long, text string")
+    rows = derived.tag_rows(docs)
+    assert "zip_with(" not in _plan(rows)
+    assert [tuple(r)[1:] for r in rows.orderBy("pos").collect()] == [
+        (0, "The", "B-CAP"), (1, "Old", "I-CAP"), (2, "12", "B-NUM"), (3, "a1", "O"), (4, "12é", "O"), (5, "Été", "O"),
+        (6, "Cat", "B-CAP"), (7, "7", "B-NUM"), (8, "[x", "O"), (9, "Z", "B-CAP")]

@@ -1,7 +1,7 @@
 """Relation triplets: parsing, pairing and scoring (SF7, TX16, JN7, AG11, AG15, AG16, ST5).
 
-The linearised-triplet parser is a native ``aggregate`` fold over the tokens of
-one text (a state machine in a struct), so it runs inside the row; scoring is
+The linearised-triplet parser is a native ``aggregate`` fold over the runs of words
+behind one text's markers (a state machine in a struct), so it runs inside the row; scoring is
 joins and grouped sums over exploded relation rows.
 """
 

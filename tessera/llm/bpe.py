@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Chunks, and merged pieces, of a generation: a worker remembers two generations of each. No result depends on it.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 _NONE = 1 << 62
 
 

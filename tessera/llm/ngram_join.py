@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import discard, stored
@@ -190,12 +190,12 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(postings(d, "doc_id", "text", size, percent, frequencies(d, "text", size)), "postings")
     members = stored(rows.where("member").select("doc_id", "sig", F.col("n").alias("n_shingles")), "members")
-    # a member's rank in its lists: the most typical has the highest
+    # a member's rank in its lists: the most typical has the highest; lists are dealt out once, and lists of one go
     rank = F.col("typ") * (1 << 47) + F.col("sig").bitwiseAND((1 << 47) - 1)
-    listed = rows.where("not member").select("gram", "sig", "n", "pos", "typ")
-    shared = listed.groupBy("gram").agg(F.max(rank).alias("top"), F.min(rank).alias("least")).where("top <> least").select("gram", "top")
-    lists = listed.join(shared, "gram").withColumn("rank", rank).dropDuplicates(["gram", "sig"])
-    lists = stored(lists.select("gram", "sig", "n", "pos", (F.col("rank") == F.col("top")).alias("center")), "lists")
+    listed = rows.where("not member").select("gram", "sig", "n", "pos", rank.alias("rank")).repartition("gram").dropDuplicates(["gram", "sig"])
+    inside = Window.partitionBy("gram").orderBy(F.desc("rank"))
+    lists = listed.withColumns({"center": F.lag("rank").over(inside).isNull(), "last": F.lead("rank").over(inside).isNull()}).where("not (center and last)")
+    lists = stored(lists.select("gram", "sig", "n", "pos", "center"), "lists")
     discard(rows)
     wanted = lists.select("sig").distinct()
     texts = signed(d.select("text"), "text", size, compressed=True).join(wanted, "sig", "left_semi")

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import discard, stored
+from tessera.llm.shared import discard, marked, marks, stored
 from tessera.llm.words import SPACED, blocks, grams, words
 
 LENGTH, GRAM = 50, 26
@@ -81,15 +81,29 @@ def suffixes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "gram long, id long, own binary, pos int")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """(id, own, text): the texts compressed."""
+def _marked(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
+    """The rows whose ``key`` has a bit among the ``marks``."""
+    shared, at = df.sparkSession.sparkContext.broadcast(bits), df.columns.index(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(marked(shared.value, b.column(at))))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _packed(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(id, own, text) of the texts that have a bit among the ``marks``: the texts compressed."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             for first, block in blocks(b.column(1)):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(block)), _digest(block), pa.array([pack(t) for t in block], pa.binary())],
-                                                 names=["id", "own", "text"])
+                own = _digest(block)
+                at = np.flatnonzero(marked(shared.value, own))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(block)).take(pa.array(at)), own.take(pa.array(at)),
+                                                  pa.array([pack(block[k]) for k in at.tolist()], pa.binary())], names=["id", "own", "text"])
 
     return docs.mapInArrow(run, "id long, own binary, text binary")
 
@@ -166,9 +180,9 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL)).alias("id"), F.col(text).alias("text"))
     kept = stored(suffixes(d), "suffixes")
     often = stored(kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "often")  # so that a hot run's rows can be split
-    places = stored(kept.join(often, "gram").groupBy("id", "own").agg(F.collect_set("pos").alias("places")), "places")
+    places = stored(_marked(kept, "gram", marks(often, "gram")).join(often, "gram").groupBy("id", "own").agg(F.collect_set("pos").alias("places")), "places")
     discard(kept, often)
-    wanted = _packed(d).join(places, ["id", "own"]).select("id", "own", "text", "places").dropDuplicates(["id", "own"])
+    wanted = _packed(d, marks(places, "own")).join(places, ["id", "own"]).select("id", "own", "text", "places").dropDuplicates(["id", "own"])
     order = ["window", "id", "own"]
     found = _windows(wanted, length).repartitionByRange(*order).sortWithinPartitions(*order)
     found = stored(found.mapInArrow(_told, "kind int, window long, id long, own binary, starts binary, of long"), "neighbours")
@@ -224,18 +238,28 @@ def cut(text: str, spans: list[dict]) -> str:
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with its columns and without the repeated passages; documents of which no word is left go.
 
-    The spans are written, so that the join with the texts knows their size.
+    The spans are written, so that the join with the texts knows their size; texts that surely have none stay
+    where they are, the others are moved to the join.
     """
     spans = stored(repeats(docs, doc_id, text, length).select(F.col("id").alias("__ss_id"), F.col("own").alias("__ss_own"), F.col("spans").alias("__ss_spans")), "spans")
     at, names = docs.columns.index(text), [*docs.columns, "__ss_key"]
+    shared = docs.sparkSession.sparkContext.broadcast(marks(spans, "__ss_own"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             for first, block in blocks(b.column(at)):
-                cols = list(b.slice(first, len(block)).columns)
-                cols[at] = pa.array([pack(t) if v else None for t, v in zip(block, cols[at].is_valid().to_pylist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([*cols, _digest(block)], names=names)
+                own = _digest(block)
+                some = np.flatnonzero(marked(shared.value, own))
+                cols = b.slice(first, len(block)).take(pa.array(some)).columns
+                there = cols[at].is_valid().to_pylist()
+                cols[at] = pa.array([pack(block[k]) if v else None for k, v in zip(some.tolist(), there)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*cols, own.take(pa.array(some))], names=names)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, block in blocks(b.column(at)):
+                yield b.slice(first, len(block)).filter(pa.array(~marked(shared.value, _digest(block))))
 
     fields = [f"`{c}` {'binary' if c == text else t}" for c, t in docs.dtypes]  # the texts are compressed on their way
     keyed = docs.mapInArrow(digest, ", ".join([*fields, "`__ss_key` binary"]))
@@ -244,9 +268,9 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for whole in batches:
-            for x in range(0, whole.num_rows, 512):
-                b = whole.slice(x, 512)
+        for rows in batches:
+            for x in range(0, rows.num_rows, 512):
+                b = rows.slice(x, 512)
                 cols, spans_of = list(b.columns[:-1]), b.column(len(names) - 1).to_pylist()
                 texts = [None if t is None else unpack(t).decode() for t in cols[at].to_pylist()]
                 texts = [cut(t, s) if s else t for t, s in zip(texts, spans_of)]
@@ -254,4 +278,4 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                 left = pa.array([not s or bool(_WORD.search(t.encode())) for t, s in zip(texts, spans_of)])
                 yield pa.RecordBatch.from_arrays(cols, names=names[:-1]).filter(left)
 
-    return rows.mapInArrow(shorten, docs.schema)
+    return docs.mapInArrow(whole, docs.schema).unionAll(rows.mapInArrow(shorten, docs.schema))

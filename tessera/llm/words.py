@@ -12,7 +12,7 @@ _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15 & ~7 | 3)  # odd, and 1 - _STEP has one factor of 2
 _BACK = _U(pow(int(_STEP), -1, 1 << 64))
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_AT_ONCE = 1_000_000
+_AT_ONCE = 250_000
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 #: Words between ASCII white space.
@@ -26,7 +26,7 @@ ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         for k, base in enumerate((_STEP, _BACK)):
-            full = np.full(max(n, _AT_ONCE + (1 << 18)), base, _U)
+            full = np.full(max(n, _AT_ONCE + (1 << 16)), base, _U)
             full[0] = 1
             _powers[k] = np.multiply.accumulate(full)
     return _powers[0][:n], _powers[1][:n]
@@ -57,7 +57,7 @@ def words(texts: list[bytes | str | None], kind: np.ndarray) -> Words:
     """Hashes of the words (A-Z lower-cased) of each text; a null text has none."""
     data = [t.encode() if isinstance(t, str) else t or b"" for t in texts]
     done, run, size, n = [], [], 0, len(data)
-    for k, d in enumerate(data):  # about a megabyte at a time: the arrays over bytes are eight times as large
+    for k, d in enumerate(data):  # about a quarter of a megabyte at a time: the arrays over bytes are eight times as large
         run.append(d)
         size += len(d) + 1
         if size >= _AT_ONCE or k + 1 == n:

@@ -4,7 +4,8 @@ Per-row maths uses higher-order array functions.  Grouped means explode to
 ``(group, dim, value)`` and aggregate with partial aggregation, so a hot group
 costs one partial row per task and dimension.  Top-k cosine joins blocks of
 queries with blocks of vectors; a pair of blocks is one matrix product, of which
-only each query's best rows are left (``best_of_blocks``).
+only each query's best rows are left (``best_of_blocks``), and a task hands on only the
+best of its blocks.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from tessera.functions.text import _c
 QUERY_BLOCK = 256
 #: Vectors of one block of the exact top-k search.
 VECTOR_BLOCK = 4096
+#: Rows found that a task holds before it leaves only each query's best of them.
+FOUND = 400_000
 
 
 def as_double(v) -> Column:
@@ -89,6 +92,22 @@ def _chosen(mask: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(mask & (np.cumsum(mask, axis=1) <= k))
 
 
+def _left(found: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
+    """Of found rows those that may be among a query's ``k`` best of them, once each: ties with the last one stay."""
+    rows = pa.concat_batches(found)
+    q, c, cosine = rows.column(1).to_numpy(), rows.column(3).to_numpy(), rows.column(4).to_numpy(zero_copy_only=False)
+    # As ``top`` has it, a cosine that is NaN comes first and one that is null last.
+    score = np.where(rows.column(4).is_null().to_numpy(zero_copy_only=False), -np.inf, np.where(np.isnan(cosine), np.inf, cosine))
+    order = np.lexsort((c, -score, q))
+    again = np.zeros(len(order), bool)
+    again[1:] = (q[order[1:]] == q[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
+    order = order[~again]
+    first = np.flatnonzero(np.append(True, q[order[1:]] != q[order[:-1]]))
+    sizes = np.diff(np.append(first, len(order)))
+    least = score[order[first + np.minimum(sizes, k) - 1]]
+    return rows.take(pa.array(order[score[order] >= np.repeat(least, sizes)]))
+
+
 def _best(k: int, own: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Each query's best of a block of vectors, as ``best_of_blocks`` has it."""
 
@@ -125,12 +144,22 @@ def _best(k: int, own: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordB
         return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             queries, vectors = batch.column(0), batch.column(1)
             for i in range(batch.num_rows):
                 qs, cs = queries[i].values, vectors[i].values
                 for j in range(0, len(qs), QUERY_BLOCK):
-                    yield found(qs.slice(j, QUERY_BLOCK), cs)
+                    held.append(found(qs.slice(j, QUERY_BLOCK), cs))
+                    n += held[-1].num_rows
+                    if n >= FOUND:
+                        held = [_left(held, k)]
+                        n = held[0].num_rows
+                        if n > FOUND // 2:
+                            yield held[0]
+                            held, n = [], 0
+        if n:
+            yield _left(held, k)
 
     return run
 
@@ -142,8 +171,8 @@ def block(key: str, row: str, u: str) -> Column:
 
 def best_of_blocks(pairs: DataFrame, qkey: str, key: str, k: int, own: bool) -> DataFrame:
     """``(qkey, _q, key, _c, cosine)`` from pairs of blocks ``(_qs, _cs)``: of each block of vectors, a query's rows that may
-    be among its ``k`` best by (cosine descending, key), unless (``own``) they have its own key.  ``_q`` and ``_c`` number the
-    rows.  A cosine is null where a vector is null, holds a null or has another length."""
+    be among its ``k`` best by (cosine descending, key), unless (``own``) they have its own key; of a task's blocks, each
+    such row at least once.  ``_q`` and ``_c`` number the rows.  A cosine is null where a vector is null, holds a null or has another length."""
     item = {c: pairs.schema[c].dataType.elementType["k"].dataType for c in ("_qs", "_cs")}
     schema = StructType([StructField(qkey, item["_qs"]), StructField("_q", LongType()), StructField(key, item["_cs"]), StructField("_c", LongType()),
                          StructField("cosine", DoubleType())])

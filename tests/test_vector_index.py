@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +68,29 @@ def test_exact_search_keeps_nulls_and_ties(spark):
     for r in sorted(V.cosine_topk(df, "id", "v", asked, "q", "qv", k=6).collect(), key=lambda r: (r["q"], r["rank"])):
         got.setdefault(r["q"], []).append((r["id"], r["cosine"]))
     assert got == {"a": [(3, 1.0), (9, 1.0), (4, 0.0), (1, None), (2, None), (5, None)], "b": [(k, None) for k in (1, 2, 3, 4, 5, 6)]}
+
+
+def test_blocks_are_not_broadcast(spark, cloud):
+    """Queries have a copy for each bucket in which they look: the planner's estimate, of one each, would send all through the driver."""
+    queries = cloud.where(F.col("id") % 20 == 0).select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    index = VI.build_index(cloud, "id", "v", 16, bits=6, bands=4)
+    plan = VI.neighbours(index, queries, "q", "qv")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_many_small_blocks_give_the_same_neighbours(spark, cloud, monkeypatch):
+    queries = cloud.where(F.col("id") % 20 == 0).select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    index = VI.build_index(cloud, "id", "v", 16, bits=6, cosine=0.7, recall=0.97)
+    want = sorted(map(tuple, VI.neighbours(index, queries, "q", "qv").collect()))
+    for name, n in (("RUN", 70), ("LEAST_RUN", 10), ("_BATCH", 8)):
+        monkeypatch.setattr(VI, name, n)
+    assert sorted(map(tuple, VI.neighbours(index, queries, "q", "qv").collect())) == want
+
+
+def test_best_of_what_a_task_found():
+    """Ties with the last one stay, a pair found twice counts once, NaN comes first and null last."""
+    rows = [("a", 0, "x", 7, 0.5), ("a", 0, "x", 7, 0.5), ("a", 0, "y", 8, 0.25), ("a", 0, "z", 9, 0.25), ("a", 0, "w", 6, 0.1), ("a", 0, "n", 5, None),
+            ("b", 1, "x", 7, float("nan")), ("b", 1, "y", 8, 0.9), ("b", 1, "z", 9, 0.8), ("c", 2, "n", 5, None)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["q", "_q", "key", "_c", "cosine"])
+    left = V._left([batch.slice(0, 3), batch.slice(3)], 2).to_pydict()
+    assert sorted(zip(left["q"], left["key"])) == [("a", "x"), ("a", "y"), ("a", "z"), ("b", "x"), ("b", "y"), ("c", "n")]

@@ -2,13 +2,19 @@
 
 AG10 / TX5-TX8 / WN4, IO6.  Cleaning is regexes inside the row.  Tokens then are
 rows: stop lists and lemma tables are joined on (language, word), whatever their
-size, and one exchange by document serves the n-grams, the counts and the line.
+size; one exchange by document serves the line, whose counts are made from the document's rows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions.sequences import ngrams
 from tessera.functions.text import WS, _c, tokens
@@ -120,30 +126,70 @@ def topic_tokens(docs: DataFrame, stop: DataFrame, lemmas: DataFrame | None = No
     return rows.where(F.col("tok").isNull() | (F.col("tok") != "-")).select(key, "pos", "tok")
 
 
+def _counted(toks: list, pos: np.ndarray, which_n_grams, min_count: int) -> str:
+    """The counts of a document's line, from its tokens in order."""
+    rising, parts = bool(np.all(np.diff(pos) > 0)), []
+    for kind, n in enumerate((1, *which_n_grams)):
+        shifted = [toks[m:] for m in range(n)]
+        if None in toks:
+            grams = ["_".join(x for x in g if x is not None) if g[0] is not None and g[-1] is not None else None for g in zip(*shifted)]
+        else:
+            grams = toks if n == 1 else list(map("_".join, zip(*shifted)))
+        found = [(g, c) for g, c in Counter(grams).items() if g is not None and (kind == 0 or c >= min_count)]
+        if not rising:  # Where places repeat, several grams begin at one: they go by their text.
+            first: dict = {}
+            for g, p in zip(grams, pos.tolist()):
+                first.setdefault(g, p)
+            found.sort(key=lambda x: (first[x[0]], f"{x[0]}:{x[1]}"))
+        parts += [f"{g}:{c}" for g, c in found]
+    return " ".join(parts)
+
+
+def _lines(which_n_grams, min_count: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, tok, pos, place in the document from 1 on), in this order, as (key, counts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, toks, pos = None, [], []  # the document that goes on
+
+        def ready(keys: list, counts: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(keys).cast(schema[0].type), pa.array(counts, schema[1].type)], schema=schema)
+
+        for batch in batches:
+            found, places, keys, counts = batch.column(1).to_pylist(), batch.column(2).to_numpy(), [], []
+            cuts = [*np.flatnonzero(batch.column(3).to_numpy() == 1).tolist(), len(found)]
+            toks += found[: cuts[0]]
+            pos.append(places[: cuts[0]])
+            for lo, hi in zip(cuts, cuts[1:]):
+                if key is not None:
+                    keys.append(key)
+                    counts.append(_counted(toks[toks[0] is None :], np.concatenate(pos)[toks[0] is None :], which_n_grams, min_count))
+                key, toks, pos = batch.column(0).slice(lo, 1), found[lo:hi], [places[lo:hi]]
+            if keys:
+                yield ready(keys, counts)
+        if key is not None:
+            yield ready([key], [_counted(toks[toks[0] is None :], np.concatenate(pos)[toks[0] is None :], which_n_grams, min_count)])
+
+    return run
+
+
 def vw_lines(rows: DataFrame, key: str = "doc_id", which_n_grams=(2,), min_count: int = 2) -> DataFrame:
     """AG10: ``doc<i> tok:count ... ngram:count`` per document from ``(key, pos, tok)`` rows.
 
     Unigrams in first-occurrence order, then each n-gram size kept when its
     count reaches ``min_count``; a document without tokens gives the empty string.
 
-    One exchange by document: neighbours by window, counts and the line follow in the same stage.
+    One exchange by document at most, and one sort: a document's rows follow each other, and its line is counted from them.
+    No table of n-grams is kept, so a task holds a document and a sort, which spills.
     """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     order = Window.partitionBy(key).orderBy("pos")
-    grams = [F.struct(F.lit(0).alias("kind"), F.col("tok").alias("gram"))]
-    d = rows
-    for k, n in enumerate(which_n_grams, 1):
-        for m in range(1, n):
-            d = d.withColumn(f"_a{m}", F.lead("tok", m).over(order))
-        parts = ["tok", *[f"_a{m}" for m in range(1, n)]]
-        whole_gram = F.when(F.col(parts[-1]).isNotNull() & F.col("tok").isNotNull(), F.concat_ws("_", *parts))
-        grams.append(F.struct(F.lit(k).alias("kind"), whole_gram.alias("gram")))
-    g = d.select(key, "pos", F.inline(F.array(*grams))).groupBy(key, "kind", "gram").agg(
-        F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-    kept = F.col("gram").isNotNull() & ((F.col("kind") == 0) | (F.col("n") >= min_count))
-    item = F.when(kept, F.struct("kind", "first", F.concat("gram", F.lit(":"), F.col("n").cast("string")).alias("s")))
-    lines = g.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_parts"))
-    line = F.concat(F.lit("doc"), F.col(key).cast("string"), F.lit(" "), F.array_join(F.transform("_parts", lambda x: x["s"]), " "))
-    return lines.select(key, F.when(F.size("_parts") == 0, F.lit("")).otherwise(line).alias("line"))
+    # The window deals out and sorts; its row number tells where a document begins.
+    placed = rows.select(key, "tok", F.col("pos").cast("long").alias("pos"), F.row_number().over(order).alias("_i"))
+    schema = StructType([StructField(key, rows.schema[key].dataType), StructField("_counts", StringType())])
+    lines = placed.mapInArrow(_lines(tuple(which_n_grams), min_count, to_arrow_schema(schema)), schema)
+    line = F.concat(F.lit("doc"), F.col(key).cast("string"), F.lit(" "), F.col("_counts"))
+    return lines.select(key, F.when(F.col("_counts") == "", F.lit("")).otherwise(line).alias("line"))
 
 
 def term_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -70,3 +70,24 @@ def test_profiles_are_top_words(spark):
     assert {tuple(r) for r in topics.corpus_stop_words(d, 2).collect()} == {("en", "a"), ("en", "b"), ("de", "x")}
     pred = lookup.detect_language(d.withColumn("doc_id", F.length("text")), topics.corpus_stop_words(d, 2))
     assert {tuple(r) for r in pred.collect()} == {(9, "en", 4), (1, "de", 1)}
+
+
+def test_lines_of_repeated_places_nulls_and_batches(spark):
+    """A key that occurs twice has each place twice: ties go by text.  Nulls inside a text break pairs, and a text may be
+    larger than a batch of rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = [(1, p, t) for p, t in enumerate("b a b a".split()) for _ in range(2)] + [(2, -1, None)] + [(2, p, t) for p, t in enumerate("x x x x x x x".split())]
+        rows += [(3, 0, "a"), (3, 1, None), (3, 2, "b"), (None, 0, "z"), (4, -1, None)]
+        df = spark.createDataFrame(rows, "doc_id long, pos int, tok string").repartition(3)
+        got = {r["doc_id"]: r["line"] for r in topics.vw_lines(df, which_n_grams=(2, 3), min_count=1).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got[1] == "doc1 b:4 a:4 b_a:2 b_b:2 a_a:2 a_b:1 b_a_a:2 b_b_a:2 a_a_b:1 a_b_b:1"
+    assert got[2] == "doc2 x:7 x_x:6 x_x_x:5" and got[3] == "doc3 a:1 b:1 a_b:1" and got[4] == "" and got[None] is None
+
+
+def test_lines_keep_no_table_of_grams(spark):
+    df = spark.createDataFrame([(1, 0, "a")], "doc_id long, pos int, tok string")
+    plan = topics.vw_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Exchange") == 1

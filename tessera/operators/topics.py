@@ -155,7 +155,7 @@ def _lines(which_n_grams, min_count: int, schema: pa.Schema) -> Callable[[Iterat
             return pa.RecordBatch.from_arrays([pa.concat_arrays(keys).cast(schema[0].type), pa.array(counts, schema[1].type)], schema=schema)
 
         for batch in batches:
-            found, places, keys, counts = batch.column(1).to_pylist(), batch.column(2).to_numpy(), [], []
+            found, places, keys, counts = batch.column(1).to_numpy(zero_copy_only=False).tolist(), batch.column(2).to_numpy(), [], []
             cuts = [*np.flatnonzero(batch.column(3).to_numpy() == 1).tolist(), len(found)]
             toks += found[: cuts[0]]
             pos.append(places[: cuts[0]])

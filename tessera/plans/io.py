@@ -7,7 +7,12 @@ files.  The DataFrame that it returns reads them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import md5
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -41,23 +46,44 @@ def q_conll_read(spark, sf):
 def _grouped_files(spark, sf, path):
     """Stand-in input: files of two layouts in document order.  Every other file names its columns in another order, ends
     its lines with CRLF and pads its blank lines.  By rule H a line has six fields, a Cyrillic label or ``True`` in one."""
-    d = D.tagged_docs(table(spark, sf, "documents")).where(F.size("tokens") > 0)
-    d = d.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("_id", F.monotonically_increasing_id())
+    # Texts are dealt out, not their tokens and tags; one with a token has a character that isn't white space.
+    docs = table(spark, sf, "documents").select("doc_id", "text").where(F.col("text").rlike("(?U)\\S"))
+    d = D.tagged_docs(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")).withColumn("_id", F.monotonically_increasing_id())
     odd = F.shiftright("_id", 33) % 2 == 1
-    eol = F.when(odd, "\r\n").otherwise("\n")
-    lines = F.transform(F.arrays_zip("tokens", "tags"), lambda z, i: _grouped_line(z["tokens"], z["tags"], hash_bucket("doc_id", i) % 50, i, odd))
+    d = d.select(F.col("doc_id").cast("string").alias("key"), odd.alias("odd"), "_id", "tokens", "tags").mapInArrow(_grouped_lines, "odd boolean, _id long, lines string")
+    odd, eol = F.col("odd"), F.when(F.col("odd"), "\r\n").otherwise("\n")
     head = F.when(F.col("_id").bitwiseAND((1 << 33) - 1) == 0, F.concat(
         F.when(odd, "[token] [num] [cap]").otherwise("[token] [cap] [num]"), eol, F.lit("-- --"), eol)).otherwise("")
     # The writer ends each value with a line feed: that ends the blank line.
-    text = F.concat(head, F.array_join(lines, "\n"), eol, F.when(odd, " \t\r").otherwise(""))
+    text = F.concat(head, "lines", eol, F.when(odd, " \t\r").otherwise(""))
     d.select(F.when(odd, F.regexp_replace(text, "(?<!\r)\n", "\r\n")).otherwise(text).alias("value")).write.text(path)
 
 
-def _grouped_line(token, tag, draw, i, odd):
-    cap = F.when(tag.endswith("CAP"), tag).otherwise("O")
-    num = F.when(draw == 1, "Б-ЧИС").when(tag == "B-NUM", "B-True").otherwise("O")
-    return F.concat(token, F.lit(" "), F.when(odd, F.concat(num, F.lit(" "), cap)).otherwise(F.concat(cap, F.lit(" "), num)),
-                    F.when((draw == 0) & (i > 0), " x y z").otherwise(""))
+#: What follows a token in a line, by its tag and the layout: the fields [cap] [num], or [num] [cap] in odd files.
+_FIELDS = {odd: {tag: f" {num} {cap}" if odd else f" {cap} {num}" for tag, cap, num in
+                 (("O", "O", "O"), ("B-CAP", "B-CAP", "O"), ("I-CAP", "I-CAP", "O"), ("B-NUM", "O", "B-True"))} for odd in (False, True)}
+
+
+def _grouped_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, odd, _id, tokens, tags) as (odd, _id, lines), a document at a time; the draw is ``hash_bucket(key, place) % 50``."""
+    places: list[bytes] = []
+    for batch in batches:
+        out = []
+        for key, odd, tokens, tags in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), batch.column(4)):
+            tokens, tags = (x.values.to_numpy(zero_copy_only=False).tolist() for x in (tokens, tags))
+            places += [b"%d" % i for i in range(len(places), len(tokens))]
+            seed = b"42:" if key is None else f"42:{key}:".encode()
+            heads = b"".join([md5(seed + i).digest()[:4] for i in places[: len(tokens)]])
+            draws = np.frombuffer(heads, ">u4") % 1000 % 50
+            fields = _FIELDS[odd]
+            lines = [token + fields[tag] for token, tag in zip(tokens, tags)]
+            for i in np.flatnonzero(draws == 1).tolist():
+                cap = tags[i] if tags[i].endswith("CAP") else "O"
+                lines[i] = f"{tokens[i]} Б-ЧИС {cap}" if odd else f"{tokens[i]} {cap} Б-ЧИС"
+            for i in np.flatnonzero(draws[1:] == 0).tolist():
+                lines[i + 1] += " x y z"
+            out.append("\n".join(lines))
+        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(out, pa.string())], names=["odd", "_id", "lines"])
 
 
 @query("conll_groups", sql=f"""

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +117,50 @@ def test_batched_map_bounds_a_frame(spark):
 
     seen = udf.batched_map(spark.range(5000).coalesce(1), lambda b: b.assign(n=len(b)), "id long, n long").collect()
     assert sorted(r["id"] for r in seen) == list(range(5000)) and max(r["n"] for r in seen) <= udf.ROWS
+
+
+def test_files_of_groups_are_read_once(spark, tmp_path):
+    """Headers, numbers and sentences come from one pass over the lines."""
+    (tmp_path / "a.conll").write_text("[token] [ent]\n-- x --\na b\n", encoding="utf-8")
+    got = conll.file_ordinal(conll.read_conll_group(spark, str(tmp_path), "ent"))
+    assert "FileScan text" not in got._jdf.queryExecution().executedPlan().toString() and got.first()["tags"] == ["b"]
+
+
+def test_headers_that_blocks_cut(spark, tmp_path):
+    """Blocks smaller than a line: the lines that are skipped lie in several, and a sentence may follow them at once."""
+    (tmp_path / "a").write_text("[t] [x]\n\nq Q\nr R\n\ns S s s s s\n\nu U", encoding="utf-8")
+    (tmp_path / "b").write_text("[x] [t]\n-- --\n\n \nv V\n", encoding="utf-8")
+    (tmp_path / "c").write_text("[t] [x]", encoding="utf-8")
+    for size in ("5", "9", "1000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            got = sorted((r["file"][-1], r["rec"], r["tokens"], r["tags"]) for r in conll.read_conll_group(spark, str(tmp_path), "x").collect())
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == [("a", 0, ["q", "r"], ["Q", "R"]), ("a", 2, ["u"], ["U"]), ("b", 0, ["v"], ["v"])]
+
+
+def test_runs_of_lines_however_batches_cut_them():
+    r = random.Random(5)
+    for _ in range(60):
+        rows = [(f, b, v) for f in "ab" for b in (0, 7, 9)[: r.randrange(1, 4)] for v in r.choices(["x", "y", "", " "], k=r.randrange(1, 9))]
+        want, last, k = [], None, 0
+        for n, (f, b, v) in enumerate(rows):
+            if (f, b) != last:
+                own = [x for x in rows if x[:2] == (f, b)]
+                want.append((f, b, -1, 0, len(own), [v]))
+                last, k, at = (f, b), 0, n
+            if v.strip():
+                if n > at and rows[n - 1][2].strip():
+                    want[-1][-1].append(v)
+                    want[-1] = (*want[-1][:4], want[-1][4] + 1, want[-1][5])
+                else:
+                    want.append((f, b, k, n - at, 1, [v]))
+                    k += 1
+        table = pa.table({"file": [x[0] for x in rows], "block": pa.array([x[1] for x in rows], pa.int64()), "value": [x[2] for x in rows],
+                          "blank": [not x[2].strip() for x in rows]}).combine_chunks().to_batches()[0]
+        cuts = sorted({0, len(rows), *(r.randrange(len(rows)) for _ in range(r.randrange(6)))})
+        got = [tuple(x.values()) for b in conll._gather(iter([table.slice(i, j - i) for i, j in zip(cuts, cuts[1:])])) for x in b.to_pylist()]
+        assert sorted(got) == sorted(want)

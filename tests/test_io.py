@@ -128,17 +128,20 @@ def test_files_of_groups_are_read_once(spark, tmp_path):
 
 def test_headers_that_blocks_cut(spark, tmp_path):
     """Blocks smaller than a line: the lines that are skipped lie in several, and a sentence may follow them at once."""
-    (tmp_path / "a").write_text("[t] [x]\n\nq Q\nr R\n\ns S s s s s\n\nu U", encoding="utf-8")
-    (tmp_path / "b").write_text("[x] [t]\n-- --\n\n \nv V\n", encoding="utf-8")
-    (tmp_path / "c").write_text("[t] [x]", encoding="utf-8")
-    for size in ("5", "9", "1000"):
+    w = lambda c: c * 300
+    long = lambda text: "".join(w(c) if c.isalpha() or c == "-" else c for c in text)
+    (tmp_path / "a").write_text(long("[t] [x]\n\nq Q\nr R\n\ns S s s s s\n\nu U"), encoding="utf-8")
+    (tmp_path / "b").write_text(long("[x] [t]\n-- --\n\n \nv V\n"), encoding="utf-8")
+    (tmp_path / "c").write_text(long("[t] [x]"), encoding="utf-8")
+    for size in ("500", "900"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", "1")
         try:
-            got = sorted((r["file"][-1], r["rec"], r["tokens"], r["tags"]) for r in conll.read_conll_group(spark, str(tmp_path), "x").collect())
+            df = conll.read_conll_group(spark, str(tmp_path), w("x"))
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
+        got = sorted((r["file"][-1], r["rec"], [t[0] for t in r["tokens"]], [t[0] for t in r["tags"]]) for r in df.collect())
         assert got == [("a", 0, ["q", "r"], ["Q", "R"]), ("a", 2, ["u"], ["U"]), ("b", 0, ["v"], ["v"])]
 
 
